@@ -118,28 +118,51 @@ def links(prints: DataFrame, segments: int = 5, budget: int = 2, hot: int = HOT_
     return pairs.union(crowded).filter("a <> b")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, segments: int = 5, budget: int = 2, hot: int = HOT_BUCKET) -> DataFrame:
-    """``docs`` plus fp (signed long) and component_id, replacing columns of those names.
+def add_fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """``docs`` plus fp (signed long), replacing a column of that name; one map without a shuffle.
 
     A-Z is lower-cased; a text with fewer words than a shingle is one shingle, a text without words (or null) has
-    fingerprint 0 and is linked like any other. component_id is the least non-null id reachable by links, null if the
-    whole component has none; rows that repeat an id keep their own fingerprints. Extra columns pass through; an empty
-    table gives an empty table.
-
-    Equal fingerprints are one node, so copies are never paired. Only (id, fingerprint) rows meet in the joins.
+    fingerprint 0. An empty table gives an empty table.
     """
-    spark = docs.sparkSession
-    bound_arrow_batches(spark)
-    kept = [c for c in docs.columns if c not in ("fp", "component_id")]
+    bound_arrow_batches(docs.sparkSession)
     text = docs[f"`{text_col}`"].cast("string")
-    marked = docs.select(*(docs[f"`{c}`"] for c in kept), fingerprint_column(text, shingle).alias("fp"))
+    return docs.select(*(docs[f"`{c}`"] for c in docs.columns if c != "fp"), fingerprint_column(text, shingle).alias("fp"))
+
+
+def components(marked: DataFrame, id_col: str = "doc_id", segments: int = 5, budget: int = 2, hot: int = HOT_BUCKET) -> DataFrame:
+    """(fp, least, component, component_id): one row per distinct fingerprint, with the least id that has it, a name of its
+    component and the least non-null id of the component (null if none). Equal fingerprints are one node: copies never pair up."""
     classes = materialise(marked.groupBy("fp").agg(F.min(f"`{id_col}`").alias("least")), "simhash-classes")
-    joined = links(classes.select("fp"), segments, budget, hot)
-    found = connected_components(joined).withColumnRenamed("node", "fp")
+    found = connected_components(links(classes.select("fp"), segments, budget, hot)).withColumnRenamed("node", "fp")
     grouped = classes.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     named = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    lookup = materialise(grouped.select("fp", "component").join(named, "component").select(F.col("fp").alias("_leadlake_fp"), "component_id"), "simhash-lookup")
-    return marked.join(lookup, marked["fp"] == lookup["_leadlake_fp"]).select(*(F.col(f"`{c}`") for c in kept), "fp", "component_id")
+    return materialise(grouped.join(named, "component").select("fp", "least", "component", "component_id"), "simhash-components")
+
+
+def near_duplicates(marked: DataFrame, id_col: str = "doc_id", segments: int = 5, budget: int = 2, hot: int = HOT_BUCKET) -> DataFrame:
+    """``marked`` (a table with fp, from ``add_fingerprints``) plus component_id, replacing a column of that name.
+
+    Fingerprints link at ``budget`` or fewer differing bits. component_id is the least non-null id reachable by links,
+    null if the component has none; rows that repeat an id keep their own fingerprints; fingerprint 0 is linked like any
+    other. Extra columns pass through; an empty table gives an empty table.
+    """
+    kept = [c for c in marked.columns if c != "component_id"]
+    own = marked.select(*(marked[f"`{c}`"] for c in kept))
+    lookup = components(marked, id_col, segments, budget, hot).select(F.col("fp").alias("_leadlake_fp"), "component_id")
+    return own.join(lookup, own["fp"] == lookup["_leadlake_fp"]).select(*(F.col(f"`{c}`") for c in kept), "component_id")
+
+
+def keep_one(marked: DataFrame, id_col: str = "doc_id", segments: int = 5, budget: int = 2, hot: int = HOT_BUCKET) -> DataFrame:
+    """One row of each component of ``marked``: that with the least id.
+
+    If several fingerprints of a component have this id, the least is taken; of rows with equal id and fingerprint any one
+    stays. The winners' (fingerprint, id) pairs are nearly unique, so the one shuffle of the texts has no hot key.
+    """
+    heads = components(marked, id_col, segments, budget, hot).filter(F.col("least").eqNullSafe(F.col("component_id")))
+    winners = heads.groupBy("component").agg(F.min_by(F.struct("fp", "least"), F.col("fp")).alias("w"))
+    winners = materialise(winners.select(F.col("w.fp").alias("fp"), F.coalesce(F.col("w.least").cast("string"), F.lit("")).alias("_leadlake_id")), "simhash-winners")
+    named = marked.withColumn("_leadlake_id", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))
+    return named.join(winners, ["fp", "_leadlake_id"], "left_semi").dropDuplicates(["fp", "_leadlake_id"]).drop("_leadlake_id")
 
 
 def hex_digits(fp: Column) -> Column:
