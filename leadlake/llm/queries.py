@@ -50,12 +50,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = substring.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = substring.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op9_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = suffix.dedup_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = suffix.dedup_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 

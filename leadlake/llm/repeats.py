@@ -14,11 +14,12 @@ a gram, context or window that half of the corpus shares is still at most one ro
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +27,6 @@ from leadlake.llm.session import bound_arrow_batches
 from leadlake.llm.words import Rolling
 
 BATCH_BYTES = 512 << 10
-BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -84,40 +84,62 @@ def rows(names: list[str], values: list[np.ndarray], batch: int) -> pa.Table:
     return pa.table([*(pa.array(v[first].view(np.int64)) for v in values), pa.array(tag, pa.int64())], names=[*names, "tag"])
 
 
-def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField], batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def packed_column(text: Column) -> Column:
+    """A text's UTF-8 bytes compressed, for one move of half the size; null stays null."""
+
+    @F.arrow_udf("binary")
+    def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import zstandard
+
+        compressor = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            yield pa.array([None if x is None else compressor.compress(x) for x in batch.cast(pa.binary()).to_pylist()], pa.binary())
+
+    return pack(text)
+
+
+def unpacked(table: pa.Table) -> pa.Array:
+    import zstandard
+
+    expand = zstandard.ZstdDecompressor().decompress
+    return pa.array([None if x is None else expand(x) for x in table.column("_packed").to_pylist()], pa.large_binary())
+
+
+def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField], batch_bytes: int = BATCH_BYTES, keep_text: bool = True) -> DataFrame:
     """``docs`` with the scheme's output columns; the work of the module's docstring in one query.
 
-    All five passes over the texts share one exchange of them; only hashes move besides.
+    The four passes over the texts share one exchange of them, compressed; only hashes move besides.
     """
     spark = docs.sparkSession
     bound_arrow_batches(spark)
     new = [f.name for f in out_fields]
-    kept = [c for c in docs.columns if c not in new]
+    kept = [c for c in docs.columns if c not in new and c != text_col]
     text = docs[f"`{text_col}`"].cast("string")
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n_batches = max(1, math.ceil(total / batch_bytes))
-    held = docs.select(F.struct(*(docs[f"`{c}`"] for c in kept)).alias("_row"), text.alias("_text"))
-    held = held.withColumn("_batch", F.pmod(F.xxhash64("_row", "_text"), F.lit(n_batches)))
+    row = F.struct(*(docs[f"`{c}`"] for c in kept), F.lit(0).alias("_"))
+    held = docs.select(row.alias("_row"), packed_column(text).alias("_packed"), F.pmod(F.xxhash64(row, text), F.lit(n_batches)).alias("_batch"))
 
     def grams(key: tuple, table: pa.Table) -> pa.Table:
-        return rows(["gram"], [scheme.occurrences(table.column("_text")).gram], key[0].as_py())
+        return rows(["gram"], [scheme.occurrences(unpacked(table)).gram], key[0].as_py())
 
     def matched(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return rows(["gram", "context"], [np.zeros(0, np.uint64)] * 2, 0)
-        found = scheme.occurrences(left.column("_text"))
+        found = scheme.occurrences(unpacked(left))
         chosen = member(found.gram, column(right, "gram"))
         return rows(["gram", "context"], [found.gram[chosen], found.context[chosen]], key[0].as_py())
 
     def single(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return rows(["x", "y"], [np.zeros(0, np.uint64)] * 2, 0)
-        found = scheme.occurrences(left.column("_text"))
+        found = scheme.occurrences(unpacked(left))
         chosen = member(found.both(), pair(column(right, "gram"), column(right, "context")))
         return rows(["x", "y"], list(found.windows(found.starts(chosen))), key[0].as_py())
 
     def finish(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        found = scheme.occurrences(left.column("_text"))
+        texts = unpacked(left)
+        found = scheme.occurrences(texts)
         repeated = np.zeros(0, np.int64)
         if right.num_rows:
             marks = pair(column(right, "x"), column(right, "y"))
@@ -127,25 +149,28 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
             if not whole.all():
                 rest = np.setdiff1d(found.starts(~settled), repeated, assume_unique=True)
                 repeated = np.concatenate([repeated, rest[member(pair(*found.windows(rest)), marks[~whole])]])
-        columns = scheme.finish(left.column("_text"), repeated)
-        return pa.table([left.column("_row"), *columns], names=["_row", *new])
+        columns = scheme.finish(texts, repeated)
+        if keep_text:
+            columns.append(texts.cast(pa.large_string()).cast(pa.string()))
+        return pa.table([left.column("_row"), *columns], names=["_row", *new, *[text_col] * keep_text])
 
     by_batch = held.groupBy("_batch")
-    batch_of, again = F.shiftright("tag", 1), F.col("tag").bitwiseAND(F.lit(1)) == 1
-    same = lambda *names: Window.partitionBy(*names)
+    batch_of, again = F.shiftright("tag", 1).alias("_batch"), F.col("tag").bitwiseAND(F.lit(1)) == 1
     seen = by_batch.applyInArrow(grams, "gram long, tag long")
-    twice = seen.withColumn("n", F.count("*").over(same("gram"))).filter((F.col("n") > 1) | again).select("gram", batch_of.alias("_batch"))
+    twice = seen.withColumn("n", F.count("*").over(Window.partitionBy("gram"))).filter((F.col("n") > 1) | again).select("gram", batch_of)
     placed = by_batch.cogroup(twice.groupBy("_batch")).applyInArrow(matched, "gram long, context long, tag long")
-    w = same("gram", "context")
-    placed = placed.select("gram", "context", "tag", ((F.count("*").over(w) > 1) | (F.max(F.col("tag").bitwiseAND(F.lit(1))).over(w) == 1)).alias("whole"), (F.min("tag").over(w) == F.col("tag")).alias("leads"))
-    open_grams = placed.filter(~F.col("whole")).select(F.col("gram").alias("open_gram")).distinct()
-    partners = placed.filter("whole and leads").join(open_grams, F.col("gram") == F.col("open_gram"), "left_semi")
-    compare = placed.filter(~F.col("whole")).union(partners).select("gram", "context", batch_of.alias("_batch"))
+    # One column for all that is asked of a context, so that every branch below shares the exchange: 0 seen once, 1 again, 2 again and first.
+    w = Window.partitionBy("gram", "context")
+    whole = (F.count("*").over(w) > 1) | (F.min("tag").over(w) % 2 + F.max("tag").over(w) % 2 > 0)
+    placed = placed.select("gram", "context", "tag", F.when(whole, F.when(F.min("tag").over(w) == F.col("tag"), 2).otherwise(1)).otherwise(0).alias("state"))
+    open_grams = placed.filter("state = 0").groupBy(F.col("gram").alias("open_gram")).agg(F.lit(1).alias("_"))
+    partners = placed.filter("state = 2").join(open_grams, F.col("gram") == F.col("open_gram"), "left_semi")
+    compare = placed.filter("state = 0").union(partners).select("gram", "context", batch_of)
     tried = by_batch.cogroup(compare.groupBy("_batch")).applyInArrow(single, "x long, y long, tag long")
-    found = tried.withColumn("n", F.count("*").over(same("x", "y"))).filter((F.col("n") > 1) | again)
-    settled = placed.filter("whole").select(batch_of.alias("_batch"), F.col("gram").alias("x"), F.col("context").alias("y"), F.lit(True).alias("whole"))
-    windows = found.select(batch_of.alias("_batch"), "x", "y", F.lit(False).alias("whole"))
-    marks = settled.union(windows)
-    schema = T.StructType([T.StructField("_row", held.schema["_row"].dataType), *out_fields])
+    found = tried.withColumn("n", F.count("*").over(Window.partitionBy("x", "y"))).filter((F.col("n") > 1) | again)
+    settled = placed.filter("state > 0").select(batch_of, F.col("gram").alias("x"), F.col("context").alias("y"), F.lit(True).alias("whole"))
+    marks = settled.union(found.select(batch_of, "x", "y", F.lit(False).alias("whole")))
+    schema = T.StructType([T.StructField("_row", held.schema["_row"].dataType), *out_fields, *[T.StructField(text_col, T.StringType())] * keep_text])
     done = by_batch.cogroup(marks.groupBy("_batch")).applyInArrow(finish, schema)
-    return done.select("_row.*", *new)
+    order = [c for c in docs.columns if c not in new and (keep_text or c != text_col)]
+    return done.select(*(F.col(f"`{c}`") if c == text_col else F.col(f"_row.`{c}`") for c in order), *new)

@@ -7,8 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from leadlake.llm.repeats import BASES, BATCH_BYTES, Occurrences, contexts, cut
-from leadlake.llm.words import Rolling, Words, gather, per_text, spread
+from leadlake.llm.repeats import BATCH_BYTES, Occurrences, contexts, cut
+from leadlake.llm.words import Rolling, Words, gather, per_text, spin, spread
 
 #: Period -> residues whose differences give every residue of the period (perfect difference sets).
 DIFFERENCE_COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
@@ -30,9 +30,10 @@ class DifferenceCover:
         self.cover[list(DIFFERENCE_COVERS.get(self.period, (0,)))] = True
         self.gram = window - self.period + 1
 
-    def occurrences(self, texts: pa.ChunkedArray) -> Occurrences:
+    def occurrences(self, texts: pa.Array) -> Occurrences:
         w = Words(texts)
-        rolling = tuple(Rolling(w.hashes(i + 1), base) for i, base in enumerate(BASES))
+        values = w.hashes()
+        rolling = Rolling(values), Rolling(spin(values))
         at = np.arange(len(w.starts))
         first, stop = w.first[:-1][w.text], w.first[1:][w.text]
         at = at[self.cover[(at - first) % self.period] & (at + self.gram <= stop) & (stop - first >= self.window)]
@@ -40,7 +41,7 @@ class DifferenceCover:
         high = np.minimum(at, stop[at] - self.window)
         return Occurrences(rolling[0].at(at, self.gram), contexts(rolling[1], low, high, at, self.window), low, high, rolling, self.window)
 
-    def finish(self, texts: pa.ChunkedArray, repeated: np.ndarray) -> list[pa.Array]:
+    def finish(self, texts: pa.Array, repeated: np.ndarray) -> list[pa.Array]:
         w = Words(texts)
         removed = spread(repeated, repeated + self.window, len(w.starts))
         left = np.flatnonzero(~removed)
@@ -67,8 +68,8 @@ class DifferenceCover:
 FIELDS = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
 
 
-def dedup_substrings(docs: DataFrame, text_col: str = "text", window: int = 35, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """``docs`` plus n_words, n_removed and kept_text (the kept words joined by one blank), replacing columns of those names.
+def dedup_substrings(docs: DataFrame, text_col: str = "text", window: int = 35, batch_bytes: int = BATCH_BYTES, keep_text: bool = True) -> DataFrame:
+    """``docs`` (without the text unless ``keep_text``) plus n_words, n_removed and kept_text (the kept words joined by one blank), replacing columns of those names.
 
     Every word covered by a window of ``window`` consecutive words whose sequence also starts anywhere else, the same
     text included, is removed; windows are judged on the input. Texts shorter than a window lose nothing; a null text has
@@ -76,4 +77,4 @@ def dedup_substrings(docs: DataFrame, text_col: str = "text", window: int = 35,
     through (columns that start with _ and clash with nothing of the input are used inside only); an empty table gives an
     empty table. Words are compared by 64- and 128-bit hashes.
     """
-    return cut(docs, text_col, DifferenceCover(window), FIELDS, batch_bytes)
+    return cut(docs, text_col, DifferenceCover(window), FIELDS, batch_bytes, keep_text)

@@ -7,11 +7,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from leadlake.llm.repeats import BASES, BATCH_BYTES, Occurrences, contexts, cut
-from leadlake.llm.words import Rolling, flat_bytes, per_text, runs, spread
-
-VALUES = np.random.default_rng(9).integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+from leadlake.llm.repeats import BATCH_BYTES, Occurrences, contexts, cut
+from leadlake.llm.words import BYTE_VALUES, Rolling, flat_bytes, per_text, runs, spin, spread
 
+SECOND = spin(BYTE_VALUES)
 
 def window_minimum(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` consecutive values, from running minima inside blocks of that width."""
@@ -31,14 +30,14 @@ class LeastGram:
         self.window = window
         self.gram = window // 2
 
-    def occurrences(self, texts: pa.ChunkedArray) -> Occurrences:
+    def occurrences(self, texts: pa.Array) -> Occurrences:
         raw, offsets = flat_bytes(texts)
-        rolling = tuple(Rolling(v[raw], base) for v, base in zip(VALUES, BASES, strict=True))
+        rolling = Rolling(BYTE_VALUES[raw]), Rolling(SECOND[raw])
         n = len(raw)
         if n < self.window:
             none = np.zeros(0, np.int64)
             return Occurrences(none.view(np.uint64), none.view(np.uint64), none, none, rolling, self.window)
-        grams = rolling[0].at(np.arange(n - self.gram + 1), self.gram)
+        grams = rolling[0].everywhere(self.gram)
         place = np.uint64((1 << int(n).bit_length()) - 1)
         least = window_minimum(grams & ~place | np.arange(len(grams), dtype=np.uint64), self.window - self.gram + 1)
         anchor = (least & place).astype(np.int64)  # of the string that starts here, the leftmost of equals
@@ -53,7 +52,7 @@ class LeastGram:
         at = anchor[low]
         return Occurrences(grams[at], contexts(rolling[1], low, high, at, self.window), low, high, rolling, self.window)
 
-    def finish(self, texts: pa.ChunkedArray, repeated: np.ndarray) -> list[pa.Array]:
+    def finish(self, texts: pa.Array, repeated: np.ndarray) -> list[pa.Array]:
         raw, offsets = flat_bytes(texts)
         removed = spread(repeated, repeated + self.window, len(raw))
         n_removed = per_text(removed, offsets)
@@ -68,12 +67,12 @@ class LeastGram:
 FIELDS = [T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())]
 
 
-def dedup_bytes(docs: DataFrame, text_col: str = "text", window: int = 400, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """``docs`` plus n_bytes, n_removed, n_spans (maximal removed runs) and kept (binary), replacing columns of those names.
+def dedup_bytes(docs: DataFrame, text_col: str = "text", window: int = 400, batch_bytes: int = BATCH_BYTES, keep_text: bool = True) -> DataFrame:
+    """``docs`` (without the text unless ``keep_text``) plus n_bytes, n_removed, n_spans (maximal removed runs) and kept (binary), replacing columns of those names.
 
     Every UTF-8 byte covered by a string of ``window`` bytes that also starts anywhere else, the same text included, is
     removed; strings never cross texts and are judged on the input. A null text is empty; shorter texts lose nothing;
     repeated rows remove each other's strings and stay as rows; extra columns pass through; an empty table gives an empty
     table. ``kept`` may cut inside a character and is therefore binary.
     """
-    return cut(docs, text_col, LeastGram(window), FIELDS, batch_bytes)
+    return cut(docs, text_col, LeastGram(window), FIELDS, batch_bytes, keep_text)

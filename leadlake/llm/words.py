@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -74,11 +73,10 @@ class Words:
     def codes(self) -> tuple[np.ndarray, pa.Array]:
         return codes_of(self.raw, self.starts, self.ends)
 
-    def hashes(self, seed: int) -> np.ndarray:
+    def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word, the same in every batch."""
-        codes, values = self.codes()
-        each = np.fromiter((xxhash.xxh64_intdigest(v, seed) for v in values.to_pylist()), np.uint64, len(values))
-        return each[codes] if len(codes) else np.zeros(0, np.uint64)
+        lengths = self.ends - self.starts
+        return spin(Rolling(BYTE_VALUES[self.raw]).at(self.starts, lengths) ^ lengths.astype(np.uint64))
 
 
 def per_text(flags: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -94,24 +92,46 @@ def spread(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(depth)[:n] > 0
 
 
+BASE = 0x9E3779B97F4A7C15
+BYTE_VALUES = np.random.default_rng(9).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> list[np.ndarray]:
+    """The first n powers of the base and of its inverse modulo 2**64, kept for later batches."""
+    if len(_powers[0]) < n:
+        for k, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
+            row = np.full(max(n, 1 << 20), base, np.uint64)
+            row[0] = 1
+            _powers[k] = np.multiply.accumulate(row)
+    return [p[:n] for p in _powers]
+
+
+def spin(h: np.ndarray) -> np.ndarray:
+    """Mixes the bits of 64-bit values; one to one."""
+    with np.errstate(over="ignore"):
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return h ^ (h >> np.uint64(31))
+
+
 class Rolling:
     """Polynomial hashes modulo 2**64 of every window of a sequence of 64-bit values."""
 
-    def __init__(self, values: np.ndarray, base: int):
+    def __init__(self, values: np.ndarray):
         n = len(values)
+        power, self.inverse = powers(n + 1)
+        self.sums = np.zeros(n + 1, np.uint64)
         with np.errstate(over="ignore"):
-            power = np.full(n + 1, base, np.uint64)
-            power[0] = 1
-            self.sums = np.zeros(n + 1, np.uint64)
-            inverse = np.full(n + 1, pow(base, -1, 1 << 64), np.uint64)
-            inverse[0] = 1
-            np.multiply.accumulate(power, out=power)
-            np.multiply.accumulate(inverse, out=inverse)
             np.cumsum(values * power[:n], out=self.sums[1:])
-            self.inverse = inverse
 
     def at(self, starts: np.ndarray, length: int | np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            h = (self.sums[starts + length] - self.sums[starts]) * self.inverse[starts]
-            h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-            return h ^ (h >> np.uint64(29))
+            return spin((self.sums[starts + length] - self.sums[starts]) * self.inverse[starts])
+
+    def everywhere(self, length: int) -> np.ndarray:
+        """The hash of every window of one length."""
+        n = len(self.sums) - length
+        with np.errstate(over="ignore"):
+            return spin((self.sums[length:] - self.sums[:n]) * self.inverse[:n])
