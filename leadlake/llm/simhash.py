@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from leadlake.llm.graph import connected_components
 from leadlake.llm.session import bound_arrow_batches, materialise
-from leadlake.llm.words import Words, gather
+from leadlake.llm.words import Words, gather, portions
 
 BITS = 64
 SEED = 42
+#: Shingles whose bits are unpacked at once.
+SHINGLE_BLOCK = 1 << 15
 #: A bucket of more distinct fingerprints than this is linked through shared one-bit neighbours, not pair by pair.
 HOT_BUCKET = 256
 
@@ -43,15 +45,13 @@ def fingerprints(texts: pa.Array, shingle: int = 3, seed: int = SEED) -> np.ndar
     digest = xxhash.xxh64_intdigest
     h = np.fromiter((digest(data[a:b], seed) for a, b in zip(starts[begin].tolist(), until.tolist(), strict=True)), np.uint64, len(begin))
     owner = w.text[begin]
-    texts_with = np.unique(owner)
-    bounds = np.append(np.searchsorted(owner, texts_with), len(owner))
-    step = 4096  # texts at once, to bound the unpacked bits
-    for i in range(0, len(texts_with), step):
-        cut = bounds[i : i + step + 1]
-        bits = np.unpackbits(h[cut[0] : cut[-1]].view(np.uint8).reshape(-1, 8)[:, ::-1], axis=1)
-        ones = np.add.reduceat(bits, cut[:-1] - cut[0], axis=0, dtype=np.int64)
-        major = (2 * ones > np.diff(cut)[:, None]).astype(np.uint8)
-        out[texts_with[i : i + step]] = np.packbits(major, axis=1)[:, ::-1].copy().view(np.uint64).ravel()
+    ones = np.zeros((w.n, BITS), np.int64)
+    for i in range(0, len(h), SHINGLE_BLOCK):
+        bits = np.unpackbits(h[i : i + SHINGLE_BLOCK].view(np.uint8).reshape(-1, 8)[:, ::-1], axis=1)
+        texts_here, begins = np.unique(owner[i : i + SHINGLE_BLOCK], return_index=True)
+        ones[texts_here] += np.add.reduceat(bits, begins, axis=0, dtype=np.int64)
+    major = 2 * ones > np.bincount(owner, minlength=w.n)[:, None]
+    out[:] = np.packbits(major, axis=1)[:, ::-1].copy().view(np.uint64).ravel()
     return out
 
 
@@ -61,7 +61,8 @@ def fingerprint_column(text: Column, shingle: int = 3, seed: int = SEED) -> Colu
     @F.arrow_udf("bigint")
     def fingerprint(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array(fingerprints(batch, shingle, seed).view(np.int64), pa.int64())
+            found = [fingerprints(part, shingle, seed) for part in portions(batch)]
+            yield pa.array(np.concatenate(found).view(np.int64) if found else [], pa.int64())
 
     return fingerprint(text)
 

@@ -5,6 +5,8 @@ A word is a maximal run of bytes other than 0x20 and 0x09-0x0D; in UTF-8 this eq
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -25,6 +27,14 @@ def flat_bytes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def portions(texts: pa.Array, n_bytes: int = 1 << 20) -> Iterator[pa.Array]:
+    """Slices of a batch of about ``n_bytes`` each, so that arrays derived from one stay small."""
+    _, offsets = flat_bytes(texts)
+    cuts = np.unique(np.append(np.searchsorted(offsets[:-1], np.arange(0, offsets[-1] + 1, n_bytes)), len(texts)))
+    for a, b in zip(np.append(0, cuts[cuts > 0])[:-1], cuts[cuts > 0], strict=True):
+        yield texts.slice(int(a), int(b - a))
+
+
 def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of True that don't cross an offset."""
     if not len(inside):
