@@ -103,7 +103,7 @@ def emails(text: Column) -> Column:
 
 def phones(text: Column) -> Column:
     found = F.filter(F.regexp_extract_all(text, F.lit(R.PHONE_PATTERN), F.lit(0)), lambda p: F.length(F.regexp_replace(p, r"\D", "")).between(10, 15))
-    return F.transform(found, F.trim)
+    return F.transform(found, lambda x: F.trim(x))
 
 
 def contact(text: Column) -> Column:

@@ -86,7 +86,7 @@ def strip_html(v: Column) -> Column:
 
 def evidence_sentences(v: Column, signal: str, low: int = 15, high: int = 500, most: int = 8) -> Column:
     """Distinct sentences of low..high characters that match a pattern, in order, at most ``most``. (STR-11)"""
-    parts = F.transform(F.split(v, r"[.!?\n]+"), F.trim)
+    parts = F.transform(F.split(v, r"[.!?\n]+"), lambda x: F.trim(x))
     return F.slice(F.array_distinct(F.filter(parts, lambda s: F.length(s).between(low, high) & F.rlike(s, F.lit(signal)))), 1, most)
 
 

@@ -47,7 +47,7 @@ def json_list(v: Column) -> Column:
 
 def list_json(v: Column) -> Column:
     """Clean list as JSON text, empty as null. (JSN-02)"""
-    kept = F.filter(F.transform(v, F.trim), lambda x: x.isNotNull() & (x != ""))
+    kept = F.filter(F.transform(v, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
     return F.when(F.size(kept) > 0, F.to_json(kept))
 
 

@@ -110,3 +110,9 @@ def best_result_per_type(results: DataFrame, id_col: str, type_col: str, types:
     last = [F.max_by(F.when(F.col(type_col) == t, value), F.when(F.col(type_col) == t, F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order))))).alias(t) for t in types]
     wide = results.groupBy(id_col).agg(*last)
     return wide.withColumn("missing", F.array_compact(F.array(*(F.when(F.col(t).isNull(), F.lit(t)) for t in types))))
+
+
+def first_useful(df: DataFrame, key: str, order: Sequence[Column], n: int, useful: Column) -> DataFrame:
+    """Of the first n rows of a key in order, the first that is useful. (PIP-14)"""
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col("_rank") <= n)
+    return keep_best(ranked.filter(useful), [key], [F.col("_rank")]).drop("_rank")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from leadlake.functions import url as U
 from leadlake.functions.text import first_text, slug
+from leadlake.functions.values import embedded_object, labels
 from leadlake.operators.keyed import keep_best
 
 
@@ -52,3 +53,21 @@ def dossier(df: DataFrame, title: Column, *sections: tuple[str, Column]) -> Data
     """Adds Markdown text: a title and the sections that have text. (PIP-16, STR-12)"""
     body = [F.when(first_text(v).isNotNull(), F.concat(F.lit(f"## {name}\n\n"), first_text(v))) for name, v in sections]
     return df.withColumn("dossier", F.concat_ws("\n\n", F.concat(F.lit("# "), title), *body))
+
+
+def triage(df: DataFrame, reply: Column, strong: Column, negative: str = "no") -> DataFrame:
+    """Adds verdict, confidence and excluded from a reply that holds a JSON object. A negative verdict on a row with a strong
+    signal becomes unclear at medium confidence; negative ones of high or medium confidence exclude. (PIP-15)"""
+    said = F.from_json(embedded_object(reply), "verdict string, confidence string")
+    guarded = (said["verdict"] == negative) & F.coalesce(strong, F.lit(False))
+    verdict, confidence = F.when(guarded, "unclear").otherwise(said["verdict"]), F.when(guarded, "medium").otherwise(said["confidence"])
+    excluded = F.coalesce((verdict == negative) & confidence.isin("high", "medium"), F.lit(False))
+    return df.withColumns({"verdict": verdict, "confidence": confidence, "excluded": excluded})
+
+
+def validation_needs(basis: Column, types: Column, activity: Column, duration: Column, snippet: Column, price: Column, contact: Column, ages: Column) -> Column:
+    """What a candidate still needs, in rule order. (ARR-05, PIP-04)"""
+    return labels(
+        (basis == "multi_venue_candidate", "split_into_venue_records"), (basis == "venue_candidate_pending_confirmation", "confirm_exact_venue"), (types == F.array(F.lit("unknown")), "confirm_overnight"),
+        ((activity != "active_recent") | ~snippet, "confirm_recent_activity"), (duration == "unknown", "confirm_duration"), (~price, "pricing"), (~contact, "contact"), (~ages, "ages_or_grades"),
+    )
