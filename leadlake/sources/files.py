@@ -41,7 +41,7 @@ def line_list(spark: SparkSession, path: str) -> DataFrame:
 
 def front_matter(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
     """path, the named YAML fields as text, and body; a header that is no mapping counts as empty. (SRC-07, UDF-05)"""
-    docs = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    docs = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), "value")
     split = docs.select("path", F.regexp_extract("value", r"(?s)\A---\r?\n(.*?)\r?\n---\r?\n?", 1).alias("header"), F.regexp_replace("value", r"(?s)\A---\r?\n.*?\r?\n---\r?\n?", "").alias("body"))
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
