@@ -83,7 +83,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
     Whole texts are encoded; null and empty texts give 0 tokens and empty ids. Repeated rows, ties and extra columns
     pass through; an empty table gives an empty table. Each text is independent, so the job is one map without a shuffle.
     """
-    bound_arrow_batches(docs.sparkSession)
+    bound_arrow_batches(docs.sparkSession, 4 << 20)
     rest = [docs[f"`{c}`"] for c in docs.columns if c not in ("n_tokens", "token_ids")]
     coded = docs.select(*rest, encode_column(docs[f"`{text_col}`"].cast("string"), rank_file, pattern).alias("_leadlake_bpe"))
     kept = [f"`{c}`" for c in docs.columns if c not in ("n_tokens", "token_ids")]
@@ -92,7 +92,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
 
 def decode(coded: DataFrame, rank_file: str, pattern: str, ids_col: str = "token_ids") -> DataFrame:
     """``coded`` plus ``decoded`` (binary), the exact bytes of the encoded text."""
-    bound_arrow_batches(coded.sparkSession)
+    bound_arrow_batches(coded.sparkSession, 4 << 20)
     return coded.withColumn("decoded", decode_column(F.col(f"`{ids_col}`"), rank_file, pattern))
 
 

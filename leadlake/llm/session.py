@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_SHARED_DIR = "/tmp/checkpoints"
-ARROW_BATCH_BYTES = 16 << 20
+ARROW_BATCH_BYTES = 8 << 20
 
 _written: dict[str, list[str]] = {}
 

@@ -64,7 +64,7 @@ def fingerprint_column(text: Column, shingle: int = 3, seed: int = SEED) -> Colu
             found = [fingerprints(part, shingle, seed) for part in portions(batch)]
             yield pa.array(np.concatenate(found).view(np.int64) if found else [], pa.int64())
 
-    return fingerprint(text)
+    return fingerprint.asNondeterministic()(text)  # else Catalyst computes it again for a filter
 
 
 def segment_masks(segments: int) -> list[int]:
