@@ -5,7 +5,11 @@ context (everything those windows cover). Equal windows always lie in occurrence
 
 1. grams that occur once in the corpus settle their windows: not repeated;
 2. an occurrence whose whole context occurs again settles all its windows: repeated;
-3. the rest, near the ends of matches, compare their windows one by one with those of the other contexts of the gram.
+3. the rest, near the ends of matches, compare their windows one by one with those of the other contexts of the gram, or,
+   if the scheme has ``pieces``, send what those windows cover to shards that sort its suffixes. A gram with more than
+   ``DENSE`` different contexts is always compared window by window, so no gram grows a shard without bound.
+
+A scheme may split occurrences further (``parts``); steps 2 and 3 then work on the parts and their own, longer grams.
 
 Texts are dealt once into batches of bounded bytes by a hash of the row. Every batch sends each distinct value once, so
 a gram, context or window that half of the corpus shares is still at most one row per batch.
@@ -23,10 +27,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadlake.llm.session import bound_arrow_batches
+from leadlake.llm.session import bound_arrow_batches, fresh_path
 from leadlake.llm.words import Rolling
 
 BATCH_BYTES = 512 << 10
+SHARD_BYTES = 64 << 20
+DENSE = 1 << 14
+BY_WINDOW, OPEN, PARTNER, SETTLED = range(4)
 MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -40,6 +47,10 @@ class Occurrences:
     high: np.ndarray
     rolling: tuple[Rolling, Rolling]
     length: int
+    place: np.ndarray | None = None  # of the anchor grams
+
+    def some(self, chosen: np.ndarray) -> Occurrences:
+        return Occurrences(self.gram[chosen], self.context[chosen], self.low[chosen], self.high[chosen], self.rolling, self.length)
 
     def both(self) -> np.ndarray:
         return pair(self.gram, self.context)
@@ -105,7 +116,7 @@ def unpacked(table: pa.Table) -> pa.Array:
     return pa.array([None if x is None else expand(x) for x in table.column("_packed").to_pylist()], pa.large_binary())
 
 
-def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField], batch_bytes: int = BATCH_BYTES, keep_text: bool = True) -> DataFrame:
+def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField], batch_bytes: int = BATCH_BYTES, keep_text: bool = True, dense: int = DENSE) -> DataFrame:
     """``docs`` with the scheme's output columns; the work of the module's docstring in one query.
 
     The four passes over the texts share one exchange of them, compressed; only hashes move besides.
@@ -127,28 +138,48 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
         if not left.num_rows or not right.num_rows:
             return rows(["gram", "context"], [np.zeros(0, np.uint64)] * 2, 0)
         found = scheme.occurrences(unpacked(left))
-        chosen = member(found.gram, column(right, "gram"))
-        return rows(["gram", "context"], [found.gram[chosen], found.context[chosen]], key[0].as_py())
+        found = scheme.parts(found, member(found.gram, column(right, "gram")))
+        return rows(["gram", "context"], [found.gram, found.context], key[0].as_py())
 
     def single(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return rows(["x", "y"], [np.zeros(0, np.uint64)] * 2, 0)
-        found = scheme.occurrences(unpacked(left))
-        chosen = member(found.both(), pair(column(right, "gram"), column(right, "context")))
-        return rows(["x", "y"], list(found.windows(found.starts(chosen))), key[0].as_py())
+            none = rows(["x", "y"], [np.zeros(0, np.uint64)] * 2, 0)
+            return none.append_column("piece", pa.array([], pa.binary()))
+        texts, batch = unpacked(left), key[0].as_py()
+        found = scheme.occurrences(texts)
+        found = scheme.parts(found, np.ones(len(found.gram), bool))
+        both, asked, kind = found.both(), pair(column(right, "gram"), column(right, "context")), right.column("kind").to_numpy()
+        compared = rows(["x", "y"], list(found.windows(found.starts(member(both, asked[kind == BY_WINDOW])))), batch)
+        compared = compared.append_column("piece", pa.nulls(compared.num_rows, pa.binary()))
+        sent = []
+        for role in (OPEN, PARTNER):
+            chosen = np.flatnonzero(member(both, asked[kind == role]))
+            chosen = chosen[np.unique(both[chosen], return_index=True)[1]]  # a partner may occur again here
+            if len(chosen):
+                values = [pa.array(v[chosen].view(np.int64)) for v in (found.gram, found.context)]
+                tag = pa.array(np.full(len(chosen), batch * 2 + (role == PARTNER)))
+                sent.append(pa.table([*values, tag, scheme.pieces(texts, found, chosen)], names=["x", "y", "tag", "piece"]))
+        return pa.concat_tables([compared, *sent])
 
     def finish(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         texts = unpacked(left)
         found = scheme.occurrences(texts)
         repeated = np.zeros(0, np.int64)
         if right.num_rows:
-            marks = pair(column(right, "x"), column(right, "y"))
-            whole = right.column("whole").to_numpy(zero_copy_only=False)
-            settled = member(found.both(), marks[whole])
+            found = scheme.parts(found, np.ones(len(found.gram), bool))
+            marks, kind, both = pair(column(right, "x"), column(right, "y")), right.column("kind").to_numpy(), found.both()
+            settled = member(both, marks[kind == SETTLED])
             repeated = found.starts(settled)
-            if not whole.all():
+            if (kind == BY_WINDOW).any():
                 rest = np.setdiff1d(found.starts(~settled), repeated, assume_unique=True)
-                repeated = np.concatenate([repeated, rest[member(pair(*found.windows(rest)), marks[~whole])]])
+                repeated = np.concatenate([repeated, rest[member(pair(*found.windows(rest)), marks[kind == BY_WINDOW])]])
+            if (kind == OPEN).any():
+                sorted_by = np.argsort(marks[kind == OPEN])
+                known, bits = marks[kind == OPEN][sorted_by], column(right, "bits")[kind == OPEN][sorted_by]
+                part = np.flatnonzero(~settled & member(both, known))
+                bit = bits[np.searchsorted(known, both[part])][:, None] >> np.arange(64, dtype=np.uint64) & np.uint64(1)
+                of, offset = np.nonzero(bit)
+                repeated = np.union1d(repeated, found.low[part[of]] + offset)
         columns = scheme.finish(texts, repeated)
         if keep_text:
             columns.append(texts.cast(pa.large_string()).cast(pa.string()))
@@ -165,11 +196,21 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
     placed = placed.select("gram", "context", "tag", F.when(whole, F.when(F.min("tag").over(w) == F.col("tag"), 2).otherwise(1)).otherwise(0).alias("state"))
     open_grams = placed.filter("state = 0").groupBy(F.col("gram").alias("open_gram")).agg(F.lit(1).alias("_"))
     partners = placed.filter("state = 2").join(open_grams, F.col("gram") == F.col("open_gram"), "left_semi")
-    compare = placed.filter("state = 0").union(partners).select("gram", "context", batch_of)
-    tried = by_batch.cogroup(compare.groupBy("_batch")).applyInArrow(single, "x long, y long, tag long")
-    found = tried.withColumn("n", F.count("*").over(Window.partitionBy("x", "y"))).filter((F.col("n") > 1) | again)
-    settled = placed.filter("state > 0").select(batch_of, F.col("gram").alias("x"), F.col("context").alias("y"), F.lit(True).alias("whole"))
-    marks = settled.union(found.select(batch_of, "x", "y", F.lit(False).alias("whole")))
+    compare = placed.filter("state = 0").union(partners).select("gram", "context", batch_of, "state")
+    many = F.lit(True) if scheme.pieces is None else F.count("*").over(Window.partitionBy("gram")) > dense
+    compare = compare.withColumn("kind", F.when(many, BY_WINDOW).when(F.col("state") == 0, OPEN).otherwise(PARTNER)).drop("state")
+    tried = by_batch.cogroup(compare.groupBy("_batch")).applyInArrow(single, "x long, y long, tag long, piece binary")
+    found = tried.withColumn("n", F.count("*").over(Window.partitionBy("x", "y"))).filter((F.col("n") > 1) | F.col("piece").isNotNull() | again).drop("n")
+    if scheme.pieces is None:
+        found = found.select(batch_of, "x", "y", F.lit(BY_WINDOW).alias("kind"), F.lit(0).cast("long").alias("bits"))
+    else:
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / SHARD_BYTES))
+        to_sort = F.col("piece").isNotNull()  # the others only pass, anywhere
+        spread_by = F.when(to_sort, F.col("x")).otherwise(F.col("y")), F.when(to_sort, 0).otherwise(F.col("tag"))
+        sort = scheme.sorter(fresh_path(spark, "suffixes"))
+        found = found.repartition(shards, *spread_by).mapInArrow(sort, "_batch long, x long, y long, kind int, bits long")
+    settled = placed.filter("state > 0").select(batch_of, F.col("gram").alias("x"), F.col("context").alias("y"), F.lit(SETTLED).alias("kind"), F.lit(0).cast("long").alias("bits"))
+    marks = settled.union(found)
     schema = T.StructType([T.StructField("_row", held.schema["_row"].dataType), *out_fields, *[T.StructField(text_col, T.StringType())] * keep_text])
     done = by_batch.cogroup(marks.groupBy("_batch")).applyInArrow(finish, schema)
     order = [c for c in docs.columns if c not in new and (keep_text or c != text_col)]

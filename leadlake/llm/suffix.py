@@ -1,16 +1,31 @@
-"""Substring dedup over bytes: strings of a given length that start again elsewhere."""
+"""Substring dedup over bytes with suffix arrays built by external induced sorting.
+
+A suffix array of one shard finds no match in another, so text is first routed: the anchor of a string is the least
+hashed gram in it, and strings whose anchor lies in one of a few ranges of offsets share a longer core around it. Equal
+strings have equal cores and go to one shard. Cores that occur once go nowhere; equal pieces (what the strings of a core
+cover) are counted, not sent again. Each shard concatenates its pieces, sorts the suffixes by external induction
+(``induction``), and a string is repeated where the common prefix with a neighbour reaches its length.
+"""
 
 from __future__ import annotations
 
+import os
+import tempfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from leadlake.llm.repeats import BATCH_BYTES, Occurrences, contexts, cut
-from leadlake.llm.words import BYTE_VALUES, Rolling, flat_bytes, per_text, runs, spin, spread
+from leadlake.llm.induction import CHUNK, suffix_order
+from leadlake.llm.repeats import BATCH_BYTES, BY_WINDOW, DENSE, OPEN, Occurrences, contexts, cut, pair
+from leadlake.llm.words import BYTE_VALUES, Rolling, flat_bytes, gather, per_text, runs, spin, spread
 
 SECOND = spin(BYTE_VALUES)
+BARRIER = 1  # between pieces; a byte b is the symbol b + 2, and 0 ends the shard
+
 
 def window_minimum(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` consecutive values, from running minima inside blocks of that width."""
@@ -26,9 +41,11 @@ def window_minimum(values: np.ndarray, width: int) -> np.ndarray:
 class LeastGram:
     """The anchor of a string of ``window`` bytes is the least hashed gram in it: equal strings have equal anchors."""
 
-    def __init__(self, window: int = 400):
+    def __init__(self, window: int = 400, memory_rows: int = 1 << 22):
         self.window = window
         self.gram = window // 2
+        self.reach = min(64, max(1, window // 8))  # strings of a part: one bit of a long each
+        self.memory_rows = memory_rows
 
     def occurrences(self, texts: pa.Array) -> Occurrences:
         raw, offsets = flat_bytes(texts)
@@ -36,7 +53,7 @@ class LeastGram:
         n = len(raw)
         if n < self.window:
             none = np.zeros(0, np.int64)
-            return Occurrences(none.view(np.uint64), none.view(np.uint64), none, none, rolling, self.window)
+            return Occurrences(none.view(np.uint64), none.view(np.uint64), none, none, rolling, self.window, none)
         grams = rolling[0].everywhere(self.gram)
         place = np.uint64((1 << int(n).bit_length()) - 1)
         least = window_minimum(grams & ~place | np.arange(len(grams), dtype=np.uint64), self.window - self.gram + 1)
@@ -50,7 +67,76 @@ class LeastGram:
         low, high = low[valid], high[valid]
         # Two texts' runs can only touch where a text ends, and there no string starts.
         at = anchor[low]
-        return Occurrences(grams[at], contexts(rolling[1], low, high, at, self.window), low, high, rolling, self.window)
+        return Occurrences(grams[at], contexts(rolling[1], low, high, at, self.window), low, high, rolling, self.window, at)
+
+    def parts(self, found: Occurrences, chosen: np.ndarray) -> Occurrences:
+        """The chosen occurrences by ranges of the anchor's offset in the string, each with its core as gram."""
+        at, low, high, reach = found.place[chosen], found.low[chosen], found.high[chosen], self.reach
+        first, last = (at - high) // reach, (at - low) // reach
+        times = last - first + 1
+        of = np.repeat(np.arange(len(at)), times)
+        block = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
+        start = at[of] - block * reach
+        low, high = np.maximum(low[of], start - reach + 1), np.minimum(high[of], start)
+        core = pair(found.rolling[0].at(start, self.window - reach + 1), block.astype(np.uint64))
+        return Occurrences(core, contexts(found.rolling[1], low, high, at[of], self.window), low, high, found.rolling, self.window)
+
+    def pieces(self, texts: pa.Array, found: Occurrences, chosen: np.ndarray) -> pa.Array:
+        """The bytes that the strings of the chosen parts cover."""
+        raw, _ = flat_bytes(texts)
+        starts, sizes = found.low[chosen], found.high[chosen] - found.low[chosen] + self.window
+        offsets = np.append(0, np.cumsum(sizes)).astype(np.int64)
+        data = gather(raw, starts, sizes)
+        return pa.Array.from_buffers(pa.large_binary(), len(chosen), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.binary())
+
+    def repeated(self, text: np.ndarray, folder: str) -> np.ndarray:
+        """At which positions of a shard a string starts that also starts elsewhere in it."""
+        flags = np.zeros(len(text), bool)
+        rows, above = suffix_order(text, 258, folder, self.memory_rows), 0
+        for start in range(0, len(rows), CHUNK):
+            at, lcp = rows[start : start + CHUNK].T
+            long = lcp >= self.window
+            flags[at[long]] = True
+            flags[np.append(above, at[:-1])[long]] = True
+            above = at[-1]
+        return flags
+
+    def sorter(self, scratch: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """Sorts one shard, a partition; its files lie in the shared folder, or where that is no mounted one, in Spark's own local folders."""
+        names = ["_batch", "x", "y", "kind", "bits"]
+
+        def marks(batch: np.ndarray, x: np.ndarray, y: np.ndarray, kind: int, bits: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(batch), pa.array(x), pa.array(y), pa.array(np.full(len(x), kind, np.int32)), pa.array(bits)], names=names)
+
+        def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            with tempfile.TemporaryDirectory(dir=scratch_folder(scratch)) as folder:
+                path, heads, length = Path(folder, "text"), [], 0
+                with path.open("wb") as out:
+                    for batch in batches:
+                        x, y, tag = (batch.column(k).to_numpy() for k in range(3))
+                        sent = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
+                        if not sent.all():
+                            yield marks(tag[~sent] >> 1, x[~sent], y[~sent], BY_WINDOW, np.zeros((~sent).sum(), np.int64))
+                        raw, offsets = flat_bytes(batch.column(3).filter(pa.array(sent)))
+                        if not len(raw):
+                            continue
+                        symbols = np.insert(raw.astype(np.uint16) + 2, offsets[1:], BARRIER).astype(np.uint16)
+                        symbols.tofile(out)
+                        place = length + offsets[:-1] + np.arange(len(offsets) - 1)
+                        heads.append(np.stack([tag[sent], x[sent], y[sent], place, np.diff(offsets)]))
+                        length += len(symbols)
+                    np.zeros(1, np.uint16).tofile(out)
+                if heads:
+                    tag, x, y, place, size = np.concatenate(heads, axis=1)
+                    again = self.repeated(np.memmap(path, np.uint16, "r"), folder)
+                    bits = np.zeros(len(tag), np.uint64)
+                    for k in range(self.reach):
+                        starts = k <= size - self.window
+                        bits[starts] |= again[place[starts] + k].astype(np.uint64) << np.uint64(k)
+                    asked = (tag % 2 == 0) & (bits > 0)
+                    yield marks(tag[asked] >> 1, x[asked], y[asked], OPEN, bits[asked].view(np.int64))
+
+        return sort
 
     def finish(self, texts: pa.Array, repeated: np.ndarray) -> list[pa.Array]:
         raw, offsets = flat_bytes(texts)
@@ -64,15 +150,26 @@ class LeastGram:
         return [pa.array(np.diff(offsets), pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()), kept]
 
 
+def scratch_folder(shared: str) -> str:
+    """A folder for a task's own files; a task that is run again starts with new ones."""
+    scheme, _, path = shared.rpartition(":")
+    if scheme not in ("", "file"):
+        path = os.environ.get("SPARK_LOCAL_DIRS", tempfile.gettempdir()).split(",")[0]
+    path = "/" + path.lstrip("/")
+    os.makedirs(path, exist_ok=True)
+    return path
+
+
 FIELDS = [T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())]
 
 
-def dedup_bytes(docs: DataFrame, text_col: str = "text", window: int = 400, batch_bytes: int = BATCH_BYTES, keep_text: bool = True) -> DataFrame:
+def dedup_bytes(docs: DataFrame, text_col: str = "text", window: int = 400, batch_bytes: int = BATCH_BYTES, keep_text: bool = True, memory_rows: int = 1 << 22, dense: int = DENSE) -> DataFrame:
     """``docs`` (without the text unless ``keep_text``) plus n_bytes, n_removed, n_spans (maximal removed runs) and kept (binary), replacing columns of those names.
 
     Every UTF-8 byte covered by a string of ``window`` bytes that also starts anywhere else, the same text included, is
     removed; strings never cross texts and are judged on the input. A null text is empty; shorter texts lose nothing;
     repeated rows remove each other's strings and stay as rows; extra columns pass through; an empty table gives an empty
-    table. ``kept`` may cut inside a character and is therefore binary.
+    table. ``kept`` may cut inside a character and is therefore binary. A shard keeps up to ``memory_rows`` queue rows in
+    memory; a core with more than ``dense`` different pieces is compared string by string, by 128-bit hashes.
     """
-    return cut(docs, text_col, LeastGram(window), FIELDS, batch_bytes, keep_text)
+    return cut(docs, text_col, LeastGram(window, memory_rows), FIELDS, batch_bytes, keep_text, dense)

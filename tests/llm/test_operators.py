@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import struct
 from pathlib import Path
@@ -10,7 +11,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from leadlake.llm import bpe, forest, graph, mixing, quality, simhash, substring, suffix, tokencount, urlfilter, warc
+from leadlake.llm import bpe, forest, graph, induction, mixing, quality, simhash, substring, suffix, tokencount, urlfilter, warc
 from tests.llm import brute
 
 RANKS, MODEL = P.path("byte_bpe_multi_50k.tiktoken"), P.path("piece_bpe_32k.model")
@@ -109,6 +110,36 @@ def test_short_windows(spark, window):
     assert [r.n_removed for r in rows] == [sum(h) for h in brute.repeated([r.text.encode() for r in rows], 2 * window)]
 
 
+def suffixes(text):
+    order = sorted(range(len(text) - 1), key=lambda i: text[i:])[::-1]
+    return [(b, 0 if k == 0 else len(os.path.commonprefix([text[order[k - 1] :], text[b:]]))) for k, b in enumerate(order)]
+
+
+@pytest.mark.parametrize("memory_rows", [10, 1 << 20])
+def test_induced_sorting(tmp_path, memory_rows):
+    rng = random.Random(memory_rows)
+    for symbols in [1, 2, 3, 30, 500] * 8:
+        text = [rng.randint(1, symbols) for _ in range(rng.randint(0, 200))]
+        text += text[: len(text) // 2] * rng.randint(0, 2) + [0]
+        rows = induction.suffix_order(np.array(text, np.uint16), max(text) + 1, str(tmp_path), memory_rows)
+        assert [tuple(r) for r in rows.tolist()] == suffixes(text)
+
+
+@pytest.mark.parametrize(("memory_rows", "dense"), [(1 << 22, 1 << 14), (50, 1 << 14), (50, 3)])
+def test_bytes_in_shards(spark, memory_rows, dense):
+    """Shared passages between different neighbours, in shards larger than memory and with cores too frequent for a shard."""
+    rng = random.Random(dense)
+    passage = "".join(rng.choices("abcdé ", k=90))
+    texts = ["".join(rng.choices("ab ", k=rng.randint(0, 30))) + passage[rng.randint(0, 20) : rng.randint(60, 90)] + "".join(rng.choices("ab ", k=rng.randint(0, 30))) for _ in range(60)]
+    data = spark.createDataFrame(list(enumerate([*texts, "a" * 300, "", None, *texts[:3]])), "doc_id long, text string")
+    rows = suffix.dedup_bytes(data, window=48, batch_bytes=500, memory_rows=memory_rows, dense=dense).collect()
+    raw = [(r.text or "").encode() for r in rows]
+    assert len(rows) == 66
+    for r, b, hit in zip(rows, raw, brute.repeated(raw, 48), strict=True):
+        assert (r.n_removed, bytes(r.kept)) == (sum(hit), bytes(x for x, h in zip(b, hit, strict=True) if not h))
+    assert 1000 < sum(r.n_removed for r in rows) < sum(map(len, raw))
+
+
 @pytest.mark.parametrize("hot", [1, 256])
 def test_simhash(docs, hot):
     rows = simhash.near_duplicates(simhash.add_fingerprints(docs.filter("doc_id is not null")), hot=hot).collect()
