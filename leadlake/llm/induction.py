@@ -6,44 +6,65 @@ string of names is sorted the same way first (by doubling once it fits memory).
 order, places the suffix one symbol before it. Queue rows are (symbol, position, common prefix with the row placed before
 it under the same symbol); the common prefix is one more than the least between the two suffixes that placed them.
 
-Text, names, queue bins and orders are files in a scratch folder. In memory are one open bin, rows up to
-``memory_rows`` not yet flushed, and arrays over the alphabet (symbols or names).
+Text, names, queue bins and orders are files in a scratch folder beyond ``memory_rows`` rows each. In memory are one open
+bin, the positions of minima with their names, one flag a position and arrays over the alphabet (symbols or names).
 """
 
 from __future__ import annotations
 
 import tempfile
 from collections import defaultdict
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
 
 CHUNK = 1 << 20
+Emit = Callable[[np.ndarray, np.ndarray], None]
 FAR = np.iinfo(np.int32).max
 
 
 class Run:
-    """A file of rows of 32-bit integers, appended to and then read as a mapped array."""
+    """Rows of 32-bit integers, appended to and then read as an array: a mapped file if they are over ``memory_rows``."""
 
-    def __init__(self, folder: str, width: int):
-        self.path, self.width, self.n = Path(tempfile.mkstemp(dir=folder)[1]), width, 0
-        self.file = self.path.open("wb")
+    def __init__(self, folder: str, width: int, memory_rows: int):
+        self.folder, self.width, self.memory_rows = folder, width, memory_rows
+        self.n, self.n_held, self.held, self.path = 0, 0, [], None
 
     def append(self, *columns: np.ndarray) -> None:
-        rows = np.stack(columns, axis=1).astype(np.int32)
-        rows.tofile(self.file)
-        self.n += len(rows)
+        self.held.append(np.stack(columns, axis=1).astype(np.int32))
+        self.n += len(self.held[-1])
+        self.n_held += len(self.held[-1])
+        if self.n_held > self.memory_rows:
+            self.flush()
+
+    def flush(self) -> None:
+        self.path = self.path or Path(tempfile.mkstemp(dir=self.folder)[1])
+        with self.path.open("ab") as file:
+            for rows in self.held:
+                rows.tofile(file)
+        self.held, self.n_held = [], 0
 
     def read(self) -> np.ndarray:
-        self.file.close()
-        return np.memmap(self.path, np.int32, "r", shape=(self.n, self.width)) if self.n else np.zeros((0, self.width), np.int32)
+        """All rows; the file goes with the array."""
+        if self.path is None:
+            return np.concatenate(self.held) if self.held else np.zeros((0, self.width), np.int32)
+        self.flush()
+        rows = np.asarray(np.memmap(self.path, np.int32, "r", shape=(self.n, self.width)))
+        self.path.unlink()
+        return rows
+
+
+def ordered(key: np.ndarray, below: int) -> np.ndarray:
+    """Stable order of keys; short ones are sorted by radix."""
+    return np.argsort(key.astype(np.uint16) if below <= 1 << 16 else key, kind="stable")
 
 
 class Queue:
     """Rows (key, position, common prefix) leave in order of key, then of arrival. Bins of neighbouring keys go to disk."""
 
     def __init__(self, folder: str, sigma: int, memory_rows: int):
-        self.folder, self.memory_rows = folder, memory_rows
+        self.folder, self.sigma, self.memory_rows = folder, sigma, memory_rows
         self.shift = max(0, int(sigma).bit_length() - 8)
         self.bins: dict[int, list[np.ndarray]] = defaultdict(list)
         self.files: dict[int, Run] = {}
@@ -60,7 +81,7 @@ class Queue:
         if self.held > self.memory_rows:
             for b, parts in self.bins.items():
                 if b not in self.files:
-                    self.files[b] = Run(self.folder, 3)
+                    self.files[b] = Run(self.folder, 3, 0)
                 self.files[b].append(*np.concatenate(parts).T)
             self.bins.clear()
             self.held = 0
@@ -69,11 +90,9 @@ class Queue:
         parts = self.bins.pop(b, [])
         self.held -= sum(map(len, parts))
         if b in self.files:
-            done = self.files.pop(b)
-            parts.insert(0, np.array(done.read()))
-            done.path.unlink()
+            parts.insert(0, self.files.pop(b).read())
         rows = np.concatenate(parts) if parts else np.zeros((0, 3), np.int32)
-        return rows[np.argsort(rows[:, 0], kind="stable")]
+        return rows[ordered(rows[:, 0], self.sigma)]
 
 
 def common(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -144,8 +163,25 @@ class Prefixes:
         self.now += 1
 
 
-def induce(text: np.ndarray, sigma: int, seeds: np.ndarray, down: bool, folder: str, memory_rows: int, carry: bool) -> tuple[Run, Run]:
-    """One scan over all suffixes, up or down: (suffixes placed, all suffixes scanned), rows (position, common prefix).
+class Backwards:
+    """Rows in reverse, each common prefix moved to the other row of its pair; read by slices."""
+
+    def __init__(self, rows: np.ndarray):
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        stop = len(self.rows) - part.start
+        start = max(0, len(self.rows) - part.stop)
+        after = self.rows[start + 1 : stop + 1, 1]
+        lcp = np.append(after, np.zeros(stop - start - len(after), np.int32))
+        return np.stack([self.rows[start:stop, 0], lcp], axis=1)[::-1]
+
+
+def induce(text: np.ndarray, sigma: int, seeds: np.ndarray | Backwards, down: bool, folder: str, memory_rows: int, carry: bool, emit: Emit) -> None:
+    """One scan over all suffixes: up, it emits those it places, down, all; as positions and common prefixes.
 
     ``seeds`` are the suffixes placed by the scan before, in the order of this one. Under one symbol the placed suffixes
     come before the seeds. A row is scanned together with those after it as long as none of them would come after a suffix
@@ -162,21 +198,23 @@ def induce(text: np.ndarray, sigma: int, seeds: np.ndarray, down: bool, folder:
         return 2 * key + seed, at.astype(np.int64), lcp.astype(np.int32), np.where(places, 2 * before, np.iinfo(np.int64).max)
 
     queue, prefixes = Queue(folder, sigma, memory_rows), Prefixes(sigma if carry else 1)
-    placed, scanned = Run(folder, 2), Run(folder, 2)
-    last_code, last_at, done = -2, 0, 0
+    last_code, last_at, done, used, chunk = -2, 0, 0, 0, np.zeros((0, 2), np.int32)
     for b in range(((sigma - 1) >> queue.shift) + 1):
         rows = queue.take(b)
         parts = [columns(rows[:, 0].astype(np.int64), rows[:, 1].astype(np.int64), rows[:, 2], 0)]
-        while done < len(seeds):  # this bin's seeds
-            chunk = np.array(seeds[done : done + CHUNK])
-            key = key_of(chunk[:, 0])
-            n = int(np.searchsorted(key, (b + 1) << queue.shift))
-            parts.append(columns(key[:n], chunk[:n, 0].astype(np.int64), chunk[:n, 1], 1))
-            done += n
-            if n < len(chunk):
+        while used < len(chunk) or done < len(seeds):  # this bin's seeds
+            if used == len(chunk):
+                chunk, used = np.array(seeds[done : done + CHUNK]), 0
+                done += len(chunk)
+                chunk_key = key_of(chunk[:, 0])
+            n = int(np.searchsorted(chunk_key[used:], (b + 1) << queue.shift))
+            part = chunk[used : used + n]
+            parts.append(columns(chunk_key[used : used + n], part[:, 0].astype(np.int64), part[:, 1], 1))
+            used += n
+            if used < len(chunk):
                 break
         pending = [np.concatenate(c) for c in zip(*parts, strict=True)]
-        order = np.argsort(pending[0], kind="stable")
+        order = ordered(pending[0] - (b << queue.shift + 1), 2 << queue.shift)
         pending = [c[order] for c in pending]
         look, at = 1 << 12, 0
         while at < len(pending[0]):
@@ -192,11 +230,10 @@ def induce(text: np.ndarray, sigma: int, seeds: np.ndarray, down: bool, folder:
                 seam = np.flatnonzero(same & (previous < code))
                 lcp[seam] = common(text, previous_at[seam], pos[seam])
             last_code, last_at = code[-1], pos[-1]
-            scanned.append(pos, lcp)
-            own = code & 1 == 0
-            placed.append(pos[own], lcp[own])
+            own = slice(None) if down else code & 1 == 0
+            emit(pos[own], lcp[own])
             source = np.flatnonzero(next_code < np.iinfo(np.int64).max)
-            source = source[np.argsort(next_code[source], kind="stable")]
+            source = source[ordered(next_code[source] >> 1, sigma)]
             key = next_code[source] >> 1
             value = prefixes.place(lcp, source, key) if carry and len(source) else np.zeros(len(source), np.int32)
             if carry:
@@ -209,23 +246,11 @@ def induce(text: np.ndarray, sigma: int, seeds: np.ndarray, down: bool, folder:
                 pending, at = [np.insert(c, where, x) for c, x in zip(left, new, strict=True)], 0
             if not here.all():
                 queue.push(np.stack([key[~here], pos[source[~here]] - 1, value[~here]], axis=1).astype(np.int32))
-    return placed, scanned
-
-
-def backwards(run: Run, folder: str) -> np.ndarray:
-    """Rows in reverse, each common prefix moved to the other row of its pair."""
-    rows, out = run.read(), Run(folder, 2)
-    for stop in range(len(rows), 0, -CHUNK):
-        start = max(0, stop - CHUNK)
-        at = rows[start:stop, 0][::-1]
-        lcp = np.append(rows[start + 1 : stop + 1, 1], 0)[: stop - start][::-1]
-        out.append(at, lcp)
-    return out.read()
 
 
-def minima(text: np.ndarray, folder: str) -> np.ndarray:
+def minima(text: np.ndarray, folder: str, memory_rows: int) -> np.ndarray:
     """Positions of suffixes smaller than the one before and than the one after, the last position included."""
-    n, out, rising, edge = len(text), [], True, n_last(text)
+    n, out, rising, edge = len(text), [], True, True  # the last suffix, the least of all, counts as smaller than what follows
     for stop in range(n - 1, 0, -CHUNK):
         start = max(0, stop - CHUNK)
         step = np.sign(np.diff(text[start : stop + 1].astype(np.int64)))  # of start..stop - 1 to the next
@@ -235,17 +260,12 @@ def minima(text: np.ndarray, folder: str) -> np.ndarray:
         types = np.append(up, edge)
         out.append(start + 1 + np.flatnonzero(types[1:] & ~types[:-1]))
         rising = edge = bool(up[0])
-    found = Run(folder, 1)
+    found = Run(folder, 1, memory_rows)
     for part in reversed(out):
         found.append(part)
     return found.read()[:, 0]
 
 
-def n_last(text: np.ndarray) -> bool:
-    """The last suffix, the least of all, counts as smaller than what follows."""
-    return len(text) > 0
-
-
 def doubled(names: np.ndarray) -> np.ndarray:
     """What ``suffix_order`` returns, for a string that fits memory: ranks of prefixes of doubling length."""
     rank, width = names.astype(np.int64), 1
@@ -265,24 +285,25 @@ def doubled(names: np.ndarray) -> np.ndarray:
     return np.stack([down, lcp], axis=1)
 
 
-def suffix_order(text: np.ndarray, sigma: int, folder: str, memory_rows: int = 1 << 22) -> np.ndarray:
-    """(position, common prefix with the row before) of all suffixes but the last, from the largest to the smallest.
+def suffix_order(text: np.ndarray, sigma: int, folder: str, emit: Emit, memory_rows: int = 1 << 22) -> None:
+    """Emits position and common prefix with the one before of all suffixes but the last, from the largest to the smallest.
 
     The last symbol must be 0 and the only 0.
     """
-    least = minima(text, folder)
+    text = np.asarray(text)
+    least = minima(text, folder, memory_rows)
     ends = np.append(least[1:], least[-1])
     # The order of the stretches between minima, from two scans started with the minima by their first symbol.
-    start = Run(folder, 2)
-    by_symbol = np.asarray(least)[np.argsort(text[least], kind="stable")]
-    start.append(by_symbol, np.zeros(len(by_symbol)))
-    falling, _ = induce(text, sigma, start.read(), False, folder, memory_rows, False)
-    _, every = induce(text, sigma, backwards(falling, folder), True, folder, memory_rows, False)
+    by_symbol = least[ordered(text[least], sigma)]
+    falling, every = Run(folder, 2, memory_rows), Run(folder, 2, memory_rows)
+    induce(text, sigma, np.stack([by_symbol, np.zeros_like(by_symbol)], axis=1), False, folder, memory_rows, False, falling.append)
+    induce(text, sigma, Backwards(falling.read()), True, folder, memory_rows, False, every.append)
     chosen = np.zeros(len(text), bool)
     chosen[least] = True
     rows = every.read()
     ranked = [rows[max(0, s - CHUNK) : s, 0][::-1] for s in range(len(rows), 0, -CHUNK)]
     ranked = np.concatenate([least[-1:], *(r[chosen[r]] for r in ranked)]).astype(np.int64)
+    del rows, every, falling
     index = np.searchsorted(least, ranked)
     size = (ends[index] - ranked).astype(np.int64)
     # Equal neighbours get one name.
@@ -300,18 +321,22 @@ def suffix_order(text: np.ndarray, sigma: int, folder: str, memory_rows: int = 1
         small = len(least) <= memory_rows
         names = np.empty(len(least), np.int32) if small else np.memmap(tempfile.mkstemp(dir=folder)[1], np.int32, "w+", shape=len(least))
         names[index] = name
-        deeper = doubled(names) if small else suffix_order(names, int(name[-1]) + 1, folder, memory_rows)
+        if small:
+            deeper = doubled(names)
+        else:
+            deeper = Run(folder, 2, memory_rows)
+            suffix_order(names, int(name[-1]) + 1, folder, deeper.append, memory_rows)
+            deeper = deeper.read()
         # Row i of the deeper order, downwards, carries the common prefix with the row above it.
         index = np.append(len(least) - 1, deeper[::-1, 0]).astype(np.int64)
         held = np.append([0, 0], deeper[::-1, 1][:-1]).astype(np.int64)
-    ranked = np.asarray(least)[index].astype(np.int64)
+    ranked = least[index].astype(np.int64)
     prefix = np.zeros(len(ranked), np.int64)
     if len(ranked) > 1:
         a, b = index[:-1], index[1:]
         h = held[1:] if equal.any() else 0
         prefix[1:] = least[b + h] - ranked[1:] + common(text, least[a + h].astype(np.int64), least[b + h].astype(np.int64))
-    seeds = Run(folder, 2)
-    seeds.append(ranked, prefix)
-    falling, _ = induce(text, sigma, seeds.read(), False, folder, memory_rows, True)
-    _, every = induce(text, sigma, backwards(falling, folder), True, folder, memory_rows, True)
-    return every.read()
+    seeds = np.stack([ranked, prefix], axis=1).astype(np.int32)
+    falling = Run(folder, 2, memory_rows)
+    induce(text, sigma, seeds, False, folder, memory_rows, True, falling.append)
+    induce(text, sigma, Backwards(falling.read()), True, folder, memory_rows, True, emit)

@@ -31,7 +31,7 @@ from leadlake.llm.session import bound_arrow_batches, fresh_path
 from leadlake.llm.words import Rolling
 
 BATCH_BYTES = 512 << 10
-SHARD_BYTES = 64 << 20
+SHARD_BYTES, MOST_SHARDS = 16 << 20, 20_000  # a shard gets the pieces of this much text, more of it beyond so many shards
 DENSE = 1 << 14
 BY_WINDOW, OPEN, PARTNER, SETTLED = range(4)
 MIX = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -204,7 +204,7 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
     if scheme.pieces is None:
         found = found.select(batch_of, "x", "y", F.lit(BY_WINDOW).alias("kind"), F.lit(0).cast("long").alias("bits"))
     else:
-        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / SHARD_BYTES))
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_SHARDS, math.ceil(total / SHARD_BYTES)))
         to_sort = F.col("piece").isNotNull()  # the others only pass, anywhere
         spread_by = F.when(to_sort, F.col("x")).otherwise(F.col("y")), F.when(to_sort, 0).otherwise(F.col("tag"))
         sort = scheme.sorter(fresh_path(spark, "suffixes"))

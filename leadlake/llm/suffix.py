@@ -12,14 +12,13 @@ from __future__ import annotations
 import os
 import tempfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from leadlake.llm.induction import CHUNK, suffix_order
+from leadlake.llm.induction import Run, suffix_order
 from leadlake.llm.repeats import BATCH_BYTES, BY_WINDOW, DENSE, OPEN, Occurrences, contexts, cut, pair
 from leadlake.llm.words import BYTE_VALUES, Rolling, flat_bytes, gather, per_text, runs, spin, spread
 
@@ -91,14 +90,16 @@ class LeastGram:
 
     def repeated(self, text: np.ndarray, folder: str) -> np.ndarray:
         """At which positions of a shard a string starts that also starts elsewhere in it."""
-        flags = np.zeros(len(text), bool)
-        rows, above = suffix_order(text, 258, folder, self.memory_rows), 0
-        for start in range(0, len(rows), CHUNK):
-            at, lcp = rows[start : start + CHUNK].T
-            long = lcp >= self.window
-            flags[at[long]] = True
-            flags[np.append(above, at[:-1])[long]] = True
-            above = at[-1]
+        flags, above = np.zeros(len(text), bool), [0]
+
+        def mark(at: np.ndarray, lcp: np.ndarray) -> None:
+            if len(at):
+                long = lcp >= self.window
+                flags[at[long]] = True
+                flags[np.append(above[0], at[:-1])[long]] = True
+                above[0] = at[-1]
+
+        suffix_order(text, 258, folder, mark, self.memory_rows)
         return flags
 
     def sorter(self, scratch: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -110,25 +111,24 @@ class LeastGram:
 
         def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             with tempfile.TemporaryDirectory(dir=scratch_folder(scratch)) as folder:
-                path, heads, length = Path(folder, "text"), [], 0
-                with path.open("wb") as out:
-                    for batch in batches:
-                        x, y, tag = (batch.column(k).to_numpy() for k in range(3))
-                        sent = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
-                        if not sent.all():
-                            yield marks(tag[~sent] >> 1, x[~sent], y[~sent], BY_WINDOW, np.zeros((~sent).sum(), np.int64))
-                        raw, offsets = flat_bytes(batch.column(3).filter(pa.array(sent)))
-                        if not len(raw):
-                            continue
-                        symbols = np.insert(raw.astype(np.uint16) + 2, offsets[1:], BARRIER).astype(np.uint16)
-                        symbols.tofile(out)
-                        place = length + offsets[:-1] + np.arange(len(offsets) - 1)
-                        heads.append(np.stack([tag[sent], x[sent], y[sent], place, np.diff(offsets)]))
-                        length += len(symbols)
-                    np.zeros(1, np.uint16).tofile(out)
+                text, heads, length = Run(folder, 1, self.memory_rows), [], 0
+                for batch in batches:
+                    x, y, tag = (batch.column(k).to_numpy() for k in range(3))
+                    sent = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
+                    if not sent.all():
+                        yield marks(tag[~sent] >> 1, x[~sent], y[~sent], BY_WINDOW, np.zeros((~sent).sum(), np.int64))
+                    raw, offsets = flat_bytes(batch.column(3).filter(pa.array(sent)))
+                    if not len(raw):
+                        continue
+                    symbols = np.insert(raw.astype(np.int32) + 2, offsets[1:], BARRIER)
+                    text.append(symbols)
+                    place = length + offsets[:-1] + np.arange(len(offsets) - 1)
+                    heads.append(np.stack([tag[sent], x[sent], y[sent], place, np.diff(offsets)]))
+                    length += len(symbols)
+                text.append(np.zeros(1, np.int32))
                 if heads:
                     tag, x, y, place, size = np.concatenate(heads, axis=1)
-                    again = self.repeated(np.memmap(path, np.uint16, "r"), folder)
+                    again = self.repeated(text.read()[:, 0], folder)
                     bits = np.zeros(len(tag), np.uint64)
                     for k in range(self.reach):
                         starts = k <= size - self.window
