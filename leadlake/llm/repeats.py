@@ -31,7 +31,7 @@ from leadlake.llm.session import bound_arrow_batches, fresh_path
 from leadlake.llm.words import Rolling
 
 BATCH_BYTES = 512 << 10
-SHARD_BYTES, MOST_SHARDS = 16 << 20, 20_000  # a shard gets the pieces of this much text, more of it beyond so many shards
+SHARD_BYTES, MOST_SHARDS = 4 << 20, 20_000  # a shard gets the pieces of so much text; beyond so many shards, of more, and uses its disk
 DENSE = 1 << 14
 BY_WINDOW, OPEN, PARTNER, SETTLED = range(4)
 MIX = np.uint64(0xC2B2AE3D27D4EB4F)
