@@ -191,6 +191,8 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
     twice = seen.withColumn("n", F.count("*").over(Window.partitionBy("gram"))).filter((F.col("n") > 1) | again).select("gram", batch_of)
     placed = by_batch.cogroup(twice.groupBy("_batch")).applyInArrow(matched, "gram long, context long, tag long")
     # One column for all that is asked of a context, so that every branch below shares the exchange: 0 seen once, 1 again, 2 again and first.
+    # No row is null; saying so keeps the join below from pushing a filter of its own under one branch's exchange.
+    placed = placed.filter(F.col("gram").isNotNull() & F.col("context").isNotNull())
     w = Window.partitionBy("gram", "context")
     whole = (F.count("*").over(w) > 1) | (F.min("tag").over(w) % 2 + F.max("tag").over(w) % 2 > 0)
     placed = placed.select("gram", "context", "tag", F.when(whole, F.when(F.min("tag").over(w) == F.col("tag"), 2).otherwise(1)).otherwise(0).alias("state"))
@@ -200,15 +202,18 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
     many = F.lit(True) if scheme.pieces is None else F.count("*").over(Window.partitionBy("gram")) > dense
     compare = compare.withColumn("kind", F.when(many, BY_WINDOW).when(F.col("state") == 0, OPEN).otherwise(PARTNER)).drop("state")
     tried = by_batch.cogroup(compare.groupBy("_batch")).applyInArrow(single, "x long, y long, tag long, piece binary")
-    found = tried.withColumn("n", F.count("*").over(Window.partitionBy("x", "y"))).filter((F.col("n") > 1) | F.col("piece").isNotNull() | again).drop("n")
     if scheme.pieces is None:
+        found = tried.withColumn("n", F.count("*").over(Window.partitionBy("x", "y"))).filter((F.col("n") > 1) | again)
         found = found.select(batch_of, "x", "y", F.lit(BY_WINDOW).alias("kind"), F.lit(0).cast("long").alias("bits"))
     else:
+        # One exchange serves both: windows are dealt by their hashes and counted where they land, pieces by their core.
         shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_SHARDS, math.ceil(total / SHARD_BYTES)))
-        to_sort = F.col("piece").isNotNull()  # the others only pass, anywhere
-        spread_by = F.when(to_sort, F.col("x")).otherwise(F.col("y")), F.when(to_sort, 0).otherwise(F.col("tag"))
+        to_sort = F.col("piece").isNotNull()
+        dealt = tried.withColumn("second", F.when(to_sort, 0).otherwise(F.col("y"))).repartition(shards, "x", "second")
+        each = Window.partitionBy("x", "second", F.when(to_sort, F.col("y")), F.when(to_sort, F.col("tag")))
+        found = dealt.withColumn("n", F.count("*").over(each)).filter((F.col("n") > 1) | to_sort | again).drop("n", "second")
         sort = scheme.sorter(fresh_path(spark, "suffixes"))
-        found = found.repartition(shards, *spread_by).mapInArrow(sort, "_batch long, x long, y long, kind int, bits long")
+        found = found.mapInArrow(sort, "_batch long, x long, y long, kind int, bits long")
     settled = placed.filter("state > 0").select(batch_of, F.col("gram").alias("x"), F.col("context").alias("y"), F.lit(SETTLED).alias("kind"), F.lit(0).cast("long").alias("bits"))
     marks = settled.union(found)
     schema = T.StructType([T.StructField("_row", held.schema["_row"].dataType), *out_fields, *[T.StructField(text_col, T.StringType())] * keep_text])
