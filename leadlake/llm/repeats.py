@@ -9,8 +9,6 @@ context (everything those windows cover). Equal windows always lie in occurrence
    if the scheme has ``pieces``, send what those windows cover to shards that sort its suffixes. A gram with more than
    ``DENSE`` different contexts is always compared window by window, so no gram grows a shard without bound.
 
-A scheme may split occurrences further (``parts``); steps 2 and 3 then work on the parts and their own, longer grams.
-
 Texts are dealt once into batches of bounded bytes by a hash of the row. Every batch sends each distinct value once, so
 a gram, context or window that half of the corpus shares is still at most one row per batch.
 """
@@ -34,6 +32,7 @@ BATCH_BYTES = 512 << 10
 SHARD_BYTES, MOST_SHARDS = 4 << 20, 20_000  # a shard gets the pieces of so much text; beyond so many shards, of more, and uses its disk
 DENSE = 1 << 14
 BY_WINDOW, OPEN, PARTNER, SETTLED = range(4)
+KINDS = 4  # OPEN + KINDS * k marks strings 64 * k to 64 * k + 63 of a piece
 MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -47,7 +46,6 @@ class Occurrences:
     high: np.ndarray
     rolling: tuple[Rolling, Rolling]
     length: int
-    place: np.ndarray | None = None  # of the anchor grams
 
     def some(self, chosen: np.ndarray) -> Occurrences:
         return Occurrences(self.gram[chosen], self.context[chosen], self.low[chosen], self.high[chosen], self.rolling, self.length)
@@ -138,7 +136,7 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
         if not left.num_rows or not right.num_rows:
             return rows(["gram", "context"], [np.zeros(0, np.uint64)] * 2, 0)
         found = scheme.occurrences(unpacked(left))
-        found = scheme.parts(found, member(found.gram, column(right, "gram")))
+        found = found.some(member(found.gram, column(right, "gram")))
         return rows(["gram", "context"], [found.gram, found.context], key[0].as_py())
 
     def single(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -147,7 +145,6 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
             return none.append_column("piece", pa.array([], pa.binary()))
         texts, batch = unpacked(left), key[0].as_py()
         found = scheme.occurrences(texts)
-        found = scheme.parts(found, np.ones(len(found.gram), bool))
         both, asked, kind = found.both(), pair(column(right, "gram"), column(right, "context")), right.column("kind").to_numpy()
         compared = rows(["x", "y"], list(found.windows(found.starts(member(both, asked[kind == BY_WINDOW])))), batch)
         compared = compared.append_column("piece", pa.nulls(compared.num_rows, pa.binary()))
@@ -166,20 +163,20 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
         found = scheme.occurrences(texts)
         repeated = np.zeros(0, np.int64)
         if right.num_rows:
-            found = scheme.parts(found, np.ones(len(found.gram), bool))
             marks, kind, both = pair(column(right, "x"), column(right, "y")), right.column("kind").to_numpy(), found.both()
             settled = member(both, marks[kind == SETTLED])
             repeated = found.starts(settled)
             if (kind == BY_WINDOW).any():
                 rest = np.setdiff1d(found.starts(~settled), repeated, assume_unique=True)
                 repeated = np.concatenate([repeated, rest[member(pair(*found.windows(rest)), marks[kind == BY_WINDOW])]])
-            if (kind == OPEN).any():
-                sorted_by = np.argsort(marks[kind == OPEN])
-                known, bits = marks[kind == OPEN][sorted_by], column(right, "bits")[kind == OPEN][sorted_by]
+            for block in np.unique(kind[kind % KINDS == OPEN]) // KINDS:
+                of_block = kind == OPEN + KINDS * block
+                sorted_by = np.argsort(marks[of_block])
+                known, bits = marks[of_block][sorted_by], column(right, "bits")[of_block][sorted_by]
                 part = np.flatnonzero(~settled & member(both, known))
                 bit = bits[np.searchsorted(known, both[part])][:, None] >> np.arange(64, dtype=np.uint64) & np.uint64(1)
                 of, offset = np.nonzero(bit)
-                repeated = np.union1d(repeated, found.low[part[of]] + offset)
+                repeated = np.union1d(repeated, found.low[part[of]] + 64 * block + offset)
         columns = scheme.finish(texts, repeated)
         if keep_text:
             columns.append(texts.cast(pa.large_string()).cast(pa.string()))
@@ -206,7 +203,7 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
         found = tried.withColumn("n", F.count("*").over(Window.partitionBy("x", "y"))).filter((F.col("n") > 1) | again)
         found = found.select(batch_of, "x", "y", F.lit(BY_WINDOW).alias("kind"), F.lit(0).cast("long").alias("bits"))
     else:
-        # One exchange serves both: windows are dealt by their hashes and counted where they land, pieces by their core.
+        # One exchange serves both: windows are dealt by their hashes and counted where they land, pieces by their anchor.
         shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_SHARDS, math.ceil(total / SHARD_BYTES)))
         to_sort = F.col("piece").isNotNull()
         dealt = tried.withColumn("second", F.when(to_sort, 0).otherwise(F.col("y"))).repartition(shards, "x", "second")

@@ -43,9 +43,6 @@ class DifferenceCover:
 
     pieces = None  # windows are compared by their hashes
 
-    def parts(self, found: Occurrences, chosen: np.ndarray) -> Occurrences:
-        return found.some(chosen)
-
     def finish(self, texts: pa.Array, repeated: np.ndarray) -> list[pa.Array]:
         w = Words(texts)
         removed = spread(repeated, repeated + self.window, len(w.starts))

@@ -1,10 +1,10 @@
 """Substring dedup over bytes with suffix arrays built by external induced sorting.
 
 A suffix array of one shard finds no match in another, so text is first routed: the anchor of a string is the least
-hashed gram in it, and strings whose anchor lies in one of a few ranges of offsets share a longer core around it. Equal
-strings have equal cores and go to one shard. Cores that occur once go nowhere; equal pieces (what the strings of a core
-cover) are counted, not sent again. Each shard concatenates its pieces, sorts the suffixes by external induction
-(``induction``), and a string is repeated where the common prefix with a neighbour reaches its length.
+hashed gram of half its length in it. Equal strings have equal anchors and go to one shard. Anchors that occur once go
+nowhere; equal pieces (what the strings of an anchor cover) are counted, not sent again. Each shard concatenates its
+pieces, sorts the suffixes by external induction (``induction``), and a string is repeated where the common prefix with a
+neighbour reaches its length.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from leadlake.llm.induction import Run, suffix_order
-from leadlake.llm.repeats import BATCH_BYTES, BY_WINDOW, DENSE, OPEN, Occurrences, contexts, cut, pair
+from leadlake.llm.repeats import BATCH_BYTES, BY_WINDOW, DENSE, KINDS, OPEN, Occurrences, contexts, cut
 from leadlake.llm.words import BYTE_VALUES, Rolling, flat_bytes, gather, per_text, runs, spin, spread
 
 SECOND = spin(BYTE_VALUES)
@@ -43,7 +43,7 @@ class LeastGram:
     def __init__(self, window: int = 400, memory_rows: int = 1 << 22):
         self.window = window
         self.gram = window // 2
-        self.reach = min(64, max(1, window // 8))  # strings of a part: one bit of a long each
+        self.offsets = window - self.gram + 1  # of the anchor in a string
         self.memory_rows = memory_rows
 
     def occurrences(self, texts: pa.Array) -> Occurrences:
@@ -52,7 +52,7 @@ class LeastGram:
         n = len(raw)
         if n < self.window:
             none = np.zeros(0, np.int64)
-            return Occurrences(none.view(np.uint64), none.view(np.uint64), none, none, rolling, self.window, none)
+            return Occurrences(none.view(np.uint64), none.view(np.uint64), none, none, rolling, self.window)
         grams = rolling[0].everywhere(self.gram)
         place = np.uint64((1 << int(n).bit_length()) - 1)
         least = window_minimum(grams & ~place | np.arange(len(grams), dtype=np.uint64), self.window - self.gram + 1)
@@ -66,22 +66,10 @@ class LeastGram:
         low, high = low[valid], high[valid]
         # Two texts' runs can only touch where a text ends, and there no string starts.
         at = anchor[low]
-        return Occurrences(grams[at], contexts(rolling[1], low, high, at, self.window), low, high, rolling, self.window, at)
-
-    def parts(self, found: Occurrences, chosen: np.ndarray) -> Occurrences:
-        """The chosen occurrences by ranges of the anchor's offset in the string, each with its core as gram."""
-        at, low, high, reach = found.place[chosen], found.low[chosen], found.high[chosen], self.reach
-        first, last = (at - high) // reach, (at - low) // reach
-        times = last - first + 1
-        of = np.repeat(np.arange(len(at)), times)
-        block = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
-        start = at[of] - block * reach
-        low, high = np.maximum(low[of], start - reach + 1), np.minimum(high[of], start)
-        core = pair(found.rolling[0].at(start, self.window - reach + 1), block.astype(np.uint64))
-        return Occurrences(core, contexts(found.rolling[1], low, high, at[of], self.window), low, high, found.rolling, self.window)
+        return Occurrences(grams[at], contexts(rolling[1], low, high, at, self.window), low, high, rolling, self.window)
 
     def pieces(self, texts: pa.Array, found: Occurrences, chosen: np.ndarray) -> pa.Array:
-        """The bytes that the strings of the chosen parts cover."""
+        """The bytes that the strings of the chosen occurrences cover."""
         raw, _ = flat_bytes(texts)
         starts, sizes = found.low[chosen], found.high[chosen] - found.low[chosen] + self.window
         offsets = np.append(0, np.cumsum(sizes)).astype(np.int64)
@@ -129,12 +117,13 @@ class LeastGram:
                 if heads:
                     tag, x, y, place, size = np.concatenate(heads, axis=1)
                     again = self.repeated(text.read()[:, 0], folder)
-                    bits = np.zeros(len(tag), np.uint64)
-                    for k in range(self.reach):
-                        starts = k <= size - self.window
-                        bits[starts] |= again[place[starts] + k].astype(np.uint64) << np.uint64(k)
-                    asked = (tag % 2 == 0) & (bits > 0)
-                    yield marks(tag[asked] >> 1, x[asked], y[asked], OPEN, bits[asked].view(np.int64))
+                    for first in range(0, self.offsets, 64):  # a row for every 64 strings of a piece, one bit each
+                        bits = np.zeros(len(tag), np.uint64)
+                        for k in range(first, min(first + 64, self.offsets)):
+                            starts = k <= size - self.window
+                            bits[starts] |= again[place[starts] + k].astype(np.uint64) << np.uint64(k - first)
+                        asked = (tag % 2 == 0) & (bits > 0)
+                        yield marks(tag[asked] >> 1, x[asked], y[asked], OPEN + KINDS * (first // 64), bits[asked].view(np.int64))
 
         return sort
 
@@ -170,6 +159,6 @@ def dedup_bytes(docs: DataFrame, text_col: str = "text", window: int = 400, batc
     removed; strings never cross texts and are judged on the input. A null text is empty; shorter texts lose nothing;
     repeated rows remove each other's strings and stay as rows; extra columns pass through; an empty table gives an empty
     table. ``kept`` may cut inside a character and is therefore binary. A shard keeps up to ``memory_rows`` queue rows in
-    memory; a core with more than ``dense`` different pieces is compared string by string, by 128-bit hashes.
+    memory; an anchor with more than ``dense`` different pieces is compared string by string, by 128-bit hashes.
     """
     return cut(docs, text_col, LeastGram(window, memory_rows), FIELDS, batch_bytes, keep_text, dense)
