@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import os
 import random
@@ -72,6 +73,27 @@ def test_quality_bands(spark):
     assert rows["prose"].kept and not rows["ramp"].kept and rows["ramp"].ratio < 0.08
 
 
+def test_quality_bands_decide(spark):
+    """Noise, encoded and templated texts that pass the base rule are rejected, prose of any script is not."""
+    rng = random.Random(7)
+    join = lambda word, n, sep=" ": sep.join(word() for _ in range(n))
+    base64_word = lambda: base64.b64encode(rng.randbytes(rng.randint(3, 9))).decode().strip("=")
+    lines = lambda n: "\n".join(base64.b64encode(rng.randbytes(57)).decode() for _ in range(n))
+    stock = ["".join(rng.choices("etaoinshrdlucmfwyp", range(18, 0, -1), k=rng.randint(2, 9))) for _ in range(2000)]
+    prose = lambda n: " ".join(rng.choices(stock, range(2000, 0, -1), k=n))
+    georgian = str.maketrans({c: chr(0x10D0 + i) for i, c in enumerate("etaoinshrdlucmfwyp")})
+    template = lambda n: "\n".join(f"Item {i * 7919 % 9973} costs {i * 31} dollars today" for i in range(n))
+    bad = [join(base64_word, n) for n in (56, 150, 400, 4000)] + [lines(n) for n in (52, 100, 2000)] + [template(n) for n in (60, 200, 3000)]
+    bad += [join(lambda: "".join(chr(rng.randint(33, 126)) for _ in range(7)), n) for n in (55, 200, 3000)]
+    bad += [join(lambda: "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(4)), n) for n in (60, 200, 3000)]
+    bad += [prose(3000) + "\n" + lines(110), prose(1500) + "\n" + template(250)]  # by the share of chunks
+    good = [t for n in (60, 120, 250, 600, 3000, 12_000) for x in [prose(n)] for t in (x, x.translate(georgian))]
+    good += [prose(3000) + "\n" + lines(30)]
+    rows = quality.quality(spark.createDataFrame(list(enumerate([*bad, *good])), "k long, text string")).orderBy("k").collect()
+    assert not any(r.base_failed for r in rows)
+    assert [r.kept for r in rows] == [False] * len(bad) + [True] * len(good)
+
+
 def test_token_counts(docs):
     p, _ = tokencount.load_processor(MODEL)
     for r in tokencount.count_tokens(docs, MODEL).collect():
