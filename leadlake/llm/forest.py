@@ -1,9 +1,10 @@
-"""Embedding near-dedup with a random-projection tree forest."""
+"""Embedding near-dedup with a random-projection tree forest; large groups of near copies are compared exactly."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,73 @@ LEAF_ROWS = 512
 #: Each side of a split also takes this share of the vectors just beyond it.
 SPILL = 0.05
 TREE_SHIFT = 20
+#: A group's two sides are cut into blocks of about this many bytes in double precision, 1,024 vectors at least.
+BLOCK_BYTES = 8 << 20
+
+
+@dataclass
+class Groups:
+    """Groups of near copies, too large for a leaf. The members of group g are the vectors at cosine >= ``least`` to its pivot
+    (the first such group is a vector's home); all that a member links with is at cosine >= ``wide`` to the pivot. Members
+    are dealt over ``across[g]`` blocks, the vectors in reach over ``down[g]``, and each block meets each."""
+
+    pivots: np.ndarray
+    cids: np.ndarray
+    least: float
+    across: np.ndarray
+    down: np.ndarray
+
+    @property
+    def wide(self) -> float:
+        angle = 2 * np.arccos(np.clip(self.least, -1, 1))
+        return np.cos(angle) - 1e-9 if angle < np.pi else -np.inf
+
+    def homes(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(home of each row or -1, whether row r is in reach of group g)."""
+        if not len(self.pivots):
+            return np.full(len(unit), -1), np.zeros((len(unit), 0), bool)
+        along = unit @ self.pivots.T
+        member = along >= self.least
+        return np.where(member.any(axis=1), member.argmax(axis=1), -1), along >= self.wide
+
+    def cells(self, cid: np.ndarray, home: np.ndarray, reach: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(row, group, block across, block down, side) in portions; side 0 are members, side 1 vectors in reach."""
+        member = np.flatnonzero(home >= 0)
+        for side, (row, group), times in ((0, (member, home[member]), self.down), (1, np.nonzero(reach), self.across)):
+            step = (1 << 18) // max(1, int(times[group].max(initial=1))) + 1
+            for i in range(0, len(row), step):
+                n = times[group[i : i + step]]
+                r, g = np.repeat(row[i : i + step], n), np.repeat(group[i : i + step], n)
+                every = np.arange(len(r)) - np.repeat(np.cumsum(n) - n, n)
+                yield (r, g, *((cid[r] % self.across[g], every) if side == 0 else (every, cid[r] % self.down[g])), np.full(len(r), side))
+
+
+def find_groups(unit: np.ndarray, cids: np.ndarray, least: float, leaf: int, total: int) -> Groups:
+    """Pivots are taken from the sample as long as one has over a quarter of a leaf of neighbours that no earlier pivot has."""
+    n, most = len(unit), max(8, leaf // 4)
+    single = unit.astype(np.float32)
+    near, count = np.zeros((n, (n + 7) // 8), np.uint8), np.zeros(n, np.int64)
+    for i in range(0, n, 256):
+        close = single[i : i + 256] @ single.T >= least
+        near[i : i + 256], count[i : i + 256] = np.packbits(close, axis=1), close.sum(axis=1)
+    free, found = np.ones(n, bool), []
+    while free.any():
+        pivot = int(np.where(free, count, -1).argmax())
+        if count[pivot] <= most:
+            break
+        taken = np.flatnonzero(free & np.unpackbits(near[pivot], count=n).astype(bool))
+        free[taken] = free[pivot] = False
+        for i in range(0, len(taken), 256):
+            count -= np.unpackbits(near[taken[i : i + 256]], axis=1, count=n).sum(axis=0, dtype=np.int64)
+        found.append(pivot)
+    one = np.ones(len(found), np.int64)
+    groups = Groups(unit[found], cids[found], least, one, one)
+    if found:
+        side = max(1024, BLOCK_BYTES // (8 * unit.shape[1]))
+        home, reach = groups.homes(unit)
+        blocks = lambda rows: np.maximum(1, -(-rows * total // (n * side)))
+        groups.across, groups.down = blocks(np.bincount(home[home >= 0], minlength=len(found))), blocks(reach.sum(axis=0))
+    return groups
 
 
 @dataclass
@@ -127,38 +195,82 @@ def compare_leaf(unit: np.ndarray, weights: np.ndarray, codes: list[np.ndarray],
     return linked, root
 
 
+def compare_cell(unit: np.ndarray, cid: np.ndarray, weights: np.ndarray, home: np.ndarray, side: np.ndarray, group: int, pivot: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(cid, links, pivot's cid) of a block of members against a block of vectors in reach.
+
+    A member counts all its links in its home; a vector without home counts its links with members here, those with others
+    in the forest. Whatever links with a member is connected to the pivot.
+    """
+    u, v = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    _, at_u, at_v = np.intersect1d(cid[u], cid[v], assume_unique=True, return_indices=True)
+    itself = np.full(len(u), -1)
+    itself[at_u] = at_v
+    other = np.flatnonzero(home[v] != group)
+    w, right = weights.astype(np.float64), unit[v].T
+    links, back, met = np.zeros(len(u)), np.zeros(len(other)), np.zeros(len(other), bool)
+    block = max(1, (1 << 22) // max(len(v), 1))
+    for i in range(0, len(u), block):
+        close = unit[u[i : i + block]] @ right >= least
+        own = itself[i : i + block]
+        close[np.flatnonzero(own >= 0), own[own >= 0]] = False
+        some = close[:, other].astype(np.float64)
+        links[i : i + block] = close.astype(np.float64) @ w[v]
+        back += w[u[i : i + block]] @ some
+        met |= some.any(axis=0)
+    back[home[v[other]] >= 0] = 0
+    ids = np.concatenate([cid[u], cid[v[other[met]]]])
+    return ids, np.concatenate([links, back[met]]).astype(np.int64), np.full(len(ids), pivot)
+
+
 def index_and_compare(classes: DataFrame, least: float, trees: int, leaf_rows: int, spill: float, sample_rows: int, seed: int) -> DataFrame:
     """(cid, links, root) for every vector and leaf; ``classes`` has cid, embedding and n of one vector length."""
     total = classes.count()
-    sample = classes.select("embedding").orderBy(F.xxhash64("embedding")).limit(sample_rows).toPandas()["embedding"].to_list()  # bounded by sample_rows
-    unit = unit_rows(np.array(sample, np.float64)) if sample else np.zeros((0, 1))
+    sample = classes.select("embedding", "cid").orderBy(F.xxhash64("embedding")).limit(sample_rows).toPandas()  # bounded by sample_rows
+    unit = unit_rows(np.array(sample["embedding"].to_list(), np.float64)) if len(sample) else np.zeros((0, 1))
     leaf = max(16, leaf_rows * len(sample) // max(total, 1))
-    forest = [fit_tree(unit, leaf, spill, seed + t) for t in range(trees)]
-    shared = classes.sparkSession.sparkContext.broadcast(forest)  # at most trees * sample_rows / leaf normals
+    groups = find_groups(unit, sample["cid"].to_numpy(np.int64), least, leaf, total)
+    rest = unit[groups.homes(unit)[0] < 0]
+    forest = [fit_tree(rest, leaf, spill, seed + t) for t in range(trees)]
+    shared = classes.sparkSession.sparkContext.broadcast((groups, forest))  # at most trees * sample_rows / leaf normals and 4 * sample_rows / leaf pivots
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups, forest = shared.value
         for batch in batches:
-            unit = unit_rows(matrix(batch.column(1))) if batch.num_rows else np.zeros((0, 1))
-            found = [(r, x + (t << TREE_SHIFT)) for t, tree in enumerate(shared.value) for r, x in [leaves_of(tree, unit)]]
-            row, code = np.concatenate([r for r, _ in found]), np.concatenate([x for _, x in found])
+            if not batch.num_rows:
+                continue
+            unit, cid = unit_rows(matrix(batch.column(1))), batch.column(0).to_numpy()
+            home, reach = groups.homes(unit)
+            free = np.flatnonzero(home < 0)
+            found = [(free[r], x + (t << TREE_SHIFT)) for t, tree in enumerate(forest if len(free) else []) for r, x in [leaves_of(tree, unit[free])]]
+            row, code = (np.concatenate([np.zeros(0, np.int64), *x]) for x in ([r for r, _ in found], [x for _, x in found]))
             order = np.lexsort((code, row))
             row, code = row[order], code[order].astype(np.int32)
             own = np.split(code, np.searchsorted(row, np.arange(1, batch.num_rows)))
             lists = pa.array(own, pa.list_(pa.int32()))
-            for i in range(0, len(row), 1 << 14):  # the vectors are copied, some thousands at a time
-                at = pa.array(row[i : i + (1 << 14)])
-                yield pa.record_batch([pa.array(code[i : i + (1 << 14)]), batch.column(0).take(at), batch.column(1).take(at), batch.column(2).take(at), lists.take(at)], names=["code", "cid", "embedding", "n", "codes"])
+            none = np.zeros(len(row), np.int32)
+            in_cells = ((r, -1 - g, a, d, s) for r, g, a, d, s in groups.cells(cid, home, reach))
+            for row, code, across, down, side in chain([(row, code, none, none, none)], in_cells):
+                for i in range(0, len(row), 1 << 14):  # the vectors are copied, some thousands at a time
+                    part = slice(i, i + (1 << 14))
+                    at = pa.array(row[part])
+                    keys = [pa.array(x[part].astype(np.int32)) for x in (code, across, down, side, home[row])]
+                    yield pa.record_batch([*keys, *(batch.column(k).take(at) for k in range(3)), lists.take(at)], names=["code", "across", "down", "side", "home", "cid", "embedding", "n", "codes"])
 
     def compare(table: pa.Table) -> pa.Table:
-        cid = table.column("cid").to_numpy()
-        codes = [np.asarray(x, np.int64) for x in table.column("codes").to_pylist()]
-        linked, root = compare_leaf(unit_rows(matrix(table.column("embedding"))), table.column("n").to_numpy(), codes, table.column("code")[0].as_py(), least)
-        some = (linked > 0) | (root != np.arange(len(root)))
-        return pa.table({"cid": cid[some], "links": linked[some], "root": cid[root[some]]})
+        cid, n, code = table.column("cid").to_numpy(), table.column("n").to_numpy(), table.column("code")[0].as_py()
+        unit = unit_rows(matrix(table.column("embedding")))
+        if code < 0:
+            cid, linked, root = compare_cell(unit, cid, n, table.column("home").to_numpy(), table.column("side").to_numpy(), -1 - code, shared.value[0].cids[-1 - code], least)
+        else:
+            codes = [np.asarray(x, np.int64) for x in table.column("codes").to_pylist()]
+            linked, root = compare_leaf(unit, n, codes, code, least)
+            root = cid[root]
+        some = (linked > 0) | (root != cid)
+        return pa.table({"cid": cid[some], "links": linked[some], "root": root[some]})
 
     kind = classes.schema["embedding"].dataType.simpleString()
-    placed = classes.select("cid", "embedding", "n").mapInArrow(place, f"code int, cid long, embedding {kind}, n long, codes array<int>")
-    return placed.groupBy("code").applyInArrow(compare, "cid long, links long, root long")
+    placed = classes.select("cid", "embedding", "n").mapInArrow(place, f"code int, across int, down int, side int, home int, cid long, embedding {kind}, n long, codes array<int>")
+    return placed.groupBy("code", "across", "down").applyInArrow(compare, "cid long, links long, root long")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, trees: int = TREES, leaf_rows: int = LEAF_ROWS, spill: float = SPILL, sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> DataFrame:
@@ -169,7 +281,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     counted as often as they occur. component_id is the least non-null id reachable by links, the own id included, and
     null where there is none. Extra columns pass through; an empty table gives an empty table.
 
-    Each tree splits recursively by random projections at the middle of a bounded sample, with an overlap of ``spill`` to
+    Large groups of near copies, found in a bounded sample, are compared with all in their reach, block by block and exactly;
+    the other vectors go to the trees. Each tree splits recursively by random projections at the middle of a bounded sample, with an overlap of ``spill`` to
     either side; all vectors are placed, and pairs are compared within leaves. Leaves return a count and one edge to a
     local root per vector, never the pairs.
     """

@@ -281,6 +281,30 @@ def test_forest(spark):
     assert all((found[i].n_links, found[i].component_id, found[i].kept) == (0, i, True) for i in range(5001, 5006))
 
 
+@pytest.mark.parametrize(("sample", "block"), [(20_000, 8 << 20), (1500, 0)])
+def test_forest_large_groups(spark, monkeypatch, sample, block):
+    """One group of distinct near copies with a third of the rows, looser and smaller ones, and links that leave the groups."""
+    monkeypatch.setattr(forest, "BLOCK_BYTES", block)
+    rng = np.random.default_rng(12)
+    centres = rng.standard_normal((4, 64))
+    near = [c + rng.standard_normal((n, 64)) * s for c, n, s in zip(centres, (2000, 400, 400, 600), (0.25, 0.33, 0.36, 0.1), strict=True)]
+    bridge = centres[0] + np.linspace(0, 1, 40)[:, None] * (centres[1] - centres[0])
+    vectors = np.concatenate([*near, bridge, rng.standard_normal((2600, 64))]).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(9000 + i, vectors[i].tolist()) for i in range(0, 4000, 50)]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    found = {r.vec_id: r for r in forest.near_duplicates(data, leaf_rows=100, sample_rows=sample).collect()}
+    unit = np.array([v for _, v in rows], float)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    close = unit @ unit.T >= 0.9
+    np.fill_diagonal(close, False)
+    true, ours = close.sum(axis=1), np.array([found[i].n_links for i, _ in rows])
+    assert (ours <= true).all() and ours.sum() >= 0.99 * true.sum()
+    assert (ours[:2000] == true[:2000]).all() and true[:2000].min() > 500
+    ids = [i for i, _ in rows]
+    ours, label = [found[i].component_id for i in ids], forest.local_roots(close)
+    assert sum(a == ids[b] for a, b in zip(ours, label, strict=True)) >= 0.99 * len(ids)
+
+
 def test_empty_tables(spark, docs):
     none = docs.filter("false")
     assert bpe.encode(none, RANKS, P.PATTERN).count() == 0
