@@ -15,7 +15,7 @@ HASHES = 6
 BITS_PER_KEY = 16
 #: Largest filter that is broadcast; beyond it candidate keys are joined with the filter's blocks by block number.
 BROADCAST_FILTER_BYTES = 64 << 20
-#: Longest rule path considered; the number of distinct path lengths is bounded by it.
+#: Rules are probed by at most so much of their path, then compared whole; the number of distinct probe lengths is bounded by it.
 MAX_RULE_PATH = 4096
 
 RULES_SCHEMA = "rule_host string, rule_path string, rule_verdict string"
@@ -67,7 +67,7 @@ def masks_of(key: Column) -> list[Column]:
 
 def bloom(rules: DataFrame, n_blocks: int) -> DataFrame:
     """block, w0..w7: the filter's blocks that have a bit set."""
-    key = key_of(F.col("rule_host"), F.col("rule_path"))
+    key = key_of(F.col("rule_host"), F.col("probe"))
     masked = rules.select(block_of(key, n_blocks).alias("block"), *(m.alias(f"w{i}") for i, m in enumerate(masks_of(key))))
     return masked.groupBy("block").agg(*(F.bit_or(f"w{i}").alias(f"w{i}") for i in range(BLOCK_BITS // WORD_BITS)))
 
@@ -81,15 +81,17 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     rules with the same host and path "block" outweighs "allow". A null url or one without :// has empty host and path
     and no rule. Repeated rows get a result each; extra columns pass through; an empty table gives an empty table.
 
-    Every page makes keys from its parent domains and its path prefixes of the lengths that rules have; the filter drops
-    nearly all keys without a rule on the spot, and only the rest meets the rules in an exact hash join.
+    Every page makes keys from its parent domains and its path prefixes of the lengths that rules have (of a path
+    over MAX_RULE_PATH its start); the filter drops nearly all keys without a rule on the spot, and only the rest meets the
+    rules in an exact hash join, which compares whole paths.
     """
     spark = pages.sparkSession
     new = ("host", "path", "rule", "verdict")
-    usable = rules.select("rule_host", "rule_path", "rule_verdict").dropna().filter((F.length("rule_path") <= MAX_RULE_PATH) & (F.col("rule_path").startswith("/") | (F.col("rule_path") == "")))
-    usable = materialise(usable.groupBy("rule_host", "rule_path").agg(F.max("rule_verdict").alias("rule_verdict")), "url-rules")
+    usable = rules.select("rule_host", "rule_path", "rule_verdict").dropna().filter(F.col("rule_path").startswith("/") | (F.col("rule_path") == ""))
+    usable = usable.groupBy("rule_host", "rule_path").agg(F.max("rule_verdict").alias("rule_verdict"))
+    usable = materialise(usable.withColumn("probe", F.substring("rule_path", 1, MAX_RULE_PATH)), "url-rules")
     n_rules = usable.count()
-    lengths = sorted(r[0] for r in usable.select(F.length("rule_path")).distinct().collect())  # at most MAX_RULE_PATH + 1
+    lengths = sorted(r[0] for r in usable.select(F.length("probe")).distinct().collect())  # at most MAX_RULE_PATH + 1
     n_blocks = max(1, math.ceil(n_rules * BITS_PER_KEY / BLOCK_BITS))
     blocks = materialise(bloom(usable, n_blocks), "url-bloom")
     if n_blocks * BLOCK_BITS // 8 <= BROADCAST_FILTER_BYTES:
@@ -107,7 +109,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     for i, m in enumerate(masks_of(key)):
         hit = hit & (F.coalesce(F.col(f"w{i}"), F.lit(0).cast("long")).bitwiseAND(m) == m)
     possible = probed.select("_row", "_host", "_path", "_id", F.when(F.col("_key").isNotNull() & hit, F.col("_key")).alias("_key"))
-    exact = possible.join(usable, (F.col("_key.h") == F.col("rule_host")) & (F.col("_key.p") == F.col("rule_path")), "left")
+    exact = possible.join(usable, (F.col("_key.h") == F.col("rule_host")) & (F.col("_key.p") == F.col("probe")) & F.startswith("_path", "rule_path"), "left")
     size = F.length("rule_host") + F.length("rule_path")
     best = F.max(F.when(F.col("rule_host").isNotNull(), F.struct(size.alias("n"), F.length("rule_host").alias("m"), F.concat("rule_host", "rule_path").alias("rule"), F.col("rule_verdict").alias("verdict"))))
     judged = exact.groupBy("_id").agg(F.first("_row").alias("_row"), F.first("_host").alias("host"), F.first("_path").alias("path"), best.alias("_best"))

@@ -234,6 +234,19 @@ def test_many_url_rules(spark):
         assert (r.rule, r.verdict) == max(fitting, key=lambda x: len(x[0]), default=(None, "allow"))
 
 
+def test_long_url_rules(spark):
+    """Rules with paths longer than a probe, several with one start, beside a short one."""
+    start = "/" + "x" * urlfilter.MAX_RULE_PATH
+    rules = [("a.org", "/", "allow"), ("a.org", start + "/p", "block"), ("a.org", start + "/p/q", "allow"), ("b.org", start, "block")]
+    urls = [f"http://{h}{p}" for h in ("a.org", "w.a.org", "b.org", "c.org") for p in ("/", start[:-1], start, start + "/p", start + "/pp", start + "/p/q/r")]
+    pages = spark.createDataFrame(list(enumerate([*urls, urls[3]])), "page_id long, url string")
+    rows = urlfilter.filter_urls(pages, spark.createDataFrame(rules, urlfilter.RULES_SCHEMA)).collect()
+    assert len(rows) == len(urls) + 1
+    for r in rows:
+        fitting = [(h + p, v) for h, p, v in rules if ("." + r.host).endswith("." + h) and r.path.startswith(p)]
+        assert (r.rule, r.verdict) == max(fitting, key=lambda x: len(x[0]), default=(None, "allow"))
+
+
 def test_warc(spark):
     nasty = "\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n"
     big = "".join(f"{i}\r\n" for i in range(30_000))
