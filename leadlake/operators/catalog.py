@@ -102,7 +102,7 @@ def replay(events: DataFrame, id_col: str, ts: Column, action: Column, transitio
 
 def duplicate_pairs(df: DataFrame, id_col: str, block: Sequence[str], name_col: str, most: int = 3) -> DataFrame:
     """Pairs of one block with the edit distance of their names, up to ``most``. Names are cut into most + 1 pieces: similar
-    names share a piece at nearly its place, so pairs are made inside (block, piece) only, not of a whole block. (PIP-20, PIP-21)"""
+    names share a piece at nearly its place, so pairs are made inside (block, piece) only, not of a whole block. (the name distance of PIP-20)"""
     n = most + 1
     size = lambda c: F.floor(F.length(c) / n)
     cuts = F.array(*(F.struct(F.lit(i).alias("i"), F.substring(F.col(name_col), (size(F.col(name_col)) * i + 1).cast("int"), (F.length(name_col) if i == n - 1 else size(F.col(name_col))).cast("int")).alias("piece")) for i in range(n)))
