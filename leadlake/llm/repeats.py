@@ -7,30 +7,32 @@ context (everything those windows cover). Equal windows always lie in occurrence
 2. an occurrence whose whole context occurs again settles all its windows: repeated;
 3. the rest, near the ends of matches, compare their windows one by one with those of the other contexts of the gram, or,
    if the scheme has ``pieces``, send what those windows cover to shards that sort its suffixes. A gram with more than
-   ``DENSE`` different contexts is always compared window by window, so no gram grows a shard without bound.
+   ``DENSE`` different contexts is split further, down to single windows, so no gram grows a shard without bound.
 
-Texts are dealt once into batches of bounded bytes by a hash of the row. Every batch sends each distinct value once, so
-a gram, context or window that half of the corpus shares is still at most one row per batch.
+Texts are dealt once into batches of bounded bytes by a hash of the row and, for rows that a task has several times, of
+their number. Every batch sends each distinct value once, so a gram, context or window that half of the corpus shares is
+still at most one row per batch, and these are counted by partial sums.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadlake.llm.session import bound_arrow_batches, fresh_path
+from leadlake.llm.session import bound_arrow_batches, fresh_path, materialise
 from leadlake.llm.words import Rolling
 
 BATCH_BYTES = 512 << 10
 SHARD_BYTES, MOST_SHARDS = 4 << 20, 20_000  # a shard gets the pieces of so much text; beyond so many shards, of more, and uses its disk
-DENSE = 1 << 14
+DENSE = 1 << 11  # different contexts of a gram, at most about as many bytes of pieces as a shard has
 BY_WINDOW, OPEN, PARTNER, SETTLED = range(4)
 KINDS = 4  # OPEN + KINDS * k marks strings 64 * k to 64 * k + 63 of a piece
 MIX = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -93,18 +95,24 @@ def rows(names: list[str], values: list[np.ndarray], batch: int) -> pa.Table:
     return pa.table([*(pa.array(v[first].view(np.int64)) for v in values), pa.array(tag, pa.int64())], names=[*names, "tag"])
 
 
-def packed_column(text: Column) -> Column:
-    """A text's UTF-8 bytes compressed, for one move of half the size; null stays null."""
+def packed_column(text: Column, row_hash: Column) -> Column:
+    """struct<packed, copy>: a text's UTF-8 bytes compressed, for one move of half the size (null stays null), and how many
+    rows of the same hash the task has had before: equal rows get numbers of their own, in whatever order they come."""
 
-    @F.arrow_udf("binary")
-    def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("struct<packed: binary, copy: int>")
+    def pack(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         import zstandard
 
-        compressor = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            yield pa.array([None if x is None else compressor.compress(x) for x in batch.cast(pa.binary()).to_pylist()], pa.binary())
+        compressor, times = zstandard.ZstdCompressor(level=3), Counter()
+        for text, hashes in batches:
+            packed = [None if x is None else compressor.compress(x) for x in text.cast(pa.binary()).to_pylist()]
+            copy = []
+            for h in hashes.to_pylist():
+                copy.append(times[h])
+                times[h] += 1
+            yield pa.StructArray.from_arrays([pa.array(packed, pa.binary()), pa.array(copy, pa.int32())], ["packed", "copy"])
 
-    return pack(text)
+    return pack(text, row_hash)
 
 
 def unpacked(table: pa.Table) -> pa.Array:
@@ -114,10 +122,18 @@ def unpacked(table: pa.Table) -> pa.Array:
     return pa.array([None if x is None else expand(x) for x in table.column("_packed").to_pylist()], pa.large_binary())
 
 
+def often(found: DataFrame, *keys: str) -> DataFrame:
+    """Keys that occur more than once, in several batches or again in one; summed up before the shuffle."""
+    times = F.sum(F.col("tag").bitwiseAND(F.lit(1)) + 1).alias("times")
+    return found.groupBy(*keys).agg(times).filter("times > 1").select(*keys)
+
+
 def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField], batch_bytes: int = BATCH_BYTES, keep_text: bool = True, dense: int = DENSE) -> DataFrame:
-    """``docs`` with the scheme's output columns; the work of the module's docstring in one query.
+    """``docs`` with the scheme's output columns; the work of the module's docstring.
 
-    The four passes over the texts share one exchange of them, compressed; only hashes move besides.
+    The passes over the texts share one exchange of them, compressed; only hashes and pieces move besides. Counts are
+    aggregates, summed before the shuffle and joined back, so AQE can split what one gram or window brings; what several
+    steps read is written to the shared folder once.
     """
     spark = docs.sparkSession
     bound_arrow_batches(spark)
@@ -127,11 +143,19 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n_batches = max(1, math.ceil(total / batch_bytes))
     row = F.struct(*(docs[f"`{c}`"] for c in kept), F.lit(0).alias("_"))
-    held = docs.select(row.alias("_row"), packed_column(text).alias("_packed"), F.pmod(F.xxhash64(row, text), F.lit(n_batches)).alias("_batch"))
+    hashed = docs.select(row.alias("_row"), text.alias("_text"), F.xxhash64(row, text).alias("_hash"))
+    packed = hashed.select("_row", "_hash", packed_column(F.col("_text"), F.col("_hash")).alias("_p"))
+    # Equal rows of a table without ids must not all meet in one batch.
+    batch = F.when(F.col("_p.copy") == 0, F.xxhash64("_hash", F.spark_partition_id())).otherwise(F.xxhash64("_hash", F.spark_partition_id(), "_p.copy"))
+    held = packed.select("_row", F.col("_p.packed").alias("_packed"), F.pmod(batch, F.lit(n_batches)).alias("_batch"))
 
     def grams(key: tuple, table: pa.Table) -> pa.Table:
         return rows(["gram"], [scheme.occurrences(unpacked(table)).gram], key[0].as_py())
 
+    def placed_all(key: tuple, table: pa.Table) -> pa.Table:
+        found = scheme.occurrences(unpacked(table))
+        return rows(["gram", "context"], [found.gram, found.context], key[0].as_py())
+
     def matched(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return rows(["gram", "context"], [np.zeros(0, np.uint64)] * 2, 0)
@@ -160,9 +184,9 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
 
     def finish(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         texts = unpacked(left)
-        found = scheme.occurrences(texts)
         repeated = np.zeros(0, np.int64)
         if right.num_rows:
+            found = scheme.occurrences(texts)
             marks, kind, both = pair(column(right, "x"), column(right, "y")), right.column("kind").to_numpy(), found.both()
             settled = member(both, marks[kind == SETTLED])
             repeated = found.starts(settled)
@@ -183,35 +207,32 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
         return pa.table([left.column("_row"), *columns], names=["_row", *new, *[text_col] * keep_text])
 
     by_batch = held.groupBy("_batch")
-    batch_of, again = F.shiftright("tag", 1).alias("_batch"), F.col("tag").bitwiseAND(F.lit(1)) == 1
-    seen = by_batch.applyInArrow(grams, "gram long, tag long")
-    twice = seen.withColumn("n", F.count("*").over(Window.partitionBy("gram"))).filter((F.col("n") > 1) | again).select("gram", batch_of)
-    placed = by_batch.cogroup(twice.groupBy("_batch")).applyInArrow(matched, "gram long, context long, tag long")
-    # One column for all that is asked of a context, so that every branch below shares the exchange: 0 seen once, 1 again, 2 again and first.
-    # No row is null; saying so keeps the join below from pushing a filter of its own under one branch's exchange.
-    placed = placed.filter(F.col("gram").isNotNull() & F.col("context").isNotNull())
-    w = Window.partitionBy("gram", "context")
-    whole = (F.count("*").over(w) > 1) | (F.min("tag").over(w) % 2 + F.max("tag").over(w) % 2 > 0)
-    placed = placed.select("gram", "context", "tag", F.when(whole, F.when(F.min("tag").over(w) == F.col("tag"), 2).otherwise(1)).otherwise(0).alias("state"))
-    open_grams = placed.filter("state = 0").groupBy(F.col("gram").alias("open_gram")).agg(F.lit(1).alias("_"))
-    partners = placed.filter("state = 2").join(open_grams, F.col("gram") == F.col("open_gram"), "left_semi")
-    compare = placed.filter("state = 0").union(partners).select("gram", "context", batch_of, "state")
-    many = F.lit(True) if scheme.pieces is None else F.count("*").over(Window.partitionBy("gram")) > dense
-    compare = compare.withColumn("kind", F.when(many, BY_WINDOW).when(F.col("state") == 0, OPEN).otherwise(PARTNER)).drop("state")
-    tried = by_batch.cogroup(compare.groupBy("_batch")).applyInArrow(single, "x long, y long, tag long, piece binary")
-    if scheme.pieces is None:
-        found = tried.withColumn("n", F.count("*").over(Window.partitionBy("x", "y"))).filter((F.col("n") > 1) | again)
-        found = found.select(batch_of, "x", "y", F.lit(BY_WINDOW).alias("kind"), F.lit(0).cast("long").alias("bits"))
+    batch_of, no_bits = F.shiftright("tag", 1).alias("_batch"), F.lit(0).cast("long").alias("bits")
+    if scheme.pieces is None:  # many occurrences: grams alone go first
+        seen = by_batch.applyInArrow(grams, "gram long, tag long")
+        twice = seen.join(materialise(often(seen, "gram"), "repeats-grams"), "gram", "left_semi").select("gram", batch_of)
+        placed = by_batch.cogroup(twice.groupBy("_batch")).applyInArrow(matched, "gram long, context long, tag long")
     else:
-        # One exchange serves both: windows are dealt by their hashes and counted where they land, pieces by their anchor.
+        seen = materialise(by_batch.applyInArrow(placed_all, "gram long, context long, tag long"), "repeats-seen")
+        placed = seen.join(materialise(often(seen, "gram"), "repeats-grams"), "gram", "left_semi")
+    placed = materialise(placed, "repeats-placed")
+    # A context that occurs again is settled; one of its rows is still a partner for the other contexts of its gram.
+    contexts = placed.groupBy("gram", "context").agg(F.sum(F.col("tag").bitwiseAND(F.lit(1)) + 1).alias("times"), F.min("tag").alias("tag"))
+    by_gram = contexts.groupBy(F.col("gram").alias("of_gram")).agg(F.count("*").alias("n"), F.count_if(F.col("times") == 1).alias("n_open"))
+    judged = materialise(contexts.join(by_gram, F.col("gram") == F.col("of_gram")).select("gram", "context", "tag", "times", "n", "n_open"), "repeats-contexts")
+    settled = placed.join(judged.filter("times > 1").select("gram", "context"), ["gram", "context"], "left_semi")
+    settled = settled.select(batch_of, F.col("gram").alias("x"), F.col("context").alias("y"), F.lit(SETTLED).alias("kind"), no_bits)
+    kind = F.when(F.lit(scheme.pieces is None) | (F.col("n") > dense), BY_WINDOW).when(F.col("times") == 1, OPEN).otherwise(PARTNER)
+    compare = judged.filter("n_open > 0").select("gram", "context", batch_of, kind.alias("kind"))
+    tried = materialise(by_batch.cogroup(compare.groupBy("_batch")).applyInArrow(single, "x long, y long, tag long, piece binary"), "repeats-compared")
+    windows = tried.filter("piece is null").select("x", "y", "tag")
+    found = windows.join(materialise(often(windows, "x", "y"), "repeats-windows"), ["x", "y"], "left_semi")
+    found = found.select(batch_of, "x", "y", F.lit(BY_WINDOW).alias("kind"), no_bits)
+    if scheme.pieces is not None:
         shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_SHARDS, math.ceil(total / SHARD_BYTES)))
-        to_sort = F.col("piece").isNotNull()
-        dealt = tried.withColumn("second", F.when(to_sort, 0).otherwise(F.col("y"))).repartition(shards, "x", "second")
-        each = Window.partitionBy("x", "second", F.when(to_sort, F.col("y")), F.when(to_sort, F.col("tag")))
-        found = dealt.withColumn("n", F.count("*").over(each)).filter((F.col("n") > 1) | to_sort | again).drop("n", "second")
         sort = scheme.sorter(fresh_path(spark, "suffixes"))
-        found = found.mapInArrow(sort, "_batch long, x long, y long, kind int, bits long")
-    settled = placed.filter("state > 0").select(batch_of, F.col("gram").alias("x"), F.col("context").alias("y"), F.lit(SETTLED).alias("kind"), F.lit(0).cast("long").alias("bits"))
+        pieces = tried.filter("piece is not null").repartition(shards, "x")
+        found = found.union(pieces.mapInArrow(sort, "_batch long, x long, y long, kind int, bits long"))
     marks = settled.union(found)
     schema = T.StructType([T.StructField("_row", held.schema["_row"].dataType), *out_fields, *[T.StructField(text_col, T.StringType())] * keep_text])
     done = by_batch.cogroup(marks.groupBy("_batch")).applyInArrow(finish, schema)

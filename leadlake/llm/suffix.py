@@ -18,11 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from leadlake.llm.induction import Run, suffix_order
-from leadlake.llm.repeats import BATCH_BYTES, BY_WINDOW, DENSE, KINDS, OPEN, Occurrences, contexts, cut
+from leadlake.llm.induction import Run, suffix_order, zeros
+from leadlake.llm.repeats import BATCH_BYTES, DENSE, KINDS, OPEN, Occurrences, contexts, cut
 from leadlake.llm.words import BYTE_VALUES, Rolling, flat_bytes, gather, per_text, runs, spin, spread
 
 SECOND = spin(BYTE_VALUES)
+#: Rows that a run, a queue and a chunk of a shard's sort hold in memory; a usual shard has several times as many.
+MEMORY_ROWS = 1 << 17
 BARRIER = 1  # between pieces; a byte b is the symbol b + 2, and 0 ends the shard
 
 
@@ -40,7 +42,7 @@ def window_minimum(values: np.ndarray, width: int) -> np.ndarray:
 class LeastGram:
     """The anchor of a string of ``window`` bytes is the least hashed gram in it: equal strings have equal anchors."""
 
-    def __init__(self, window: int = 400, memory_rows: int = 1 << 22):
+    def __init__(self, window: int = 400, memory_rows: int = MEMORY_ROWS):
         self.window = window
         self.gram = window // 2
         self.offsets = window - self.gram + 1  # of the anchor in a string
@@ -78,7 +80,7 @@ class LeastGram:
 
     def repeated(self, text: np.ndarray, folder: str) -> np.ndarray:
         """At which positions of a shard a string starts that also starts elsewhere in it."""
-        flags, above = np.zeros(len(text), bool), [0]
+        flags, above = zeros(len(text), bool, folder, self.memory_rows), [0]
 
         def mark(at: np.ndarray, lcp: np.ndarray) -> None:
             if len(at):
@@ -101,17 +103,14 @@ class LeastGram:
             with tempfile.TemporaryDirectory(dir=scratch_folder(scratch)) as folder:
                 text, heads, length = Run(folder, 1, self.memory_rows), [], 0
                 for batch in batches:
-                    x, y, tag = (batch.column(k).to_numpy() for k in range(3))
-                    sent = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
-                    if not sent.all():
-                        yield marks(tag[~sent] >> 1, x[~sent], y[~sent], BY_WINDOW, np.zeros((~sent).sum(), np.int64))
-                    raw, offsets = flat_bytes(batch.column(3).filter(pa.array(sent)))
-                    if not len(raw):
+                    if not batch.num_rows:
                         continue
+                    x, y, tag = (batch.column(k).to_numpy() for k in range(3))
+                    raw, offsets = flat_bytes(batch.column(3))
                     symbols = np.insert(raw.astype(np.int32) + 2, offsets[1:], BARRIER)
                     text.append(symbols)
                     place = length + offsets[:-1] + np.arange(len(offsets) - 1)
-                    heads.append(np.stack([tag[sent], x[sent], y[sent], place, np.diff(offsets)]))
+                    heads.append(np.stack([tag, x, y, place, np.diff(offsets)]))
                     length += len(symbols)
                 text.append(np.zeros(1, np.int32))
                 if heads:
@@ -152,7 +151,7 @@ def scratch_folder(shared: str) -> str:
 FIELDS = [T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())]
 
 
-def dedup_bytes(docs: DataFrame, text_col: str = "text", window: int = 400, batch_bytes: int = BATCH_BYTES, keep_text: bool = True, memory_rows: int = 1 << 22, dense: int = DENSE) -> DataFrame:
+def dedup_bytes(docs: DataFrame, text_col: str = "text", window: int = 400, batch_bytes: int = BATCH_BYTES, keep_text: bool = True, memory_rows: int = MEMORY_ROWS, dense: int = DENSE) -> DataFrame:
     """``docs`` (without the text unless ``keep_text``) plus n_bytes, n_removed, n_spans (maximal removed runs) and kept (binary), replacing columns of those names.
 
     Every UTF-8 byte covered by a string of ``window`` bytes that also starts anywhere else, the same text included, is

@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from leadlake.llm import bpe, forest, graph, induction, mixing, quality, simhash, substring, suffix, tokencount, urlfilter, warc
+from leadlake.llm import bpe, forest, graph, induction, mixing, quality, repeats, simhash, substring, suffix, tokencount, urlfilter, warc
 from tests.llm import brute
 
 RANKS, MODEL = P.path("byte_bpe_multi_50k.tiktoken"), P.path("piece_bpe_32k.model")
@@ -148,6 +148,29 @@ def test_induced_sorting(tmp_path, memory_rows):
         assert rows == suffixes(text)
 
 
+def test_usual_shard_uses_disk_and_recursion(tmp_path, monkeypatch):
+    """With default parameters the pieces of SHARD_BYTES of text go through files and recursive induction."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(99, 124, 300_000).astype(np.int32)
+    starts = rng.integers(0, len(base) - 500, int(0.22 * repeats.SHARD_BYTES / 500))
+    text = np.append(np.concatenate([np.append(base[s : s + 499], 1) for s in starts]), 0)
+    depth, spilled, doubled, inner, take, plain = [], [], [], induction.suffix_order, induction.Queue.take, induction.doubled
+    monkeypatch.setattr(induction, "suffix_order", lambda *a: (depth.append(len(a[0])), inner(*a)))
+    monkeypatch.setattr(induction, "doubled", lambda names: (doubled.append(len(names)), plain(names))[1])
+    monkeypatch.setattr(induction.Queue, "take", lambda self, b: (spilled.append(len(self.read)), take(self, b))[1])
+    again = suffix.LeastGram().repeated(text, str(tmp_path))
+    assert depth and max(doubled, default=0) <= suffix.MEMORY_ROWS and max(spilled) > 10 and not list(tmp_path.iterdir())
+    every = text.astype(np.uint8).tobytes()
+    for s in range(0, 20_000, 97):
+        window = every[s : s + 400]
+        assert again[s] == (b"\1" not in window and (every.find(window) != s or every.find(window, s + 1) >= 0))
+
+
+def test_positions_of_32_bits(tmp_path):
+    with pytest.raises(ValueError, match="too many"):
+        induction.suffix_order(np.lib.stride_tricks.as_strided(np.zeros(1, np.int32), (induction.MOST_SYMBOLS + 1,), (0,)), 258, str(tmp_path), lambda *_: None)
+
+
 @pytest.mark.parametrize(("memory_rows", "dense"), [(1 << 22, 1 << 14), (50, 1 << 14), (50, 3)])
 def test_bytes_in_shards(spark, memory_rows, dense):
     """Shared passages between different neighbours, in shards larger than memory and with cores too frequent for a shard."""
