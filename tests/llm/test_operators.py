@@ -218,6 +218,17 @@ def test_components(spark):
     assert found == {**{i: 1 for i in range(1, 61)}, 100: 100, 101: 100, 200: 100}
 
 
+def test_components_of_adversarial_paths(spark):
+    """Sorted, reversed, rotated and shuffled paths of 5,000 nodes, a star and its like: few rounds, no limit to run into."""
+    rng, n = random.Random(9), 5000
+    zigzag = [x for i in range(n // 2) for x in (i, n - 1 - i)]
+    paths = [list(range(n)), [*range(n)][::-1], [0, *range(n - 1, 0, -1)], zigzag, rng.sample(range(n), n)]
+    edges = [(k * n + a, k * n + b) for k, p in enumerate(paths) for a, b in zip(p, p[1:])]  # noqa: B905
+    edges += [(len(paths) * n + 77, len(paths) * n + i) for i in range(n) if i != 77]
+    found = graph.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(found) == n * (len(paths) + 1) and all(r.component == r.node // n * n for r in found)
+
+
 def test_mixing(spark, docs):
     rows = mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies", "source").collect()
     c = duckdb.connect()
