@@ -26,8 +26,8 @@ FAR = np.iinfo(np.int32).max
 NEVER = np.iinfo(np.int64).max
 #: Positions are 32-bit; a longer text is refused.
 MOST_SYMBOLS = (1 << 31) - 2
-#: Queue bins are at most this share of a text, so that one bin in memory is small and its keys seldom place each other.
-BIN_SHARE = 256
+#: Queue bins of several keys are at most this share of a text, so that its keys seldom place each other, but not smaller than that.
+BIN_SHARE, LEAST_BIN = 256, 1 << 14
 COMMON_BLOCK = 1 << 20
 
 
@@ -76,8 +76,8 @@ def ordered(key: np.ndarray, below: int) -> np.ndarray:
 
 def cut_bins(text: np.ndarray, sigma: int, folder: str, memory_rows: int) -> tuple[np.ndarray, np.ndarray]:
     """First keys of the queue bins of a scan up and of one down. A bin is one frequent key or neighbours that have at most
-    ``memory_rows`` rows together, and seldom more than a ``BIN_SHARE`` of the text."""
-    most = max(1, min(memory_rows, len(text) // BIN_SHARE))
+    ``memory_rows`` rows together."""
+    most = max(1, min(memory_rows, max(LEAST_BIN, len(text) // BIN_SHARE)))
     counts = zeros(sigma, np.int32, folder, memory_rows)
     for part in slices(len(text), memory_rows):
         symbols, times = np.unique(text[part], return_counts=True)
@@ -401,7 +401,7 @@ def by_first_symbol(text: np.ndarray, sigma: int, first: np.ndarray, least: np.n
     return out.read()
 
 
-def suffix_order(text: np.ndarray, sigma: int, folder: str, emit: Emit, memory_rows: int = 1 << 17) -> None:
+def suffix_order(text: np.ndarray, sigma: int, folder: str, emit: Emit, memory_rows: int = 1 << 18) -> None:
     """Emits position and common prefix with the one before of all suffixes but the last, from the largest to the smallest.
 
     The last symbol must be 0 and the only 0. A text of over ``MOST_SYMBOLS`` raises ValueError.

@@ -55,11 +55,15 @@ class Occurrences:
     def both(self) -> np.ndarray:
         return pair(self.gram, self.context)
 
-    def starts(self, chosen: np.ndarray) -> np.ndarray:
-        """Window starts of the chosen occurrences, each position once."""
+    def flags(self, chosen: np.ndarray) -> np.ndarray:
+        """For each position whether a window of a chosen occurrence starts there."""
         n = int(self.high.max(initial=-1)) + 2
         depth = np.bincount(self.low[chosen], minlength=n) - np.bincount(self.high[chosen] + 1, minlength=n)
-        return np.flatnonzero(np.cumsum(depth) > 0)
+        return np.cumsum(depth) > 0
+
+    def starts(self, chosen: np.ndarray) -> np.ndarray:
+        """Window starts of the chosen occurrences, each position once."""
+        return np.flatnonzero(self.flags(chosen))
 
     def windows(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return self.rolling[0].at(starts, self.length), self.rolling[1].at(starts, self.length)
@@ -189,18 +193,21 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
             found = scheme.occurrences(texts)
             marks, kind, both = pair(column(right, "x"), column(right, "y")), right.column("kind").to_numpy(), found.both()
             settled = member(both, marks[kind == SETTLED])
-            repeated = found.starts(settled)
+            flags = found.flags(settled)
             if (kind == BY_WINDOW).any():
-                rest = np.setdiff1d(found.starts(~settled), repeated, assume_unique=True)
-                repeated = np.concatenate([repeated, rest[member(pair(*found.windows(rest)), marks[kind == BY_WINDOW])]])
-            for block in np.unique(kind[kind % KINDS == OPEN]) // KINDS:
-                of_block = kind == OPEN + KINDS * block
-                sorted_by = np.argsort(marks[of_block])
-                known, bits = marks[of_block][sorted_by], column(right, "bits")[of_block][sorted_by]
-                part = np.flatnonzero(~settled & member(both, known))
-                bit = bits[np.searchsorted(known, both[part])][:, None] >> np.arange(64, dtype=np.uint64) & np.uint64(1)
-                of, offset = np.nonzero(bit)
-                repeated = np.union1d(repeated, found.low[part[of]] + 64 * block + offset)
+                rest = np.flatnonzero(found.flags(~settled) & ~flags)
+                flags[rest[member(pair(*found.windows(rest)), marks[kind == BY_WINDOW])]] = True
+            if (kind % KINDS == OPEN).any():
+                open_marks = kind % KINDS == OPEN
+                part = np.flatnonzero(~settled & member(both, marks[open_marks]))
+                part = part[np.argsort(both[part])]
+                known, block, bits = marks[open_marks], kind[open_marks] // KINDS, column(right, "bits")[open_marks]
+                first, last = (np.searchsorted(both[part], known, side) for side in ("left", "right"))  # equal ones only if a partner, whose marks are none
+                n = last - first
+                at, mark = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n), np.repeat(np.arange(len(known)), n)
+                row, offset = np.nonzero(np.unpackbits(bits[mark].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+                flags[found.low[part[at[row]]] + 64 * block[mark[row]] + offset] = True
+            repeated = np.flatnonzero(flags)
         columns = scheme.finish(texts, repeated)
         if keep_text:
             columns.append(texts.cast(pa.large_string()).cast(pa.string()))
@@ -229,7 +236,7 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
     found = windows.join(materialise(often(windows, "x", "y"), "repeats-windows"), ["x", "y"], "left_semi")
     found = found.select(batch_of, "x", "y", F.lit(BY_WINDOW).alias("kind"), no_bits)
     if scheme.pieces is not None:
-        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_SHARDS, math.ceil(total / SHARD_BYTES)))
+        shards = max(spark.sparkContext.defaultParallelism, min(MOST_SHARDS, math.ceil(total / SHARD_BYTES)))
         sort = scheme.sorter(fresh_path(spark, "suffixes"))
         pieces = tried.filter("piece is not null").repartition(shards, "x")
         found = found.union(pieces.mapInArrow(sort, "_batch long, x long, y long, kind int, bits long"))

@@ -45,7 +45,7 @@ class DifferenceCover:
 
     def finish(self, texts: pa.Array, repeated: np.ndarray) -> list[pa.Array]:
         w = Words(texts)
-        removed = spread(repeated, repeated + self.window, len(w.starts))
+        removed = spread(repeated, self.window, len(w.starts))
         left = np.flatnonzero(~removed)
         n_removed = per_text(removed, w.first)
         # The kept words, each after one blank but for the first of its text.

@@ -1,7 +1,7 @@
 """Substring dedup over bytes with suffix arrays built by external induced sorting.
 
 A suffix array of one shard finds no match in another, so text is first routed: the anchor of a string is the least
-hashed gram of half its length in it. Equal strings have equal anchors and go to one shard. Anchors that occur once go
+hashed gram of about two thirds of its length in it. Equal strings have equal anchors and go to one shard. Anchors that occur once go
 nowhere; equal pieces (what the strings of an anchor cover) are counted, not sent again. Each shard concatenates its
 pieces, sorts the suffixes by external induction (``induction``), and a string is repeated where the common prefix with a
 neighbour reaches its length.
@@ -24,7 +24,7 @@ from leadlake.llm.words import BYTE_VALUES, Rolling, flat_bytes, gather, per_tex
 
 SECOND = spin(BYTE_VALUES)
 #: Rows that a run, a queue and a chunk of a shard's sort hold in memory; a usual shard has several times as many.
-MEMORY_ROWS = 1 << 17
+MEMORY_ROWS = 1 << 18
 BARRIER = 1  # between pieces; a byte b is the symbol b + 2, and 0 ends the shard
 
 
@@ -44,7 +44,7 @@ class LeastGram:
 
     def __init__(self, window: int = 400, memory_rows: int = MEMORY_ROWS):
         self.window = window
-        self.gram = window // 2
+        self.gram = window * 13 // 20  # longer ones send less text that shares a gram but no string, shorter ones make longer pieces
         self.offsets = window - self.gram + 1  # of the anchor in a string
         self.memory_rows = memory_rows
 
@@ -128,7 +128,7 @@ class LeastGram:
 
     def finish(self, texts: pa.Array, repeated: np.ndarray) -> list[pa.Array]:
         raw, offsets = flat_bytes(texts)
-        removed = spread(repeated, repeated + self.window, len(raw))
+        removed = spread(repeated, self.window, len(raw))
         n_removed = per_text(removed, offsets)
         starts, _ = runs(removed, offsets)
         n_spans = np.bincount(np.searchsorted(offsets, starts, "right") - 1, minlength=len(offsets) - 1)

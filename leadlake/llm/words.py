@@ -96,10 +96,13 @@ def per_text(flags: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
-def spread(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
-    """True at each of n positions that some range starts[i]..ends[i] covers."""
-    depth = np.bincount(starts, minlength=n + 1)[: n + 1] - np.bincount(ends, minlength=n + 1)[: n + 1]
-    return np.cumsum(depth)[:n] > 0
+def spread(starts: np.ndarray, width: int, n: int) -> np.ndarray:
+    """True at each of n positions that one of the ranges of ``width`` from the ascending starts covers."""
+    out = np.zeros(n, bool)
+    cut = np.flatnonzero(np.diff(starts) > width) + 1  # ranges before and after don't touch
+    for a, b in zip(starts[np.append(0, cut)].tolist() if len(starts) else [], (starts[np.append(cut - 1, -1)] + width).tolist() if len(starts) else [], strict=True):
+        out[a:b] = True
+    return out
 
 
 BASE = 0x9E3779B97F4A7C15
