@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from leadlake.llm.graph import connected_components
 from leadlake.llm.session import bound_arrow_batches, materialise
+from leadlake.llm.words import spin
 
 #: The forest's splits are fitted on at most this many distinct vectors; every vector is indexed.
 SAMPLE_ROWS = 20_000
@@ -21,6 +23,10 @@ LEAF_ROWS = 512
 #: Each side of a split also takes this share of the vectors just beyond it.
 SPILL = 0.05
 TREE_SHIFT = 20
+#: Vectors that the splits of an oversize leaf are fitted on, about, and that are placed by them at once, about.
+SUB_SAMPLE, CHUNK_ROWS = 4096, 8192
+#: Comparisons held at once.
+CELLS = 1 << 22
 #: A group's two sides are cut into blocks of about this many bytes in double precision, 1,024 vectors at least.
 BLOCK_BYTES = 8 << 20
 
@@ -157,24 +163,34 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
 
 def local_roots(mask: np.ndarray) -> np.ndarray:
     """For each row of a symmetric relation, the least row reachable."""
-    label = np.arange(len(mask))
+    return packed_roots(np.packbits(mask, axis=1))
+
+
+def packed_roots(near: np.ndarray) -> np.ndarray:
+    """The same of a relation packed to bits, unpacked some rows at a time."""
+    n = len(near)
+    label, block = np.arange(n), max(1, CELLS // max(n, 1))
     while True:
-        near = np.minimum(label, np.where(mask, label[None, :], len(mask)).min(axis=1))
-        near = near[near]
-        if (near == label).all():
+        least = label.copy()
+        for i in range(0, n, block):
+            mask = np.unpackbits(near[i : i + block], axis=1, count=n).astype(bool)
+            least[i : i + block] = np.minimum(least[i : i + block], np.where(mask, label[None, :], n).min(axis=1))
+        least = least[least]
+        if (least == label).all():
             return label
-        label = near
+        label = least
 
 
 def compare_leaf(unit: np.ndarray, weights: np.ndarray, codes: list[np.ndarray], code: int, least: float) -> tuple[np.ndarray, np.ndarray]:
     """(links of each row that no leaf of a lower code has shown already, row number of each row's local root).
 
-    A vector keeps the codes of all leaves it is in; two vectors that meet in several leaves are counted in the first.
+    A vector keeps the codes of all leaves it is in; two vectors that meet in several leaves are counted in the first. All
+    but one bit a pair of linked rows is held for some rows at a time only.
     """
     n = len(unit)
     linked, root = np.zeros(n, np.int64), np.arange(n)
     near = np.zeros(n, bool)
-    block = max(1, (1 << 22) // n)
+    block = max(1, CELLS // n)
     for i in range(0, n, block):
         close = unit[i : i + block] @ unit.T >= least
         close[np.arange(len(close)), np.arange(i, i + len(close))] = False
@@ -182,16 +198,28 @@ def compare_leaf(unit: np.ndarray, weights: np.ndarray, codes: list[np.ndarray],
     rows = np.flatnonzero(near)
     if not len(rows):
         return linked, root
-    mask = unit[rows] @ unit[rows].T >= least
-    np.fill_diagonal(mask, False)
-    root[rows] = rows[local_roots(mask)]
+    u, m, w = unit[rows], len(rows), weights[rows].astype(np.float64)
+    block = max(1, CELLS // m)
+    bits = np.zeros((m, (m + 7) // 8), np.uint8)
+    for i in range(0, m, block):
+        close = u[i : i + block] @ u.T >= least
+        close[np.arange(len(close)), np.arange(i, i + len(close))] = False
+        bits[i : i + block] = np.packbits(close, axis=1)
+    root[rows] = rows[packed_roots(bits)]
     earlier = [c[c < code] for c in (codes[r] for r in rows)]
-    names, flat = np.unique(np.concatenate(earlier), return_inverse=True)
-    if len(names):
-        sets = np.zeros((len(rows), len(names)), np.float32)
-        sets[np.repeat(np.arange(len(rows)), [len(e) for e in earlier]), flat] = 1
-        mask &= sets @ sets.T == 0
-    linked[rows] = mask @ weights[rows]
+    names, flat, times = np.unique(np.concatenate(earlier), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(m), [len(e) for e in earlier])
+    owner, flat = owner[times[flat] > 1], flat[times[flat] > 1]  # a leaf of one row is shared with none
+    place = np.cumsum(times > 1) - 1
+    n_names, span = int((times > 1).sum()), max(1, CELLS // m)
+    for i in range(0, m, block):
+        mask = np.unpackbits(bits[i : i + block], axis=1, count=m).astype(bool)
+        for a in range(0, n_names, span):
+            here = (place[flat] >= a) & (place[flat] < a + span)
+            sets = np.zeros((m, min(span, n_names - a)), np.float32)
+            sets[owner[here], place[flat[here]] - a] = 1
+            mask &= sets[i : i + block] @ sets.T == 0
+        linked[rows[i : i + block]] = mask @ w
     return linked, root
 
 
@@ -222,6 +250,46 @@ def compare_cell(unit: np.ndarray, cid: np.ndarray, weights: np.ndarray, home: n
     return ids, np.concatenate([links, back[met]]).astype(np.int64), np.full(len(ids), pivot)
 
 
+def split_again(coarse: DataFrame, classes: DataFrame, leaf_rows: int, spill: float, seed: int) -> DataFrame:
+    """(cid, code): ``coarse`` with every leaf of over twice ``leaf_rows`` vectors split by a tree of its own, until none is left.
+
+    A leaf's tree is fitted on about ``SUB_SAMPLE`` of its vectors, drawn by hash, and its vectors are placed in chunks of
+    bounded size, so no leaf is ever held whole. A leaf that its tree doesn't divide stays as it is.
+    """
+    final, level = None, 0
+    while True:
+        level += 1
+        sizes = coarse.groupBy("code").agg(F.count("*").alias("rows"))
+        big = materialise(sizes.filter(F.col("rows") > 2 * leaf_rows), "forest-oversize")
+        if big.isEmpty():
+            return coarse if final is None else coarse.union(final)
+        inside = coarse.join(big, "code").join(classes.select("cid", "embedding"), "cid")
+        drawn = F.pmod(F.xxhash64("code", "cid", F.lit(level)), F.lit(1 << 30)) / F.lit(float(1 << 30)) < F.lit(float(SUB_SAMPLE)) / F.col("rows")
+
+        def fit(table: pa.Table) -> pa.Table:
+            code, rows = table.column("code")[0].as_py(), table.column("rows")[0].as_py()
+            tree = fit_tree(unit_rows(matrix(table.column("embedding"))), max(16, leaf_rows * table.num_rows // rows), spill, (seed + code) % (1 << 32))
+            blob = pickle.dumps(tree) if len(tree.normals) else None
+            return pa.table({"code": pa.array([code], pa.int64()), "tree": pa.array([blob], pa.binary())})
+
+        trees = materialise(inside.filter(drawn).select("code", "rows", "embedding").groupBy("code").applyInArrow(fit, "code long, tree binary"), "forest-subtrees")
+        chunks = F.ceil(F.col("rows") / CHUNK_ROWS)
+        left = inside.select("code", F.pmod(F.xxhash64("cid"), chunks).alias("chunk"), "cid", "embedding")
+        right = trees.filter("tree is not null").join(big, "code").select("code", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), "tree")
+
+        def place_again(key: tuple, vectors: pa.Table, tree: pa.Table) -> pa.Table:
+            if not vectors.num_rows or not tree.num_rows:
+                return pa.table({"cid": pa.array([], pa.int64()), "code": pa.array([], pa.int64())})
+            row, leaf = leaves_of(pickle.loads(tree.column("tree")[0].as_py()), unit_rows(matrix(vectors.column("embedding"))))
+            named = spin(np.uint64(key[0].as_py() % (1 << 64)) ^ spin(leaf.astype(np.uint64) + np.uint64(1)))
+            return pa.table({"cid": vectors.column("cid").to_numpy()[row], "code": named.view(np.int64)})
+
+        placed = left.groupBy("code", "chunk").cogroup(right.groupBy("code", "chunk")).applyInArrow(place_again, "cid long, code long")
+        whole = materialise(coarse.join(big, "code").join(trees.filter("tree is not null").select("code"), "code", "left_anti").select("cid", "code"), "forest-undivided")
+        final = whole if final is None else final.union(whole)
+        coarse = materialise(coarse.join(big, "code", "left_anti").select("cid", "code").union(placed), "forest-leaves")
+
+
 def index_and_compare(classes: DataFrame, least: float, trees: int, leaf_rows: int, spill: float, sample_rows: int, seed: int) -> DataFrame:
     """(cid, links, root) for every vector and leaf; ``classes`` has cid, embedding and n of one vector length."""
     total = classes.count()
@@ -233,8 +301,9 @@ def index_and_compare(classes: DataFrame, least: float, trees: int, leaf_rows: i
     forest = [fit_tree(rest, leaf, spill, seed + t) for t in range(trees)]
     shared = classes.sparkSession.sparkContext.broadcast((groups, forest))  # at most trees * sample_rows / leaf normals and 4 * sample_rows / leaf pivots
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Iterator[pa.RecordBatch], in_trees: bool = True) -> Iterator[pa.RecordBatch]:
         groups, forest = shared.value
+        forest = forest if in_trees else []
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -269,21 +338,51 @@ def index_and_compare(classes: DataFrame, least: float, trees: int, leaf_rows: i
         return pa.table({"cid": cid[some], "links": linked[some], "root": root[some]})
 
     kind = classes.schema["embedding"].dataType.simpleString()
-    placed = classes.select("cid", "embedding", "n").mapInArrow(place, f"code int, across int, down int, side int, home int, cid long, embedding {kind}, n long, codes array<int>")
-    return placed.groupBy("code", "across", "down").applyInArrow(compare, "cid long, links long, root long")
+    found = "cid long, links long, root long"
+    vectors = classes.select("cid", "embedding", "n")
+    if leaf_rows * len(sample) >= 16 * total:  # the sample can split down to usual leaves
+        placed = vectors.mapInArrow(place, f"code int, across int, down int, side int, home int, cid long, embedding {kind}, n long, codes array<int>")
+        return placed.groupBy("code", "across", "down").applyInArrow(compare, found)
+
+    def first_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups, forest = shared.value
+        for batch in batches:
+            if batch.num_rows:
+                unit, cid = unit_rows(matrix(batch.column(1))), batch.column(0).to_numpy()
+                free = np.flatnonzero(groups.homes(unit)[0] < 0)
+                for t, tree in enumerate(forest if len(free) else []):
+                    row, leaf = leaves_of(tree, unit[free])
+                    yield pa.record_batch([pa.array(cid[free[row]]), pa.array(leaf.astype(np.int64) + (t << TREE_SHIFT))], names=["cid", "code"])
+
+    def compare_final(table: pa.Table) -> pa.Table:
+        cid, n = table.column("cid").to_numpy(), table.column("n").to_numpy()
+        codes = [np.asarray(x, np.int64) for x in table.column("codes").to_pylist()]
+        linked, root = compare_leaf(unit_rows(matrix(table.column("embedding"))), n, codes, table.column("code")[0].as_py(), least)
+        some = (linked > 0) | (cid[root] != cid)
+        return pa.table({"cid": cid[some], "links": linked[some], "root": cid[root][some]})
+
+    cells_only = vectors.mapInArrow(lambda batches: place(batches, False), f"code int, across int, down int, side int, home int, cid long, embedding {kind}, n long, codes array<int>")
+    in_cells = cells_only.groupBy("code", "across", "down").applyInArrow(compare, found)
+    coarse = materialise(classes.select("cid", "embedding").mapInArrow(first_codes, "cid long, code long"), "forest-leaves")
+    final = split_again(coarse, classes, leaf_rows, spill, seed)
+    lists = final.groupBy("cid").agg(F.array_sort(F.collect_set("code")).alias("codes"))  # a vector's leaves, some in each tree
+    in_leaves = vectors.join(lists, "cid").select("cid", "embedding", "n", "codes", F.explode("codes").alias("code"))
+    return in_cells.union(in_leaves.groupBy("code").applyInArrow(compare_final, found))
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, trees: int = TREES, leaf_rows: int = LEAF_ROWS, spill: float = SPILL, sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> DataFrame:
     """``vectors`` plus n_links, component_id and kept (id = component_id), replacing columns of those names.
 
-    Vectors link at cosine >= ``least``, computed in double precision; only vectors of one length are compared. A null
+    Vectors link at cosine >= ``least``, computed in double precision; vectors of different lengths never link, and each length
+    has a forest of its own (a table of vectors has one or few). A null
     or zero vector or one with a null or non-finite component links with nothing. Equal vectors are compared once and
     counted as often as they occur. component_id is the least non-null id reachable by links, the own id included, and
     null where there is none. Extra columns pass through; an empty table gives an empty table.
 
     Large groups of near copies, found in a bounded sample, are compared with all in their reach, block by block and exactly;
     the other vectors go to the trees. Each tree splits recursively by random projections at the middle of a bounded sample, with an overlap of ``spill`` to
-    either side; all vectors are placed, and pairs are compared within leaves. Leaves return a count and one edge to a
+    either side; all vectors are placed, leaves that hold over twice ``leaf_rows`` because the sample could not split further
+    are split again by trees of their own, and pairs are compared within leaves. Leaves return a count and one edge to a
     local root per vector, never the pairs.
     """
     spark = vectors.sparkSession

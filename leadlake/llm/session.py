@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULT_SHARED_DIR = "/tmp/checkpoints"
 ARROW_BATCH_BYTES = 8 << 20
 
+_local: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; the default serves only single-machine tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SHARED_DIR
+    """``spark.checkpoint.dir``; where it is unset and all runs on one machine, a temporary folder of this application."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="leadlake-")
+    return _local[app]
 
 
 def fresh_path(spark: SparkSession, what: str) -> str:
@@ -45,5 +54,12 @@ def release(spark: SparkSession) -> None:
 
 
 def bound_arrow_batches(spark: SparkSession, n_bytes: int = ARROW_BATCH_BYTES) -> None:
-    """Cap Arrow batches by bytes, so that a run of long texts can't fill a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(n_bytes))
+    """Cap the session's Arrow batches by bytes, so that a run of long texts can't fill a Python worker.
+
+    The setting is read when a plan runs, so it is only ever lowered: no operator built later widens what an earlier one,
+    still to run, relies on.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, None)
+    if now is None or not now.isdigit() or int(now) > n_bytes or int(now) <= 0:
+        spark.conf.set(name, str(n_bytes))

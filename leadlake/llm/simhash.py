@@ -94,8 +94,11 @@ def links(prints: DataFrame, segments: int = 5, budget: int = 2, hot: int = HOT_
     the chain from i stays within its proportional budgets at every length, then if all bits do. A bucket of over ``hot``
     fingerprints would pair up quadratically: there every fingerprint is tied to itself and its 64 one-bit neighbours as
     meeting points. Two fingerprints share a meeting point exactly if they differ in at most 2 bits, so nothing is lost.
-    Meeting points are no fingerprints of the table unless they occur in it; callers drop the others.
+    Meeting points are no fingerprints of the table unless they occur in it; callers drop the others. A larger ``budget``
+    raises ValueError.
     """
+    if budget > 2:
+        raise ValueError("two fingerprints share a meeting point only within 2 bits")
     masks = segment_masks(segments)
     n_equal, allowed = ring(segments, budget)
     chain = lambda i, n: sum(masks[(i + k) % segments] for k in range(n))  # noqa: E731  disjoint bits: the sum is the union

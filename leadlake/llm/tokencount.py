@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from leadlake.llm.session import bound_arrow_batches
 
-#: Pieces handed to the library in one call hold about this many characters.
-CALL_CHARS = 1 << 18
+#: Pieces handed to the library in one call hold about this many bytes of UTF-8.
+CALL_BYTES = 1 << 18
 #: Texts longer than this many characters are cut at safe boundaries.
 SEGMENT_CHARS = 1 << 12
 #: One single blank between two word characters. The library puts the word-start mark in front of every piece it is
@@ -71,8 +71,8 @@ def count_batch(texts: list[str | None], model_file: str) -> np.ndarray:
         for part in pieces(text or "") if cut else [text or ""]:
             call.append(part)
             owner.append(i)
-            held += len(part)
-            if held >= CALL_CHARS:
+            held += len(part) if part.isascii() else len(part.encode())
+            if held >= CALL_BYTES:
                 flush()
                 held = 0
     if call:

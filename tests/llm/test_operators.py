@@ -352,6 +352,95 @@ def test_forest_large_groups(spark, monkeypatch, sample, block):
     assert sum(a == ids[b] for a, b in zip(ours, label, strict=True)) >= 0.99 * len(ids)
 
 
+def near_pairs(rng, n, dim, pairs):
+    """n vectors of which ``pairs`` pairs lie at cosines of 0.9 to 0.97, and the truth by brute force over blocks."""
+    vectors = rng.standard_normal((n, dim))
+    vectors[n - pairs :] = vectors[:pairs] + rng.standard_normal((pairs, dim)) * rng.uniform(0.2, 0.45, (pairs, 1))
+    vectors = vectors.astype(np.float32)
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1)[:, None]
+    true = np.concatenate([(unit[i : i + 1000] @ unit.T >= 0.9).sum(axis=1) - 1 for i in range(0, n, 1000)])
+    return vectors, true
+
+
+@pytest.mark.parametrize("n", [2000, 12_000])
+def test_forest_recall_with_default_parameters(spark, n):
+    vectors, true = near_pairs(np.random.default_rng(n), n, 64, n // 4)
+    data = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").repartition(4)
+    ours = np.array([r.n_links for r in forest.near_duplicates(data).orderBy("vec_id").collect()])
+    assert (ours <= true).all() and ours.sum() >= 0.95 * true.sum() and true.sum() > n // 8
+
+
+def test_forest_splits_oversize_leaves(spark, monkeypatch):
+    """A sample too small for usual leaves: their vectors are split again, in chunks, over several rounds."""
+    monkeypatch.setattr(forest, "SUB_SAMPLE", 100)
+    monkeypatch.setattr(forest, "CHUNK_ROWS", 150)
+    compared, inner = [], forest.split_again
+
+    def split(coarse, *rest):
+        out = inner(coarse, *rest)
+        compared.append((coarse.groupBy("code").count().agg(F.max("count")).first()[0], out.groupBy("code").count().agg(F.max("count")).first()[0]))
+        return out
+
+    monkeypatch.setattr(forest, "split_again", split)
+    rng = np.random.default_rng(77)
+    vectors, _ = near_pairs(rng, 6000, 32, 1500)
+    vectors[100:160] = vectors[100] + rng.standard_normal((60, 32)) * 0.1  # a group that no split should part
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1)[:, None]
+    close = unit @ unit.T >= 0.9
+    np.fill_diagonal(close, False)
+    true = close.sum(axis=1)
+    data = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").repartition(4)
+    rows = forest.near_duplicates(data, leaf_rows=60, sample_rows=200).orderBy("vec_id").collect()
+    ours = np.array([r.n_links for r in rows])
+    assert compared[0][0] > 300 and compared[0][1] <= 120
+    assert (ours <= true).all() and ours.sum() >= 0.9 * true.sum() and true.sum() > 3000
+    labels = forest.local_roots(close)
+    assert sum(r.component_id == x for r, x in zip(rows, labels, strict=True)) >= 0.97 * len(rows)
+
+
+def test_vectors_of_two_lengths(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.1]), (2, [1.0, 0.0, 0.0]), (3, [1.0, 0.0, 0.1])]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in forest.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    assert found == {0: (1, 0), 1: (1, 0), 2: (1, 2), 3: (1, 2)}
+
+
+def test_equal_rows_meet_in_several_batches(spark):
+    """A row that a table without ids has many times doesn't fill one batch."""
+    text = "".join(random.Random(5).choices("abcdef ", k=900))
+    rows = suffix.dedup_bytes(spark.createDataFrame([(text,)] * 300, "text string").repartition(3), batch_bytes=20_000).collect()
+    assert len(rows) == 300 and all(r.n_removed == 900 for r in rows)
+    held = substring.dedup_substrings(spark.createDataFrame([(text,)] * 300, "text string"), batch_bytes=20_000)
+    assert held.count() == 300
+
+
+def test_budget_over_two_is_refused(spark):
+    with pytest.raises(ValueError, match="2 bits"):
+        simhash.links(spark.createDataFrame([(1,)], "fp long"), budget=3)
+
+
+def test_rules_with_nulls_and_both_verdicts(spark):
+    rules = [(None, "/", "block"), ("a.org", None, "block"), ("a.org", "/", None), ("a.org", "/x", "allow"), ("a.org", "/x", "block"), ("b.org", "x", "block")]
+    pages = spark.createDataFrame([(0, "http://a.org/x/y"), (1, "http://a.org/z"), (2, "http://b.org/x")], "page_id long, url string")
+    found = {r.page_id: (r.rule, r.verdict) for r in urlfilter.filter_urls(pages, spark.createDataFrame(rules, urlfilter.RULES_SCHEMA)).collect()}
+    assert found == {0: ("a.org/x", "block"), 1: (None, "allow"), 2: (None, "allow")}
+
+
+def test_quality_against_plain_version(docs):
+    """ratio, chunks and kept, text by text."""
+    import zstandard
+
+    bands, press = quality.Bands(), zstandard.ZstdCompressor(level=3).compress
+    for r in quality.quality(docs).collect():
+        raw = (r.text or "").encode()
+        parts = [raw[i : i + bands.chunk] for i in range(0, len(raw), bands.chunk)] if len(raw) > bands.chunk else []
+        parts = [p for p in parts if 2 * len(p) >= bands.chunk]
+        bad = sum(not bands.chunk_band[0] <= len(press(p)) / len(p) <= bands.chunk_band[1] for p in parts)
+        ratio = len(press(raw)) / len(raw) if raw else None
+        low, high = next((a, b) for below, a, b in bands.whole if len(raw) < below)
+        good = ratio is not None and low <= ratio <= high and bad <= bands.chunk_share * len(parts)
+        assert (r.ratio, r.n_chunks, r.n_bad_chunks, r.kept) == (ratio, len(parts), bad, good and not r.base_failed)
+
+
 def test_empty_tables(spark, docs):
     none = docs.filter("false")
     assert bpe.encode(none, RANKS, P.PATTERN).count() == 0
