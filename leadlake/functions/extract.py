@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -90,27 +90,31 @@ def ages_and_grades(text: Column) -> Column:
     ranged = F.rlike(text, F.lit(R.GRADE_RANGE_PATTERN))
     single = F.filter(numbers(text, R.GRADE_SINGLE_PATTERN), lambda x: x.between(1, 12))
     grades = F.when(ranged, range_bounds(text, R.GRADE_RANGE_PATTERN, 1, 12)).otherwise(single)
-    phrase = F.when(F.rlike(text, F.lit(r"(?i)rising\s+senior|entering\s+(?:their\s+)?senior\s+year")), F.array(F.lit(12), F.lit(12)))
-    phrase = phrase.when(F.rlike(text, F.lit(r"(?i)entering\s+(?:their\s+)?junior\s+or\s+senior\s+year")), F.array(F.lit(11), F.lit(12))).when(F.rlike(text, F.lit(r"(?i)(?:9|9th).*(?:12|12th)\s*grade")), F.array(F.lit(9), F.lit(12)))
+    phrase = F.when(F.rlike(text, F.lit(R.SENIOR_PATTERN)), F.array(F.lit(12), F.lit(12)))
+    phrase = phrase.when(F.rlike(text, F.lit(R.JUNIOR_SENIOR_PATTERN)), F.array(F.lit(11), F.lit(12))).when(F.rlike(text, F.lit(R.NINE_TO_TWELVE_PATTERN)), F.array(F.lit(9), F.lit(12)))
     bounds = F.when(F.size(grades) > 0, grades).otherwise(phrase)
     known = F.struct(F.array_min(ages).alias("age_min"), F.array_max(ages).alias("age_max"), F.array_min(bounds).alias("grade_min"), F.array_max(bounds).alias("grade_max"))
     return F.when((F.size(ages) > 0) | bounds.isNotNull(), known)
 
 
 def emails(text: Column) -> Column:
-    return F.filter(F.regexp_extract_all(text, F.lit(R.EMAIL_PATTERN), F.lit(0)), lambda e: ~has_any(F.lower(e), R.JUNK_EMAIL_PARTS))
+    """Addresses without those of junk; a text without @ is not searched."""
+    found = F.when(F.contains(text, F.lit("@")), F.regexp_extract_all(text, F.lit(R.EMAIL_PATTERN), F.lit(0)))
+    return F.filter(found, lambda e: ~has_any(F.lower(e), R.JUNK_EMAIL_PARTS))
 
 
 def phones(text: Column) -> Column:
-    found = F.filter(F.regexp_extract_all(text, F.lit(R.PHONE_PATTERN), F.lit(0)), lambda p: F.length(F.regexp_replace(p, r"\D", "")).between(10, 15))
+    """Numbers of 10 to 15 digits; a text without three digits close together is not searched."""
+    tried = F.when(F.rlike(text, F.lit(r"\d[\s.\-()]*\d[\s.\-()]*\d")), F.regexp_extract_all(text, F.lit(R.PHONE_PATTERN), F.lit(0)))
+    found = F.filter(tried, lambda p: F.length(F.regexp_replace(p, r"\D", "")).between(10, 15))
     return F.transform(found, lambda x: F.trim(x))
 
 
 def contact(text: Column) -> Column:
     """struct<email, phone, status>: the first of each; found, partial or missing. (TXT-14)"""
-    email, phone = F.get(emails(text), F.lit(0)), F.get(phones(text), F.lit(0))
-    status = F.when(email.isNotNull() & phone.isNotNull(), "found").when(email.isNotNull() | phone.isNotNull(), "partial").otherwise("missing")
-    return F.struct(email.alias("email"), phone.alias("phone"), status.alias("status"))
+    both = F.array(F.struct(F.get(emails(text), F.lit(0)).alias("email"), F.get(phones(text), F.lit(0)).alias("phone")))
+    status = lambda x: F.when(x["email"].isNotNull() & x["phone"].isNotNull(), "found").when(x["email"].isNotNull() | x["phone"].isNotNull(), "partial").otherwise("missing")
+    return F.get(F.transform(both, lambda x: F.struct(x["email"].alias("email"), x["phone"].alias("phone"), status(x).alias("status"))), F.lit(0))  # each is searched once
 
 
 def valid_email(v: Column) -> Column:
@@ -129,8 +133,57 @@ def labelled_range(text: Column, label: str) -> Column:
     return F.struct(F.regexp_extract(text, pattern, 1).try_cast("int").alias("low"), F.regexp_extract(text, pattern, 2).try_cast("int").alias("high"))
 
 
-def candidate_id(country: Column, region: Column, city: Column, name: Column, venue: Column, host: Column) -> Column:
-    """Deterministic id; a pending venue takes the host along. (PIP-04, R7)"""
-    place = slug(F.coalesce(F.nullif(compact(venue), F.lit("")), F.lit("pending venue")))
-    base = slug(F.concat_ws("-", F.lit("cand"), country, region, F.coalesce(F.nullif(compact(city), F.lit("")), F.lit("unknown city")), name, place))
-    return F.when(place.isin("pending-venue", "unknown") & (host != ""), F.concat(base, F.lit("-"), slug(host))).otherwise(base)
+def candidate_id(country: Column, region: Column, city: Column, name: Column, venue: Column, host: Column, multi: Column) -> Column:
+    """Deterministic id; a row of many venues says so for its city and venue, a pending venue takes the host along. (PIP-04, R7)"""
+    known = lambda v, many, none: slug(F.coalesce(F.nullif(v, F.lit("")), F.when(multi, many).otherwise(none)))
+    place = known(venue, "multi site", "pending venue")
+    base = F.concat_ws("-", F.lit("cand"), country, region, known(city, "multi site", "unknown city"), name, place)
+    return slug(F.when(place.isin("pending-venue", "unknown") & (F.coalesce(host, F.lit("")) != ""), F.concat_ws("-", base, slug(host))).otherwise(base))
+
+
+def provisional(tags: Column) -> Column:
+    """struct<families, types, duration> that free tags name; the duration is that of the first tag with a week, else null. (TXT-04)"""
+    low = F.transform(F.coalesce(tags, F.array().cast("array<string>")), lambda t: F.lower(t))
+    known = lambda names: F.array_distinct(F.filter(low, lambda t: t.isin(*names)))
+    week = F.get(F.filter(low, lambda t: F.contains(t, F.lit("week"))), F.lit(0))
+    return F.struct(known(R.KNOWN_FAMILIES).alias("families"), known(R.KNOWN_TYPES).alias("types"), F.when(week.isNotNull(), duration(week)).alias("duration"))
+
+
+def overnight_signals(text: Column) -> Column:
+    """Distinct words of overnight stay, in lower case and sorted. (TXT-18)"""
+    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(R.OVERNIGHT_PATTERN), F.lit(0)), lambda x: F.lower(x))))
+
+
+def operator_type(operator: Column, name: Column) -> Column:
+    """(TXT-21)"""
+    both = F.lower(F.concat_ws(" ", operator, name))
+    return F.coalesce(*(F.when(has_any(both, words), F.lit(kind)) for kind, words in R.OPERATOR_TYPES), F.lit("organization"))
+
+
+def confidence(needs: Column, basis: Column, overnight: Column, active: Column) -> Column:
+    """(TXT-24)"""
+    low = F.array_contains(needs, "confirm_exact_venue") | (compact(basis) == "multi_venue_candidate")
+    return F.when(low, "low").when(overnight & active & (F.size(needs) <= 1), "high").when(overnight | active, "medium").otherwise("low")
+
+
+def meta_record(*texts: Column) -> Column:
+    """Whether a row speaks of a list of programs, not of one. (TXT-25)"""
+    return has_any(F.lower(F.concat_ws(" ", *texts)), R.META_PHRASES)
+
+
+def in_scope(overnight: Column, families: Column, types: Column, *texts: Column) -> Column:
+    """Strong signals that a row belongs to the catalog. (TXT-25, ARR-06)"""
+    empty = F.array().cast("array<string>")
+    shared = F.arrays_overlap(F.coalesce(types, empty), F.array(*map(F.lit, R.KNOWN_TYPES)))
+    return F.coalesce(overnight, F.lit(False)) | F.array_contains(F.coalesce(families, empty), "college-pre-college") | shared | has_any(F.lower(F.concat_ws(" ", *texts)), R.RESIDENTIAL_PHRASES)
+
+
+def renamed(code: Column, names: Mapping[str, str], default: Column | None = None) -> Column:
+    """A code's name in a small table; others get the default. (MAP-01, MAP-02)"""
+    found = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))[F.lower(compact(code))]
+    return found if default is None else F.coalesce(found, default)
+
+
+def label_of(pairs: Sequence[tuple[str, Sequence[str]]], lowered: Column) -> Column:
+    """The label of the first pair of which some phrase occurs, else null."""
+    return F.coalesce(*(F.when(has_any(lowered, words), F.lit(label)) for label, words in pairs))

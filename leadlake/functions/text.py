@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import unicodedata
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Letters that decompose to an ASCII letter, with what is left of them; letters without a decomposition vanish.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+
+
+def folded_letters() -> tuple[str, str]:
+    """Characters whose compatibility decomposition leaves one ASCII character, and what is left of them; others vanish."""
+    pairs = [(chr(c), unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode()) for c in range(0x80, 0x10000) if not 0xD800 <= c < 0xE000]
+    single = [(a, b) for a, b in pairs if len(b) == 1]
+    return "".join(a for a, _ in single), "".join(b for _, b in single)
+
+
+ACCENTED, PLAIN = folded_letters()
 
 
 def compact(v: Column) -> Column:
@@ -18,9 +27,24 @@ def compact(v: Column) -> Column:
 
 
 def ascii_fold(v: Column) -> Column:
+    """Letters without their accents; what has no ASCII form vanishes."""
     return F.regexp_replace(F.translate(v, ACCENTED, PLAIN), r"[^\x00-\x7F]", "")
 
 
+def ascii_nfkd(v: Column) -> Column:
+    """ASCII of the whole compatibility decomposition, also where a character leaves several, as ligatures do; null stays null. (UDF-03)
+
+    A pandas function; ``ascii_fold`` covers all characters that leave one and stays in the JVM.
+    """
+
+    @F.pandas_udf("string")
+    def fold(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            yield part.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode())
+
+    return fold(v)
+
+
 def slug(v: Column, empty: str = "unknown") -> Column:
     """Folded to ASCII, lower case, other characters as single dashes. (STR-02)"""
     dashed = F.regexp_replace(F.lower(ascii_fold(F.coalesce(v, F.lit("")))), r"[^a-z0-9]+", "-")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -87,3 +87,10 @@ def known_and_extra(tags: Column, known: Sequence[str], stop: Sequence[str] = ()
 def labels(*rules: tuple[Column, str]) -> Column:
     """Labels whose condition holds, in rule order. (ARR-05)"""
     return F.array_compact(F.array(*(F.when(condition, F.lit(label)) for condition, label in rules)))
+
+
+def patched(record: Column, values: Mapping[str, Column]) -> Column:
+    """A struct with fields replaced, also nested ones by dotted names. (STC-01)"""
+    for name, value in values.items():
+        record = record.withField(name, value)
+    return record

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadlake.functions import url as U
 from leadlake.operators.keyed import keep_last
+from leadlake.rules import BASIS_RANK
 
 
 def visible(excluded: Column) -> Column:
@@ -71,6 +74,22 @@ def long_report(*sections: tuple[str, DataFrame, str, str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def gap_report(df: DataFrame, k: int = 20) -> DataFrame:
+    """(section, key, value): what a catalog lacks. Counts per country, the k regions with the fewest rows, tags, statuses and
+    verdicts, and missing fields. ``df`` has country, region, triage_verdict, overnight_confirmed, is_excluded, draft_status,
+    families, website_url, pricing_min and pricing_max. (PIP-22, AGG-03 to AGG-06)"""
+    seen = visible(F.col("is_excluded"))
+    by_country = conditional_counts(df, ["country"], {"likely": F.col("triage_verdict") == "likely_camp", "overnight": F.col("overnight_confirmed"), "excluded": F.col("is_excluded")})
+    blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    missing = conditional_counts(df, [], {"no_url": blank("website_url"), "no_price": (F.col("triage_verdict") == "likely_camp") & F.col("pricing_min").isNull() & F.col("pricing_max").isNull() & seen})
+    named = counts_by(df.withColumn("verdict", F.coalesce("triage_verdict", F.lit("NULL (untriaged)"))), "verdict")
+    return long_report(
+        ("country", by_country, "country", "total"), ("likely", by_country, "country", "likely"), ("overnight", by_country, "country", "overnight"), ("excluded", by_country, "country", "excluded"),
+        ("fewest", smallest_groups(df.filter(seen), ["region"], k), "region", "n"), ("family", array_facet(df, F.col("families")), "value", "n"), ("draft_status", counts_by(df, "draft_status"), "draft_status", "n"), ("verdict", named, "verdict", "n"),
+        ("missing", missing.unpivot([], ["no_url", "no_price"], "field", "n"), "field", "n"),
+    )
+
+
 def compare(df: DataFrame, id_col: str, ids: Sequence, attributes: Sequence[str]) -> DataFrame:
     """One row per attribute, one column per record. (AGG-15)"""
     chosen = df.filter(F.col(id_col).isin(*ids)).select(F.col(id_col).alias("_id"), *(F.col(a).cast("string").alias(a) for a in attributes))
@@ -87,32 +106,193 @@ def moderated(catalog: DataFrame, decisions: DataFrame, key: str, order: Sequenc
 TRANSITIONS = {("draft", "submit"): "submitted", ("changes_requested", "submit"): "submitted", ("submitted", "approve"): "approved", ("submitted", "reject"): "rejected", ("submitted", "request_changes"): "changes_requested"}
 
 
-def replay(events: DataFrame, id_col: str, ts: Column, action: Column, transitions: Mapping[tuple[str, str], str] = TRANSITIONS, start: str = "draft") -> DataFrame:
-    """(id, state, applied, illegal) after all events of an item in order; an illegal event changes nothing. An item's history is short by nature. (PIP-18)"""
-    table = F.create_map(*(F.lit(x) for (a, b), c in transitions.items() for x in (f"{a}>{b}", c)))
-    history = events.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct(ts.alias("ts"), action.alias("action")))).alias("h"))
-    first = F.struct(F.lit(start).alias("state"), F.lit(0).alias("applied"), F.lit(0).alias("illegal"))
+def replay(events: DataFrame, id_col: str, order: Sequence[str], action: Column, transitions: Mapping[tuple[str, str], str] = TRANSITIONS, start: str = "draft") -> DataFrame:
+    """(id, state, applied, illegal) after all events of an item in order; an illegal event changes nothing, nulls neither. (PIP-18)
+
+    Rows are dealt by id and sorted; a task folds them batch by batch and holds one item's state at a time, however long
+    its history is.
+    """
+    kind = events.schema[id_col].dataType.simpleString()
+    dealt = events.select(F.col(id_col), action.alias("action"), *order).repartition(id_col).sortWithinPartitions(id_col, *order).select(id_col, "action")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        item, state, applied, illegal, started, done = None, start, 0, 0, False, []
+        for batch in batches:
+            for key, act in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if started and key != item:
+                    done.append((item, state, applied, illegal))
+                if not started or key != item:
+                    item, state, applied, illegal, started = key, start, 0, 0, True
+                to = transitions.get((state, act))
+                state, applied, illegal = (to, applied + 1, illegal) if to else (state, applied, illegal + 1)
+            yield table(done, batch.schema.field(0).type)
+            done = []
+        if started:
+            yield table([(item, state, applied, illegal)], batch.schema.field(0).type)
+
+    def table(rows: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) if rows else [()] * 4
+        return pa.record_batch([pa.array(c, t) for c, t in zip(columns, (key_type, pa.string(), pa.int32(), pa.int32()), strict=True)], names=[id_col, "state", "applied", "illegal"])
+
+    return dealt.mapInArrow(fold, f"`{id_col}` {kind}, state string, applied int, illegal int")
+
+
+def matching(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
+    """Rows whose value is one of ``allowed`` in any case; an empty list lets all pass. (FLT-06)"""
+    return df.filter(F.lower(F.trim(column)).isin(*(a.strip().lower() for a in allowed))) if allowed else df
+
+
+def lookup(df: DataFrame, key: str, value) -> DataFrame:
+    """(FLT-07)"""
+    return df.filter(F.col(key) == value)
+
+
+def work_set(df: DataFrame, verdict: str = "triage_verdict", excluded: str = "is_excluded", url: str = "website_url", done: Column | None = None, want: str | None = None) -> DataFrame:
+    """Rows to work on: not excluded, without a verdict or with the wanted one, not done, and with a URL where a verdict is wanted. (FLT-08)"""
+    judged = F.col(verdict).isNull() if want is None else (F.col(verdict) == want) & (F.coalesce(F.col(url), F.lit("")) != "")
+    return df.filter(visible(F.col(excluded)) & judged & (~F.coalesce(done, F.lit(False)) if done is not None else F.lit(True)))
+
+
+def lacking(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Rows with a null or blank required field, and missing, the list of these fields. (FLT-09)"""
+    blank = lambda c: F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == ""
+    return df.withColumn("missing", F.array_compact(F.array(*(F.when(blank(c), F.lit(c)) for c in required)))).filter(F.size("missing") > 0)
+
+
+def review_queue(df: DataFrame, status: str, ts: str, key: str, waiting: Sequence[str] = ("submitted", "under_review")) -> DataFrame:
+    """Rows that wait for a review, oldest first. (FLT-10, SRT-01)"""
+    return df.filter(F.col(status).isin(*waiting)).orderBy(F.col(ts).asc_nulls_first(), key)
+
+
+def owned(df: DataFrame, owner: str, of, **filters) -> DataFrame:
+    """An owner's rows, narrowed by those filters that have a value. (FLT-11)"""
+    return search(df, F.col(owner) == of, *(F.col(c) == v for c, v in filters.items() if v is not None))
+
+
+def pending_ids(df: DataFrame, key: str, checkpoint: DataFrame) -> DataFrame:
+    """Rows whose key is not in the checkpoint of done keys. (JON-04)"""
+    return df.join(checkpoint.select(key).distinct(), key, "left_anti")
+
+
+def favourites(marks: DataFrame, catalog: DataFrame, key: str, user: str, ts: str) -> DataFrame:
+    """A user's marked records with their catalog row, the newest first; a record that has gone drops out. (JON-10)"""
+    last = keep_last(marks, [user, key], [F.col(ts)])
+    return last.join(catalog, key, "inner").orderBy(user, F.col(ts).desc(), key)
+
+
+def detail(items: DataFrame, key: str, **children: DataFrame) -> DataFrame:
+    """Items with one array of structs per child table, empty without rows; children are grouped before the join, so they don't multiply. (JON-13, JSN-04)
+
+    A child's rows come sorted; an item's children are few, they make one nested record.
+    """
+    out = items
+    for name, child in children.items():
+        rows = child.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*(c for c in child.columns if c != key)))).alias(name))
+        out = out.join(rows, key, "left").withColumn(name, F.coalesce(name, F.array().cast(rows.schema[name].dataType)))
+    return out
+
+
+def counts_by(df: DataFrame, *keys: str, where: Column | None = None) -> DataFrame:
+    """(AGG-04)"""
+    return (df if where is None else df.filter(where)).groupBy(*keys).agg(F.count("*").alias("n"))
+
+
+def smallest_groups(df: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """The k groups with the fewest rows, ties by key. (SRT-05)"""
+    return counts_by(df, *keys).orderBy("n", *keys).limit(k)
+
+
+def top_facets(df: DataFrame, label: str, k: int | None = None) -> DataFrame:
+    """Labels by falling count, then by label. (SRT-06)"""
+    ordered = counts_by(df.filter(F.col(label).isNotNull()), label).orderBy(F.col("n").desc(), label)
+    return ordered if k is None else ordered.limit(k)
+
+
+def sample_rows(df: DataFrame, where: Column, key: str, k: int) -> DataFrame:
+    """The first k matching rows by key, the same in every run. (SRT-07)"""
+    return df.filter(where).orderBy(key).limit(k)
+
+
+def capture_order(activity: Column, basis: Column, one_week: Column, country: Column, region: Column, key: Column) -> list[Column]:
+    """(SRT-04)"""
+    rank = F.coalesce(F.create_map(*(F.lit(x) for kv in BASIS_RANK.items() for x in kv))[basis], F.lit(9))
+    return [F.when(activity == "active_recent", 0).otherwise(1), rank, F.when(one_week, 0).otherwise(1), F.coalesce(country, F.lit("")), F.coalesce(region, F.lit("")), F.coalesce(key, F.lit(""))]
+
+
+def duplicate_probe(new: DataFrame, catalog: DataFrame, key: str, url: str, name: str, block: Sequence[str], most: int = 3) -> DataFrame:
+    """(new_id, catalog_id, reason, distance): catalog rows that a new row may repeat, by id, by canonical URL, or by a name
+    within ``most`` edits in the same block. Pairs are asked for one by one by the new rows; each reason is an equi-join. (PIP-21)"""
+    a = new.select(F.col(key).alias("new_id"), U.canonical(F.col(url)).alias("_url"), F.col(name).alias("_name"), *block)
+    b = catalog.select(F.col(key).alias("catalog_id"), U.canonical(F.col(url)).alias("_url"), F.col(name).alias("_name"), *block)
+    none = F.lit(None).cast("int")
+    same = a.join(b.select("catalog_id"), F.col("new_id") == F.col("catalog_id")).select("new_id", "catalog_id", F.lit("id").alias("reason"), none.alias("distance"))
+    urls = a.filter("_url <> ''").join(b.select("catalog_id", "_url"), "_url").select("new_id", "catalog_id", F.lit("url").alias("reason"), none.alias("distance"))
+    near = similar_names(a, "new_id", b, "catalog_id", "_name", block, most)
+    return same.union(urls).union(near.select("new_id", "catalog_id", F.lit("name").alias("reason"), "distance"))
+
+
+def recommended(venue: Column, place: Column, url: Column, operator: Column, multi: Column) -> Column:
+    """What to do with a pair: split_needed, likely_duplicate, needs_human_review or keep_both. Venue counts before brand, place before text. (PIP-20)"""
+    return F.when(multi, "split_needed").when(venue & place, "likely_duplicate").when((url & place) | (venue & url) | (operator & url), "needs_human_review").otherwise("keep_both")
+
+
+def pair_features(pairs: DataFrame, records: DataFrame, key: str, operator: str, venue: str, place: Sequence[str], url: str, basis: str) -> DataFrame:
+    """``pairs`` (a_id, b_id) with what agrees between the two records and the recommended action. Empty parts never agree. (PIP-20)"""
+    parts = (operator, venue, *place, url, basis)
+    one = lambda side: records.select(F.col(key).alias(f"{side}_id"), *(F.col(c).alias(f"{side}_{c}") for c in dict.fromkeys(parts)))
+    both = pairs.join(one("a"), "a_id").join(one("b"), "b_id")
+    clean = lambda c: F.lower(F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))))
+    same = lambda c: (clean(f"a_{c}") == clean(f"b_{c}")) & (clean(f"a_{c}") != "")
+    at_place = F.lit(True)
+    for c in place:
+        at_place = at_place & same(c)
+    same_url = (U.canonical(F.col(f"a_{url}")) == U.canonical(F.col(f"b_{url}"))) & (clean(f"a_{url}") != "")
+    multi = F.coalesce((F.col(f"a_{basis}") == "multi_venue_candidate") | (F.col(f"b_{basis}") == "multi_venue_candidate"), F.lit(False))
+    marked = both.select(*pairs.columns, same(operator).alias("same_operator"), same(venue).alias("same_venue"), at_place.alias("same_place"), same_url.alias("same_url"), multi.alias("multi"))
+    return marked.withColumn("action", recommended(F.col("same_venue"), F.col("same_place"), F.col("same_url"), F.col("same_operator"), F.col("multi"))).drop("multi")
+
+
+def pieces_of(name: Column, most: int) -> Column:
+    """array<struct<i, piece, of>>: the name cut into most + 1 pieces of nearly equal length, with the name's length."""
+    n, size = most + 1, F.length(name)
+    cut = lambda i: F.floor(size * i / n).cast("int")
+    return F.array(*(F.struct(F.lit(i).alias("i"), F.substring(name, cut(i) + 1, cut(i + 1) - cut(i)).alias("piece"), size.alias("of")) for i in range(n)))
+
+
+def probes_of(name: Column, most: int) -> Column:
+    """array<struct<i, piece, of>>: what a name within ``most`` edits may have as its piece i, by its length and shift.
+
+    An edit script of k edits leaves one of most + 1 pieces untouched, moved by at most k; by the pigeonhole argument on
+    the left and right of piece i its shift lies between -i and i or within most - i of the difference in length.
+    """
+    n, size = most + 1, F.length(name)
+    of = F.sequence(F.greatest(F.lit(0), size - most), size + most)
+
+    def at(length: Column) -> Column:
+        cut = lambda i: F.floor(length * i / n).cast("int")
+        spans = F.flatten(F.array(*(F.transform(F.sequence(F.lit(-min(i, most)), F.lit(min(i, most))), lambda s, i=i: F.struct(F.lit(i).alias("i"), (cut(i) + s).alias("from"), (cut(i + 1) - cut(i)).alias("width"))) for i in range(n))))
+        inside = F.filter(spans, lambda x: (x["from"] >= 0) & (x["from"] + x["width"] <= size))
+        return F.transform(inside, lambda x: F.struct(x["i"].alias("i"), F.substring(name, x["from"] + 1, x["width"]).alias("piece"), length.alias("of")))
+
+    return F.array_distinct(F.flatten(F.transform(of, at)))
 
-    def step(acc: Column, e: Column) -> Column:
-        to = table[F.concat(acc["state"], F.lit(">"), e["action"])]
-        return F.struct(F.coalesce(to, acc["state"]).alias("state"), (acc["applied"] + to.isNotNull().cast("int")).alias("applied"), (acc["illegal"] + to.isNull().cast("int")).alias("illegal"))
 
-    return history.select(id_col, F.aggregate("h", first, step).alias("s")).select(id_col, "s.*")
+def similar_names(a: DataFrame, a_id: str, b: DataFrame, b_id: str, name: str, block: Sequence[str], most: int) -> DataFrame:
+    """(a_id, b_id, distance) of names within ``most`` edits in one block. Only names that share a piece at nearly its place
+    are compared; blocks must be fine enough (city, host) that a common piece is shared by few."""
+    left = a.select(F.col(a_id), F.col(name).alias("_a"), *block, F.inline(pieces_of(F.col(name), most)))
+    right = b.select(F.col(b_id), F.col(name).alias("_b"), *block, F.inline(probes_of(F.col(name), most)))
+    pairs = left.join(right, [*block, "i", "piece", "of"]).select(a_id, b_id, "_a", "_b").distinct()
+    return pairs.withColumn("distance", F.levenshtein("_a", "_b", most)).filter("distance >= 0").select(a_id, b_id, "distance")
 
 
 def duplicate_pairs(df: DataFrame, id_col: str, block: Sequence[str], name_col: str, most: int = 3) -> DataFrame:
-    """Pairs of one block with the edit distance of their names, up to ``most``. Names are cut into most + 1 pieces: similar
-    names share a piece at nearly its place, so pairs are made inside (block, piece) only, not of a whole block. (the name distance of PIP-20)"""
-    n = most + 1
-    size = lambda c: F.floor(F.length(c) / n)
-    cuts = F.array(*(F.struct(F.lit(i).alias("i"), F.substring(F.col(name_col), (size(F.col(name_col)) * i + 1).cast("int"), (F.length(name_col) if i == n - 1 else size(F.col(name_col))).cast("int")).alias("piece")) for i in range(n)))
-    left = df.select(F.col(id_col).alias("a_id"), F.col(name_col).alias("a_name"), *block, F.inline(cuts))
-    shifts = F.array(*(F.lit(k) for k in range(-most, most + 1)))
-    lengths = df.select(F.col(id_col).alias("b_id"), F.col(name_col).alias("b_name"), *block, F.explode(F.sequence(F.greatest(F.lit(0), F.length(name_col) - most), F.length(name_col) + most)).alias("of"))
-    at = lengths.select("b_id", "b_name", *block, F.col("of"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"), F.lit(0).alias("z")).withColumn("shift", F.explode(shifts))
-    own = F.floor(F.col("of") / n)
-    begin = own * F.col("i") + 1 + F.col("shift")
-    width = F.when(F.col("i") == n - 1, F.col("of") - own * (n - 1)).otherwise(own)
-    right = at.filter(begin >= 1).select("b_id", "b_name", *block, "i", F.substring(F.col("b_name"), begin.cast("int"), width.cast("int")).alias("piece"), F.col("of").cast("int").alias("a_length"))
-    joined = left.withColumn("a_length", F.length("a_name")).join(right.distinct(), [*block, "i", "piece", "a_length"]).filter("a_id < b_id")
-    return joined.select("a_id", "b_id", "a_name", "b_name").distinct().withColumn("distance", F.levenshtein("a_name", "b_name")).filter(F.col("distance") <= most)
+    """(a_id, b_id, distance) of rows of one block whose names lie within ``most`` edits, for review. (the name part of PIP-20)
+
+    Equal names of a block are one group: its rows pair with its least id only, and so do names that are near another
+    group's. So the output grows with the rows and the near names, not with the square of a group of copies.
+    """
+    heads = df.groupBy(*block, name_col).agg(F.min(id_col).alias("_head"))
+    near = similar_names(heads.withColumnRenamed("_head", "_x"), "_x", heads.withColumnRenamed("_head", "_y"), "_y", name_col, block, most).filter("_x < _y")
+    copies = df.join(heads, [*block, name_col]).filter(F.col(id_col) != F.col("_head")).select(F.col("_head").alias("a_id"), F.col(id_col).alias("b_id"), F.lit(0).alias("distance"))
+    return copies.union(near.select(F.col("_x").alias("a_id"), F.col("_y").alias("b_id"), "distance"))

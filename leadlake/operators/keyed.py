@@ -7,13 +7,21 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leadlake.functions.text import slug
 from leadlake.rules import STATUS_RANK
+from leadlake.scratch import materialise
 
 
 def names(df: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns]
 
 
+def computed(df: DataFrame, *columns: Column) -> DataFrame:
+    """``df`` with the given columns, computed once: they come out of a generator that yields the row, so Catalyst doesn't copy
+    their expressions into the filters and projections above. For wide projections that are read many times."""
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def keep_best(df: DataFrame, keys: Sequence[str], preference: Sequence[Column], union_col: str | None = None) -> DataFrame:
     """The row of each key with the least preference tuple; ``union_col`` becomes the sorted distinct values of all rows.
 
@@ -26,6 +34,13 @@ def keep_best(df: DataFrame, keys: Sequence[str], preference: Sequence[Column],
     return out.withColumn(union_col, F.col("_union")).drop("_union") if union_col else out
 
 
+def keep_best_named(df: DataFrame, url: str, key: str, name: str, preference: Sequence[Column]) -> DataFrame:
+    """The best row of each record, known by its URL without trailing slashes, else by its id, else by its name's slug. (WIN-04, R3)"""
+    plain = lambda c: F.nullif(F.lower(F.trim(F.coalesce(F.col(c), F.lit("")))), F.lit(""))
+    known = F.coalesce(F.nullif(F.regexp_replace(plain(url), "/+$", ""), F.lit("")), plain(key), slug(F.col(name)))
+    return keep_best(df.withColumn("_key", known), ["_key"], preference).drop("_key")
+
+
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The row of each key with the greatest order tuple. (WIN-02, PIP-19)"""
     return df.groupBy(*keys).agg(F.max_by(F.struct(*names(df)), F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order)))).alias("_last")).select("_last.*")
@@ -50,12 +65,14 @@ def shared_values(df: DataFrame, value: Column, id_col: str) -> DataFrame:
 
 
 def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
-    """1, 2, 3 ... over the whole table without a one-task window: range partitions, their sizes, and a rank inside each. (WIN-07)"""
-    dealt = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    inside = dealt.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    """1, 2, 3 ... over the whole table without a one-task window: rows are dealt by ranges, sorted and numbered inside each,
+    and written once; then each range adds the sizes of those before it. (WIN-07)"""
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_in": inside})
+    dealt = materialise(dealt, "ranked")
     sizes = dealt.groupBy("_part").agg(F.count("*").alias("_n"))  # one row per partition
     before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    return inside.join(before, "_part").withColumn(name, F.col("_before") + F.col("_in")).drop("_part", "_in", "_before")
+    return dealt.join(before, "_part").withColumn(name, F.col("_before") + F.col("_in") + 1).drop("_part", "_in", "_before")
 
 
 def batches(df: DataFrame, order: Sequence[Column], size: int) -> DataFrame:

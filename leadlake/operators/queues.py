@@ -7,15 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadlake.functions import extract as X
 from leadlake.functions import url as U
-from leadlake.functions.text import first_text, slug
-from leadlake.functions.values import embedded_object, labels
-from leadlake.operators.keyed import keep_best
+from leadlake.functions.text import compact, first_text, slug
+from leadlake.functions.values import embedded_array, embedded_object, labels
+from leadlake.operators.keyed import global_rank, keep_best
 
 
-def followups(df: DataFrame, id_col: str, rules: Sequence[tuple[Column, str, str, str]]) -> DataFrame:
-    """One row per rule that holds: (condition, action, priority, reason). (PIP-06)"""
-    hits = F.array_compact(F.array(*(F.when(c, F.struct(F.lit(a).alias("action"), F.lit(p).alias("priority"), F.lit(r).alias("reason"))) for c, a, p, r in rules)))
+def followups(df: DataFrame, id_col: str, rules: Sequence[tuple]) -> DataFrame:
+    """One row per rule that holds: (condition, action, priority, reason and, if wanted, next step). (PIP-06)"""
+    parts = ("action", "priority", "reason", "next_step")
+    hits = F.array_compact(F.array(*(F.when(rule[0], F.struct(*(F.lit(x).alias(n) for n, x in zip(parts, rule[1:])))) for rule in rules)))  # noqa: B905
     items = df.select(F.col(id_col), F.inline(hits))
     return items.withColumn("queue_id", slug(F.concat_ws("-", F.col(id_col).cast("string"), "action")))
 
@@ -31,9 +33,17 @@ def query_plan(seeds: DataFrame, templates: DataFrame, scope: Column | None = No
 
 
 def inverted(df: DataFrame, key: str, order: Column, **values: Column) -> DataFrame:
-    """Per key the distinct values of each column in first-seen order. (AGG-09)"""
-    lists = [F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), v.alias("v")))), lambda x: x["v"])).alias(n) for n, v in values.items()]
-    return df.groupBy(key).agg(*lists, F.count("*").alias("n"))
+    """Per key the distinct non-null values of each column in first-seen order, and the number of rows n. (AGG-09)
+
+    Rows are reduced to one per key and value before a key's values are collected, so a list grows with the distinct
+    values that it is to hold, not with the rows.
+    """
+    lists = df.groupBy(key).agg(F.count("*").alias("n"))
+    for name, value in values.items():
+        firsts = df.select(key, value.alias("_v"), order.alias("_o")).filter("_v is not null").groupBy(key, "_v").agg(F.min("_o").alias("_o"))
+        held = firsts.groupBy(F.col(key).alias("_key")).agg(F.transform(F.array_sort(F.collect_list(F.struct("_o", "_v"))), lambda x: x["_v"]).alias(name))
+        lists = lists.join(held, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    return lists.select(key, *(F.coalesce(name, F.array()).alias(name) for name in values), "n")
 
 
 def accept_hits(hits: DataFrame, url_col: str, order: Sequence[Column], allow: Sequence[str] = (), deny: Sequence[str] = ()) -> DataFrame:
@@ -42,6 +52,19 @@ def accept_hits(hits: DataFrame, url_col: str, order: Sequence[Column], allow: S
     return keep_best(clean.filter(U.allowed(F.col("host"), allow, deny)), ["normalized_url"], order)
 
 
+def ranked_hits(hits: DataFrame, url_col: str, order: Sequence[Column], allow: Sequence[str] = (), deny: Sequence[str] = ()) -> DataFrame:
+    """Accepted hits with their rank over all queries. (PIP-03, WIN-07)"""
+    return global_rank(accept_hits(hits, url_col, order, allow, deny), order)
+
+
+def query_log(specs: DataFrame, hits: DataFrame, query: str, url_col: str, order: Sequence[Column], allow: Sequence[str] = (), deny: Sequence[str] = ()) -> DataFrame:
+    """(query, raw_results, accepted_results) of every query asked, also of those without hits. (AGG-11)"""
+    raw = hits.groupBy(query).agg(F.count("*").alias("raw"))
+    kept = accept_hits(hits, url_col, order, allow, deny).groupBy(query).agg(F.count("*").alias("accepted"))
+    both = specs.select(query).distinct().join(raw, query, "left").join(kept, query, "left")
+    return both.select(query, *(F.coalesce(c, F.lit(0)).alias(f"{n}_results") for c, n in (("raw", "raw"), ("accepted", "accepted"))))
+
+
 def snapshot_changes(old: DataFrame, new: DataFrame, key: str, body: str) -> DataFrame:
     """(key, change) of two snapshots by content hash: captured for new or changed, unchanged, skipped_existing where there is no new page, capture_failed for an empty one. (PIP-10)"""
     was, now = (d.select(key, F.lit(True).alias(f"{n}_there"), F.sha2(body, 256).alias(f"{n}_hash")) for d, n in ((old, "old"), (new, "new")))
@@ -50,11 +73,47 @@ def snapshot_changes(old: DataFrame, new: DataFrame, key: str, body: str) -> Dat
 
 
 def dossier(df: DataFrame, title: Column, *sections: tuple[str, Column]) -> DataFrame:
-    """Adds Markdown text: a title and the sections that have text. (PIP-16, STR-12)"""
-    body = [F.when(first_text(v).isNotNull(), F.concat(F.lit(f"## {name}\n\n"), first_text(v))) for name, v in sections]
+    """Adds Markdown text: a title and the sections that have text. (STR-12)"""
+    body = [F.when(first_text(v).isNotNull(), F.concat(F.lit(f"## {name}\n\n"), F.trim(v))) for name, v in sections]
     return df.withColumn("dossier", F.concat_ws("\n\n", F.concat(F.lit("# "), title), *body))
 
 
+def dossiers(candidates: DataFrame) -> DataFrame:
+    """Adds reasons (why a row can't be rendered; empty if it can), confidence, operator_type, front_matter (nested JSON, which
+    is YAML too) and dossier, the Markdown of a candidate. (PIP-16, TXT-21 to TXT-24, R17)"""
+    from leadlake.operators.candidates import skip_reasons
+
+    c = lambda n: compact(F.col(n))
+    overnight, active = c("overnight_evidence_snippet") != "", (c("activity_status_guess") == "active_recent") & (c("recent_activity_evidence_snippet") != "")
+    ages, grades = X.labelled_range(F.col("eligibility_summary"), "age"), X.labelled_range(F.col("eligibility_summary"), "grade")
+    span = lambda name, r: F.when(r["low"].isNotNull(), F.concat(F.lit(f"Derived {name} range: "), r["low"].cast("string"), F.lit("-"), r["high"].cast("string"), F.lit(".")))
+    label, least, most = F.coalesce("duration_guess.label", F.lit("unknown")), F.col("duration_guess.min_days"), F.col("duration_guess.max_days")
+    days = F.when(least.isNotNull() | most.isNotNull(), F.concat(F.lit("Min days: "), F.coalesce(least.cast("string"), F.lit("unknown")), F.lit("; max days: "), F.coalesce(most.cast("string"), F.lit("unknown")), F.lit(".")))
+    family = F.coalesce(F.nullif(F.array_join(F.slice("program_family", 1, 3), ", "), F.lit("")), F.lit("overnight/residential"))
+    place = F.concat(c("city"), F.lit(", "), c("region"))
+    quick = F.concat(F.col("name"), F.lit(" is a draft venue dossier for a "), F.when(label != "unknown", F.concat(label, F.lit(" "))).otherwise(""), family, F.lit(" program in "), place, F.lit("."))
+    facts = F.array_compact(F.array(
+        F.concat(F.lit("- Operator: "), first_text(c("operator_name"), F.lit("Unknown"))), F.concat(F.lit("- Venue: "), first_text(c("venue_name"), F.lit("Unknown"))), F.concat(F.lit("- Location: "), place),
+        F.concat(F.lit("- Canonical URL: "), first_text(c("canonical_url"), F.lit("Not captured"))), F.when(F.size("program_family") > 0, F.concat(F.lit("- Program family: "), F.array_join("program_family", ", "))), F.when(label != "unknown", F.concat(F.lit("- Known duration signal: "), label)),
+    ))
+    needs = F.array_join(F.transform("validation_needs", lambda n: F.concat(F.lit("- "), F.initcap(F.replace(n, F.lit("_"), F.lit(" "))))), "\n")
+    sections = (
+        ("Quick Take", quick), ("Verified Facts", F.array_join(facts, "\n")), ("Ages And Grades", F.concat_ws("\n\n", F.col("eligibility_summary"), span("age", ages), span("grade", grades))), ("Session Length", F.concat_ws("\n\n", F.concat(F.lit("Duration guess: "), label, F.lit(".")), days)),
+        ("Location Notes", F.concat_ws(" ", c("venue_name"), place, F.array_join("notes", " "))), ("Pricing", F.col("pricing_summary")), ("Contact", F.when(c("canonical_url") != "", F.concat(F.lit("Official site: "), c("canonical_url")))), ("Open Questions", needs),
+    )
+    boarding = F.when(F.rlike(F.lower(F.concat_ws(" ", "overnight_evidence_snippet", "pricing_summary")), F.lit("housing and meals included|housing included|board included|live on campus|reside in")), F.lit(True))
+    made = candidates.withColumns({
+        "reasons": skip_reasons(candidates), "confidence": X.confidence(F.col("validation_needs"), F.col("record_basis"), overnight, active), "operator_type": X.operator_type(F.coalesce("operator_name", F.lit("")), F.col("name")),
+        "_ages": ages, "_grades": grades, "_boarding": boarding,
+    })
+    header = F.to_json(F.struct(
+        slug(F.concat_ws("-", "country", "region", "city", "venue_name")).alias("venue_id"), slug(F.col("name")).alias("camp_id"), F.col("candidate_id").alias("record_id"), "name", "country", "region", "city",
+        F.struct(F.col("operator_name").alias("name"), F.col("operator_type").alias("type")).alias("operator"), F.struct(F.col("_ages.low").alias("ages_min"), F.col("_ages.high").alias("ages_max"), F.col("_grades.low").alias("grades_min"), F.col("_grades.high").alias("grades_max")).alias("eligibility"),
+        F.struct(least.alias("min_days"), most.alias("max_days")).alias("duration"), F.struct(F.col("_boarding").alias("boarding_included")).alias("pricing"), F.struct(overnight.alias("overnight_confirmed"), active.alias("active_confirmed"), F.col("confidence")).alias("verification"),
+    ))
+    return dossier(made.withColumn("front_matter", header), F.col("name"), *sections).drop("_ages", "_grades", "_boarding")
+
+
 def triage(df: DataFrame, reply: Column, strong: Column, negative: str = "no") -> DataFrame:
     """Adds verdict, confidence and excluded from a reply that holds a JSON object. A negative verdict on a row with a strong
     signal becomes unclear at medium confidence; negative ones of high or medium confidence exclude. (PIP-15)"""
@@ -65,9 +124,21 @@ def triage(df: DataFrame, reply: Column, strong: Column, negative: str = "no") -
     return df.withColumns({"verdict": verdict, "confidence": confidence, "excluded": excluded})
 
 
-def validation_needs(basis: Column, types: Column, activity: Column, duration: Column, snippet: Column, price: Column, contact: Column, ages: Column) -> Column:
-    """What a candidate still needs, in rule order. (ARR-05, PIP-04)"""
+def triage_batch(df: DataFrame, id_col: str, replies: DataFrame, reply: str, strong: Column, negative: str = "no") -> DataFrame:
+    """``df`` with verdict, confidence, excluded and reason (missing_reply where no batch reply answers for the id). A reply holds a
+    JSON array of (id, verdict, confidence) in free text. (PIP-15, JON-11)"""
+    items = replies.select(F.inline(F.from_json(embedded_array(F.col(reply)), "array<struct<id: string, verdict: string, confidence: string>>")))
+    last = items.filter("id is not null").groupBy(F.col("id").alias("_id")).agg(F.max(F.struct("verdict", "confidence")).alias("_said"))
+    joined = df.join(last, F.col(id_col).cast("string") == F.col("_id"), "left")
+    guarded = (F.col("_said.verdict") == negative) & F.coalesce(strong, F.lit(False))
+    verdict, sure = F.when(guarded, "unclear").otherwise(F.col("_said.verdict")), F.when(guarded, "medium").otherwise(F.col("_said.confidence"))
+    excluded = F.coalesce((verdict == negative) & sure.isin("high", "medium"), F.lit(False))
+    return joined.withColumns({"verdict": verdict, "confidence": sure, "excluded": excluded, "reason": F.when(F.col("_id").isNull(), "missing_reply")}).drop("_id", "_said")
+
+
+def validation_needs(basis: Column, types: Column, activity: Column, duration: Column, recent: Column, price: Column, contact: Column, ages: Column, no_type: str = "unknown") -> Column:
+    """What a candidate still needs, in rule order. (ARR-05, PIP-04, R4)"""
     return labels(
-        (basis == "multi_venue_candidate", "split_into_venue_records"), (basis == "venue_candidate_pending_confirmation", "confirm_exact_venue"), (types == F.array(F.lit("unknown")), "confirm_overnight"),
-        ((activity != "active_recent") | ~snippet, "confirm_recent_activity"), (duration == "unknown", "confirm_duration"), (~price, "pricing"), (~contact, "contact"), (~ages, "ages_or_grades"),
+        (basis == "multi_venue_candidate", "split_into_venue_records"), (basis == "venue_candidate_pending_confirmation", "confirm_exact_venue"), (types == F.array(F.lit(no_type)), "confirm_overnight"),
+        ((activity != "active_recent") | ~recent, "confirm_recent_activity"), (duration == "unknown", "confirm_duration"), (~price, "pricing"), (~contact, "contact"), (~ages, "ages_or_grades"),
     )

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlake import rules as R
@@ -15,29 +12,10 @@ from leadlake.functions import values as V
 from leadlake.operators import catalog as C
 from leadlake.operators import keyed as K
 from leadlake.operators import queues as Q
+from leadlake.plans.registry import query
 from leadlake.sources import html as H
 from leadlake.streaming import jobs as J
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def query(sql: str | None = None):
-    """Registers a function of (table reader) under its name, with its SQL."""
-
-    def register(f: Callable[[Callable[[str], DataFrame]], DataFrame]):
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: table(spark, sf_dir, name))
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
-
 TRACKING_SQL = ", ".join(f"'{k}'" for k in R.TRACKING_KEYS)
 CANON_SQL = f"""
 WITH p AS (SELECT *, CASE WHEN regexp_matches(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://') THEN trim(url) ELSE 'https://' || trim(url) END AS w FROM pages),
@@ -60,15 +38,15 @@ STRIP_SQL = "trim(regexp_replace(replace(replace(replace(replace(regexp_replace(
 SELECT host, count(*)::BIGINT AS n_pages, sum(length(txt))::BIGINT AS n_chars FROM s GROUP BY host""")
 def host_text(t):
     """The flagship: canonical URL, first page of each, text of the HTML, sums per host."""
-    first = Q.accept_hits(t("pages").select("page_id", "url", "html"), "url", [F.col("page_id")])
-    return first.select("host", S.strip_html(F.col("html")).alias("txt")).groupBy("host").agg(F.count("*").alias("n_pages"), F.sum(F.length("txt")).alias("n_chars"))
+    sizes = t("pages").select("page_id", "url", F.length(S.strip_html(F.col("html"))).alias("n_chars"))  # the shuffle carries no HTML
+    first = Q.accept_hits(sizes, "url", [F.col("page_id")])
+    return first.groupBy("host").agg(F.count("*").alias("n_pages"), F.sum("n_chars").alias("n_chars"))
 
 
 @query(CANON_SQL + "SELECT canonical_url AS normalized_url, min(page_id) AS page_id, count(*)::BIGINT AS n FROM c GROUP BY 1")
 def url_keep_first(t):
     pages = t("pages").select("page_id", U.canonical(F.col("url")).alias("normalized_url"))
-    first = K.keep_best(pages, ["normalized_url"], [F.col("page_id")])
-    return first.join(pages.groupBy("normalized_url").agg(F.count("*").alias("n")), "normalized_url")
+    return pages.groupBy("normalized_url").agg(F.min("page_id").alias("page_id"), F.count("*").alias("n"))
 
 
 @query(CANON_SQL + "SELECT page_id, host, (ends_with('.' || host, '.example.com') OR ends_with('.' || host, '.example.org')) AND NOT ends_with('.' || host, '.spam-farm.example.org') AS allowed FROM c")
@@ -89,16 +67,17 @@ def page_profile(t):
     return t("pages").select("page_id", S.compact(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"), F.lower(F.regexp_extract(html, r'(?i)<html[^>]*\blang="([^"]*)"', 1)).alias("lang"))
 
 
-@query("""SELECT coalesce(a.page_id, b.page_id) AS page_id, CASE WHEN b.page_id IS NULL THEN 'skipped_existing' WHEN b.h IS NULL THEN 'capture_failed' WHEN a.h = b.h THEN 'unchanged' ELSE 'captured' END AS change
-FROM (SELECT page_id, html AS h FROM pages WHERE page_id % 7 <> 0) a FULL JOIN (SELECT page_id, CASE WHEN page_id % 11 = 0 THEN NULL WHEN page_id % 3 = 0 THEN html || 'x' ELSE html END AS h FROM pages WHERE page_id % 5 <> 0) b ON a.page_id = b.page_id""")
+@query(CANON_SQL + """, o AS (SELECT canonical_url, arg_min(html, page_id) AS was, count(*) FILTER (NOT starts_with(host, 'm.')) AS again, arg_max(CASE WHEN length(html) % 11 = 0 THEN NULL ELSE html END, page_id) FILTER (NOT starts_with(host, 'm.') AND length(html) % 11 <> 0) AS x, arg_max(page_id, page_id) FILTER (NOT starts_with(host, 'm.')) AS lp FROM c GROUP BY 1)
+SELECT o.canonical_url AS normalized_url, CASE WHEN again = 0 THEN 'skipped_existing' WHEN length(p.html) % 11 = 0 THEN 'capture_failed' WHEN p.html = o.was THEN 'unchanged' ELSE 'captured' END AS change FROM o LEFT JOIN pages p ON p.page_id = o.lp""")
 def snapshot_change(t):
-    """Two snapshots derived from all pages: each lacks some pages, the newer has changed and failed ones."""
-    pages = t("pages").select("page_id", "html")
-    newer = F.when(F.col("page_id") % 11 == 0, None).when(F.col("page_id") % 3 == 0, F.concat("html", F.lit("x"))).otherwise(F.col("html"))
-    return Q.snapshot_changes(pages.filter("page_id % 7 <> 0"), pages.filter("page_id % 5 <> 0").withColumn("html", newer), "page_id", "html")
+    """Per canonical URL the first page against the last one; mobile hosts aren't captured again, some captures fail by their length."""
+    pages = t("pages").select("page_id", U.canonical(F.col("url")).alias("normalized_url"), "html")
+    again = pages.filter(~F.startswith(U.host(F.col("normalized_url")), F.lit("m.")))
+    newer = K.keep_last(again, ["normalized_url"], [F.col("page_id")]).withColumn("html", F.when(F.length("html") % 11 != 0, F.col("html")))
+    return Q.snapshot_changes(K.keep_best(pages, ["normalized_url"], [F.col("page_id")]), newer, "normalized_url", "html")
 
 
-SLUG_SQL = "coalesce(nullif(regexp_replace(regexp_replace(lower(strip_accents({})), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'unknown')"
+SLUG_SQL = "coalesce(nullif(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents({}), '[^\\x01-\\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'unknown')"
 
 
 @query(f"SELECT p_partkey, {SLUG_SQL.format('p_name')} AS slug, regexp_replace({SLUG_SQL.format('p_name')}, '-+', ' ', 'g') AS label, substr({SLUG_SQL.format('p_brand || p_type')}, 1, 12) AS short FROM part")
@@ -268,12 +247,13 @@ def followup_queue(t):
     return Q.followups(rows, "o_orderkey", rules).drop("reason")
 
 
-@query("""WITH q AS (SELECT lower(replace(t, '{seed}', n_name)) AS q FROM nation, (VALUES ('{seed} camps'), ('{seed} overnight'), ('best {seed} camps')) AS v(t)),
+@query("""WITH q AS (SELECT lower(replace(t, '{seed}', p_name || ' ' || p_brand)) AS q FROM part, (VALUES ('{seed} camps'), ('{seed} overnight'), ('best {seed} camps')) AS v(t)),
 s AS (SELECT DISTINCT q AS query FROM q UNION SELECT q || ' summer' FROM q) SELECT query FROM s""")
 def query_plan(t):
-    seeds = t("nation").select(F.col("n_name").alias("seed"), F.col("n_nationkey").alias("seed_order"))
-    texts = F.array(*map(F.lit, ("{seed} camps", "{seed} overnight", "best {seed} camps")))
-    templates = t("region").limit(1).select(F.posexplode(texts).alias("template_order", "template"))
+    parts = t("part")
+    seeds = parts.select(F.concat_ws(" ", "p_name", "p_brand").alias("seed"), F.col("p_partkey").alias("seed_order"))
+    texts = [(i, x) for i, x in enumerate(("{seed} camps", "{seed} overnight", "best {seed} camps"))]
+    templates = parts.sparkSession.createDataFrame(texts, "template_order int, template string")
     return Q.query_plan(seeds, templates, F.lit("summer")).select(F.lower("query").alias("query"))
 
 
@@ -314,9 +294,12 @@ def ranked_batches(t):
     return K.batches(t("events").select("event_id", "ts"), [F.col("ts"), F.col("event_id")], 50).select("event_id", F.col("rank").cast("long").alias("rank"), F.col("batch").cast("long").alias("batch"))
 
 
-@query("""SELECT a.s_suppkey AS a_id, b.s_suppkey AS b_id, levenshtein(a.s_name, b.s_name)::INT AS distance FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey < b.s_suppkey WHERE levenshtein(a.s_name, b.s_name) <= 3""")
+@query("""WITH h AS (SELECT p_brand, p_type, p_name, min(p_partkey) AS head FROM part GROUP BY ALL)
+SELECT head AS a_id, p_partkey AS b_id, 0 AS distance FROM part JOIN h USING (p_brand, p_type, p_name) WHERE p_partkey <> head
+UNION ALL SELECT x.head, y.head, levenshtein(x.p_name, y.p_name)::INT FROM h x JOIN h y ON x.p_brand = y.p_brand AND x.p_type = y.p_type AND x.head < y.head WHERE levenshtein(x.p_name, y.p_name) <= 3""")
 def dup_pairs(t):
-    return C.duplicate_pairs(t("supplier"), "s_suppkey", ["s_nationkey"], "s_name", 3).select("a_id", "b_id", "distance")
+    """(PIP-20)"""
+    return C.duplicate_pairs(t("part"), "p_partkey", ["p_brand", "p_type"], "p_name", 3)
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT k FROM (SELECT o_custkey AS k, arg_max(o_orderstatus, {'d': o_orderdate, 'o': o_orderkey}) AS s FROM orders GROUP BY 1) WHERE s = 'F')")
@@ -355,30 +338,49 @@ def triage(t):
     return Q.triage(t("customer").withColumn("reply", reply), F.col("reply"), F.col("c_mktsegment") == "BUILDING", "no").select("c_custkey", "verdict", "excluded")
 
 
-@query("""SELECT page_id, record_basis, array_to_string(list_filter([CASE WHEN record_basis = 'venue_candidate_pending_confirmation' THEN 'confirm_exact_venue' END, 'confirm_recent_activity', 'confirm_duration', CASE WHEN c = 0 THEN 'contact' END], lambda x: x IS NOT NULL), ',') AS needs
-FROM (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'venue_candidate_pending_confirmation' ELSE 'venue_candidate' END AS record_basis, page_id % 3 AS c FROM pages)""")
+@query("""WITH n AS (SELECT o_orderkey, ['venue_candidate', 'venue_candidate_pending_confirmation', 'multi_venue_candidate'][1 + (o_custkey % 3)::INT] AS basis, o_orderstatus AS s, o_orderpriority AS p, o_totalprice AS v, o_orderdate AS d FROM orders)
+SELECT o_orderkey, array_to_string(list_filter([CASE WHEN basis = 'multi_venue_candidate' THEN 'split_into_venue_records' END, CASE WHEN basis = 'venue_candidate_pending_confirmation' THEN 'confirm_exact_venue' END, CASE WHEN s = 'P' THEN 'confirm_overnight' END,
+ CASE WHEN s <> 'F' OR p = '5-LOW' THEN 'confirm_recent_activity' END, CASE WHEN v < 50000 THEN 'confirm_duration' END, CASE WHEN v < 100000 THEN 'pricing' END, CASE WHEN p = '4-NOT SPECIFIED' THEN 'contact' END, CASE WHEN year(d) < 1996 THEN 'ages_or_grades' END], lambda x: x IS NOT NULL), ',') AS needs FROM n""")
 def candidate_needs(t):
-    """Record basis and validation needs of candidates made from pages. (PIP-04, TXT-05, ARR-05)"""
-    key = F.col("page_id")
-    venue, city = F.when(key % 4 == 0, "to be confirmed").otherwise("Hall A"), F.lit("Town")
-    rows = t("pages").select(key, X.record_basis(venue, F.lit(None), city).alias("record_basis"), X.duration(F.lit("summer")).alias("d"), (key % 3).alias("c"))
-    needs = Q.validation_needs(F.col("record_basis"), F.array(F.lit("overnight")), F.lit("unknown"), F.col("d.label"), F.lit(False), F.lit(True), F.col("c") > 0, F.lit(True))
-    return rows.select("page_id", "record_basis", F.array_join(needs, ",").alias("needs"))
+    """Validation needs with every rule fed by a column. (ARR-05, MAP-02)"""
+    basis = X.renamed((F.col("o_custkey") % 3).cast("string"), {"0": "venue_candidate", "1": "venue_candidate_pending_confirmation", "2": "multi_venue_candidate"})
+    types = F.when(F.col("o_orderstatus") == "P", F.array(F.lit("unknown"))).otherwise(F.array(F.lit("overnight")))
+    activity = F.when(F.col("o_orderstatus") == "F", "active_recent").otherwise("unknown")
+    length = F.when(F.col("o_totalprice") < 50000, "unknown").otherwise("one-week")
+    needs = Q.validation_needs(basis, types, activity, length, F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice") >= 100000, F.col("o_orderpriority") != "4-NOT SPECIFIED", F.year("o_orderdate") >= 1996)
+    return t("orders").select("o_orderkey", F.array_join(needs, ",").alias("needs"))
 
 
 @query()
 def main_content(t):
     """(TXT-19)"""
-    return H.extract(t("pages").select("page_id", "html")).select("page_id", "title", F.sha2("markdown", 256).alias("content_sha256"), F.length("markdown").alias("n_chars"))
+    fields = H.extract(t("pages").select("page_id", "url", "html"))
+    return fields.select("page_id", "title", "description", "lang", H.canonical_meta(F.col("url"), F.col("canonical")).alias("canonical_url"), F.sha2("markdown", 256).alias("content_sha256"), F.length("markdown").alias("n_chars"))
 
 
-@query()
+ACTIONS = {"click": "submit", "view": "submit", "signup": "approve", "error": "request_changes", "purchase": "reject"}
+
+
+@query("""WITH RECURSIVE e AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i,
+  CASE event_type WHEN 'click' THEN 'submit' WHEN 'view' THEN 'submit' WHEN 'signup' THEN 'approve' WHEN 'error' THEN 'request_changes' WHEN 'purchase' THEN 'reject' END AS a FROM events),
+r AS (SELECT DISTINCT user_id, 0::BIGINT AS i, 'draft' AS state, 0 AS applied, 0 AS illegal FROM e UNION ALL
+  SELECT user_id, i, coalesce(t, state), applied + (t IS NOT NULL)::INT, illegal + (t IS NULL)::INT FROM (
+    SELECT r.user_id, e.i, r.state, r.applied, r.illegal, CASE WHEN r.state IN ('draft', 'changes_requested') AND e.a = 'submit' THEN 'submitted'
+      WHEN r.state = 'submitted' THEN CASE e.a WHEN 'approve' THEN 'approved' WHEN 'reject' THEN 'rejected' WHEN 'request_changes' THEN 'changes_requested' END END AS t
+    FROM r JOIN e ON r.user_id = e.user_id AND e.i = r.i + 1))
+SELECT user_id, arg_max(state, i) AS state, arg_max(applied, i)::INT AS applied, arg_max(illegal, i)::INT AS illegal FROM r GROUP BY 1""")
 def lifecycle(t):
-    """Events as actions of a contribution per user."""
-    action = F.element_at(F.create_map(*(F.lit(x) for kv in {"click": "submit", "view": "submit", "signup": "approve", "error": "request_changes", "purchase": "reject"}.items() for x in kv)), F.col("event_type"))
-    return C.replay(t("events"), "user_id", F.struct("ts", "event_id"), action)
+    """Events as actions of a contribution per user. (PIP-18)"""
+    return C.replay(t("events"), "user_id", ["ts", "event_id"], X.renamed(F.col("event_type"), ACTIONS))
 
 
-@query()
+LIMIT_SQL = """WITH RECURSIVE e AS (SELECT event_id, user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+r AS (SELECT user_id, 0::BIGINT AS i, []::TIMESTAMP[] AS kept, NULL::BIGINT AS event_id, false AS accepted, min(ts)::TIMESTAMP AS ts FROM e GROUP BY 1 UNION ALL
+  SELECT user_id, i, CASE WHEN len(k) < 3 THEN list_append(k, ts) ELSE k END, event_id, len(k) < 3, ts FROM (
+    SELECT r.user_id, e.i, e.event_id, e.ts::TIMESTAMP AS ts, list_filter(r.kept, lambda x: e.ts::TIMESTAMP - x < INTERVAL 86400 SECOND) AS k FROM r JOIN e ON r.user_id = e.user_id AND e.i = r.i + 1))
+SELECT event_id, user_id, accepted FROM r WHERE i > 0"""
+
+
+@query(LIMIT_SQL)
 def rate_limit(t):
-    return J.rate_limit(t("events").select("event_id", "user_id", "ts"), "user_id", "ts", "event_id", 86400, 3)
+    return J.rate_limit(t("events").select("event_id", "user_id", "ts"), "user_id", "ts", "event_id", 86400, 3).drop("ts")

@@ -31,6 +31,80 @@ DAYS_PATTERN = r"(?i)(\d{1,3})\s*(?:day|night)"
 WEEKS_PATTERN = r"(?i)(\d{1,2})\s*[-\s]?week"
 PRICE_WORDS = ("tuition", "cost", "price", "fee", "rate", "registration", "pricing", "payment", "invest", "tarifa", "costo", "precio")
 BOARDING_WORDS = ("all-inclusive", "including", "includes", "boarding", "accommodation", "meals", "housing", "lodging", "room and board", "room & board")
+KNOWN_FAMILIES = ("college-pre-college", "academic", "stem", "music", "arts", "sports", "faith-based", "family", "traditional", "adventure", "wilderness")
+KNOWN_TYPES = ("overnight", "residential", "residential-academic")
+BASIS_NAMES = {
+    "single_venue_candidate": "venue_candidate", "venue_unconfirmed": "venue_candidate_pending_confirmation", "multi_venue_candidate": "multi_venue_candidate",
+    "venue_candidate": "venue_candidate", "venue_candidate_pending_confirmation": "venue_candidate_pending_confirmation",
+}
+BASIS_RANK = {"venue_candidate": 0, "venue_candidate_pending_confirmation": 1, "multi_venue_candidate": 2}
+DRAFT_STATUS = {"venue_candidate": "candidate", "venue_candidate_pending_confirmation": "candidate_pending", "multi_venue_candidate": "multi_venue"}
+NO_CITY = ("", "unknown", "unknown city", "city to be confirmed", "unk")
+NO_VENUE = ("", "unknown", "venue to be confirmed")
+PENDING_WORDS = ("unknown", "pending", "to be confirmed", "tbd", "venue to be confirmed", "city to be confirmed")
+PENDING_REASONS = ("pending_venue_confirmation", "unknown_venue", "unknown_city")
+HELPER_SUFFIXES = (
+    "_summary.json", "_README.md", "_queries.jsonl", "_queries_probe.jsonl", "_raw.jsonl", "_raw_probe.jsonl", "_evidence_index.jsonl", "_followup_queue.jsonl", "_split_queue.jsonl", "_split_stubs.jsonl",
+)
+HELPER_KEYS = ("candidate_ids", "candidate_names", "queries", "matched_reason", "matched_reasons")
+RAW_KEYS = ("url", "title", "query", "source", "provider")
+CANDIDATE_HELPER_KEYS = ("queries", "matched_reason", "matched_reasons", "search_query", "candidate_ids")
+CANDIDATE_KEYS = ("name", "candidate_name", "canonical_url", "record_basis", "program_family", "program_family_tags")
+FOLLOWUP_TEXTS = {
+    "split_multi_venue_candidate": ("high", "Venue-level final records are required by repository policy.", "Identify each physical venue or session location and emit one venue candidate per site."),
+    "confirm_exact_venue": ("high", "The venue is not specific enough for a venue-level final record.", "Confirm the exact campus, property, or session site before validation."),
+    "capture_pricing": ("medium", "Pricing is important downstream and is currently missing.", "Capture tuition, lodging, deposits, and any boarding inclusion details."),
+    "capture_contact": ("medium", "No contact details were preserved in the discovery-stage candidate.", "Find an official email, phone, or admissions contact page."),
+    "confirm_recent_activity": ("high", "No strong past-24-month activity signal is currently preserved.", "Capture session dates, registration, or recent season evidence from the last 24 months."),
+    "confirm_overnight": ("high", "Overnight or residential status is still uncertain.", "Capture explicit overnight, lodging, dorm, or residential wording from an official source."),
+    "duplicate_review": ("medium", "Another candidate shares the same canonical URL.", "Review whether these candidates represent the same physical venue or just related pages."),
+    "priority_review_college_precollege": ("medium", "College-run pre-college programs are a stated high-focus discovery area.", "Prioritize validation and venue confirmation for this candidate."),
+    "priority_review_one_week_plus": ("medium", "Programs lasting one week or longer are a stated high-focus discovery area.", "Prioritize duration confirmation and enrichment for this candidate."),
+}
+SPLIT_STEP = "Find each distinct physical venue or session site and create one candidate per venue."
+SPLIT_NOTES = ("Created automatically from a multi-venue candidate.", "Fill one copy of this stub per physical venue or session location.")
+OPERATOR_TYPES = (
+    ("university", ("university", "college", "summer school", "academy", "school of")), ("ymca", ("ymca",)), ("faith-based", ("church", "synagogue", "ministr", "faith", "christian", "jewish")), ("camp-operator", ("camp",)),
+)
+META_PHRASES = (
+    "lead", "leads", "ecosystem", "directory", "member network", "association", "sample seeded dossier", "program venue to confirm", "program-specific venue to confirm", "venue to confirm",
+    "specific residence format not yet confirmed", "institutional lead",
+)
+RESIDENTIAL_PHRASES = (
+    "live in residence halls", "residence halls", "housing and meals", "students stay in university dormitories", "campers stay in dorms", "residential program", "residential camp",
+    "residential college preparatory program", "four-week summer residential program", "dormitories", "dorms", "boarding", "campus life firsthand",
+)
+OVERNIGHT_PATTERN = r"(?i)\b(?:overnight|sleepaway|residential|cabin|cabins|dormitory|dorm|bunk|bunks|lodge|lodging|sleep-away|boarding|campers\s+stay)\b"
+SESSION_MODELS = (
+    ("multiple_sessions", ("varies", "multiple", "session length varies")), ("weekly", ("1 week", "one week", "7 days", "8 days")), ("two_week", ("2 week", "two week", "14 days")), ("three_week", ("3 week", "three week", "21 days")),
+    ("month", ("4 week", "four week", "28 days", "~27 days", "month")), ("six_week", ("6 week", "six week", "42 days")), ("course_based", ("boarding", "course-based")),
+)
+EMPTY_DURATIONS = (
+    "unknown", "not applicable", "session length not extracted in this pass", "session length varies", "residential college preparatory experience", "boarding summer program",
+    "summer program length not captured in this pass",
+)
+AUDIENCE_AGES = {
+    "elementary": (5, 11), "middle-school": (11, 14), "high-school": (14, 18), "elementary-middle-school": (5, 14), "middle-school-high-school": (11, 18), "elementary-middle-school-high-school": (5, 18), "gifted-middle-school": (11, 14),
+}
+ORDINAL_GRADES_PATTERN = r"(?i)(\d{1,2})(?:st|nd|rd|th)?[-\s]+(?:and\s+)?(\d{1,2})(?:st|nd|rd|th)?[-\s]*grade"
+SENIOR_PATTERN = r"(?i)rising\s+senior|entering\s+(?:their\s+)?senior\s+year"
+JUNIOR_SENIOR_PATTERN = r"(?i)entering\s+(?:their\s+)?junior\s+or\s+senior\s+year"
+NINE_TO_TWELVE_PATTERN = r"(?i)(?:9|9th).*(?:12|12th)\s*grade"
+TENTH_ELEVENTH_PATTERN = r"(?i)finishing\s+10th\s+or\s+11th\s+grade"
+STANDARD_FAMILIES = (
+    "college-pre-college", "academic", "stem", "sports", "arts", "music", "wilderness", "faith-based", "family", "adventure", "leadership", "humanities", "science", "engineering", "research", "computing", "math", "debate", "gifted-talented",
+)
+STANDARD_TYPES = ("overnight", "residential", "residential-academic", "retreat", "research-program", "program-dependent")
+FUNDED_PHRASES = ("fully funded", "scholarship")
+PHASE1_BOARDING_WORDS = ("all-inclusive", "including", "includes", "boarding", "accommodation", "meals", "housing", "lodging")
+#: (country, region or null for the rest of the country) -> language mode and query angles.
+REGION_TEMPLATES = (
+    ("US", None, "english-first; keep Spanish and French evidence when encountered", ('"overnight summer camp" "{region}"', '"residential summer camp" "{region}"', '"family camp" "{region}"', '"youth retreat" "{region}" overnight', 'site:.edu "{region}" "pre-college" residential')),
+    ("CA", "QC", "french-first; keep English evidence when encountered", ('"camp de vacances" "{region}"', '"camp residentiel" "{region}"', '"camp avec hebergement" "{region}"', '"camp familial" "{region}"', 'site:.ca "{region}" programme residentiel secondaire')),
+    ("CA", "NB", "bilingual English/French; preserve whichever language the source uses", ('"overnight camp" "{region}"', '"camp de vacances" "{region}"', '"camp with accommodation" "{region}"', '"camp residentiel" "{region}"', 'site:.ca "{region}" "pre-college" residential')),
+    ("CA", None, "english-first; keep French evidence when encountered", ('"overnight camp" "{region}"', '"residential camp" "{region}"', '"camp with accommodation" "{region}"', '"family camp" "{region}"', 'site:.ca "{region}" "pre-college" residential')),
+    ("MX", None, "spanish-first; keep English evidence when encountered", ('"campamento de verano con alojamiento" "{region}"', '"campamento residencial" "{region}"', '"campamento juvenil" "{region}"', '"retiro juvenil" "{region}" hospedaje', 'site:.mx "{region}" programa residencial preuniversitario')),
+)
 STATUS_RANK = {"missing": 0, "uncertain": 1, "partial": 2, "found": 3}
 
 
@@ -45,3 +119,9 @@ class TagRules:
 
 FAMILIES = TagRules(FAMILY_RULES, "unspecified")
 CAMP_TYPES = TagRules(CAMP_TYPE_RULES, "unknown")
+
+
+def tag_rules(rows, default: str | None = None, whole_words: bool = False) -> TagRules:
+    """A pack from a small table with columns position, needle and tag. (UDF-02)"""
+    ordered = rows.orderBy("position").select("needle", "tag").collect()  # a vocabulary, not data
+    return TagRules(tuple((r.needle, r.tag) for r in ordered), default, whole_words)

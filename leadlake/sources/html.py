@@ -1,112 +1,241 @@
-"""HTML pages: main content as Markdown. Spark deals out the pages; a task parses them one by one."""
+"""HTML pages: main content as Markdown with the head's data, and hits of result pages. Spark deals out the pages; a task parses them one by one."""
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from leadlake.functions import url as U
+
+# What is no content, and how a block's score counts.
+DROPPED = {"script", "style", "noscript", "svg", "canvas", "iframe", "form", "button", "input", "nav", "footer", "aside"}
+SCORED = {"section", "div", "body"}
+LEAST_SCORE, PER_PARAGRAPH, PER_HEADING, PER_LINK = 200, 120, 80, 8
+SCORE_HEADINGS = {"h1", "h2", "h3"}
 
-DROPPED = {"script", "style", "nav", "footer", "header", "aside", "form", "noscript", "svg", "iframe"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-BLOCKS = {"main", "article", "section", "div"}
-LEAST_SCORE = 200
-HEADINGS = {f"h{k}": "#" * k for k in range(1, 7)}
+HEADINGS = {f"h{k}": "#" * k + " " for k in range(1, 7)}
+BLOCKS = {*HEADINGS, "p", "li", "ul", "ol", "div", "section", "article", "main", "body", "header", "table", "tr", "td", "th", "blockquote", "pre", "br", "hr", "dl", "dt", "dd", "figure", "figcaption", "root", "html"}
+MARKS = {"strong": "**", "b": "**", "em": "*", "i": "*", "code": "`"}
 
 
 class Node:
-    def __init__(self, tag: str, attrs: dict[str, str | None]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    def __init__(self, tag: str, attrs: dict[str, str | None], parent: Node | None):
+        self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
+
+    def has_class(self, name: str) -> bool:
+        return name in (self.attrs.get("class") or "").split()
 
 
 class Tree(HTMLParser):
-    """A forgiving tree: an end tag closes the nearest open element of its name, unknown ones are ignored."""
+    """A forgiving tree of any depth: an end tag closes the nearest open element of its name, unknown ones are ignored."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open = [Node("root", {})]
+        self.root = self.last = Node("root", {}, None)
+        self.open: Counter[str] = Counter()
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        node = Node(tag, dict(attrs))
-        self.open[-1].children.append(node)
-        if tag not in VOID and len(self.open) < 200:
-            self.open.append(node)
+        node = Node(tag, dict(attrs), self.last)
+        self.last.children.append(node)
+        if tag not in VOID:
+            self.last = node
+            self.open[tag] += 1
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                return
+        if self.open[tag]:
+            while self.last.tag != tag:
+                self.open[self.last.tag] -= 1
+                self.last = self.last.parent
+            self.open[tag] -= 1
+            self.last = self.last.parent
 
     def handle_data(self, data: str) -> None:
-        self.open[-1].children.append(data)
+        self.last.children.append(data)
 
 
-def walk(node: Node) -> Iterator[Node]:
-    yield node
-    for c in node.children:
-        if isinstance(c, Node) and c.tag not in DROPPED:
-            yield from walk(c)
+def parsed(html: str | None) -> Node:
+    tree = Tree()
+    tree.feed(html or "")
+    tree.close()
+    return tree.root
 
 
-def text_of(node: Node | str) -> str:
-    if isinstance(node, str):
-        return node
-    return "" if node.tag in DROPPED else "".join(map(text_of, node.children))
+def events(node: Node, dropped: frozenset | set = frozenset(DROPPED)) -> Iterator[tuple[str, Node | str]]:
+    """open, text and close of a subtree in document order, without dropped elements; no recursion, so any depth will do."""
+    todo: list[tuple[str, Node | str]] = [("open", node)]
+    while todo:
+        kind, x = todo.pop()
+        if kind == "open":
+            if x.tag in dropped:
+                continue
+            todo.append(("close", x))
+            todo += [("text", c) if isinstance(c, str) else ("open", c) for c in reversed(x.children)]
+        yield kind, x
 
 
-def score(node: Node) -> int:
-    tags = [n.tag for n in walk(node)]
-    return len(" ".join(text_of(node).split())) + 120 * tags.count("p") + 80 * sum(t in HEADINGS for t in tags) - 8 * tags.count("a")
+def text_of(node: Node) -> str:
+    """Its texts, joined by single blanks."""
+    return " ".join(" ".join(x for kind, x in events(node) if kind == "text").split())
 
 
 def main_node(root: Node) -> Node:
     """main, article or role=main; else the best block over the least score; else the whole page."""
-    nodes = list(walk(root))
+    order = [x for kind, x in events(root) if kind == "open"]
     for wanted in (lambda n: n.tag == "main", lambda n: n.tag == "article", lambda n: n.attrs.get("role") == "main"):
-        if found := next(filter(wanted, nodes), None):
+        if found := next(filter(wanted, order), None):
             return found
-    best = max((n for n in nodes if n.tag in BLOCKS), key=score, default=None)
-    return best if best is not None and score(best) > LEAST_SCORE else next((n for n in nodes if n.tag == "body"), root)
+    totals: dict[int, list[int]] = {}
+    best, most = None, LEAST_SCORE
+    for node in reversed(order):  # children before parents
+        words = [w for c in node.children if isinstance(c, str) for w in c.split()]
+        chars, extra = sum(map(len, words)) + len(words), 0
+        for child in node.children:
+            if isinstance(child, Node) and id(child) in totals:
+                c, e = totals.pop(id(child))
+                chars, extra = chars + c, extra + e
+                extra += PER_PARAGRAPH * (child.tag == "p") + PER_HEADING * (child.tag in SCORE_HEADINGS) - PER_LINK * (child.tag == "a")
+        totals[id(node)] = [chars, extra]
+        score = chars - 1 + extra if chars else 0
+        if node.tag in SCORED and (score > most or (best is not None and score == most)):
+            best, most = node, score  # of equal ones the first in the page
+    return best or next((n for n in order if n.tag == "body"), root)
 
 
 def markdown(node: Node) -> str:
+    """Headings, paragraphs, list items and loose text as blocks, with links, emphasis and code inside them."""
     out: list[str] = []
-
-    def visit(n: Node) -> None:
-        if n.tag in HEADINGS or n.tag in ("p", "li"):
-            line = " ".join(text_of(n).split())
-            if line:
-                out.append({**HEADINGS, "li": "-"}.get(n.tag, "") + (" " if n.tag != "p" else "") + line)
-            return
-        loose = " ".join("".join(c for c in n.children if isinstance(c, str)).split())
-        if loose:
-            out.append(loose)
-        for c in n.children:
-            if isinstance(c, Node) and c.tag not in DROPPED:
-                visit(c)
-
-    visit(node)
+    held: list[str] = []
+    opened: list[tuple[Node, int]] = []
+    numbers: list[int] = []
+    prefix = ""
+
+    def flush() -> None:
+        nonlocal prefix
+        line = " ".join("".join(held).split())
+        held.clear()
+        opened[:] = [(n, 0) for n, _ in opened]
+        if line:
+            out.append(prefix + line)
+            prefix = ""
+
+    for kind, x in events(node):
+        if kind == "text":
+            held.append(x)
+            continue
+        if x.tag in BLOCKS:
+            flush()
+            if x.tag in HEADINGS:
+                prefix = HEADINGS[x.tag] if kind == "open" else ""
+            elif x.tag in ("ul", "ol"):
+                numbers = [*numbers, 0] if kind == "open" else numbers[:-1]
+            elif x.tag == "li":
+                ordered = x.parent is not None and x.parent.tag == "ol"
+                if kind == "open" and ordered and numbers:
+                    numbers[-1] += 1
+                prefix = (f"{numbers[-1]}. " if ordered and numbers else "- ") if kind == "open" else ""
+        elif x.tag == "a" or x.tag in MARKS:
+            if kind == "open":
+                opened.append((x, len(held)))
+            elif opened and opened[-1][0] is x:
+                at = opened.pop()[1]
+                inner = " ".join("".join(held[at:]).split())
+                if inner:
+                    href = x.attrs.get("href") if x.tag == "a" else None
+                    whole = "".join(held[at:])
+                    mark = f"[{inner}]({href})" if href else inner if x.tag == "a" else MARKS[x.tag] + inner + MARKS[x.tag]
+                    held[at:] = [" " * whole[:1].isspace(), mark, " " * whole[-1:].isspace()]
+    flush()
     return "\n\n".join(out)
 
 
-def parse(html: str | None) -> tuple[str, str]:
-    tree = Tree()
-    tree.feed(html or "")
-    tree.close()
-    root = tree.open[0]
-    title = next((n for n in walk(root) if n.tag == "title"), None)
-    return " ".join(text_of(title).split()) if title else "", markdown(main_node(root))
+def parse(html: str | None) -> dict[str, str]:
+    """title, description, canonical (as written), lang and markdown; what a page lacks is empty."""
+    root = parsed(html)
+    found = dict.fromkeys(("title", "description", "canonical", "lang"), "")
+    og = ""
+    for kind, n in events(root, DROPPED - {"svg"}):
+        if kind != "open":
+            continue
+        if n.tag == "title" and not found["title"]:
+            found["title"] = text_of(n)
+        elif n.tag == "meta":
+            content = " ".join((n.attrs.get("content") or "").split())
+            if n.attrs.get("name") == "description" and not found["description"]:
+                found["description"] = content
+            elif n.attrs.get("property") == "og:description" and not og:
+                og = content
+        elif n.tag == "link" and "canonical" in (n.attrs.get("rel") or "").split() and not found["canonical"]:
+            found["canonical"] = n.attrs.get("href") or ""
+        elif n.tag == "html" and not found["lang"]:
+            found["lang"] = (n.attrs.get("lang") or "").strip()
+    return found | {"description": found["description"] or og, "markdown": markdown(main_node(root))}
+
+
+FIELDS = ("title", "description", "canonical", "lang", "markdown")
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """``pages`` without the HTML, plus title and markdown; null HTML gives empty texts. (TXT-19, UDF-04)"""
-    rest = [(n, k) for n, k in pages.dtypes if n != html_col]
+    """``pages`` without the HTML, plus title, description, canonical, lang and markdown, replacing columns of those names; null HTML gives empty texts. (TXT-19, UDF-04)"""
+    rest = [(n, k) for n, k in pages.dtypes if n != html_col and n not in FIELDS]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             found = [parse(h) for h in pdf[html_col]]
-            yield pdf.drop(columns=[html_col]).assign(title=[t for t, _ in found], markdown=[m for _, m in found])
+            yield pdf.drop(columns=[html_col]).assign(**{f: [x[f] for x in found] for f in FIELDS})
+
+    return pages.select(*(f"`{n}`" for n, _ in rest), html_col).mapInPandas(run, ", ".join([*(f"`{n}` {k}" for n, k in rest), *(f"{f} string" for f in FIELDS)]))
+
+
+def result_links(html: str | None) -> list[tuple[int, str, str, str]]:
+    """(rank, title, href, snippet) of the links of a result page; the snippet stands in the row after the link's."""
+    found, rank, next_row = [], 0, {}
+    for kind, n in events(parsed(html), frozenset({"script", "style"})):
+        if kind == "open" and n.tag == "a" and n.has_class("result-link"):
+            rank += 1
+            row, snippet = n, ""
+            while row is not None and row.tag != "tr":
+                row = row.parent
+            if row is not None and row.parent is not None:
+                if id(row) not in next_row:
+                    rows = [c for c in row.parent.children if isinstance(c, Node) and c.tag == "tr"]
+                    next_row |= {id(a): b for a, b in zip(rows, [*rows[1:], None], strict=True)}
+                after = next_row[id(row)]
+                cells = [x for r in ([after] if after else []) for k, x in events(r) if k == "open" and x.tag == "td" and x.has_class("result-snippet")]
+                snippet = text_of(cells[0]) if cells else ""
+            found.append((rank, text_of(n), n.attrs.get("href") or "", snippet))
+    return found
+
+
+def result_hits(pages: DataFrame, html_col: str, *carried: str, base: str = "https://duckduckgo.com", noise_hosts: tuple[str, ...] = ("duckduckgo.com",), noise_titles: tuple[str, ...] = ("more info",)) -> DataFrame:
+    """(carried, rank, title, url, normalized_url, host, snippet) of archived result pages: redirect links are unwrapped, links
+    to the provider and links with a noise title are dropped and keep their rank. (SRC-13, URL-06, FLT-12)"""
+    kinds = dict(pages.dtypes)
 
-    return pages.mapInPandas(run, ", ".join([*(f"`{n}` {k}" for n, k in rest), "title string", "markdown string"]))
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            links = [result_links(h) for h in pdf[html_col]]
+            rows = pdf[list(carried)].loc[pdf.index.repeat([len(x) for x in links])].reset_index(drop=True)
+            flat = [x for page in links for x in page]
+            yield rows.assign(rank=[x[0] for x in flat], title=[x[1] for x in flat], href=[x[2] for x in flat], snippet=[x[3] for x in flat])
+
+    raw = pages.select(*carried, html_col).mapInPandas(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in carried), "rank int, title string, href string, snippet string"]))
+    href = F.trim("href")
+    absolute = F.when(F.startswith(href, F.lit("//")), F.concat(F.lit("https:"), href)).when(F.startswith(href, F.lit("/")), F.concat(F.lit(base), href)).otherwise(href)
+    hits = raw.filter(href != "").withColumn("url", U.unwrapped(absolute)).withColumn("title", F.coalesce(F.nullif("title", F.lit("")), F.col("url")))
+    hits = hits.withColumn("normalized_url", U.canonical(F.col("url"))).withColumn("host", U.host(F.col("normalized_url")))
+    return hits.filter(~F.col("host").isin(*noise_hosts) & ~F.lower(F.trim("title")).isin(*noise_titles)).select(*carried, "rank", "title", "url", "normalized_url", "host", "snippet")
+
+
+def canonical_meta(page_url: Column, canonical: Column) -> Column:
+    """The canonical link of a page as a canonical URL: relative ones against the page. (TXT-19)"""
+    root = F.regexp_extract(page_url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    folder = F.regexp_extract(page_url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
+    whole = F.when(F.rlike(canonical, F.lit(U.SCHEME)), canonical).when(F.startswith(canonical, F.lit("//")), F.concat(F.lit("https:"), canonical))
+    whole = whole.when(F.startswith(canonical, F.lit("/")), F.concat(root, canonical)).otherwise(F.concat(folder, canonical))
+    return F.when(F.coalesce(canonical, F.lit("")) != "", U.canonical(whole))

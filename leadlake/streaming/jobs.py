@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def first_seen(events: DataFrame, keys: Sequence[str], ts: str | None = None, delay: str = "1 hour") -> DataFrame:
@@ -14,9 +16,22 @@ def first_seen(events: DataFrame, keys: Sequence[str], ts: str | None = None, de
     return events.dropDuplicates(list(keys)) if ts is None else events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def process_once(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Every input file once, also across restarts: the checkpoint remembers them. (STM-02, STM-04)"""
-    stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def finished(query: StreamingQuery, seconds: float) -> None:
+    """Waits for a query that ends by itself; one that doesn't in time is stopped, and that is an error."""
+    if not query.awaitTermination(seconds):
+        query.stop()
+        raise TimeoutError(f"the stream did not end within {seconds} s")
+
+
+def process_once(stream: DataFrame, path: str, checkpoint: str, seconds: float = 3600) -> None:
+    """Appends what a stream makes of every input file to Parquet under ``path``, each file once, also across restarts: the
+    checkpoint remembers the files and the sink's own log the batches that are whole. (STM-02, STM-04)"""
+    finished(stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start(), seconds)
+
+
+def process_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, seconds: float = 3600) -> None:
+    """The same with a function for each batch, which may see a batch again after a failure. (STM-02)"""
+    finished(stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start(), seconds)
 
 
 def admitted(times: Sequence[float], kept: list[float], span: float, most: int) -> list[bool]:
@@ -31,18 +46,32 @@ def admitted(times: Sequence[float], kept: list[float], span: float, most: int)
 
 
 def rate_limit(events: DataFrame, user: str, ts: str, tie: str, seconds: float = 60, most: int = 10) -> DataFrame:
-    """``events`` plus accepted: a sliding window per user in which rejected events don't count. (STM-01, batch form)"""
+    """``events`` plus accepted: a sliding window per user in which rejected events don't count. (STM-01, batch form)
+
+    Rows are dealt by user and sorted; a task goes through them batch by batch and holds one user's admitted times, at
+    most ``most``.
+    """
     kinds = ", ".join(f"`{n}` {t}" for n, t in events.dtypes)
+    dealt = events.repartition(user).sortWithinPartitions(user, ts, tie)
 
-    def limit(pdf: pd.DataFrame) -> pd.DataFrame:
-        ordered = pdf.sort_values([ts, tie])
-        return ordered.assign(accepted=admitted(ordered[ts].astype("datetime64[us]").astype("int64").div(1e6).tolist(), [], seconds, most))
+    def limit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, kept, started = None, [], False
+        for batch in batches:
+            users = batch.column(batch.schema.get_field_index(user)).to_pylist()
+            times = batch.column(batch.schema.get_field_index(ts)).cast(pa.int64()).to_pylist()
+            ok = []
+            for u, t in zip(users, times, strict=True):
+                if not started or u != now:
+                    now, kept, started = u, [], True
+                ok += admitted([t / 1e6], kept, seconds, most)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ok, pa.bool_())], names=[*batch.schema.names, "accepted"])
 
-    return events.groupBy(user).applyInPandas(limit, f"{kinds}, accepted boolean")
+    return dealt.mapInArrow(limit, f"{kinds}, accepted boolean")
 
 
 def rate_limit_stream(events: DataFrame, user: str, ts: str, tie: str, seconds: float = 60, most: int = 10) -> DataFrame:
-    """The same over a stream: the admitted times of a user are the state. Events of a micro-batch are put in order. (STM-01)"""
+    """The same over a stream: the admitted times of a user are the state. Events of a micro-batch are put in order, so a
+    micro-batch (its input files) must be small enough for a user's events in it to fit a task. (STM-01)"""
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
     kinds = ", ".join(f"`{n}` {t}" for n, t in events.dtypes)

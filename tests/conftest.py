@@ -1,11 +1,6 @@
-import sys
-from pathlib import Path
-
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
