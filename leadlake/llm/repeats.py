@@ -27,10 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadlake.llm.session import bound_arrow_batches, fresh_path, materialise
+from leadlake.llm.session import bound_arrow_batches, fresh_path, in_buckets, materialise
 from leadlake.llm.words import Rolling
 
 BATCH_BYTES = 512 << 10
+BUCKET_BYTES, MOST_BUCKETS = 16 << 20, 50_000  # a task's texts; beyond so many buckets, more
 SHARD_BYTES, MOST_SHARDS = 4 << 20, 20_000  # a shard gets the pieces of so much text; beyond so many shards, of more, and uses its disk
 DENSE = 1 << 11  # different contexts of a gram, at most about as many bytes of pieces as a shard has
 BY_WINDOW, OPEN, PARTNER, SETTLED = range(4)
@@ -135,7 +136,7 @@ def often(found: DataFrame, *keys: str) -> DataFrame:
 def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField], batch_bytes: int = BATCH_BYTES, keep_text: bool = True, dense: int = DENSE) -> DataFrame:
     """``docs`` with the scheme's output columns; the work of the module's docstring.
 
-    The passes over the texts share one exchange of them, compressed; only hashes and pieces move besides. Counts are
+    The texts are dealt into batches and written once, compressed, in buckets of batches; the passes read them there and only hashes and pieces move. Counts are
     aggregates, summed before the shuffle and joined back, so AQE can split what one gram or window brings; what several
     steps read is written to the shared folder once.
     """
@@ -213,6 +214,9 @@ def cut(docs: DataFrame, text_col: str, scheme, out_fields: list[T.StructField],
             columns.append(texts.cast(pa.large_string()).cast(pa.string()))
         return pa.table([left.column("_row"), *columns], names=["_row", *new, *[text_col] * keep_text])
 
+    # Dealt once: where equal rows go depends on the task they are read in, which a later job may draw otherwise.
+    buckets = min(MOST_BUCKETS, max(spark.sparkContext.defaultParallelism, math.ceil(total / BUCKET_BYTES)))
+    held = in_buckets(held, "_batch", buckets, "repeats-texts")
     by_batch = held.groupBy("_batch")
     batch_of, no_bits = F.shiftright("tag", 1).alias("_batch"), F.lit(0).cast("long").alias("bits")
     if scheme.pieces is None:  # many occurrences: grams alone go first

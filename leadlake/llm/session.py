@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 ARROW_BATCH_BYTES = 8 << 20
 
 _local: dict[str, str] = {}
+_tables: dict[str, list[str]] = {}
 _written: dict[str, list[str]] = {}
 
 
@@ -44,8 +45,20 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_buckets(df: DataFrame, key: str, n: int, what: str) -> DataFrame:
+    """``df`` written once, dealt by ``key`` into ``n`` buckets, and read back: grouping or joining it by the key needs no further
+    exchange, and a value that can't be computed the same way twice (a task's number) is settled."""
+    spark = df.sparkSession
+    path, name = fresh_path(spark, what), f"leadlake_{uuid.uuid4().hex}"
+    df.repartition(n, key).write.format("parquet").option("path", path).bucketBy(n, key).saveAsTable(name)
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return spark.table(name)
+
+
 def release(spark: SparkSession) -> None:
     """Delete this application's scratch tables; call it only when every result over them is written."""
+    for name in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for path in _written.pop(spark.sparkContext.applicationId, []):
