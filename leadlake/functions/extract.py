@@ -9,16 +9,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from leadlake import rules as R
-from leadlake.functions.text import compact, has_any, keyword_in_context, slug
+from leadlake.functions.text import bound, compact, evidence_sentences, has_any, keyword_in_context, slug, strip_html
 
 WORD_NUMBERS = ("one", "two", "three", "four", "five", "six")
 
 
 def tags(text: Column, pack: R.TagRules) -> Column:
-    """Tags of the rules whose needle occurs, in first-seen order. (TXT-01, TXT-02)"""
+    """Tags of the rules whose needle occurs, in first-seen order. (TXT-01, TXT-02)
+
+    The rules are a literal array that a lambda goes through, so a pack of any length makes a plan of one size."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    hit = (lambda n: F.rlike(low, F.lit(rf"\b{re.escape(n)}\b"))) if pack.whole_words else (lambda n: F.contains(low, F.lit(n)))
-    found = F.array_distinct(F.array_compact(F.array(*(F.when(hit(needle), F.lit(tag)) for needle, tag in pack.pairs))))
+    if pack.whole_words:
+        hits = F.array_compact(F.array(*(F.when(F.rlike(low, F.lit(rf"\b{re.escape(needle)}\b")), F.lit(tag)) for needle, tag in pack.pairs)))
+    else:
+        rules = F.array(*(F.struct(F.lit(needle).alias("needle"), F.lit(tag).alias("tag")) for needle, tag in pack.pairs))
+        hits = bound(low, lambda t: F.transform(F.filter(rules, lambda r: F.contains(t, r["needle"])), lambda r: r["tag"]))
+    found = F.array_distinct(hits)
     return found if pack.default is None else F.when(F.size(found) == 0, F.array(F.lit(pack.default))).otherwise(found)
 
 
@@ -62,10 +68,15 @@ def currency(text: Column) -> Column:
 def pricing(text: Column, words: Sequence[str] = R.PRICE_WORDS, boarding: Sequence[str] = R.BOARDING_WORDS) -> Column:
     """struct<currency, amount_min, amount_max, boarding_included> from the surroundings of the first price word, else the whole text; null without an amount of 50 or more. (TXT-08)"""
     near = F.coalesce(*(keyword_in_context(text, w, 600) for w in words), text)
-    found = F.when(F.size(amounts(near)) > 0, amounts(near)).otherwise(amounts(text))
-    large = F.filter(found, lambda x: x >= 50)
-    included = F.when(has_any(F.lower(text), boarding), F.lit(True))
-    return F.when(F.size(large) > 0, F.struct(F.coalesce(currency(near), currency(text)).alias("currency"), F.array_min(large).alias("amount_min"), F.array_max(large).alias("amount_max"), included.alias("boarding_included")))
+    seen = bound(near, lambda n: F.struct(n.alias("near"), amounts(n).alias("found")))
+
+    def prices(x: Column) -> Column:
+        large = F.filter(F.when(F.size(x["found"]) > 0, x["found"]).otherwise(amounts(text)), lambda a: a >= 50)
+        included = F.when(has_any(F.lower(text), boarding), F.lit(True))
+        row = lambda v: F.struct(F.coalesce(currency(x["near"]), currency(text)).alias("currency"), F.array_min(v).alias("amount_min"), F.array_max(v).alias("amount_max"), included.alias("boarding_included"))
+        return bound(large, lambda v: F.when(F.size(v) > 0, row(v)))
+
+    return bound(seen, prices)
 
 
 def page_duration(text: Column) -> Column:
@@ -112,9 +123,9 @@ def phones(text: Column) -> Column:
 
 def contact(text: Column) -> Column:
     """struct<email, phone, status>: the first of each; found, partial or missing. (TXT-14)"""
-    both = F.array(F.struct(F.get(emails(text), F.lit(0)).alias("email"), F.get(phones(text), F.lit(0)).alias("phone")))
+    both = F.struct(F.get(emails(text), F.lit(0)).alias("email"), F.get(phones(text), F.lit(0)).alias("phone"))
     status = lambda x: F.when(x["email"].isNotNull() & x["phone"].isNotNull(), "found").when(x["email"].isNotNull() | x["phone"].isNotNull(), "partial").otherwise("missing")
-    return F.get(F.transform(both, lambda x: F.struct(x["email"].alias("email"), x["phone"].alias("phone"), status(x).alias("status"))), F.lit(0))  # each is searched once
+    return bound(both, lambda x: F.struct(x["email"].alias("email"), x["phone"].alias("phone"), status(x).alias("status")))
 
 
 def valid_email(v: Column) -> Column:
@@ -187,3 +198,25 @@ def renamed(code: Column, names: Mapping[str, str], default: Column | None = Non
 def label_of(pairs: Sequence[tuple[str, Sequence[str]]], lowered: Column) -> Column:
     """The label of the first pair of which some phrase occurs, else null."""
     return F.coalesce(*(F.when(has_any(lowered, words), F.lit(label)) for label, words in pairs))
+
+
+EVIDENCE_PATTERN = r"(?i)\$\s?\d|\bages?\b|\bgrades?\b|overnight|residential|sleepaway|boarding|dorm"
+
+
+def page_profile(html: Column) -> Column:
+    """What a page says at a glance: title, description, lang, prices, ages, duration, contact, overnight signals and up to eight
+    sentences of evidence, by patterns over the markup and its text. The text is made once per page. (TXT-17)"""
+    meta = F.regexp_extract(html, r"""(?is)<meta[^>]*\bname=["']description["'][^>]*\bcontent=["']([^"']*)["']""", 1)
+    base = F.struct(
+        compact(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"), compact(meta).alias("description"), F.lower(F.regexp_extract(html, r'(?i)<html[^>]*\blang="([^"]*)"', 1)).alias("lang"), strip_html(html).alias("text")
+    )
+
+    def facts(p: Column) -> Column:
+        text = p["text"]
+        found = amounts(text)
+        return F.struct(
+            p["title"].alias("title"), p["description"].alias("description"), p["lang"].alias("lang"), F.array_min(found).alias("price_min"), F.array_max(found).alias("price_max"), ages_and_grades(text).alias("ages"),
+            page_duration(text).alias("duration"), contact(text).alias("contact"), overnight_signals(text).alias("signals"), evidence_sentences(text, EVIDENCE_PATTERN).alias("evidence"),
+        )
+
+    return bound(base, facts)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -94,7 +94,15 @@ def is_placeholder(v: Column, exact: Sequence[str] = ("", "unknown", "n/a", "non
     return has_any(low, containing) | low.isin(*exact)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def has_any(lowered: Column, phrases: Sequence[str]) -> Column:
+    """Whether some phrase occurs. Over a literal array, so that long lists don't make long plans and methods."""
+    if len(phrases) > 3:
+        return bound(lowered, lambda text: F.exists(F.lit(list(phrases)), lambda p: F.contains(text, p)))
     out = F.lit(False)
     for p in phrases:
         out = out | F.contains(lowered, F.lit(p))

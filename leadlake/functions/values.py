@@ -33,6 +33,11 @@ def iso_utc(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def utc_now(as_of: Column | None = None) -> Column:
+    """The time of the query, or a given one in tests, as ISO text. (DAT-01)"""
+    return iso_utc(F.current_timestamp() if as_of is None else as_of)
+
+
 def activity(text: Column, year: int) -> Column:
     """active_recent if a text names one of three years or an enrolment phrase, else unknown. (DAT-02)"""
     low = F.lower(F.coalesce(text, F.lit("")))

@@ -15,6 +15,7 @@ from leadlake.functions.text import compact, has_any, slug
 from leadlake.operators import catalog as C
 from leadlake.operators import keyed as K
 from leadlake.operators import queues as Q
+from leadlake.scratch import materialise
 
 STRINGS = (
     "candidate_id candidate_name name title url query snippet operator_name venue_name city region country canonical_url source_language uncertainty overnight_evidence_snippet recent_activity_evidence_snippet "
@@ -274,8 +275,8 @@ def normalised_reports(spark: SparkSession, folder: str) -> DataFrame:
 
 def ingest(rows: DataFrame, year: int) -> dict[str, DataFrame]:
     """Tables of a run over report rows (``report_rows``): candidates, conflicts, followups, split_tasks, split_stubs and summary. (PIP-05, SNK-06)"""
-    normal = normalised(rows, year)
-    best, clashes = best_candidates(normal), candidate_conflicts(normal)
+    normal = materialise(normalised(rows, year), "candidates")
+    best, clashes = materialise(best_candidates(normal), "best-candidates"), candidate_conflicts(normal)
     followups, (tasks, stubs) = candidate_followups(best), split_queue(best)
     counts = {"aggregate_candidates": best, "aggregate_followups": followups, "aggregate_split_tasks": tasks, "duplicate_candidate_ids": clashes}
     parts = rows.groupBy("file").agg(F.count("*").alias("n")).select(F.lit("report").alias("kind"), F.col("file").alias("name"), "n")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -270,7 +270,11 @@ def probes_of(name: Column, most: int) -> Column:
 
     def at(length: Column) -> Column:
         cut = lambda i: F.floor(length * i / n).cast("int")
-        spans = F.flatten(F.array(*(F.transform(F.sequence(F.lit(-min(i, most)), F.lit(min(i, most))), lambda s, i=i: F.struct(F.lit(i).alias("i"), (cut(i) + s).alias("from"), (cut(i + 1) - cut(i)).alias("width"))) for i in range(n))))
+
+        def shifted(i: int) -> Callable[[Column], Column]:
+            return lambda s: F.struct(F.lit(i).alias("i"), (cut(i) + s).alias("from"), (cut(i + 1) - cut(i)).alias("width"))
+
+        spans = F.flatten(F.array(*(F.transform(F.sequence(F.lit(-min(i, most)), F.lit(min(i, most))), shifted(i)) for i in range(n))))
         inside = F.filter(spans, lambda x: (x["from"] >= 0) & (x["from"] + x["width"] <= size))
         return F.transform(inside, lambda x: F.struct(x["i"].alias("i"), F.substring(name, x["from"] + 1, x["width"]).alias("piece"), length.alias("of")))
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadlake import rules as R
 from leadlake.functions import extract as X
 from leadlake.functions import url as U
 from leadlake.functions.text import compact, first_text, slug
@@ -22,14 +23,33 @@ def followups(df: DataFrame, id_col: str, rules: Sequence[tuple]) -> DataFrame:
     return items.withColumn("queue_id", slug(F.concat_ws("-", F.col(id_col).cast("string"), "action")))
 
 
+def query_scope(*parts: str | None) -> str:
+    """Country and region as one suffix, without parts that name no place. (R12)"""
+    return " ".join(p.strip() for p in parts if (p or "").strip().lower() not in R.IGNORED_SCOPE)
+
+
+def query_templates(spark: SparkSession, family: str = "") -> DataFrame:
+    """The default templates and those of a program family, in order, as a small table. (PIP-01)"""
+    texts = (*R.DEFAULT_EXPANSIONS, *R.FAMILY_EXPANSIONS.get(family.lower(), ()))
+    return spark.createDataFrame(list(enumerate(texts)), "template_order int, template string")
+
+
 def query_plan(seeds: DataFrame, templates: DataFrame, scope: Column | None = None) -> DataFrame:
-    """seed x template (a bounded table, broadcast), each also with the scope unless it has it already; first of each text in any case. (PIP-01, JON-07)"""
-    paired = seeds.join(F.broadcast(templates), F.lit(True))
-    base = F.replace(F.col("template"), F.lit("{seed}"), F.col("seed"))
-    scoped = F.lit(None).cast("string") if scope is None else F.when(~F.contains(F.lower(base), F.lower(scope)), F.concat_ws(" ", base, scope))
-    variants = F.array_compact(F.array(F.struct(F.lit(0).alias("variant"), base.alias("query")), F.when(scoped.isNotNull(), F.struct(F.lit(1).alias("variant"), scoped.alias("query")))))
+    """seed x template (a bounded table, broadcast), each also with the scope unless it has it already; first of each text in any
+    case, with where it comes from: the seed's origin, _expanded and _scoped. (PIP-01, JON-07, R12)
+
+    ``seeds`` has seed and seed_order, and may have origin (cli or file).
+    """
+    origin = F.col("origin") if "origin" in seeds.columns else F.lit("cli")
+    paired = seeds.withColumn("origin", origin).join(F.broadcast(templates), F.lit(True))
+    base = F.trim(F.replace(F.col("template"), F.lit("{seed}"), F.col("seed")))
+    source = F.when(F.col("template") == "{seed}", F.col("origin")).otherwise(F.concat("origin", F.lit("_expanded")))
+    scoped = F.lit(None).cast("string") if scope is None else F.when((scope != "") & ~F.contains(F.lower(base), F.lower(scope)), F.concat_ws(" ", base, scope))
+    variant = lambda n, query, label: F.struct(F.lit(n).alias("variant"), query.alias("query"), label.alias("source"))
+    variants = F.array_compact(F.array(variant(0, base, source), F.when(scoped.isNotNull(), variant(1, scoped, F.concat(source, F.lit("_scoped"))))))
     rows = paired.select("seed", "seed_order", "template_order", F.inline(variants)).withColumn("key", F.lower("query"))
-    return keep_best(rows, ["key"], [F.col("seed_order"), F.col("template_order"), F.col("variant")]).drop("key")
+    best = keep_best(rows, ["key"], [F.col("seed_order"), F.col("template_order"), F.col("variant")]).drop("key")
+    return best.withColumn("parent_query", F.when(F.col("query") != F.col("seed"), F.col("seed")))
 
 
 def inverted(df: DataFrame, key: str, order: Column, **values: Column) -> DataFrame:
@@ -114,26 +134,37 @@ def dossiers(candidates: DataFrame) -> DataFrame:
     return dossier(made.withColumn("front_matter", header), F.col("name"), *sections).drop("_ages", "_grades", "_boarding")
 
 
-def triage(df: DataFrame, reply: Column, strong: Column, negative: str = "no") -> DataFrame:
-    """Adds verdict, confidence and excluded from a reply that holds a JSON object. A negative verdict on a row with a strong
-    signal becomes unclear at medium confidence; negative ones of high or medium confidence exclude. (PIP-15)"""
-    said = F.from_json(embedded_object(reply), "verdict string, confidence string")
-    guarded = (said["verdict"] == negative) & F.coalesce(strong, F.lit(False))
-    verdict, confidence = F.when(guarded, "unclear").otherwise(said["verdict"]), F.when(guarded, "medium").otherwise(said["confidence"])
-    excluded = F.coalesce((verdict == negative) & confidence.isin("high", "medium"), F.lit(False))
-    return df.withColumns({"verdict": verdict, "confidence": confidence, "excluded": excluded})
-
-
-def triage_batch(df: DataFrame, id_col: str, replies: DataFrame, reply: str, strong: Column, negative: str = "no") -> DataFrame:
-    """``df`` with verdict, confidence, excluded and reason (missing_reply where no batch reply answers for the id). A reply holds a
-    JSON array of (id, verdict, confidence) in free text. (PIP-15, JON-11)"""
-    items = replies.select(F.inline(F.from_json(embedded_array(F.col(reply)), "array<struct<id: string, verdict: string, confidence: string>>")))
-    last = items.filter("id is not null").groupBy(F.col("id").alias("_id")).agg(F.max(F.struct("verdict", "confidence")).alias("_said"))
-    joined = df.join(last, F.col(id_col).cast("string") == F.col("_id"), "left")
-    guarded = (F.col("_said.verdict") == negative) & F.coalesce(strong, F.lit(False))
-    verdict, sure = F.when(guarded, "unclear").otherwise(F.col("_said.verdict")), F.when(guarded, "medium").otherwise(F.col("_said.confidence"))
-    excluded = F.coalesce((verdict == negative) & sure.isin("high", "medium"), F.lit(False))
-    return joined.withColumns({"verdict": verdict, "confidence": sure, "excluded": excluded, "reason": F.when(F.col("_id").isNull(), "missing_reply")}).drop("_id", "_said")
+VERDICT = "verdict string, confidence string, reason string, exclusion_reason string, signals array<string>"
+
+
+def guarded(said: Column, strong: Column, meta: Column, negative: str) -> Column:
+    """A verdict as parsed, or, if it is negative on a row with strong signals that is no meta record, unclear at medium confidence, with the reason and the signals extended. (R14)"""
+    held = F.coalesce((said["verdict"] == negative) & strong & ~meta, F.lit(False))
+    reason = F.trim(F.concat_ws(" ", said["reason"], F.lit(R.GUARD_REASON)))
+    signals = F.array_append(F.filter(F.coalesce(said["signals"], F.array().cast("array<string>")), lambda x: x.isNotNull() & (x != "")), F.lit(R.GUARD_SIGNAL))
+    changed = F.struct(F.lit("unclear").alias("verdict"), F.lit("medium").alias("confidence"), reason.alias("reason"), F.lit(None).cast("string").alias("exclusion_reason"), signals.alias("signals"))
+    return F.when(held, changed).otherwise(said)
+
+
+def with_verdict(df: DataFrame, said: Column, strong: Column, meta: Column, negative: str) -> DataFrame:
+    """``df`` plus verdict, confidence, reason, exclusion_reason, signals and excluded: a negative verdict of high or medium confidence excludes."""
+    judged = df.withColumn("_v", guarded(said, strong, meta, negative))
+    excluded = F.coalesce((F.col("_v.verdict") == negative) & F.col("_v.confidence").isin("high", "medium"), F.lit(False))
+    return judged.withColumns({n: F.col(f"_v.{n}") for n in ("verdict", "confidence", "reason", "exclusion_reason", "signals")} | {"excluded": excluded}).drop("_v")
+
+
+def triage(df: DataFrame, reply: Column, strong: Column, negative: str = "no", meta: Column | None = None) -> DataFrame:
+    """``df`` with the verdict columns from a reply that holds a JSON object in free text. (PIP-15)"""
+    return with_verdict(df, F.from_json(embedded_object(reply), VERDICT), F.coalesce(strong, F.lit(False)), F.lit(False) if meta is None else meta, negative)
+
+
+def triage_batch(df: DataFrame, id_col: str, replies: DataFrame, reply: str, strong: Column, negative: str = "no", meta: Column | None = None) -> DataFrame:
+    """``df`` with the verdict columns and skipped (missing_reply where no batch reply answers for the id). A reply holds a JSON
+    array of verdicts with ids in free text. (PIP-15, JON-11)"""
+    items = replies.select(F.explode(F.from_json(embedded_array(F.col(reply)), f"array<struct<id string, {VERDICT}>>")).alias("_said")).filter("_said.id is not null")
+    last = items.groupBy(F.col("_said.id").alias("_id")).agg(F.max("_said").alias("_said"))
+    joined = df.join(last, F.col(id_col).cast("string") == F.col("_id"), "left").withColumn("skipped", F.when(F.col("_id").isNull(), "missing_reply"))
+    return with_verdict(joined, F.col("_said").dropFields("id"), F.coalesce(strong, F.lit(False)), F.lit(False) if meta is None else meta, negative).drop("_id", "_said")
 
 
 def validation_needs(basis: Column, types: Column, activity: Column, duration: Column, recent: Column, price: Column, contact: Column, ages: Column, no_type: str = "unknown") -> Column:

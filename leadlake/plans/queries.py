@@ -61,10 +61,18 @@ def html_strip_stats(t):
     return txt.select("page_id", F.length("txt").cast("long").alias("n_chars"), S.n_words(F.col("txt")).alias("n_words"), S.sha256(F.col("txt")).alias("content_sha256"))
 
 
-@query("SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g')) AS title, lower(regexp_extract(html, '(?i)<html[^>]*\\blang=\"([^\"]*)\"', 1)) AS lang FROM pages")
+@query(f"""WITH h AS (SELECT page_id, html || '<p>Overnight ' || page_id || ' days, ages 8-12, $' || (page_id * 60) || '. Call 604-555-0199 or a' || page_id || '@site.org for it</p>' AS html FROM pages), s AS (SELECT page_id, html, {STRIP_SQL} AS txt FROM h)
+SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g')) AS title, lower(regexp_extract(html, '(?i)<html[^>]*\\blang="([^"]*)"', 1)) AS lang, list_aggregate(list_filter(list_transform(regexp_extract_all(txt, '(?i)(?:CAD|CA\\$|MXN|MX\\$|USD|US\\$|\\$)\\s*([\\d,]+(?:\\.\\d+)?)', 1), lambda x: replace(x, ',', '')::DOUBLE), lambda x: x > 0 AND NOT (floor(x) BETWEEN 2020 AND 2034)), 'max') AS price_max,
+ 8 AS age_min, CASE WHEN page_id BETWEEN 1 AND 60 THEN page_id END::INT AS max_days, 'a' || page_id || '@site.org' AS email, 'overnight' AS signals, len(regexp_extract_all(txt, 'Overnight \\d+ days'))::INT AS n_evidence FROM s""")
 def page_profile(t):
-    html = F.col("html")
-    return t("pages").select("page_id", S.compact(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"), F.lower(F.regexp_extract(html, r'(?i)<html[^>]*\blang="([^"]*)"', 1)).alias("lang"))
+    """(TXT-17, TXT-18, STR-11)"""
+    key = F.col("page_id").cast("string")
+    html = F.concat("html", F.lit("<p>Overnight "), key, F.lit(" days, ages 8-12, $"), (F.col("page_id") * 60).cast("string"), F.lit(". Call 604-555-0199 or a"), key, F.lit("@site.org for it</p>"))
+    rows = t("pages").select("page_id", X.page_profile(html).alias("p"))
+    return rows.select(
+        "page_id", "p.title", "p.lang", "p.price_max", "p.ages.age_min", F.col("p.duration.max_days").alias("max_days"), "p.contact.email", F.array_join("p.signals", ",").alias("signals"),
+        F.size(F.filter("p.evidence", lambda s: F.rlike(s, F.lit(r"Overnight \d+ days")))).alias("n_evidence"),
+    )
 
 
 @query(CANON_SQL + """, o AS (SELECT canonical_url, arg_min(html, page_id) AS was, count(*) FILTER (NOT starts_with(host, 'm.')) AS again, arg_max(CASE WHEN length(html) % 11 = 0 THEN NULL ELSE html END, page_id) FILTER (NOT starts_with(host, 'm.') AND length(html) % 11 <> 0) AS x, arg_max(page_id, page_id) FILTER (NOT starts_with(host, 'm.')) AS lp FROM c GROUP BY 1)
@@ -247,14 +255,15 @@ def followup_queue(t):
     return Q.followups(rows, "o_orderkey", rules).drop("reason")
 
 
-@query("""WITH q AS (SELECT lower(replace(t, '{seed}', p_name || ' ' || p_brand)) AS q FROM part, (VALUES ('{seed} camps'), ('{seed} overnight'), ('best {seed} camps')) AS v(t)),
-s AS (SELECT DISTINCT q AS query FROM q UNION SELECT q || ' summer' FROM q) SELECT query FROM s""")
+@query("""WITH t AS (SELECT * FROM (VALUES (0, '{seed}'), (1, '{seed} overnight camp'), (2, '{seed} residential summer camp'), (3, '{seed} youth overnight program'), (4, '{seed} residential arts camp')) AS v(o, t)),
+q AS (SELECT p_partkey AS k, o, p_name || ' ' || p_brand AS seed, replace(t, '{seed}', p_name || ' ' || p_brand) AS q, CASE WHEN p_size % 2 = 0 THEN 'file' ELSE 'cli' END || CASE WHEN o = 0 THEN '' ELSE '_expanded' END AS source FROM part, t),
+v AS (SELECT k, o, 0 AS n, seed, q, source FROM q UNION ALL SELECT k, o, 1, seed, q || ' CA BC', source || '_scoped' FROM q)
+SELECT query, source, parent_query FROM (SELECT q AS query, source, CASE WHEN q <> seed THEN seed END AS parent_query, row_number() OVER (PARTITION BY lower(q) ORDER BY k, o, n) AS rn FROM v) WHERE rn = 1""")
 def query_plan(t):
-    parts = t("part")
-    seeds = parts.select(F.concat_ws(" ", "p_name", "p_brand").alias("seed"), F.col("p_partkey").alias("seed_order"))
-    texts = [(i, x) for i, x in enumerate(("{seed} camps", "{seed} overnight", "best {seed} camps"))]
-    templates = parts.sparkSession.createDataFrame(texts, "template_order int, template string")
-    return Q.query_plan(seeds, templates, F.lit("summer")).select(F.lower("query").alias("query"))
+    """(PIP-01, JON-07, R12)"""
+    origin = F.when(F.col("p_size") % 2 == 0, "file").otherwise("cli")
+    seeds = t("part").select(F.concat_ws(" ", "p_name", "p_brand").alias("seed"), F.col("p_partkey").alias("seed_order"), origin.alias("origin"))
+    return Q.query_plan(seeds, Q.query_templates(seeds.sparkSession, "Arts"), F.lit(Q.query_scope("CA", "nationwide", " BC "))).select("query", "source", "parent_query")
 
 
 @query("SELECT event_type, array_to_string(list_sort(list_distinct(list(user_id % 10)))::VARCHAR[], ',') AS users, count(*)::BIGINT AS n FROM events GROUP BY 1")
@@ -330,12 +339,14 @@ def first_useful(t):
     return K.first_useful(t("orders"), "o_custkey", [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()], 3, F.col("o_totalprice") > 100000).select("o_custkey", "o_orderkey", "o_totalprice")
 
 
-@query("SELECT c_custkey, verdict, c_acctbal < 0 AND verdict = 'no' AS excluded FROM (SELECT c_custkey, c_acctbal, CASE WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' THEN 'unclear' WHEN c_acctbal < 0 THEN 'no' ELSE 'likely' END AS verdict FROM customer)")
+@query("""SELECT c_custkey, verdict, c_acctbal < 0 AND verdict = 'no' AS excluded, CASE WHEN verdict = 'unclear' THEN 'told. Guardrail: residential/pre-college/specialty overnight signals require manual review.' ELSE 'told.' END AS reason, CASE WHEN verdict = 'unclear' THEN NULL ELSE 'x' END AS exclusion_reason, CASE WHEN verdict = 'unclear' THEN 2 ELSE 1 END AS n_signals
+FROM (SELECT c_custkey, c_acctbal, CASE WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' AND c_custkey % 3 <> 0 THEN 'unclear' WHEN c_acctbal < 0 THEN 'no' ELSE 'likely' END AS verdict FROM customer)""")
 def triage(t):
-    """Verdicts parsed from reply text, with the guardrail against negative verdicts on strong signals. (PIP-15, JON-11)"""
+    """Verdicts parsed from reply text, with the guardrail against negative verdicts on strong signals. (PIP-15, JON-11, R14)"""
     verdict = F.when(F.col("c_acctbal") < 0, "no").otherwise("likely")
-    reply = F.concat(F.lit("Sure: {\"verdict\": \""), verdict, F.lit("\", \"confidence\": \"high\"} done"))
-    return Q.triage(t("customer").withColumn("reply", reply), F.col("reply"), F.col("c_mktsegment") == "BUILDING", "no").select("c_custkey", "verdict", "excluded")
+    reply = F.concat(F.lit("Sure: {\"verdict\": \""), verdict, F.lit("\", \"confidence\": \"high\", \"reason\": \"told.\", \"exclusion_reason\": \"x\", \"signals\": [\"s\"]} done"))
+    judged = Q.triage(t("customer").withColumn("reply", reply), F.col("reply"), F.col("c_mktsegment") == "BUILDING", "no", F.col("c_custkey") % 3 == 0)
+    return judged.select("c_custkey", "verdict", "excluded", "reason", "exclusion_reason", F.size("signals").alias("n_signals"))
 
 
 @query("""WITH n AS (SELECT o_orderkey, ['venue_candidate', 'venue_candidate_pending_confirmation', 'multi_venue_candidate'][1 + (o_custkey % 3)::INT] AS basis, o_orderstatus AS s, o_orderpriority AS p, o_totalprice AS v, o_orderdate AS d FROM orders)

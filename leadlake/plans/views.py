@@ -259,7 +259,7 @@ def triage_batches(t):
     orders = t("orders").select("o_orderkey", "o_custkey", F.rlike("o_orderpriority", F.lit("^[12]")).alias("strong"), F.when(F.col("o_orderstatus") == "F", "no").otherwise("likely").alias("v"))
     answer = F.to_json(F.collect_list(F.struct(F.col("o_orderkey").alias("id"), F.col("v").alias("verdict"), F.lit("high").alias("confidence"))))
     replies = orders.filter("o_custkey % 7 <> 0").groupBy((F.col("o_orderkey") % 1000).alias("batch"), "o_custkey").agg(F.concat(F.lit("Here: "), answer, F.lit(" done")).alias("reply"))
-    return Q.triage_batch(orders, "o_orderkey", replies, "reply", F.col("strong"), "no").select("o_orderkey", "verdict", "excluded", F.col("reason").isNotNull().alias("missing"))
+    return Q.triage_batch(orders, "o_orderkey", replies, "reply", F.col("strong"), "no").select("o_orderkey", "verdict", "excluded", F.col("skipped").isNotNull().alias("missing"))
 
 
 @query("SELECT s_suppkey, s_name AS title, 'medium' AS confidence, CASE WHEN s_suppkey % 4 = 0 THEN 'unknown_city' ELSE '' END AS reasons, CASE WHEN s_suppkey % 4 = 0 THEN false ELSE true END AS rendered FROM supplier")

@@ -97,6 +97,15 @@ STANDARD_FAMILIES = (
 STANDARD_TYPES = ("overnight", "residential", "residential-academic", "retreat", "research-program", "program-dependent")
 FUNDED_PHRASES = ("fully funded", "scholarship")
 PHASE1_BOARDING_WORDS = ("all-inclusive", "including", "includes", "boarding", "accommodation", "meals", "housing", "lodging")
+DEFAULT_EXPANSIONS = ("{seed}", "{seed} overnight camp", "{seed} residential summer camp", "{seed} youth overnight program")
+FAMILY_EXPANSIONS = {
+    "college-pre-college": ("{seed} pre-college residential program", "{seed} summer residential high school program", "{seed} on-campus summer program for high school students"),
+    "sports": ("{seed} overnight sports camp", "{seed} residential athletic camp"), "arts": ("{seed} residential arts camp",), "music": ("{seed} residential music camp", "{seed} band camp overnight"),
+    "faith-based": ("{seed} youth retreat overnight", "{seed} faith-based summer camp residential"), "family": ("{seed} family camp lodging",),
+}
+IGNORED_SCOPE = ("", "all", "any", "multi", "na", "n/a", "national", "nationwide", "unk", "unknown")
+GUARD_REASON = "Guardrail: residential/pre-college/specialty overnight signals require manual review."
+GUARD_SIGNAL = "Guardrail triggered: structured residential or pre-college signals present."
 #: (country, region or null for the rest of the country) -> language mode and query angles.
 REGION_TEMPLATES = (
     ("US", None, "english-first; keep Spanish and French evidence when encountered", ('"overnight summer camp" "{region}"', '"residential summer camp" "{region}"', '"family camp" "{region}"', '"youth retreat" "{region}" overnight', 'site:.edu "{region}" "pre-college" residential')),

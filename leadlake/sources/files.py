@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,8 +17,13 @@ CORRUPT = "_corrupt_record"
 
 
 def jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Strict: a bad line fails the job; blank lines are skipped. (SRC-01)"""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    """Strict: a bad line fails the job; blank lines are skipped, a path that isn't there is an empty table. (SRC-01)"""
+    try:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def jsonl_tolerant(spark: SparkSession, path: str, schema: str, pattern: str = "*") -> DataFrame:
@@ -154,6 +160,11 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.select(*sorted(df.columns)).write.mode(mode).json(path)
 
 
+def write_summary(summary: DataFrame, path: str) -> None:
+    """The one JSON text of a run's summary. (SNK-06)"""
+    summary.select("summary").coalesce(1).write.mode("overwrite").text(path)
+
+
 def upserted(current: DataFrame, incoming: DataFrame, key: str, priority: Column, keep_old: Sequence[str] = ()) -> DataFrame:
     """``current`` after ``incoming``, whose best row per key replaces or joins it, with the action taken. Nulls overwrite,
     but for the columns ``keep_old``, where a null leaves the old value. (SNK-04, SNK-05)"""

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlake.functions import url as U
@@ -124,7 +124,7 @@ def markdown(node: Node) -> str:
             out.append(prefix + line)
             prefix = ""
 
-    for kind, x in events(node):
+    for kind, x in events(node, DROPPED | {"title"}):
         if kind == "text":
             held.append(x)
             continue
@@ -192,6 +192,18 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return pages.select(*(f"`{n}`" for n, _ in rest), html_col).mapInPandas(run, ", ".join([*(f"`{n}` {k}" for n, k in rest), *(f"{f} string" for f in FIELDS)]))
 
 
+class ExtractContent:
+    """The same as a table function for SQL: SELECT * FROM pages, LATERAL extract_content(html). (UDF-04)"""
+
+    def eval(self, html: str | None):
+        found = parse(html)
+        yield tuple(found[f] for f in FIELDS)
+
+
+def register(spark: SparkSession) -> None:
+    spark.udtf.register("extract_content", F.udtf(ExtractContent, returnType=", ".join(f"{f} string" for f in FIELDS)))
+
+
 def result_links(html: str | None) -> list[tuple[int, str, str, str]]:
     """(rank, title, href, snippet) of the links of a result page; the snippet stands in the row after the link's."""
     found, rank, next_row = [], 0, {}

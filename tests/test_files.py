@@ -22,6 +22,21 @@ def test_scans(spark, tmp_path):
     assert sorted((r.source_url or "", r.resolved_url or "") for r in files.manifest_urls(spark, str(tmp_path / "m")).collect()) == [("", "v"), ("u", "")]
 
 
+def test_missing_file_is_empty(spark, tmp_path):
+    assert files.jsonl(spark, str(tmp_path / "none"), "a int").count() == 0
+
+
+def test_table_function(spark):
+    html.register(spark)
+    spark.createDataFrame([("<title>T</title><p>x",), (None,)], "html string").createOrReplaceTempView("some_pages")
+    assert sorted(map(tuple, spark.sql("SELECT title, markdown FROM some_pages, LATERAL extract_content(html)").collect())) == [("", ""), ("T", "x")]
+
+
+def test_summary(spark, tmp_path):
+    files.write_summary(spark.createDataFrame([('{"a":1}',)], "summary string"), str(tmp_path / "s"))
+    assert spark.read.json(str(tmp_path / "s")).first().a == 1
+
+
 def test_upsert(spark):
     old = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id int, v string, w string")
     new = spark.createDataFrame([(2, "c", "p", 1), (2, None, None, 0), (3, "e", "q", 0)], "id int, v string, w string, p int")
@@ -38,7 +53,7 @@ def test_evidence_index(spark, tmp_path):
 
 
 def test_main_content():
-    page = '<html lang="en"><head><title> T </title><meta name="description" content=" D  d "><link rel="canonical" href="/c"></head><body><nav>menu</nav><main><h1>Head</h1><p>Text <b>bold</b> and <a href="/x">a link</a></p><ul><li>x</ul><ol><li>y<li>z</ol></main><footer>f</footer>'
+    page = '<html lang="en"><head><title> T </title><meta name="description" content=" D  d "><link rel="canonical" href="/c"></head><body><nav>menu</nav><main><h1>Head</h1><p>Text <b>bold</b> and <a href="/x">a link</a></p><ul><li>x</ul><ol><li>y</li><li>z</li></ol></main><footer>f</footer>'
     assert html.parse(page) == {"title": "T", "description": "D d", "canonical": "/c", "lang": "en", "markdown": "# Head\n\nText **bold** and [a link](/x)\n\n- x\n\n1. y\n\n2. z"}
     assert html.parse(None) == dict.fromkeys(html.FIELDS, "")
 
@@ -46,7 +61,8 @@ def test_main_content():
 def test_best_block():
     long = "word " * 60
     page = f"<body><div><a>1</a><a>2</a></div><section><p>{long}</p></section><header>kept</header><script>s</script></body>"
-    assert html.parse(page)["markdown"].endswith("kept")  # the body holds more than the section
+    assert html.parse(page)["markdown"] == long.strip()  # links count against the body
+    assert html.parse(page.replace("<a>2</a>", ""))["markdown"].endswith("kept")  # else it scores more than the section
     assert html.parse("<body><p>short</p></body>")["markdown"] == "short"
 
 

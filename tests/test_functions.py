@@ -1,3 +1,5 @@
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from leadlake import rules as R
@@ -33,6 +35,30 @@ def test_slug_and_texts(spark):
     assert one(spark, "Sleep here overnight, really. No. Stay overnight in a dorm!", S.evidence_sentences(F.col("v"), "overnight")) == ["Sleep here overnight, really", "Stay overnight in a dorm"]
 
 
+def test_fold_equals_decomposition(spark):
+    letters = [chr(c) for c in [*range(0x80, 0x250), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F)]]
+    plain = lambda x: unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode()
+    single = "".join(x for x in letters if len(plain(x)) < 2)
+    assert one(spark, single, S.ascii_fold(F.col("v"))) == plain(single)
+    assert one(spark, "".join(letters), S.ascii_nfkd(F.col("v"))) == plain("".join(letters))
+    assert one(spark, "Šípková Őrült Łódź ąę", S.slug(F.col("v"))) == "sipkova-orult-odz-ae"
+
+
+def test_provisional_tags(spark):
+    tags = F.array(F.lit("STEM"), F.lit("other"), F.lit("Overnight"), F.lit("3-week"), F.lit("2-week"))
+    p = one(spark, "", X.provisional(tags))
+    assert (p.families, p.types, tuple(p.duration)) == (["stem"], ["overnight"], ("3-week", 21, 21))
+    assert one(spark, "", X.provisional(F.lit(None).cast("array<string>"))).duration is None
+
+
+def test_texts_without_a_value(spark):
+    c = one(spark, None, X.contact(F.col("v")))
+    assert (c.email, c.phone, c.status) == (None, None, "missing")
+    assert one(spark, None, X.pricing(F.col("v"))) is None
+    p = one(spark, None, X.page_profile(F.col("v")))
+    assert p is None or (p.contact.email is None and not p.signals)
+
+
 def test_duration_chain(spark):
     for text, expected in {"one-week-plus": ("one-week-plus", 7, None), "A 3-week stay": ("3-week", 21, 21), "two week": ("two-week", 14, 14), "a week": ("week-based", 7, None), "": ("unknown", None, None)}.items():
         assert tuple(one(spark, text, X.duration(F.col("v")))) == expected
