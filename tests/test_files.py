@@ -60,9 +60,9 @@ def test_main_content():
 
 def test_best_block():
     long = "word " * 60
-    page = f"<body><div><a>1</a><a>2</a></div><section><p>{long}</p></section><header>kept as it is</header><script>s</script></body>"
+    page = f"<body><div><a>1</a><a>2</a></div><section><p>{long}</p></section><header>kept</header><script>s</script></body>"
     assert html.parse(page)["markdown"] == long.strip()  # links count against the body
-    assert html.parse(page.replace("<a>2</a>", ""))["markdown"].endswith("kept as it is")  # else it scores more than the section
+    assert html.parse(page.replace("kept", "kept as it is"))["markdown"].endswith("kept as it is")  # else it scores more than the section
     assert html.parse("<body><p>short</p></body>")["markdown"] == "short"
 
 
