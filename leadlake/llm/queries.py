@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlake.llm import bpe, forest, mixing, quality, session, simhash, substring, suffix, tokencount, urlfilter, warc
+from leadlake.llm import bpe, crf, forest, importance, mixing, quality, repair, session, simhash, substring, suffix, tokencount, urlfilter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,7 +65,26 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return crf.classify(docs, crf.train(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.summaries(repair.repair(repair.damage(told), told))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op2_quality_rules, op3_warc, op4_mixing, op5_embedding_dedup, op6_url_filter, op7_token_counts, op8_substring_dedup, op9_byte_dedup, op10_simhash)
+    f.__name__: f
+    for f in (
+        op1_byte_bpe, op2_quality_rules, op3_warc, op4_mixing, op5_embedding_dedup, op6_url_filter, op7_token_counts, op8_substring_dedup, op9_byte_dedup, op10_simhash,
+        op11_line_quality, op12_resample, op13_conversation_repair,
+    )
 }
-ORACLES: dict[str, str] = {"op3_warc": warc.SQL, "op4_mixing": mixing.SQL, "op6_url_filter": urlfilter.SQL}
+ORACLES: dict[str, str] = {"op3_warc": warc.SQL, "op4_mixing": mixing.SQL, "op6_url_filter": urlfilter.SQL, "op12_resample": importance.SQL, "op13_conversation_repair": repair.SQL}
