@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from leadlake.functions import url as U
 from leadlake.operators.keyed import keep_last
 from leadlake.rules import BASIS_RANK
+from leadlake.scratch import materialise
 
 
 def visible(excluded: Column) -> Column:
@@ -109,32 +110,48 @@ TRANSITIONS = {("draft", "submit"): "submitted", ("changes_requested", "submit")
 def replay(events: DataFrame, id_col: str, order: Sequence[str], action: Column, transitions: Mapping[tuple[str, str], str] = TRANSITIONS, start: str = "draft") -> DataFrame:
     """(id, state, applied, illegal) after all events of an item in order; an illegal event changes nothing, nulls neither. (PIP-18)
 
-    Rows are dealt by id and sorted; a task folds them batch by batch and holds one item's state at a time, however long
-    its history is.
+    Every event is a function over the states, and functions compose. Rows are dealt by ranges of (id, order), so that an item with
+    most of the events lies in many ranges; a task composes the events of each item in its range to one row (for each
+    state: where it leads and how many events applied on the way); an item's few ranges are then put one after the other.
     """
+    states = sorted({start, *(s for s, _ in transitions), *transitions.values()})
     kind = events.schema[id_col].dataType.simpleString()
-    dealt = events.select(F.col(id_col), action.alias("action"), *order).repartition(id_col).sortWithinPartitions(id_col, *order).select(id_col, "action")
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item, state, applied, illegal, started, done = None, start, 0, 0, False, []
+    place = [F.col(c).asc_nulls_first() for c in (id_col, *order)]
+    dealt = events.select(F.col(id_col), action.alias("_action"), *order).repartitionByRange(*place).sortWithinPartitions(*place).select(id_col, "_action", F.spark_partition_id().alias("_part"))
+    number = {s: i for i, s in enumerate(states)}
+    moves = {act: tuple(number[transitions.get((s, act), s)] for s in states) for act in {a for _, a in transitions}}
+    counts = {act: tuple((s, act) in transitions for s in states) for act in moves}
+
+    def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        itself, none = tuple(range(len(states))), (0,) * len(states)
+        item, part, leads, applied, n, done = None, None, itself, none, 0, []
         for batch in batches:
+            part = batch.column(2)[0].as_py() if batch.num_rows else part
             for key, act in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if started and key != item:
-                    done.append((item, state, applied, illegal))
-                if not started or key != item:
-                    item, state, applied, illegal, started = key, start, 0, 0, True
-                to = transitions.get((state, act))
-                state, applied, illegal = (to, applied + 1, illegal) if to else (state, applied, illegal + 1)
+                if n and key != item:
+                    done.append((item, part, leads, applied, n))
+                    leads, applied, n = itself, none, 0
+                item, n = key, n + 1
+                if act in moves:
+                    to, counted = moves[act], counts[act]
+                    applied = tuple(a + counted[s] for a, s in zip(applied, leads, strict=True))
+                    leads = tuple(to[s] for s in leads)
             yield table(done, batch.schema.field(0).type)
             done = []
-        if started:
-            yield table([(item, state, applied, illegal)], batch.schema.field(0).type)
+        if n:
+            yield table([(item, part, leads, applied, n)], batch.schema.field(0).type)
 
     def table(rows: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
-        columns = list(zip(*rows, strict=True)) if rows else [()] * 4
-        return pa.record_batch([pa.array(c, t) for c, t in zip(columns, (key_type, pa.string(), pa.int32(), pa.int32()), strict=True)], names=[id_col, "state", "applied", "illegal"])
+        columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+        types = (key_type, pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64())
+        return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[id_col, "part", "leads", "applied", "n"])
 
-    return dealt.mapInArrow(fold, f"`{id_col}` {kind}, state string, applied int, illegal int")
+    pieces = dealt.mapInArrow(compose, f"`{id_col}` {kind}, part int, leads array<int>, applied array<bigint>, n bigint")
+    ordered = pieces.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("part", "leads", "applied"))).alias("_pieces"), F.sum("n").alias("_n"))  # one per range at most
+    begin = F.struct(F.lit(number[start]).alias("state"), F.lit(0).cast("long").alias("applied"))
+    end = F.aggregate("_pieces", begin, lambda at, p: F.struct(F.get(p["leads"], at["state"]).alias("state"), (at["applied"] + F.get(p["applied"], at["state"])).alias("applied")))
+    out = ordered.withColumn("_end", end)
+    return out.select(id_col, F.get(F.array(*map(F.lit, states)), F.col("_end.state")).alias("state"), F.col("_end.applied").cast("int").alias("applied"), (F.col("_n") - F.col("_end.applied")).cast("int").alias("illegal"))
 
 
 def matching(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
@@ -220,15 +237,18 @@ def capture_order(activity: Column, basis: Column, one_week: Column, country: Co
 
 
 def duplicate_probe(new: DataFrame, catalog: DataFrame, key: str, url: str, name: str, block: Sequence[str], most: int = 3) -> DataFrame:
-    """(new_id, catalog_id, reason, distance): catalog rows that a new row may repeat, by id, by canonical URL, or by a name
-    within ``most`` edits in the same block. Pairs are asked for one by one by the new rows; each reason is an equi-join. (PIP-21)"""
+    """(new_id, catalog_id, reason, distance, n): catalog rows that a new row may repeat, by id, by canonical URL, or by a name
+    within ``most`` edits in the same block. Of rows with one URL, or one name in a block, the least id stands for all n. Each reason is an equi-join. (PIP-21)"""
     a = new.select(F.col(key).alias("new_id"), U.canonical(F.col(url)).alias("_url"), F.col(name).alias("_name"), *block)
     b = catalog.select(F.col(key).alias("catalog_id"), U.canonical(F.col(url)).alias("_url"), F.col(name).alias("_name"), *block)
     none = F.lit(None).cast("int")
-    same = a.join(b.select("catalog_id"), F.col("new_id") == F.col("catalog_id")).select("new_id", "catalog_id", F.lit("id").alias("reason"), none.alias("distance"))
-    urls = a.filter("_url <> ''").join(b.select("catalog_id", "_url"), "_url").select("new_id", "catalog_id", F.lit("url").alias("reason"), none.alias("distance"))
-    near = similar_names(a, "new_id", b, "catalog_id", "_name", block, most)
-    return same.union(urls).union(near.select("new_id", "catalog_id", F.lit("name").alias("reason"), "distance"))
+    one = F.lit(1).cast("long")
+    same = a.join(b.select("catalog_id"), F.col("new_id") == F.col("catalog_id")).select("new_id", "catalog_id", F.lit("id").alias("reason"), none.alias("distance"), one.alias("n"))
+    least = (F.min("catalog_id").alias("catalog_id"), F.count("*").alias("n"))
+    urls = a.filter("_url <> ''").join(b.filter("_url <> ''").groupBy("_url").agg(*least), "_url").select("new_id", "catalog_id", F.lit("url").alias("reason"), none.alias("distance"), "n")
+    named = materialise(b.groupBy(*block, "_name").agg(*least), "probe-names")
+    near = similar_names(a, "new_id", named, "catalog_id", "_name", block, most).join(named.select("catalog_id", "n"), "catalog_id")
+    return same.union(urls).union(near.select("new_id", "catalog_id", F.lit("name").alias("reason"), "distance", "n"))
 
 
 def recommended(venue: Column, place: Column, url: Column, operator: Column, multi: Column) -> Column:
@@ -281,12 +301,45 @@ def probes_of(name: Column, most: int) -> Column:
     return F.array_distinct(F.flatten(F.transform(of, at)))
 
 
+#: Letters of a gram.
+GRAM = 2
+
+
+def rare_grams(df: DataFrame, id_col: str, name: str, frequencies: DataFrame, most: int) -> DataFrame:
+    """(id, gram): the ``most * GRAM + 1`` rarest of a name's grams. ``frequencies`` has gram and n of all names."""
+    each = df.select(id_col, F.explode(grams_of(F.col(name))).alias("gram")).join(frequencies, "gram")
+    ordered = each.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("_all"))  # a name's own grams
+    return ordered.select(id_col, F.explode(F.array_distinct(F.transform(F.slice("_all", 1, most * GRAM + 1), lambda x: x["gram"]))).alias("gram"))
+
+
+def grams_of(name: Column) -> Column:
+    return F.regexp_extract_all(name, F.lit(f"(?s)(?=({'.' * GRAM}))"), F.lit(1))
+
+
 def similar_names(a: DataFrame, a_id: str, b: DataFrame, b_id: str, name: str, block: Sequence[str], most: int) -> DataFrame:
-    """(a_id, b_id, distance) of names within ``most`` edits in one block. Only names that share a piece at nearly its place
-    are compared; blocks must be fine enough (city, host) that a common piece is shared by few."""
-    left = a.select(F.col(a_id), F.col(name).alias("_a"), *block, F.inline(pieces_of(F.col(name), most)))
-    right = b.select(F.col(b_id), F.col(name).alias("_b"), *block, F.inline(probes_of(F.col(name), most)))
-    pairs = left.join(right, [*block, "i", "piece", "of"]).select(a_id, b_id, "_a", "_b").distinct()
+    """(a_id, b_id, distance) of names within ``most`` edits in one block; ids are unique in each table.
+
+    An edit changes ``GRAM`` grams at most, so of any ``most * GRAM + 1`` grams of a name one is in the other too, and if both names' grams are
+    put in one order, their first so many have one in common. The order is by rarity over both tables: names that share
+    a frequent beginning or a common word meet only through what is rare in them. Names too short to have so many grams, and those that
+    such a name may be near to, are compared through the pieces of their letters instead (``pieces_of``).
+    """
+    own = lambda df, i: df.filter(F.col(name).isNotNull())
+    a, b = own(a, a_id), own(b, b_id)
+    least = most * GRAM + GRAM  # letters of a name with enough grams
+    everyone = a.select(name).union(b.select(name)).filter(F.length(name) >= least)
+    frequencies = materialise(everyone.select(F.explode(grams_of(F.col(name))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n")), "gram-frequencies")
+
+    def side(df: DataFrame, i: str, as_name: str) -> DataFrame:
+        long = df.filter(F.length(name) >= least)
+        return rare_grams(long, i, name, frequencies, most).join(long.select(i, F.col(name).alias(as_name), *block), i)
+
+    met = side(a, a_id, "_a").join(side(b, b_id, "_b"), [*block, "gram"]).filter(F.abs(F.length("_a") - F.length("_b")) <= most).select(a_id, b_id, "_a", "_b")
+    short = lambda df: df.filter(F.length(name) < least + most)
+    left = short(a).select(F.col(a_id), F.col(name).alias("_a"), *block, F.inline(pieces_of(F.col(name), most)))
+    right = short(b).select(F.col(b_id), F.col(name).alias("_b"), *block, F.inline(probes_of(F.col(name), most)))
+    few = left.join(right, [*block, "i", "piece", "of"]).filter((F.length("_a") < least) | (F.length("_b") < least)).select(a_id, b_id, "_a", "_b")
+    pairs = met.union(few).distinct()
     return pairs.withColumn("distance", F.levenshtein("_a", "_b", most)).filter("distance >= 0").select(a_id, b_id, "distance")
 
 

@@ -47,11 +47,33 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     return df.groupBy(*keys).agg(F.max_by(F.struct(*names(df)), F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order)))).alias("_last")).select("_last.*")
 
 
+def in_ranges(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """``df`` dealt by ranges of the order tuple, sorted inside each, with _part, the number of the range, and _in, the place
+    inside; written once. A key with most of the rows lies in many ranges, as long as the order tells its rows apart."""
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return materialise(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_in": inside}), name)
+
+
 def conflicts(df: DataFrame, keys: Sequence[str], preference: Sequence[Column], order: Column, compare: Sequence[str]) -> DataFrame:
-    """Rows that differ in ``compare`` from the best row so far of their key. (WIN-05)"""
-    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    best = F.min(F.struct(*(p.alias(f"p{i}") for i, p in enumerate(preference)), order.alias("o"), *compare)).over(before)
-    seen = df.withColumn("_best", best).filter(F.col("_best").isNotNull())
+    """Rows that differ in ``compare`` from the best row so far of their key; order tells the rows of a key apart. (WIN-05)
+
+    A segmented prefix scan: rows are dealt by ranges of (key, order), the best row of each key and range is found by
+    partial aggregates, the ranges' best rows are carried forward (a key has one row per range there), and in a second
+    pass each range runs on from what was carried to it. No task holds a key, but a range.
+    """
+    place = [*(F.col(k).asc_nulls_first() for k in keys), order.asc_nulls_first()]
+    dealt = in_ranges(df.withColumn("_rank", F.struct(*(p.alias(f"p{i}") for i, p in enumerate(preference)), order.alias("o"), *compare)), place, "scan-ranges")
+    segment = [*keys, "_part"]
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = dealt.groupBy(*segment).agg(F.min("_rank").alias("_end"))
+    carried = ends.withColumn("_carried", F.min("_end").over(before)).filter(F.col("_carried").isNotNull()).select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_part").alias("_p"), "_carried")
+    same = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    inside = Window.partitionBy(*segment).orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    both = dealt.withColumn("_own", F.min("_rank").over(inside)).join(carried, same, "left")
+    best = F.when(F.col("_own").isNull(), F.col("_carried")).when(F.col("_carried").isNull(), F.col("_own")).otherwise(F.when(F.col("_own") < F.col("_carried"), F.col("_own")).otherwise(F.col("_carried")))
+    seen = both.withColumn("_best", best).filter(F.col("_best").isNotNull())
     differs = F.lit(False)
     for c in compare:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"_best.{c}"))
@@ -68,9 +90,7 @@ def shared_values(df: DataFrame, value: Column, id_col: str) -> DataFrame:
 def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
     """1, 2, 3 ... over the whole table without a one-task window: rows are dealt by ranges, sorted and numbered inside each,
     and written once; then each range adds the sizes of those before it. (WIN-07)"""
-    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_in": inside})
-    dealt = materialise(dealt, "ranked")
+    dealt = in_ranges(df, order, "ranked")
     sizes = dealt.groupBy("_part").agg(F.count("*").alias("_n"))  # one row per partition
     before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     return dealt.join(before, "_part").withColumn(name, F.col("_before") + F.col("_in") + 1).drop("_part", "_in", "_before")

@@ -12,6 +12,7 @@ from leadlake.operators import keyed as K
 from leadlake.operators import queues as Q
 from leadlake.plans.registry import query
 from leadlake.sources import files as S
+from leadlake.sources.catalog import Catalog
 from leadlake.scratch import fresh_path, materialise
 
 CATALOG_SQL = """WITH camps AS (SELECT c_custkey AS record_id, c_name AS name, n_name AS region, ['US', 'CA', 'MX'][1 + n_regionkey % 3] AS country, c_mktsegment AS family, CASE WHEN c_custkey % 3 <> 0 THEN 'https://e.org/' || c_custkey WHEN c_custkey % 9 = 0 THEN '' END AS website_url,
@@ -149,8 +150,8 @@ def pair_features(t):
 
 
 @query("""WITH a AS (SELECT p_partkey + 1000 AS id, 'e.org/' || (p_partkey % 977) AS url, p_name, p_brand, p_size FROM part), b AS (SELECT p_partkey AS id, 'e.org/' || p_partkey AS url, p_name, p_brand, p_size FROM part)
-SELECT a.id AS new_id, b.id AS catalog_id, 'id' AS reason, NULL::INT AS distance FROM a JOIN b ON a.id = b.id UNION ALL SELECT a.id, b.id, 'url', NULL FROM a JOIN b ON a.url = b.url
-UNION ALL SELECT a.id, b.id, 'name', levenshtein(a.p_name, b.p_name)::INT FROM a JOIN b ON a.p_brand = b.p_brand AND a.p_size = b.p_size WHERE levenshtein(a.p_name, b.p_name) <= 2""")
+SELECT a.id AS new_id, b.id AS catalog_id, 'id' AS reason, NULL::INT AS distance, 1::BIGINT AS n FROM a JOIN b ON a.id = b.id UNION ALL SELECT a.id, min(b.id), 'url', NULL, count(*) FROM a JOIN b ON a.url = b.url GROUP BY a.id
+UNION ALL SELECT a.id, min(b.id), 'name', levenshtein(a.p_name, b.p_name)::INT, count(*) FROM a JOIN b ON a.p_brand = b.p_brand AND a.p_size = b.p_size WHERE levenshtein(a.p_name, b.p_name) <= 2 GROUP BY a.id, b.p_name, a.p_name""")
 def duplicate_probe(t):
     """Parts with moved ids as new rows against the table. (PIP-21)"""
     k = F.col("p_partkey")
@@ -168,6 +169,41 @@ def catalog_upsert(t):
     return S.upserted(camps(t).select("record_id", "name", "website_url"), incoming, "record_id", F.col("src"), ["website_url"])
 
 
+UPSERT_SQL = CATALOG_SQL + """, c0 AS (SELECT record_id, name, country, triage_verdict, website_url FROM camps),
+i1 AS (SELECT c_custkey + 50 AS record_id, arg_min(c_name, {'s': src, 'k': c_custkey}) AS name, arg_min({'x': x}, {'s': src, 'k': c_custkey}).x AS url FROM (SELECT c_custkey - c_custkey % 2 AS c_custkey, c_name, c_custkey % 2 AS src, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS x FROM customer WHERE c_custkey % 7 = 3) GROUP BY 1),
+c1 AS (SELECT coalesce(c.record_id, i.record_id) AS record_id, CASE WHEN i.record_id IS NULL THEN c.name ELSE i.name END AS name, CASE WHEN i.record_id IS NULL THEN c.country ELSE 'MX' END AS country, CASE WHEN i.record_id IS NULL THEN c.triage_verdict ELSE 'unclear' END AS triage_verdict,
+  CASE WHEN i.record_id IS NULL THEN c.website_url ELSE coalesce(i.url, c.website_url) END AS website_url FROM c0 c FULL JOIN i1 i ON c.record_id = i.record_id),
+i2 AS (SELECT c_custkey AS record_id, 'second' AS name, 'US' AS country, CASE WHEN c_custkey % 2 = 0 THEN 'likely_camp' END AS triage_verdict FROM customer WHERE c_custkey % 11 = 0),
+c2 AS (SELECT coalesce(c.record_id, i.record_id) AS record_id, CASE WHEN i.record_id IS NULL THEN c.name ELSE i.name END AS name, CASE WHEN i.record_id IS NULL THEN c.country ELSE i.country END AS country,
+  CASE WHEN i.record_id IS NULL THEN c.triage_verdict ELSE i.triage_verdict END AS triage_verdict, c.website_url FROM c1 c FULL JOIN i2 i ON c.record_id = i.record_id)
+"""
+
+
+def stored_catalog(t) -> Catalog:
+    """The catalog on disk after its first rows and two upserts; the counts follow each."""
+    first = camps(t).select("record_id", "name", "country", "triage_verdict", "website_url")
+    spark, k = first.sparkSession, F.col("c_custkey")
+    held = Catalog(spark, fresh_path(spark, "catalog"), first.schema)
+    second = t("customer").filter("c_custkey % 7 = 3").select((k - k % 2 + 50).alias("record_id"), F.col("c_name").alias("name"), F.lit("MX").alias("country"), F.lit("unclear").alias("triage_verdict"), F.when(k % 3 == 0, F.col("c_mktsegment")).alias("website_url"), (k % 2).alias("src"))
+    third = t("customer").filter("c_custkey % 11 = 0").select(k.alias("record_id"), F.lit("second").alias("name"), F.lit("US").alias("country"), F.when(k % 2 == 0, "likely_camp").alias("triage_verdict"), F.lit(None).cast("string").alias("website_url"), F.lit(0).alias("src"))
+    for batch, rows, priority in (("1", first, F.lit(0)), ("2", second, F.col("src")), ("3", third, F.col("src"))):
+        held.upsert(rows, batch, priority, ["website_url"])
+        held.count_changes(batch, "verdicts", ["country", "triage_verdict"], {"no_url": F.coalesce("website_url", F.lit("")) == ""})
+    return held
+
+
+@query(UPSERT_SQL + "SELECT * FROM c2")
+def catalog_stored(t):
+    """The catalog as written and read back: touched partitions alone are rewritten. (SNK-04, SNK-05, SRC-10)"""
+    return stored_catalog(t).read()
+
+
+@query(UPSERT_SQL + "SELECT country, triage_verdict, count(*)::BIGINT AS total, count(*) FILTER (coalesce(website_url, '') = '')::BIGINT AS n_no_url FROM c2 GROUP BY ALL")
+def catalog_counts(t):
+    """Counts kept from the changes of three batches, with what they retract. (AGG-01, AGG-03, AGG-04)"""
+    return stored_catalog(t).counts("verdicts")
+
+
 @query("SELECT n_name, '# ' || n_name || chr(10) || string_agg('- ' || s_name, chr(10) ORDER BY s_name) AS text FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name UNION ALL SELECT '', string_agg(line, chr(10) ORDER BY line) FROM (SELECT '- ' || n_name || ' (' || count(*) || ')' AS line FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name)")
 def index_texts(t):
     """(SNK-07)"""

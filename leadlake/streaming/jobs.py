@@ -8,7 +8,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 
 def first_seen(events: DataFrame, keys: Sequence[str], ts: str | None = None, delay: str = "1 hour") -> DataFrame:
@@ -69,21 +69,68 @@ def rate_limit(events: DataFrame, user: str, ts: str, tie: str, seconds: float =
     return dealt.mapInArrow(limit, f"{kinds}, accepted boolean")
 
 
-def rate_limit_stream(events: DataFrame, user: str, ts: str, tie: str, seconds: float = 60, most: int = 10) -> DataFrame:
-    """The same over a stream: the admitted times of a user are the state. Events of a micro-batch are put in order, so a
-    micro-batch (its input files) must be small enough for a user's events in it to fit a task. (STM-01)"""
-    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-    kinds = ", ".join(f"`{n}` {t}" for n, t in events.dtypes)
-
-    def limit(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = list(state.get[0]) if state.exists else []
-        ordered = pd.concat(list(pdfs)).sort_values([ts, tie])
-        ok = admitted(ordered[ts].astype("datetime64[us]").astype("int64").div(1e6).tolist(), kept, seconds, most)
-        state.update((kept,))
-        yield ordered.assign(accepted=ok)
-
-    return events.groupBy(user).applyInPandasWithState(limit, f"{kinds}, accepted boolean", "kept array<double>", "append", GroupStateTimeout.NoTimeout)
+class Limiter(StatefulProcessor):
+    """Events of a user wait in list state until the watermark has passed them, then are judged in order; the admitted times that
+    can still matter are the other state. One timer a user; both states are empty once nothing can matter any more."""
+
+    def __init__(self, user: str, ts: str, tie: str, seconds: float, most: int):
+        self.names, self.seconds, self.most = (user, ts, tie), seconds, most
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "us long, tie long")
+        self.kept = handle.getListState("kept", "at double")
+        self.due = handle.getValueState("due", "ms long")
+
+    def wake(self, ms: int) -> None:
+        """One timer, at the earliest time that asked for it."""
+        if self.due.exists():
+            now = int(self.due.get()[0])
+            if now <= ms:
+                return
+            self.handle.deleteTimer(now)
+        self.handle.registerTimer(ms)
+        self.due.update((ms,))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        _, ts, tie = self.names
+        for pdf in rows:
+            us = pdf[ts].astype("datetime64[us]").astype("int64").tolist()
+            if us:
+                self.waiting.appendList(list(zip(us, pdf[tie].astype("int64").tolist(), strict=True)))
+                self.wake(min(us) // 1000)
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        user, ts, tie = self.names
+        passed = timerValues.getCurrentWatermarkInMs()
+        self.due.clear()
+        events = sorted((int(u), int(t)) for u, t in self.waiting.get()) if self.waiting.exists() else []
+        ready = [e for e in events if e[0] // 1000 <= passed]
+        rest = events[len(ready) :]
+        kept = [float(k[0]) for k in self.kept.get()] if self.kept.exists() else []
+        ok = admitted([u / 1e6 for u, _ in ready], kept, self.seconds, self.most)
+        kept = [k for k in kept if passed / 1e3 - k < self.seconds]
+        for state, values in ((self.waiting, rest), (self.kept, [(k,) for k in kept])):
+            state.put(values) if values else state.clear()
+        if rest:
+            self.wake(rest[0][0] // 1000)
+        elif kept:
+            self.wake(int((max(kept) + self.seconds) * 1000) + 1)
+        yield pd.DataFrame({user: [key[0]] * len(ready), ts: pd.to_datetime([u for u, _ in ready], unit="us"), tie: [t for _, t in ready], "accepted": ok})
+
+    def close(self) -> None:
+        pass
+
+
+def rate_limit_stream(events: DataFrame, user: str, ts: str, tie: str, seconds: float = 60, most: int = 10, delay: str = "1 hour") -> DataFrame:
+    """(user, ts, tie, accepted) of a stream's events as soon as the watermark (``delay`` behind the latest event) has passed them:
+    the same as of the batch form however the events are cut into micro-batches, in any order within ``delay``; later ones are
+    dropped. Needs the RocksDB state store, which it asks for. A user's waiting events (those of ``delay``) fit a task. (STM-01)"""
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    kind = events.schema[user].dataType.simpleString()
+    timed = events.select(user, F.col(ts).cast("timestamp").alias(ts), F.col(tie).cast("long").alias(tie)).withWatermark(ts, delay)
+    return timed.groupBy(user).transformWithStateInPandas(Limiter(user, ts, tie, seconds, most), f"`{user}` {kind}, `{ts}` timestamp, `{tie}` long, accepted boolean", "append", "EventTime")
 
 
 def windowed_counts(events: DataFrame, ts: str, key: Column, window: str = "1 hour", delay: str = "2 hours") -> DataFrame:
