@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leadlake import rules as R
@@ -232,45 +234,78 @@ def resolution(ids: DataFrame, best: DataFrame) -> DataFrame:
     return joined.withColumn("resolution", status).drop("_reasons", "_there")
 
 
-def classify_reports(files: DataFrame) -> DataFrame:
-    """(file, kind) of report files given as (file, value), one row per whole file: raw, candidates, array, batch or skip. (SRC-08, R10)
+class Scan(NamedTuple):
+    """What a folder of reports holds: the names of all files; the non-blank lines of .jsonl files (file, block, id, value; block
+    and id order a file's lines); the rows of whole .json documents (file, id and their fields)."""
 
-    A report is judged by its name and the keys of its first row; one that is no JSON is skipped.
+    files: DataFrame
+    lines: DataFrame
+    docs: DataFrame
+
+
+def scan_reports(spark: SparkSession, folder: str, pattern: str = "*") -> Scan:
+    """Reads a folder of reports. Files of lines are split wherever Spark splits them, so one may be of any size; a whole document
+    is parsed element by element into rows, never held as text. A document that is no JSON, or holds something else
+    than objects, gives no rows. Spark doesn't list files of no bytes. (SRC-05, SRC-08)"""
+    name = F.col("_metadata.file_name").alias("file")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select(name)
+    lines = spark.read.option("pathGlobFilter", pattern).text(folder).select(name, F.col("_metadata.file_block_start").alias("block"), "value")
+    lines = lines.filter(F.endswith("file", F.lit(".jsonl")) & (F.trim("value") != "")).withColumn("id", F.monotonically_increasing_id())
+    schema = f"scan_type string, scope string, candidates array<struct<{SCHEMA}>>, {SCHEMA}"
+    try:
+        docs = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").option("pathGlobFilter", "*.[jJ][sS][oO][nN]" if pattern == "*" else pattern).json(folder)
+        docs = docs.select(name, "*").filter(F.endswith(F.lower("file"), F.lit(".json"))).withColumn("id", F.monotonically_increasing_id())
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        docs = spark.createDataFrame([], f"file string, {schema}, id long")
+    return Scan(files, materialise(lines, "report-lines"), materialise(docs, "report-documents"))
+
+
+def report_kinds(scan: Scan) -> DataFrame:
+    """(file, kind) of every file: raw, candidates, array, batch or skip. (SRC-08, R10)
+
+    A file of lines is judged by its name and the keys of its first row (one that is no JSON object is skipped), a document by its
+    name and rows: one row with a list of candidates is a batch. An empty document or list is skipped.
     """
-    name, body = F.col("file"), F.trim("value")
+    name = F.col("file")
     ends = lambda suffixes: F.coalesce(*(F.when(F.endswith(name, F.lit(x)), True) for x in suffixes), F.lit(False))
-    first = F.get(F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != ""), F.lit(0))
-    keys = F.json_object_keys(first)
+    first = scan.lines.groupBy("file").agg(F.min_by("value", F.struct("block", "id")).alias("_first"))
+    keys = F.json_object_keys("_first")
     any_of = lambda names: F.coalesce(F.arrays_overlap(keys, F.array(*map(F.lit, names))), F.lit(False))
-    lines = F.endswith(name, F.lit(".jsonl")) & ~ends(("_normalized.jsonl", *R.HELPER_SUFFIXES)) & keys.isNotNull()
-    has_id = any_of(["candidate_id"])
-    whole_json = F.endswith(F.lower(name), F.lit(".json")) & ~ends(["_summary.json"])
-    objects = F.forall(F.from_json(body, "array<variant>"), lambda x: F.startswith(F.schema_of_variant(x), F.lit("OBJECT")))
-    inner = F.forall(F.from_json(F.get_json_object(body, "$.candidates"), "array<variant>"), lambda x: F.startswith(F.schema_of_variant(x), F.lit("OBJECT")))
-    kind = F.when(lines & ~has_id & ~any_of(R.HELPER_KEYS) & any_of(R.RAW_KEYS), "raw").when(lines & has_id & ~any_of(R.CANDIDATE_HELPER_KEYS) & any_of(R.CANDIDATE_KEYS), "candidates")
-    kind = kind.when(whole_json & F.startswith(body, F.lit("[")) & objects, "array").when(whole_json & F.startswith(body, F.lit("{")) & inner, "batch").otherwise("skip")
-    return files.select("file", kind.alias("kind"))
+    usable, has_id = ~ends(("_normalized.jsonl", *R.HELPER_SUFFIXES)) & keys.isNotNull(), any_of(["candidate_id"])
+    kind = F.when(usable & ~has_id & ~any_of(R.HELPER_KEYS) & any_of(R.RAW_KEYS), "raw").when(usable & has_id & ~any_of(R.CANDIDATE_HELPER_KEYS) & any_of(R.CANDIDATE_KEYS), "candidates")
+    whole = scan.docs.groupBy("file").agg(F.count("*").alias("_n"), F.count("candidates").alias("_lists"))
+    of_whole = F.when(~ends(["_summary.json"]), F.when((F.col("_n") == 1) & (F.col("_lists") == 1), "batch").otherwise("array"))
+    known = first.select("file", kind.alias("kind")).union(whole.select("file", of_whole.alias("kind")))
+    return scan.files.join(known, "file", "left").select("file", F.coalesce("kind", F.lit("skip")).alias("kind"))
 
 
-def report_rows(files: DataFrame, kinds: DataFrame) -> DataFrame:
-    """Rows of the usable reports: file, line from 1, the fields of ``SCHEMA``, and of a batch its scan_type and report_scope. Blank lines don't count as rows. (SRC-05)"""
-    kept = files.join(kinds.filter("kind <> 'skip'"), "file")
-    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
-    items = F.when(F.col("kind").isin("raw", "candidates"), lines).when(F.col("kind") == "array", F.from_json("value", "array<string>")).otherwise(F.from_json(F.get_json_object("value", "$.candidates"), "array<string>"))
-    head = lambda key: F.when(F.col("kind") == "batch", F.get_json_object("value", f"$.{key}"))
-    rows = kept.select("file", "kind", head("scan_type").alias("scan_type"), head("scope").alias("report_scope"), F.posexplode(items).alias("line", "_row"))
-    return rows.select("file", (F.col("line") + 1).alias("line"), "kind", "scan_type", "report_scope", F.from_json("_row", SCHEMA).alias("_c")).select("file", "line", "kind", "scan_type", "report_scope", "_c.*")
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """``lines`` with line, 1, 2, 3 ... in each file: places inside a split plus the lines of the file's splits before it, of which there are few."""
+    splits = lines.groupBy("file", "block").agg(F.min("id").alias("_least"), F.count("*").alias("_n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = splits.select("file", "block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_least") + 1).alias("_shift"))
+    return lines.join(shift, ["file", "block"]).withColumn("line", (F.col("id") + F.col("_shift")).cast("int")).drop("_shift")
 
 
-def whole_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """(file, value) of a folder of small report files."""
-    return spark.read.text(folder, wholetext=True, pathGlobFilter=pattern).select(F.col("_metadata.file_name").alias("file"), "value")
+def report_rows(scan: Scan, kinds: DataFrame) -> DataFrame:
+    """Rows of the usable reports: file, line from 1, the fields of ``SCHEMA``, and of a batch its scan_type and report_scope. Blank lines don't count as rows. (SRC-05)"""
+    fields, head = [f.name for f in scan.docs.select("candidates").schema[0].dataType.elementType], ("file", "line", "kind", "scan_type", "report_scope")
+    none = F.lit(None).cast("string")
+    lines = numbered_lines(scan.lines).join(kinds.filter(F.col("kind").isin("raw", "candidates")), "file")
+    of_lines = lines.select("file", "line", "kind", none.alias("scan_type"), none.alias("report_scope"), F.from_json("value", SCHEMA).alias("_c"))
+    docs = scan.docs.join(kinds.filter(F.col("kind").isin("array", "batch")), "file")
+    arrays = numbered_lines(docs.filter("kind = 'array'").withColumn("block", F.lit(0).cast("long"))).select("file", "line", "kind", none.alias("scan_type"), none.alias("report_scope"), F.struct(*fields).alias("_c"))
+    batches = docs.filter("kind = 'batch'").select("file", "kind", "scan_type", F.col("scope").alias("report_scope"), F.posexplode("candidates").alias("line", "_c"))
+    batches = batches.select("file", (F.col("line") + 1).alias("line"), "kind", "scan_type", "report_scope", "_c")
+    return of_lines.union(arrays).union(batches).select(*head, "_c.*")
 
 
 def normalised_reports(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of the reports that are normalised already, with file and line. (SRC-09)"""
-    files = whole_files(spark, folder, "*_normalized.jsonl")
-    return report_rows(files, files.select("file", F.lit("candidates").alias("kind")))
+    scan = scan_reports(spark, folder, "*_normalized.jsonl")
+    return report_rows(scan, scan.files.select("file", F.lit("candidates").alias("kind")))
 
 
 def ingest(rows: DataFrame, year: int) -> dict[str, DataFrame]:

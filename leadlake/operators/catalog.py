@@ -236,6 +236,24 @@ def capture_order(activity: Column, basis: Column, one_week: Column, country: Co
     return [F.when(activity == "active_recent", 0).otherwise(1), rank, F.when(one_week, 0).otherwise(1), F.coalesce(country, F.lit("")), F.coalesce(region, F.lit("")), F.coalesce(key, F.lit(""))]
 
 
+#: Drafts that are worked on first.
+DRAFT_PRIORITY = {"candidate": 2, "multi_venue": 1}
+
+
+def work_order(city: Column, region: Column, website: Column, description: Column, operator: Column, draft: Column, updated: Column, key: Column) -> list[Column]:
+    """The order in which records are judged: a known city, then region, website, description and operator, then the draft's
+    kind, the longer description, the later update, the greater key. (SRT-03)"""
+    has = lambda c: F.coalesce(F.trim(c) != "", F.lit(False))
+    rank = F.coalesce(F.create_map(*(F.lit(x) for kv in DRAFT_PRIORITY.items() for x in kv))[draft], F.lit(0))
+    flags = (has(city) & F.coalesce(F.lower(city) != "unknown-city", F.lit(True)), has(region), has(website), has(description), has(operator))
+    return [*(f.desc() for f in flags), rank.desc(), F.length(F.coalesce(description, F.lit(""))).desc(), updated.desc_nulls_last(), key.desc()]
+
+
+def work_list(df: DataFrame, order: Sequence[Column], most: int) -> DataFrame:
+    """The first ``most`` rows to judge. (SRT-03)"""
+    return df.orderBy(*order).limit(most)
+
+
 def duplicate_probe(new: DataFrame, catalog: DataFrame, key: str, url: str, name: str, block: Sequence[str], most: int = 3) -> DataFrame:
     """(new_id, catalog_id, reason, distance, n): catalog rows that a new row may repeat, by id, by canonical URL, or by a name
     within ``most`` edits in the same block. Of rows with one URL, or one name in a block, the least id stands for all n. Each reason is an equi-join. (PIP-21)"""

@@ -1,6 +1,6 @@
 """Registered queries: importing the modules fills the registry."""
 
-from leadlake.plans import enriched, fields, leads, queries, streams, views
+from leadlake.plans import enriched, fields, leads, queries, searches, streams, views
 from leadlake.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "enriched", "fields", "leads", "queries", "streams", "views"]
+__all__ = ["ORACLES", "QUERIES", "enriched", "fields", "leads", "queries", "searches", "streams", "views"]

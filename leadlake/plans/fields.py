@@ -129,6 +129,17 @@ def answer_hits(t):
     return Files.answer_hits(t("events").select("event_id", payload.alias("payload")), "payload", "event_id").select("event_id", "section", "rank", "url", "title")
 
 
+@query("SELECT event_id, 1 + i AS rank, 'https://e.org/' || event_id || '/' || i AS url, CASE WHEN i = 0 THEN 'top' ELSE 'deep' END AS title FROM events, range(1 + (event_id % 12)::BIGINT) r(i) WHERE i = 0 OR i = event_id % 12")
+def deep_topics(t):
+    """Topics nested up to eleven deep, the last rank being the number of topics there would be if each depth held one. (SRC-11)"""
+    key, url = F.col("event_id"), lambda i: F.concat(F.lit('{"FirstURL":"https://e.org/'), F.col("event_id").cast("string"), F.lit("/"), i, F.lit('","Text":"'))
+    depth = (key % 12).cast("int")
+    blanks = F.array_join(F.array_repeat(F.lit('{"FirstURL":"","Text":"none"},'), F.greatest(depth - 1, F.lit(0))), "")
+    inner = F.when(depth > 0, F.concat(F.lit(","), F.repeat(F.lit('{"Name":"n","Topics":['), depth), blanks, url(depth.cast("string")), F.lit('deep"}'), F.repeat(F.lit("]}"), depth))).otherwise("")
+    payload = F.concat(F.lit('{"RelatedTopics":['), url(F.lit("0")), F.lit('top"}'), inner, F.lit("]}"))
+    return Files.answer_hits(t("events").select(key, payload.alias("payload")), "payload", "event_id").select("event_id", "rank", "url", "title")
+
+
 @query("SELECT event_id, 1 + i AS rank, CASE WHEN i = 0 THEN 'T' ELSE 'https://e.org/' || event_id || '/' || i END AS title, 'https://e.org/' || event_id || '/' || i AS url, CASE WHEN i = 0 THEN 'c' ELSE '' END AS snippet FROM events, range(2) r(i)")
 def page_hits(t):
     """(SRC-12)"""

@@ -10,6 +10,8 @@ from leadlake.functions import extract as X
 from leadlake.operators import candidates as N
 from leadlake.plans.queries import SLUG_SQL
 from leadlake.plans.registry import query
+from leadlake.scratch import fresh_path, materialise
+from leadlake.sources import files
 
 YEAR = 2024
 VENUES = (None, "Various campuses", "Hall to be confirmed", "unknown", "Main Hall", "North Lodge", "Multi-site")
@@ -118,10 +120,11 @@ def report_followups(t):
     return N.candidate_followups(N.best_candidates(N.normalised(reports(t), YEAR))).select("candidate_id", "action", "followup_id", "priority")
 
 
-@query(BEST_SQL + "SELECT 'task' AS kind, lower(cid || '-split-task') AS split_task_id, cid AS candidate_id, name, 'queued' AS status FROM b WHERE record_basis = 'multi_venue_candidate' UNION ALL SELECT 'stub', lower(cid || '-split-task'), cid, name, 'split_stub' FROM b WHERE record_basis = 'multi_venue_candidate'")
+@query(BEST_SQL.replace("key % 97", "key % 91") + "SELECT 'task' AS kind, lower(cid || '-split-task') AS split_task_id, cid AS candidate_id, name, 'queued' AS status FROM b WHERE record_basis = 'multi_venue_candidate' UNION ALL SELECT 'stub', lower(cid || '-split-task'), cid, name, 'split_stub' FROM b WHERE record_basis = 'multi_venue_candidate'")
 def report_splits(t):
-    """(PIP-07)"""
-    tasks, stubs = N.split_queue(N.best_candidates(N.normalised(reports(t), YEAR)))
+    """All leads of an id have one kind of venue and shape here, so some ids have many venues in every report. (PIP-07)"""
+    rows = reports(t).withColumn("candidate_id", F.concat(F.lit("c-"), (F.col("key") % 91).cast("int").cast("string")))
+    tasks, stubs = N.split_queue(N.best_candidates(N.normalised(rows, YEAR)))
     both = tasks.select(F.lit("task").alias("kind"), "split_task_id", "candidate_id", "name", "status")
     return both.union(stubs.select(F.lit("stub"), "split_task_id", "parent_candidate_id", "name", "status"))
 
@@ -140,6 +143,52 @@ def report_summary(t):
     return text.select(F.col("s.counts.aggregate_candidates").alias("candidates"), F.col("s.counts.aggregate_split_tasks").alias("tasks"), F.size("s.reports_ingested").cast("long").alias("reports"))
 
 
+REPORT_FILES = ("a.jsonl", "b.jsonl", "c.json", "d.json")
+
+
+def report_folder(t) -> str:
+    """Leads written as four reports: raw rows, candidates, a list, a batch; and files that are none."""
+    rows = leads(t)
+    spark, k = rows.sparkSession, F.col("key")
+    folder = fresh_path(spark, "reports")
+    body = F.to_json(F.struct(F.when(k % 4 != 0, F.concat(F.lit("c-"), (k % 97).cast("string"))).alias("candidate_id"), *(c for c in rows.columns if c != "key")))
+    texts = materialise(rows.select(k, body.alias("value")), "report-texts")
+    ends = {2: ("[", "]"), 3: ('{"scan_type":"weekly","scope":"all","candidates":[', "]}")}
+    for i, name in enumerate(REPORT_FILES):
+        part = texts.filter(k % 4 == i)
+        if i in ends:
+            least = part.agg(F.min("key")).first()[0]
+            part = part.withColumn("value", F.concat(F.when(k == least, "").otherwise(","), "value"))
+            head, tail = ends[i]
+            part = part.union(spark.createDataFrame([(-1, head), (1 << 62, tail)], part.schema))
+        files.write_text_file(part.orderBy("key"), f"{folder}/{name}")
+    lone = lambda text: spark.createDataFrame([(text,)], "value string")
+    for name, text in (("e_summary.json", "[]"), ("f.json", "no json"), ("g.json", "[1, 2]"), ("h.jsonl", '{"candidate_id": "x", "matched_reason": "r", "name": "n"}'), ("i.jsonl", "no json")):
+        files.write_text_file(lone(text), f"{folder}/{name}")
+    return folder
+
+
+@query(BEST_SQL.split("p AS (SELECT")[0].rstrip(", \n") + """ SELECT ['a.jsonl', 'b.jsonl', 'c.json', 'd.json'][1 + (key % 4)::INT] AS file, ['raw', 'candidates', 'array', 'batch'][1 + (key % 4)::INT] AS kind, count(*)::BIGINT AS n, max(line)::INT AS lines, max(CASE WHEN key % 4 = 3 THEN 'weekly' END) AS scan_type
+FROM (SELECT *, row_number() OVER (PARTITION BY key % 4 ORDER BY key) AS line FROM r) GROUP BY key % 4 UNION ALL SELECT f, 'skip', 0, NULL, NULL FROM (VALUES ('e_summary.json'), ('f.json'), ('g.json'), ('h.jsonl'), ('i.jsonl')) v(f)""")
+def report_files(t):
+    """Reports as written, judged and read. (SRC-05, SRC-08)"""
+    scan = N.scan_reports(t("customer").sparkSession, report_folder(t))
+    kinds = materialise(N.report_kinds(scan), "report-kinds")
+    counts = N.report_rows(scan, kinds).groupBy("file").agg(F.count("*").alias("n"), F.max("line").alias("lines"), F.max("scan_type").alias("scan_type"))
+    return kinds.join(counts, "file", "left").select("file", "kind", F.coalesce("n", F.lit(0)).alias("n"), "lines", "scan_type")
+
+
+FILES_SQL = BEST_SQL.replace("'c-' || (key % 97) AS cid, CASE WHEN key % 2 = 0 THEN 'a.jsonl' ELSE 'b.jsonl' END AS file", "CASE WHEN key % 4 = 0 THEN candidate_id ELSE 'c-' || (key % 97) END AS cid, ['a.jsonl', 'b.jsonl', 'c.json', 'd.json'][1 + (key % 4)::INT] AS file")
+
+
+@query(FILES_SQL + "SELECT cid AS candidate_id, name, record_basis, city, url AS canonical_url, files FROM b")
+def report_ingest(t):
+    """The best row of each candidate over reports read from files. (PIP-05, SRC-05, SRC-08, WIN-01)"""
+    scan = N.scan_reports(t("customer").sparkSession, report_folder(t))
+    out = N.ingest(N.report_rows(scan, N.report_kinds(scan)), YEAR)
+    return out["candidates"].select("candidate_id", "name", "record_basis", "city", "canonical_url", F.array_join("source_reports", ",").alias("files"))
+
+
 PENDING_SQL = LEADS_SQL + """, w AS (SELECT *, list_filter([CASE WHEN record_basis = 'venue_candidate_pending_confirmation' THEN 'pending_venue_confirmation' END, CASE WHEN lower(venue) IN ('unknown', 'venue to be confirmed') THEN 'unknown_venue' END, CASE WHEN coalesce(city, '') = '' THEN 'unknown_city' END], lambda v: v IS NOT NULL) AS reasons FROM n WHERE record_basis <> 'multi_venue_candidate'),
 q AS (SELECT key, name, regexp_extract(url, '^http://([^/]*)', 1) AS host, record_basis, reasons, list_transform(['location', 'address', 'summer 2024'], lambda v: concat_ws(' ', 'site:' || nullif(regexp_extract(url, '^http://([^/]*)', 1), ''), '"' || name || '"', nullif(city, ''), region, v)) AS queries FROM w WHERE len(reasons) > 0)
 """

@@ -69,8 +69,10 @@ def review_queue(t):
 def owned_rows(t):
     """The last user's purchases and all of the first user's events. (FLT-11, FLT-07)"""
     events = t("events")
-    first, last = events.agg(F.min("user_id"), F.max("user_id")).first()
-    return C.owned(events, "user_id", last, event_type="purchase").union(C.owned(events, "user_id", first, event_type=None)).select("user_id", "event_id")
+    ends = events.agg(F.min("user_id").alias("_first"), F.max("user_id").alias("_last"))  # one row
+    named = events.join(F.broadcast(ends), F.col("user_id").isin(F.col("_first"), F.col("_last")))
+    last = C.owned(named, "user_id", F.col("_last"), event_type="purchase")
+    return last.union(C.owned(named, "user_id", F.col("_first"), event_type=None)).select("user_id", "event_id")
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -99,30 +99,50 @@ def page_hits(payloads: DataFrame, payload: str, *carried: str) -> DataFrame:
     return rows.select(*carried, (F.col("rank") + 1).alias("rank"), filled(F.col("_r.title"), F.col("url")).alias("title"), "url", F.coalesce("_r.content", F.lit("")).alias("snippet"))
 
 
-#: The fields of an instant-answer payload. Topics hold topics; so many levels are read.
-TOPIC, TOPIC_LEVELS = "FirstURL: string, Text: string", 4
-
-
 def answer_hits(payloads: DataFrame, payload: str, *carried: str) -> DataFrame:
     """(carried, section, rank, title, url, snippet) of instant-answer payloads: the abstract, the results and the related topics, flattened in order, each section ranked from 1; entries without URL keep their rank and are dropped. (SRC-11)
 
-    Topics nested more than ``TOPIC_LEVELS`` deep are not in the declared schema and are left out.
+    Topics hold topics, to any depth: each round opens those of one depth, in parallel over all payloads, until none is left. A
+    payload that is no JSON has no hits.
     """
-    inner = f"struct<{TOPIC}>"
-    for _ in range(TOPIC_LEVELS - 1):
-        inner = f"struct<{TOPIC}, Topics: array<{inner}>>"
-    data = F.from_json(payload, f"AbstractURL string, AbstractText string, Heading string, Results array<struct<{TOPIC}>>, RelatedTopics array<{inner}>")
-    leaf = lambda x: F.struct(x["FirstURL"].alias("url"), x["Text"].alias("title"), x["Text"].alias("snippet"))
-    none = F.array().cast("array<struct<url: string, title: string, snippet: string>>")
-
-    def flat(items: Column, levels: int) -> Column:
-        below = lambda x: F.when(x["FirstURL"].isNotNull(), F.array(leaf(x))).otherwise(flat(x["Topics"], levels - 1) if levels > 1 else none)
-        return F.coalesce(F.flatten(F.transform(items, below)), none)
-
-    abstract = F.when(F.coalesce(data["AbstractURL"], F.lit("")) != "", F.array(F.struct(data["AbstractURL"].alias("url"), data["Heading"].alias("title"), data["AbstractText"].alias("snippet")))).otherwise(none)
-    sections = F.array(*(F.struct(F.lit(n).alias("section"), v.alias("hits")) for n, v in (("abstract", abstract), ("results", F.coalesce(F.transform(data["Results"], leaf), none)), ("related_topics", flat(data["RelatedTopics"], TOPIC_LEVELS)))))
-    rows = payloads.select(*carried, F.inline(sections)).select(*carried, "section", F.posexplode("hits").alias("rank", "_h")).filter("coalesce(_h.url, '') <> ''")
-    return rows.select(*carried, "section", (F.col("rank") + 1).alias("rank"), filled(F.col("_h.title"), F.col("_h.url")).alias("title"), F.col("_h.url").alias("url"), F.coalesce("_h.snippet", F.lit("")).alias("snippet"))
+    from leadlake.scratch import materialise
+
+    first = payloads.select(*carried, F.col(payload).alias("_payload")).withColumn("_row", F.monotonically_increasing_id())
+    first = materialise(first, "payloads")
+    v = F.try_parse_json("_payload")
+    text = lambda path: F.try_variant_get(F.col("_v"), f"$.{path}", "string")
+    opened = first.select("_row", v.alias("_v"))
+    entry = "_row long, section string, path array<int>, url string, title string, snippet string"
+    section = lambda name: opened.select("_row", F.lit(name[0]).alias("section"), F.posexplode(F.try_variant_get("_v", f"$.{name[1]}", "array<variant>")).alias("at", "_v")).select("_row", "section", F.array("at").alias("path"), F.to_json("_v").alias("item"))
+    todo = materialise(section(("results", "Results")).union(section(("related_topics", "RelatedTopics"))), "topics")
+    abstract = opened.filter(F.coalesce(text("AbstractURL"), F.lit("")) != "").select("_row", F.lit("abstract").alias("section"), F.array(F.lit(0)).alias("path"), text("AbstractURL").alias("url"), text("Heading").alias("title"), text("AbstractText").alias("snippet"))
+    found = abstract
+    while True:
+        items = todo.withColumn("_v", F.try_parse_json("item"))
+        leaf = text("FirstURL").isNotNull() | (F.col("section") == "results")
+        found = found.union(items.filter(leaf).select("_row", "section", "path", text("FirstURL").alias("url"), text("Text").alias("title"), text("Text").alias("snippet")))
+        below = items.filter(~leaf).select("_row", "section", "path", F.posexplode(F.try_variant_get("_v", "$.Topics", "array<variant>")).alias("at", "_v"))
+        todo = materialise(below.select("_row", "section", F.concat("path", F.array("at")).alias("path"), F.to_json("_v").alias("item")), "topics")
+        if todo.isEmpty():
+            break
+    found = materialise(found, "topic-entries")
+    rank = F.row_number().over(Window.partitionBy("_row", "section").orderBy("path"))  # the entries of one payload
+    ranked = found.withColumn("rank", rank).filter("coalesce(url, '') <> ''")
+    rows = first.join(ranked, "_row")
+    return rows.select(*carried, "section", "rank", filled(F.col("title"), F.col("url")).alias("title"), "url", F.coalesce("snippet", F.lit("")).alias("snippet"))
+
+
+def write_text_file(rows: DataFrame, path: str) -> None:
+    """The text column value as one file with this very name, in the order of the rows; for reports, whose names tell what they are."""
+    spark = rows.sparkSession
+    rows.select("value").coalesce(1).write.mode("overwrite").text(f"{path}.parts")
+    jvm = spark._jvm
+    target, parts = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.parts")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(parts):
+        if status.getPath().getName().startswith("part-"):
+            fs.rename(status.getPath(), target)
+    fs.delete(parts, True)
 
 
 def evidence_index(documents: DataFrame) -> DataFrame:

@@ -33,13 +33,13 @@ def reports(tmp_path):
 
 
 def test_report_kinds(spark, reports):
-    kinds = {r.file: r.kind for r in N.classify_reports(N.whole_files(spark, reports)).collect()}
+    kinds = {r.file: r.kind for r in N.report_kinds(N.scan_reports(spark, reports)).collect()}
     assert kinds == {"a_raw.jsonl": "skip", "b.jsonl": "raw", "c.jsonl": "candidates", "d.jsonl": "candidates", "e.jsonl": "skip", "f.json": "array", "g.json": "batch", "h.json": "skip", "i.json": "skip", "j_summary.json": "skip"}
 
 
 def test_ingest(spark, reports):
-    files = N.whole_files(spark, reports)
-    rows = N.report_rows(files, N.classify_reports(files))
+    scan = N.scan_reports(spark, reports)
+    rows = N.report_rows(scan, N.report_kinds(scan))
     out = N.ingest(rows, 2024)
     best = {r.candidate_id: r for r in out["candidates"].collect()}
     assert len(best) == 5 and best["c1"].name == "Sample Academy" and best["c1"].source_reports == ["c.jsonl", "d.jsonl"]
