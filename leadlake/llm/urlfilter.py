@@ -81,11 +81,10 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     rules with the same host and path "block" outweighs "allow". A null url or one without :// has empty host and path
     and no rule. Repeated rows get a result each; extra columns pass through; an empty table gives an empty table.
 
-    Every page makes keys from its parent domains and its path prefixes of the lengths that rules have (of a path
-    over MAX_RULE_PATH its start); the filter drops nearly all keys without a rule on the spot, and only the rest meets the
-    rules in an exact hash join, which compares whole paths.
+    Every distinct (host, path) makes keys from its parent domains and its path prefixes of the lengths that rules have (of a path
+    over MAX_RULE_PATH its start). The filter drops nearly all keys without a rule on the spot; only the rest meets the
+    rules in an exact hash join, which compares whole paths, and only what has a rule is joined back to the pages.
     """
-    spark = pages.sparkSession
     new = ("host", "path", "rule", "verdict")
     usable = rules.select("rule_host", "rule_path", "rule_verdict").dropna().filter(F.col("rule_path").startswith("/") | (F.col("rule_path") == ""))
     usable = usable.groupBy("rule_host", "rule_path").agg(F.max("rule_verdict").alias("rule_verdict"))
@@ -100,20 +99,22 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     kept = [c for c in pages.columns if c not in new]
     url = pages[f"`{url_col}`"].cast("string")
     own = pages.select(F.struct(*(pages[f"`{c}`"] for c in kept)).alias("_row"), host_of(url).alias("_host"), path_of(url).alias("_path"))
-    prefixes = F.array(*(F.when(F.length("_path") >= n, F.substring("_path", 1, n)) for n in lengths)) if lengths else F.array().cast("array<string>")
-    keys = F.flatten(F.transform(F.when(F.col("_host") != "", suffixes(F.col("_host"))).otherwise(F.array().cast("array<string>")), lambda h: F.transform(F.filter(prefixes, lambda p: p.isNotNull()), lambda p: F.struct(h.alias("h"), p.alias("p")))))
-    keyed = own.withColumn("_id", F.monotonically_increasing_id()).withColumn("_key", F.explode_outer(keys))
+    places = own.filter(F.col("_host") != "").select("_host", "_path").distinct()
+    fitting = F.filter(F.lit(lengths).cast("array<int>"), lambda n: n <= F.length("_path"))
+    keys = F.flatten(F.transform(suffixes(F.col("_host")), lambda h: F.transform(fitting, lambda n: F.struct(h.alias("h"), F.substring(F.col("_path"), F.lit(1), n).alias("p")))))
+    keyed = places.withColumn("_key", F.explode(keys))
     key = key_of(F.col("_key.h"), F.col("_key.p"))
-    probed = keyed.withColumn("_block", block_of(key, n_blocks)).join(blocks, F.col("_block") == F.col("block"), "left")
     hit = F.lit(True)
     for i, m in enumerate(masks_of(key)):
-        hit = hit & (F.coalesce(F.col(f"w{i}"), F.lit(0).cast("long")).bitwiseAND(m) == m)
-    possible = probed.select("_row", "_host", "_path", "_id", F.when(F.col("_key").isNotNull() & hit, F.col("_key")).alias("_key"))
-    exact = possible.join(usable, (F.col("_key.h") == F.col("rule_host")) & (F.col("_key.p") == F.col("probe")) & F.startswith("_path", "rule_path"), "left")
+        hit = hit & (F.col(f"w{i}").bitwiseAND(m) == m)
+    possible = keyed.withColumn("_block", block_of(key, n_blocks)).join(blocks, F.col("_block") == F.col("block")).filter(hit).select("_host", "_path", "_key")
+    exact = possible.join(usable, (F.col("_key.h") == F.col("rule_host")) & (F.col("_key.p") == F.col("probe")) & F.startswith("_path", "rule_path"))
     size = F.length("rule_host") + F.length("rule_path")
-    best = F.max(F.when(F.col("rule_host").isNotNull(), F.struct(size.alias("n"), F.length("rule_host").alias("m"), F.concat("rule_host", "rule_path").alias("rule"), F.col("rule_verdict").alias("verdict"))))
-    judged = exact.groupBy("_id").agg(F.first("_row").alias("_row"), F.first("_host").alias("host"), F.first("_path").alias("path"), best.alias("_best"))
-    return judged.select("_row.*", "host", "path", F.col("_best.rule").alias("rule"), F.coalesce(F.col("_best.verdict"), F.lit(default)).alias("verdict"))
+    best = F.max(F.struct(size.alias("n"), F.length("rule_host").alias("m"), F.concat("rule_host", "rule_path").alias("rule"), F.col("rule_verdict").alias("verdict")))
+    judged = exact.groupBy(F.col("_host").alias("_h"), F.col("_path").alias("_p")).agg(best.alias("_best"))
+    judged = materialise(judged, "url-judged")  # with a plain exchange on both sides a common url can be split
+    out = own.join(judged, (F.col("_host") == F.col("_h")) & (F.col("_path") == F.col("_p")), "left")
+    return out.select("_row.*", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_best.rule").alias("rule"), F.coalesce(F.col("_best.verdict"), F.lit(default)).alias("verdict"))
 
 
 #: The rules that every page is judged by.

@@ -258,7 +258,10 @@ def test_urls(spark):
     assert ours == sorted(c.sql(f"SELECT {', '.join(columns)} FROM ({urlfilter.SQL})").fetchall())
 
 
-def test_many_url_rules(spark):
+@pytest.mark.parametrize("most", [urlfilter.BROADCAST_FILTER_BYTES, 0])
+def test_many_url_rules(spark, monkeypatch, most):
+    """The second time the filter is too large to broadcast."""
+    monkeypatch.setattr(urlfilter, "BROADCAST_FILTER_BYTES", most)
     rng = random.Random(3)
     rules = {(f"h{rng.randrange(300)}.org", rng.choice(["", "/", "/a", "/a/b/"])): rng.choice(["allow", "block"]) for _ in range(500)}
     pages = [(i, f"http://s.h{rng.randrange(600)}.org{rng.choice(['', '/', '/a/b/c', '/ab'])}") for i in range(400)]
