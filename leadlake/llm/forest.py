@@ -5,7 +5,6 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +24,10 @@ SPILL = 0.05
 TREE_SHIFT = 20
 #: Vectors that the splits of an oversize leaf are fitted on, about, and that are placed by them at once, about.
 SUB_SAMPLE, CHUNK_ROWS = 4096, 8192
+#: Rows of a leaf's sample that are asked for their neighbours, to tell whether a group crowds in it.
+PROBES = 256
+#: Vectors of a block of a leaf that stays whole.
+WHOLE_BLOCK = 2048
 #: Comparisons held at once.
 CELLS = 1 << 22
 #: A group's two sides are cut into blocks of about this many bytes in double precision, 1,024 vectors at least.
@@ -181,9 +184,11 @@ def packed_roots(near: np.ndarray) -> np.ndarray:
         label = least
 
 
-def compare_leaf(unit: np.ndarray, weights: np.ndarray, codes: list[np.ndarray], code: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+def compare_leaf(unit: np.ndarray, weights: np.ndarray, codes: list[np.ndarray], code: int, least: float, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(links of each row that no leaf of a lower code has shown already, row number of each row's local root).
 
+    With ``side``, rows are two blocks of a leaf, and only rows of different blocks are compared.
+
     A vector keeps the codes of all leaves it is in; two vectors that meet in several leaves are counted in the first. All
     but one bit a pair of linked rows is held for some rows at a time only.
     """
@@ -194,6 +199,8 @@ def compare_leaf(unit: np.ndarray, weights: np.ndarray, codes: list[np.ndarray],
     for i in range(0, n, block):
         close = unit[i : i + block] @ unit.T >= least
         close[np.arange(len(close)), np.arange(i, i + len(close))] = False
+        if side is not None:
+            close &= side[i : i + block, None] != side[None, :]
         near[i : i + block] = close.any(axis=1)
     rows = np.flatnonzero(near)
     if not len(rows):
@@ -204,6 +211,8 @@ def compare_leaf(unit: np.ndarray, weights: np.ndarray, codes: list[np.ndarray],
     for i in range(0, m, block):
         close = u[i : i + block] @ u.T >= least
         close[np.arange(len(close)), np.arange(i, i + len(close))] = False
+        if side is not None:
+            close &= side[rows[i : i + block], None] != side[None, rows]
         bits[i : i + block] = np.packbits(close, axis=1)
     root[rows] = rows[packed_roots(bits)]
     earlier = [c[c < code] for c in (codes[r] for r in rows)]
@@ -250,26 +259,39 @@ def compare_cell(unit: np.ndarray, cid: np.ndarray, weights: np.ndarray, home: n
     return ids, np.concatenate([links, back[met]]).astype(np.int64), np.full(len(ids), pivot)
 
 
-def split_again(coarse: DataFrame, classes: DataFrame, leaf_rows: int, spill: float, seed: int) -> DataFrame:
-    """(cid, code): ``coarse`` with every leaf of over twice ``leaf_rows`` vectors split by a tree of its own, until none is left.
+def crowded(unit: np.ndarray, least: float, seed: int) -> bool:
+    """Whether one of some drawn rows has over an eighth of all rows within the limit: a split might cut their group."""
+    drawn = np.random.default_rng(seed).permutation(len(unit))[:PROBES]
+    return bool(((unit[drawn] @ unit.T >= least).sum(axis=1) > max(8, len(unit) // 8)).any())
+
 
-    A leaf's tree is fitted on about ``SUB_SAMPLE`` of its vectors, drawn by hash, and its vectors are placed in chunks of
-    bounded size, so no leaf is ever held whole. A leaf that its tree doesn't divide stays as it is.
+def split_again(coarse: DataFrame, classes: DataFrame, leaf_rows: int, spill: float, seed: int, least: float) -> DataFrame:
+    """(cid, code, rows): ``coarse`` with every leaf of over twice ``leaf_rows`` vectors split by a tree of its own, until none is left
+    but those that stay whole; rows is a whole leaf's size, null for the others.
+
+    A leaf is judged and its tree fitted on about ``SUB_SAMPLE`` of its vectors, drawn by hash, and its vectors are placed in
+    chunks of bounded size, so no leaf is ever held whole. A leaf in which a group of near copies crowds stays whole, since further splits would
+    cut the group, and so does one that its tree doesn't divide; whole leaves are compared block by block. A tree goes down
+    four levels at most before the parts are judged again.
     """
+    plain = lambda df: df.select("cid", "code", F.lit(None).cast("long").alias("rows"))
     final, level = None, 0
     while True:
         level += 1
         sizes = coarse.groupBy("code").agg(F.count("*").alias("rows"))
         big = materialise(sizes.filter(F.col("rows") > 2 * leaf_rows), "forest-oversize")
         if big.isEmpty():
-            return coarse if final is None else coarse.union(final)
+            return plain(coarse) if final is None else plain(coarse).union(final)
         inside = coarse.join(big, "code").join(classes.select("cid", "embedding"), "cid")
         drawn = F.pmod(F.xxhash64("code", "cid", F.lit(level)), F.lit(1 << 30)) / F.lit(float(1 << 30)) < F.lit(float(SUB_SAMPLE)) / F.col("rows")
 
         def fit(table: pa.Table) -> pa.Table:
             code, rows = table.column("code")[0].as_py(), table.column("rows")[0].as_py()
-            tree = fit_tree(unit_rows(matrix(table.column("embedding"))), max(16, leaf_rows * table.num_rows // rows), spill, (seed + code) % (1 << 32))
-            blob = pickle.dumps(tree) if len(tree.normals) else None
+            unit, own = unit_rows(matrix(table.column("embedding"))), (seed + code) % (1 << 32)
+            blob = None
+            if not crowded(unit, least, own):
+                tree = fit_tree(unit, max(16, leaf_rows * table.num_rows // rows, table.num_rows // 16), spill, own)
+                blob = pickle.dumps(tree) if len(tree.normals) else None
             return pa.table({"code": pa.array([code], pa.int64()), "tree": pa.array([blob], pa.binary())})
 
         trees = materialise(inside.filter(drawn).select("code", "rows", "embedding").groupBy("code").applyInArrow(fit, "code long, tree binary"), "forest-subtrees")
@@ -285,7 +307,7 @@ def split_again(coarse: DataFrame, classes: DataFrame, leaf_rows: int, spill: fl
             return pa.table({"cid": vectors.column("cid").to_numpy()[row], "code": named.view(np.int64)})
 
         placed = left.groupBy("code", "chunk").cogroup(right.groupBy("code", "chunk")).applyInArrow(place_again, "cid long, code long")
-        whole = materialise(coarse.join(big, "code").join(trees.filter("tree is not null").select("code"), "code", "left_anti").select("cid", "code"), "forest-undivided")
+        whole = materialise(coarse.join(big, "code").join(trees.filter("tree is not null").select("code"), "code", "left_anti").select("cid", "code", "rows"), "forest-whole")
         final = whole if final is None else final.union(whole)
         coarse = materialise(coarse.join(big, "code", "left_anti").select("cid", "code").union(placed), "forest-leaves")
 
@@ -301,48 +323,31 @@ def index_and_compare(classes: DataFrame, least: float, trees: int, leaf_rows: i
     forest = [fit_tree(rest, leaf, spill, seed + t) for t in range(trees)]
     shared = classes.sparkSession.sparkContext.broadcast((groups, forest))  # at most trees * sample_rows / leaf normals and 4 * sample_rows / leaf pivots
 
-    def place(batches: Iterator[pa.RecordBatch], in_trees: bool = True) -> Iterator[pa.RecordBatch]:
-        groups, forest = shared.value
-        forest = forest if in_trees else []
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The blocks of the large groups."""
+        groups = shared.value[0]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            unit, cid = unit_rows(matrix(batch.column(1))), batch.column(0).to_numpy()
-            home, reach = groups.homes(unit)
-            free = np.flatnonzero(home < 0)
-            found = [(free[r], x + (t << TREE_SHIFT)) for t, tree in enumerate(forest if len(free) else []) for r, x in [leaves_of(tree, unit[free])]]
-            row, code = (np.concatenate([np.zeros(0, np.int64), *x]) for x in ([r for r, _ in found], [x for _, x in found]))
-            order = np.lexsort((code, row))
-            row, code = row[order], code[order].astype(np.int32)
-            own = np.split(code, np.searchsorted(row, np.arange(1, batch.num_rows)))
-            lists = pa.array(own, pa.list_(pa.int32()))
-            none = np.zeros(len(row), np.int32)
-            in_cells = ((r, -1 - g, a, d, s) for r, g, a, d, s in groups.cells(cid, home, reach))
-            for row, code, across, down, side in chain([(row, code, none, none, none)], in_cells):
+            cid = batch.column(0).to_numpy()
+            home, reach = groups.homes(unit_rows(matrix(batch.column(1))))
+            for row, code, across, down, side in groups.cells(cid, home, reach):
                 for i in range(0, len(row), 1 << 14):  # the vectors are copied, some thousands at a time
                     part = slice(i, i + (1 << 14))
                     at = pa.array(row[part])
                     keys = [pa.array(x[part].astype(np.int32)) for x in (code, across, down, side, home[row])]
-                    yield pa.record_batch([*keys, *(batch.column(k).take(at) for k in range(3)), lists.take(at)], names=["code", "across", "down", "side", "home", "cid", "embedding", "n", "codes"])
+                    yield pa.record_batch([*keys, *(batch.column(k).take(at) for k in range(3))], names=["code", "across", "down", "side", "home", "cid", "embedding", "n"])
 
     def compare(table: pa.Table) -> pa.Table:
         cid, n, code = table.column("cid").to_numpy(), table.column("n").to_numpy(), table.column("code")[0].as_py()
         unit = unit_rows(matrix(table.column("embedding")))
-        if code < 0:
-            cid, linked, root = compare_cell(unit, cid, n, table.column("home").to_numpy(), table.column("side").to_numpy(), -1 - code, shared.value[0].cids[-1 - code], least)
-        else:
-            codes = [np.asarray(x, np.int64) for x in table.column("codes").to_pylist()]
-            linked, root = compare_leaf(unit, n, codes, code, least)
-            root = cid[root]
+        cid, linked, root = compare_cell(unit, cid, n, table.column("home").to_numpy(), table.column("side").to_numpy(), code, shared.value[0].cids[code], least)
         some = (linked > 0) | (root != cid)
         return pa.table({"cid": cid[some], "links": linked[some], "root": root[some]})
 
     kind = classes.schema["embedding"].dataType.simpleString()
     found = "cid long, links long, root long"
     vectors = classes.select("cid", "embedding", "n")
-    if leaf_rows * len(sample) >= 16 * total:  # the sample can split down to usual leaves
-        placed = vectors.mapInArrow(place, f"code int, across int, down int, side int, home int, cid long, embedding {kind}, n long, codes array<int>")
-        return placed.groupBy("code", "across", "down").applyInArrow(compare, found)
 
     def first_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups, forest = shared.value
@@ -357,17 +362,24 @@ def index_and_compare(classes: DataFrame, least: float, trees: int, leaf_rows: i
     def compare_final(table: pa.Table) -> pa.Table:
         cid, n = table.column("cid").to_numpy(), table.column("n").to_numpy()
         codes = [np.asarray(x, np.int64) for x in table.column("codes").to_pylist()]
-        linked, root = compare_leaf(unit_rows(matrix(table.column("embedding"))), n, codes, table.column("code")[0].as_py(), least)
+        a, b = (table.column(c)[0].as_py() for c in ("a", "b"))
+        side = None if a == b else table.column("block").to_numpy() == b
+        linked, root = compare_leaf(unit_rows(matrix(table.column("embedding"))), n, codes, table.column("code")[0].as_py(), least, side)
         some = (linked > 0) | (cid[root] != cid)
         return pa.table({"cid": cid[some], "links": linked[some], "root": cid[root][some]})
 
-    cells_only = vectors.mapInArrow(lambda batches: place(batches, False), f"code int, across int, down int, side int, home int, cid long, embedding {kind}, n long, codes array<int>")
-    in_cells = cells_only.groupBy("code", "across", "down").applyInArrow(compare, found)
+    in_cells = vectors.mapInArrow(place, f"code int, across int, down int, side int, home int, cid long, embedding {kind}, n long").groupBy("code", "across", "down").applyInArrow(compare, found)
     coarse = materialise(classes.select("cid", "embedding").mapInArrow(first_codes, "cid long, code long"), "forest-leaves")
-    final = split_again(coarse, classes, leaf_rows, spill, seed)
-    lists = final.groupBy("cid").agg(F.array_sort(F.collect_set("code")).alias("codes"))  # a vector's leaves, some in each tree
-    in_leaves = vectors.join(lists, "cid").select("cid", "embedding", "n", "codes", F.explode("codes").alias("code"))
-    return in_cells.union(in_leaves.groupBy("code").applyInArrow(compare_final, found))
+    final = split_again(coarse, classes, leaf_rows, spill, seed, least)
+    lists = final.groupBy("cid").agg(F.array_sort(F.collect_set(F.struct("code", "rows"))).alias("leaves"))  # a vector's leaves, some in each tree
+    in_leaves = vectors.join(lists, "cid").select("cid", "embedding", "n", F.col("leaves.code").alias("codes"), F.inline("leaves"))
+    # A whole leaf's vectors are dealt over blocks, and each block meets itself and each other one.
+    n_blocks = F.coalesce(F.ceil(F.col("rows") / WHOLE_BLOCK), F.lit(1)).cast("int")
+    dealt = in_leaves.withColumn("_blocks", n_blocks).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("_blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    met = dealt.withColumn("_other", other).withColumns({"a": F.least("block", "_other"), "b": F.greatest("block", "_other")})
+    cells = met.select("code", "a", "b", "block", "cid", "embedding", "n", "codes")
+    return in_cells.union(cells.groupBy("code", "a", "b").applyInArrow(compare_final, found))
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, trees: int = TREES, leaf_rows: int = LEAF_ROWS, spill: float = SPILL, sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> DataFrame:
@@ -382,7 +394,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     Large groups of near copies, found in a bounded sample, are compared with all in their reach, block by block and exactly;
     the other vectors go to the trees. Each tree splits recursively by random projections at the middle of a bounded sample, with an overlap of ``spill`` to
     either side; all vectors are placed, leaves that hold over twice ``leaf_rows`` because the sample could not split further
-    are split again by trees of their own, and pairs are compared within leaves. Leaves return a count and one edge to a
+    are judged on samples of their own: one in which a group crowds (an eighth of its vectors near one of them) stays whole and is compared in
+    blocks, others are split again. So groups that the first sample misses are found where they fill a leaf. Pairs are compared within leaves; those that
+    every tree parts are missed: recall is over 0.9 in tests with groups of 2 to 10,000 near the limit, and never a link below it. Leaves return a count and one edge to a
     local root per vector, never the pairs.
     """
     spark = vectors.sparkSession

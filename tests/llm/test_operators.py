@@ -381,7 +381,7 @@ def test_forest_splits_oversize_leaves(spark, monkeypatch):
 
     def split(coarse, *rest):
         out = inner(coarse, *rest)
-        compared.append((coarse.groupBy("code").count().agg(F.max("count")).first()[0], out.groupBy("code").count().agg(F.max("count")).first()[0]))
+        compared.append((coarse.groupBy("code").count().agg(F.max("count")).first()[0], out.filter("rows is null").groupBy("code").count().agg(F.max("count")).first()[0]))
         return out
 
     monkeypatch.setattr(forest, "split_again", split)
@@ -401,6 +401,27 @@ def test_forest_splits_oversize_leaves(spark, monkeypatch):
     assert sum(r.component_id == x for r, x in zip(rows, labels, strict=True)) >= 0.97 * len(rows)
 
 
+def test_forest_groups_that_the_sample_misses(spark):
+    """Groups of 500 to 10,000 near the limit, none with enough vectors in the sample to be told: found where they crowd a leaf."""
+    rng = np.random.default_rng(31)
+    sizes = (500, 2000, 4000, 10_000)
+    centres = rng.standard_normal((4, 64))
+    centres *= 8 / np.linalg.norm(centres, axis=1)[:, None]
+    parts = [c + rng.standard_normal((n, 64)) * 0.31 for c, n in zip(centres, sizes, strict=True)] + [rng.standard_normal((6000, 64))]
+    vectors = np.concatenate(parts).astype(np.float32)
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1)[:, None]
+    assert not len(forest.find_groups(unit[rng.permutation(len(unit))[:12]], np.arange(12), 0.9, 16, len(unit)).pivots)
+    true = np.concatenate([(unit[i : i + 1000] @ unit.T >= 0.9).sum(axis=1) - 1 for i in range(0, len(unit), 1000)])
+    order = rng.permutation(len(unit)).tolist()
+    data = spark.createDataFrame([(i, vectors[i].tolist()) for i in order], "vec_id long, embedding array<float>").repartition(6)
+    ours = np.array([r.n_links for r in forest.near_duplicates(data, sample_rows=12).orderBy("vec_id").collect()])
+    assert (ours <= true).all()
+    ends = np.append(0, np.cumsum(sizes))
+    recall = [ours[a:b].sum() / true[a:b].sum() for a, b in zip(ends, ends[1:], strict=False)]
+    assert min(recall) >= 0.9, recall
+    assert all(true[a:b].sum() > (b - a) ** 2 // 3 for a, b in zip(ends, ends[1:], strict=False))  # over a third of the pairs are links
+
+
 def test_vectors_of_two_lengths(spark):
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.1]), (2, [1.0, 0.0, 0.0]), (3, [1.0, 0.0, 0.1])]
     found = {r.vec_id: (r.n_links, r.component_id) for r in forest.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
