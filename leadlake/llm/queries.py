@@ -23,7 +23,8 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.quality(docs, bands=quality.fit_bands(docs, table(spark, sf_dir, "labels"))).drop("text")
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
