@@ -70,7 +70,7 @@ def test_quality_bands(spark):
     prose = " ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(3000))
     ramp = " ".join(f"{i % 97}x{'y' * 80}{i}" for i in range(3000))
     rows = {r.k: r for r in quality.quality(spark.createDataFrame([("noise", noise), ("prose", prose), ("ramp", ramp)], "k string, text string")).collect()}
-    assert rows["prose"].kept and not rows["ramp"].kept and rows["ramp"].ratio < 0.08
+    assert rows["prose"].kept and not rows["noise"].kept and not rows["ramp"].kept and rows["ramp"].ratio < 0.08
 
 
 def test_quality_bands_decide(spark):
@@ -94,6 +94,31 @@ def test_quality_bands_decide(spark):
     assert [r.kept for r in rows] == [False] * len(bad) + [True] * len(good)
 
 
+def test_bands_fitted_on_good_texts(spark):
+    """Marked-up prose lies under prose in every length; only labelled texts tell. Texts without a label are judged as well, other scripts by the general limits."""
+    rng = random.Random(17)
+    stock = ["".join(rng.choices("etaoinshrdlucmfwyp", range(18, 0, -1), k=rng.randint(2, 9))) for _ in range(2000)]
+    words = lambda n: rng.choices(stock, range(2000, 0, -1), k=n)
+    georgian = str.maketrans({c: chr(0x10D0 + i) for i, c in enumerate("etaoinshrdlucmfwyp")})
+    rows = []
+    for k in range(3000):
+        n = int(90 * 8 ** rng.random())
+        text = " ".join(words(n)) if k % 5 else " ".join(w + "###" for w in words(n))
+        rows.append((k, text.translate(georgian) if k % 50 == 1 else text, "own"))
+    docs = spark.createDataFrame([*rows, (None, "x", "own"), (5000, None, "own")], "doc_id long, text string, script string")
+    labels = spark.createDataFrame([(k, int(k % 5 > 0)) for k in range(0, 3000, 2)] + [(None, 1), (3, None), (4, 1), (4, 1), (9999, 1)], "doc_id long, quality int")
+    bands = quality.fit_bands(docs, labels)
+    assert bands.fitted and {s for s, _, _ in bands.fitted} == {1}
+    out = quality.quality(docs, bands=bands)
+    assert out.columns[:3] == ["doc_id", "text", "script"] and {r.script for r in out.collect()} == {"own"}
+    kept = {r.doc_id: r.kept for r in out.filter("not base_failed").collect()}
+    bad, good = [v for k, v in kept.items() if k % 5 == 0], [v for k, v in kept.items() if k % 5]
+    assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.4 * len(bad) and len(bad) > 200
+    assert all(v for k, v in kept.items() if k % 50 == 1)
+    assert quality.fit_bands(docs, labels.filter("false")) == quality.Bands() == quality.fit_bands(docs.filter("false"), labels)
+    assert len(quality.fit_bands(docs, labels, most=300).fitted) <= len(bands.fitted)
+
+
 def test_token_counts(docs):
     p, _ = tokencount.load_processor(MODEL)
     for r in tokencount.count_tokens(docs, MODEL).collect():
