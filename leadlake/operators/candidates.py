@@ -68,7 +68,7 @@ def normalised(df: DataFrame, year: int, defaults: Mapping[str, str] | None = No
         "_text": compact(F.concat_ws(" ", *(c(t) for t in TEXT_FIELDS))),
         "_tags": F.concat(*(F.coalesce(c(t), none) for t in ("provisional_program_family_tags", "program_family_tags", "camp_type_tags"))),
     }).withColumn("_hint", X.provisional(F.col("_tags")))
-    extracted = K.computed(extracted, *K.names(extracted))
+    extracted = K.computed(extracted)
     tagged = extracted.withColumns({
         "_families": V.merged(c("program_family"), c("program_family_tags"), F.col("_hint.families"), X.tags(F.col("_text"), families)),
         "_types": V.merged(c("camp_types"), c("camp_type_tags"), F.col("_hint.types"), X.tags(F.col("_text"), types)),
@@ -77,7 +77,7 @@ def normalised(df: DataFrame, year: int, defaults: Mapping[str, str] | None = No
         "_basis": F.coalesce(X.renamed(given(c("record_basis"), c("candidate_shape")), R.BASIS_NAMES), X.record_basis(F.col("_venue"), c("uncertainty"), F.col("_city"))),
         "_activity": F.coalesce(given(c("activity_status_guess")), V.activity(F.col("_text"), year)),
     })
-    tagged = K.computed(tagged, *K.names(tagged)).withColumns({"_families": V.without_sentinel(F.col("_families"), families.default or ""), "_types": V.without_sentinel(F.col("_types"), types.default or "")})
+    tagged = K.computed(tagged).withColumns({"_families": V.without_sentinel(F.col("_families"), families.default or ""), "_types": V.without_sentinel(F.col("_types"), types.default or "")})
     some = lambda *names: given(*(c(n) for n in names)).isNotNull()
     derived = Q.validation_needs(
         F.col("_basis"), F.col("_types"), F.col("_activity"), F.col("_duration.label"), F.col("_recent").isNotNull(), some("pricing", "price", "tuition"), some("contact", "contact_email", "contact_phone"),

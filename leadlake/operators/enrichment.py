@@ -6,13 +6,14 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from leadlake import rules as R
 from leadlake.functions import extract as X
 from leadlake.functions import url as U
 from leadlake.functions import values as V
 from leadlake.functions.text import has_any
-from leadlake.operators.keyed import keep_best, rank_of
+from leadlake.operators.keyed import computed, keep_best, rank_of
 
 #: struct<status, confidence, evidence, the type's own fields> of a candidate's columns.
 Extractor = Callable[[], Column]
@@ -122,17 +123,11 @@ def from_page(text: Column) -> dict[str, Column]:
     return {"pricing": X.pricing(text), "duration": X.page_duration(text), "age_grade": X.ages_and_grades(text), "contact": F.when(seen["status"] != "missing", seen)}
 
 
-def improved(phase: DataFrame, kind: str, found: Column, status: Column, evidence: Column) -> Column:
+def improved(kind: str, old: StructType, found: str, fields: StructType, status: Column, evidence: Column) -> Column:
     """The old struct, or one with the fields that were found if their status ranks higher. (WIN-09)"""
-    old = phase.schema[kind].dataType
-    held = [f.name for f in found_fields(phase, found)]
     fresh = {"status": status, "confidence": F.lit("medium"), "evidence": evidence}
-    new = F.struct(*(fresh.get(f.name, F.col("_found")[f.name] if f.name in held else F.lit(None)).cast(f.dataType).alias(f.name) for f in old.fields))
-    return F.when(F.col("_found").isNotNull() & (rank_of(status) > rank_of(F.col(f"{kind}.status"))), new).otherwise(F.col(kind))
-
-
-def found_fields(df: DataFrame, found: Column) -> list:
-    return df.select(found.alias("_f")).schema["_f"].dataType.fields
+    new = F.struct(*(fresh.get(f.name, F.col(found)[f.name] if f.name in fields.names else F.lit(None)).cast(f.dataType).alias(f.name) for f in old.fields))
+    return F.when(F.col(found).isNotNull() & (rank_of(status) > rank_of(F.col(f"{kind}.status"))), new).otherwise(F.col(kind))
 
 
 def phase2(enriched: DataFrame, pages: DataFrame, url: str, text: str) -> DataFrame:
@@ -143,17 +138,21 @@ def phase2(enriched: DataFrame, pages: DataFrame, url: str, text: str) -> DataFr
     """
     texts = pages.select(U.canonical(F.col(url)).alias("_url"), F.col(text).alias("_text")).filter("_text is not null").groupBy("_url").agg(F.min("_text").alias("_text"))
     joined = enriched.withColumn("_key", F.when(F.col("canonical_url").isNotNull(), U.canonical(F.col("canonical_url"))))
-    joined = joined.join(texts, joined["_key"] == texts["_url"], "left").drop("_key", "_url").withColumn("phase2", F.array().cast("array<string>"))
+    joined = joined.join(texts, joined["_key"] == texts["_url"], "left").drop("_key", "_url")
+    found = {}
     for kind, said in from_page(F.col("_text")).items():
         wanted = F.col("contact.contact_email").isNull() if kind == "contact" else F.array_contains("missing", kind)
         if kind == "contact":
             said = F.when(said.isNotNull(), F.struct(said["email"].alias("contact_email"), said["phone"].alias("contact_phone"), F.col("canonical_url").alias("inquiry_url"), F.col("contact.operator_name").alias("operator_name"), said["status"].alias("found_as")))
-        joined = joined.withColumn("_found", F.when(wanted & F.col("_text").isNotNull(), said))
-        status = F.when(F.col("_found.contact_email").isNotNull(), "found").otherwise("partial") if kind == "contact" else F.lit("found")
-        won = F.col("_found").isNotNull() & (rank_of(status) > rank_of(F.col(f"{kind}.status")))
-        new = improved(joined, kind, F.col("_found"), status, F.lit(None).cast("string"))
-        joined = joined.withColumns({"phase2": F.when(won, F.array_append("phase2", F.lit(kind))).otherwise(F.col("phase2")), kind: new})
-    return joined.drop("_found", "_text")
+        found[kind] = F.when(wanted & F.col("_text").isNotNull(), said)
+    read = computed(joined.withColumns({f"_found_{kind}": said for kind, said in found.items()}))  # a page is searched once
+    schema, merged, gained = read.schema, {}, []
+    for kind in found:
+        name = f"_found_{kind}"
+        status = F.when(F.col(f"{name}.contact_email").isNotNull(), "found").otherwise("partial") if kind == "contact" else F.lit("found")
+        gained.append(F.when(F.col(name).isNotNull() & (rank_of(status) > rank_of(F.col(f"{kind}.status"))), F.lit(kind)))
+        merged[kind] = improved(kind, schema[kind].dataType, name, schema[name].dataType, status, F.lit(None).cast("string"))
+    return read.withColumns({"phase2": F.array_compact(F.array(*gained))} | merged).drop("_text", *(f"_found_{kind}" for kind in found))
 
 
 def from_subpages(candidates: DataFrame, hits: DataFrame, pages: DataFrame, extract: Callable[[Column], Column], useful: Callable[[Column], Column], n: int = 3) -> DataFrame:

@@ -17,10 +17,9 @@ def names(df: DataFrame) -> list[Column]:
 
 
 def computed(df: DataFrame, *columns: Column) -> DataFrame:
-    """``df`` with the given columns, computed once: they come out of a generator that yields the row, so Catalyst doesn't copy
+    """``df``, or the given columns of it, computed once: they come out of a generator that yields the row, so Catalyst doesn't copy
     their expressions into the filters and projections above. For wide projections that are read many times."""
-    made = df.select(*columns)
-    return made.select(F.inline(F.array(F.struct(*names(made)))))
+    return (df.select(*columns) if columns else df).select(F.inline(F.array(F.struct("*"))))
 
 
 def keep_best(df: DataFrame, keys: Sequence[str], preference: Sequence[Column], union_col: str | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from leadlake import rules as R
 from leadlake.functions import extract as X
 from leadlake.functions import url as U
-from leadlake.functions.text import compact, first_text, slug
+from leadlake.functions.text import compact, first_text, has_any, slug
 from leadlake.functions.values import embedded_array, embedded_object, labels
 from leadlake.operators.keyed import global_rank, keep_best
 
@@ -104,34 +104,45 @@ def dossiers(candidates: DataFrame) -> DataFrame:
     from leadlake.operators.candidates import skip_reasons
 
     c = lambda n: compact(F.col(n))
+    has = lambda n: F.col(n) if n in candidates.columns else F.lit(None).cast("string")
     overnight, active = c("overnight_evidence_snippet") != "", (c("activity_status_guess") == "active_recent") & (c("recent_activity_evidence_snippet") != "")
     ages, grades = X.labelled_range(F.col("eligibility_summary"), "age"), X.labelled_range(F.col("eligibility_summary"), "grade")
-    span = lambda name, r: F.when(r["low"].isNotNull(), F.concat(F.lit(f"Derived {name} range: "), r["low"].cast("string"), F.lit("-"), r["high"].cast("string"), F.lit(".")))
+    span = lambda name, r: F.when(r["low"].isNotNull(), F.concat(F.lit(f"{name} "), r["low"].cast("string"), F.lit("-"), r["high"].cast("string"), F.lit(".")))
     label, least, most = F.coalesce("duration_guess.label", F.lit("unknown")), F.col("duration_guess.min_days"), F.col("duration_guess.max_days")
-    days = F.when(least.isNotNull() | most.isNotNull(), F.concat(F.lit("Min days: "), F.coalesce(least.cast("string"), F.lit("unknown")), F.lit("; max days: "), F.coalesce(most.cast("string"), F.lit("unknown")), F.lit(".")))
-    family = F.coalesce(F.nullif(F.array_join(F.slice("program_family", 1, 3), ", "), F.lit("")), F.lit("overnight/residential"))
-    place = F.concat(c("city"), F.lit(", "), c("region"))
-    quick = F.concat(F.col("name"), F.lit(" is a draft venue dossier for a "), F.when(label != "unknown", F.concat(label, F.lit(" "))).otherwise(""), family, F.lit(" program in "), place, F.lit("."))
-    facts = F.array_compact(F.array(
-        F.concat(F.lit("- Operator: "), first_text(c("operator_name"), F.lit("Unknown"))), F.concat(F.lit("- Venue: "), first_text(c("venue_name"), F.lit("Unknown"))), F.concat(F.lit("- Location: "), place),
-        F.concat(F.lit("- Canonical URL: "), first_text(c("canonical_url"), F.lit("Not captured"))), F.when(F.size("program_family") > 0, F.concat(F.lit("- Program family: "), F.array_join("program_family", ", "))), F.when(label != "unknown", F.concat(F.lit("- Known duration signal: "), label)),
-    ))
-    needs = F.array_join(F.transform("validation_needs", lambda n: F.concat(F.lit("- "), F.initcap(F.replace(n, F.lit("_"), F.lit(" "))))), "\n")
+    days = F.when(least.isNotNull() | most.isNotNull(), F.concat(F.coalesce(least.cast("string"), F.lit("?")), F.lit(" to "), F.coalesce(most.cast("string"), F.lit("?")), F.lit(" days.")))
+    family = F.coalesce(F.nullif(F.array_join(F.slice("program_family", 1, 3), ", "), F.lit("")), F.lit("overnight"))
+    place, url = F.concat(c("city"), F.lit(", "), c("region")), F.nullif(c("canonical_url"), F.lit(""))
+    title = F.concat(c("name"), F.lit(" at "), c("venue_name"))
+    quick = F.concat(c("name"), F.lit(": "), F.when(label != "unknown", F.concat(label, F.lit(" "))).otherwise(""), family, F.lit(" program, "), place, F.lit("."))
+    bullets = lambda values: F.array_join(F.transform(F.array_compact(values), lambda v: F.concat(F.lit("- "), v)), "\n")
+    fact = lambda name, v: F.concat(F.lit(f"{name}: "), v)
+    facts = F.array(
+        fact("Operator", first_text(c("operator_name"), F.lit("unknown"))), fact("Venue", first_text(c("venue_name"), F.lit("unknown"))), fact("Place", place), fact("Site", url),
+        F.when(F.size("program_family") > 0, fact("Families", F.array_join("program_family", ", "))), F.when(F.size("camp_types") > 0, fact("Types", F.array_join("camp_types", ", "))), F.when(label != "unknown", fact("Length", label)),
+    )
+    needs = F.transform("validation_needs", lambda n: F.initcap(F.replace(n, F.lit("_"), F.lit(" "))))
     sections = (
-        ("Quick Take", quick), ("Verified Facts", F.array_join(facts, "\n")), ("Ages And Grades", F.concat_ws("\n\n", F.col("eligibility_summary"), span("age", ages), span("grade", grades))), ("Session Length", F.concat_ws("\n\n", F.concat(F.lit("Duration guess: "), label, F.lit(".")), days)),
-        ("Location Notes", F.concat_ws(" ", c("venue_name"), place, F.array_join("notes", " "))), ("Pricing", F.col("pricing_summary")), ("Contact", F.when(c("canonical_url") != "", F.concat(F.lit("Official site: "), c("canonical_url")))), ("Open Questions", needs),
+        ("Quick Take", quick), ("Verified Facts", bullets(facts)), ("Overnight Evidence", c("overnight_evidence_snippet")), ("Recent Activity Evidence", c("recent_activity_evidence_snippet")),
+        ("Ages and Grades", F.concat_ws(" ", F.col("eligibility_summary"), span("Ages", ages), span("Grades", grades))), ("Session Length", F.concat_ws(" ", F.concat(label, F.lit(".")), days)), ("Pricing", F.col("pricing_summary")),
+        ("Location", F.concat_ws(" ", c("venue_name"), place, F.array_join("notes", " "))), ("Contact", url), ("Open Questions", bullets(needs)), ("Sources", bullets(F.array(url))),
     )
-    boarding = F.when(F.rlike(F.lower(F.concat_ws(" ", "overnight_evidence_snippet", "pricing_summary")), F.lit("housing and meals included|housing included|board included|live on campus|reside in")), F.lit(True))
+    boarding = F.when(has_any(F.lower(F.concat_ws(" ", "overnight_evidence_snippet", "pricing_summary")), R.BOARDING_PHRASES), F.lit(True))
     made = candidates.withColumns({
         "reasons": skip_reasons(candidates), "confidence": X.confidence(F.col("validation_needs"), F.col("record_basis"), overnight, active), "operator_type": X.operator_type(F.coalesce("operator_name", F.lit("")), F.col("name")),
         "_ages": ages, "_grades": grades, "_boarding": boarding,
     })
+    given_url = lambda held: F.when(held, url)
     header = F.to_json(F.struct(
-        slug(F.concat_ws("-", "country", "region", "city", "venue_name")).alias("venue_id"), slug(F.col("name")).alias("camp_id"), F.col("candidate_id").alias("record_id"), "name", "country", "region", "city",
-        F.struct(F.col("operator_name").alias("name"), F.col("operator_type").alias("type")).alias("operator"), F.struct(F.col("_ages.low").alias("ages_min"), F.col("_ages.high").alias("ages_max"), F.col("_grades.low").alias("grades_min"), F.col("_grades.high").alias("grades_max")).alias("eligibility"),
-        F.struct(least.alias("min_days"), most.alias("max_days")).alias("duration"), F.struct(F.col("_boarding").alias("boarding_included")).alias("pricing"), F.struct(overnight.alias("overnight_confirmed"), active.alias("active_confirmed"), F.col("confidence")).alias("verification"),
+        slug(F.concat_ws("-", "country", "region", "city", "venue_name")).alias("venue_id"), slug(F.col("name")).alias("camp_id"), F.col("candidate_id").alias("record_id"), "name", title.alias("display_name"), "country", "region", "city", "venue_name", "program_family", "camp_types", "priority_flags",
+        F.nullif(compact(has("source_language")), F.lit("")).alias("source_language_primary"), F.col("activity_status_guess").alias("activity_status"), F.lit(R.ACTIVITY_MONTHS).alias("activity_evidence_window_months"),
+        F.struct(F.col("operator_name").alias("name"), F.col("operator_type").alias("type")).alias("operator"), F.struct(F.col("_ages.low").alias("min"), F.col("_ages.high").alias("max")).alias("ages"), F.struct(F.col("_grades.low").alias("min"), F.col("_grades.high").alias("max")).alias("grades"),
+        F.struct(least.alias("min_days"), most.alias("max_days")).alias("duration"), F.struct(F.create_map(*(F.lit(x) for kv in R.CURRENCY_BY_COUNTRY.items() for x in kv))[F.col("country")].alias("currency"), F.col("_boarding").alias("boarding_included")).alias("pricing"),
+        F.struct(url.alias("canonical_url"), given_url(c("recent_activity_evidence_snippet") != "").alias("session_dates_url"), given_url(c("pricing_summary") != "").alias("pricing_url")).alias("website"),
+        F.struct(overnight.alias("overnight_confirmed"), active.alias("active_past_2_years_confirmed"), F.col("confidence")).alias("verification"),
+        F.struct(given_url(overnight).alias("overnight_source_url"), given_url(active).alias("recent_activity_source_url"), given_url(label != "unknown").alias("duration_source_url"), given_url(c("pricing_summary") != "").alias("pricing_source_url")).alias("evidence"),
+        F.lit("draft").alias("draft_status"),
     ))
-    return dossier(made.withColumn("front_matter", header), F.col("name"), *sections).drop("_ages", "_grades", "_boarding")
+    return dossier(made.withColumn("front_matter", header), title, *sections).drop("_ages", "_grades", "_boarding")
 
 
 VERDICT = "verdict string, confidence string, reason string, exclusion_reason string, signals array<string>"

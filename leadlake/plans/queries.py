@@ -348,8 +348,8 @@ def first_useful(t):
     return K.first_useful(t("orders"), "o_custkey", [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()], 3, F.col("o_totalprice") > 100000).select("o_custkey", "o_orderkey", "o_totalprice")
 
 
-@query("""SELECT c_custkey, verdict, c_acctbal < 0 AND verdict = 'no' AS excluded, CASE WHEN verdict = 'unclear' THEN 'told. Guardrail: residential/pre-college/specialty overnight signals require manual review.' ELSE 'told.' END AS reason, CASE WHEN verdict = 'unclear' THEN NULL ELSE 'x' END AS exclusion_reason, CASE WHEN verdict = 'unclear' THEN 2 ELSE 1 END AS n_signals
-FROM (SELECT c_custkey, c_acctbal, CASE WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' AND c_custkey % 3 <> 0 THEN 'unclear' WHEN c_acctbal < 0 THEN 'no' ELSE 'likely' END AS verdict FROM customer)""")
+@query("""SELECT c_custkey, verdict, c_acctbal < 0 AND verdict = 'no' AS excluded, CASE WHEN verdict = 'unclear' THEN 'told. GUARD' ELSE 'told.' END AS reason, CASE WHEN verdict = 'unclear' THEN NULL ELSE 'x' END AS exclusion_reason, CASE WHEN verdict = 'unclear' THEN 2 ELSE 1 END AS n_signals
+FROM (SELECT c_custkey, c_acctbal, CASE WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' AND c_custkey % 3 <> 0 THEN 'unclear' WHEN c_acctbal < 0 THEN 'no' ELSE 'likely' END AS verdict FROM customer)""".replace("GUARD", R.GUARD_REASON))
 def triage(t):
     """Verdicts parsed from reply text, with the guardrail against negative verdicts on strong signals. (PIP-15, JON-11, R14)"""
     verdict = F.when(F.col("c_acctbal") < 0, "no").otherwise("likely")
@@ -378,6 +378,14 @@ def main_content(t):
     return fields.select("page_id", "title", "description", "lang", H.canonical_meta(F.col("url"), F.col("canonical")).alias("canonical_url"), F.sha2("markdown", 256).alias("content_sha256"), F.length("markdown").alias("n_chars"))
 
 
+@query(r"""WITH p AS (SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')) AS t, trim(regexp_extract(html, '(?i)<html[^>]*\slang="([^"]*)"', 1)) AS lang, trim(regexp_replace(regexp_extract(html, '(?is)<article>\s*<h1>(.*?)</h1>', 1), '\s+', ' ', 'g')) AS h FROM pages)
+SELECT page_id, replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS title, lang, replace(replace(replace(replace(h, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS heading FROM p""")
+def page_heads(t):
+    """Title, language and the first heading of the block that the extraction chose; ads and menus stand before it. (TXT-19, UDF-04)"""
+    fields = H.extract(t("pages").select("page_id", "html"))
+    return fields.select("page_id", "title", "lang", F.regexp_extract("markdown", r"(?m)^# (.*)$", 1).alias("heading"))
+
+
 ACTIONS = {"click": "submit", "view": "submit", "signup": "approve", "error": "request_changes", "purchase": "reject"}
 
 

@@ -300,16 +300,33 @@ def triage_batches(t):
     return Q.triage_batch(orders, "o_orderkey", replies, "reply", F.col("strong"), "no").select("o_orderkey", "verdict", "excluded", F.col("skipped").isNotNull().alias("missing"))
 
 
-@query("SELECT s_suppkey, s_name AS title, 'medium' AS confidence, CASE WHEN s_suppkey % 4 = 0 THEN 'unknown_city' ELSE '' END AS reasons, CASE WHEN s_suppkey % 4 = 0 THEN false ELSE true END AS rendered FROM supplier")
+DOSSIER_SQL = """WITH s AS (SELECT s_suppkey, s_name AS name, CASE WHEN s_suppkey % 4 <> 0 THEN 'Town' END AS city, CASE WHEN s_suppkey % 6 <> 0 THEN 'https://e.org/' || s_suppkey END AS url, s_suppkey % 2 = 0 AS long, CASE WHEN s_suppkey % 3 <> 0 THEN 'stay in a dorm' END AS night,
+ CASE WHEN s_suppkey % 5 <> 0 THEN 'dates 2024' END AS recent, CASE WHEN s_suppkey % 7 < 4 THEN '$100, housing included' END AS price, CASE s_suppkey % 3 WHEN 0 THEN 'ages 8-12' WHEN 1 THEN 'grades 3 to 6' END AS who,
+ CASE WHEN s_suppkey % 8 < 5 THEN ['pricing', 'contact_details'] WHEN s_suppkey % 8 = 5 THEN ['confirm_exact_venue'] ELSE [] END AS needs FROM supplier),
+t AS (SELECT *, name || ' at Hall' AS title, coalesce(city, '') || ', BC' AS place, CASE WHEN long THEN '2-week' ELSE 'unknown' END AS label, night IS NOT NULL AS o, recent IS NOT NULL AS a FROM s)
+SELECT s_suppkey, title, CASE WHEN list_contains(needs, 'confirm_exact_venue') THEN 'low' WHEN o AND a AND len(needs) <= 1 THEN 'high' WHEN o OR a THEN 'medium' ELSE 'low' END AS confidence, CASE WHEN city IS NULL THEN 'unknown_city' ELSE '' END AS reasons,
+ concat_ws(chr(10) || chr(10), '# ' || title, '## Quick Take' || chr(10) || chr(10) || name || ': ' || CASE WHEN long THEN '2-week ' ELSE '' END || 'stem program, ' || place || '.',
+  '## Verified Facts' || chr(10) || chr(10) || concat_ws(chr(10), '- Operator: ' || name, '- Venue: Hall', '- Place: ' || place, '- Site: ' || url, '- Families: stem', '- Types: overnight', CASE WHEN long THEN '- Length: 2-week' END),
+  '## Overnight Evidence' || chr(10) || chr(10) || night, '## Recent Activity Evidence' || chr(10) || chr(10) || recent, '## Ages and Grades' || chr(10) || chr(10) || who || CASE WHEN who LIKE 'ages%' THEN ' Ages 8-12.' ELSE ' Grades 3-6.' END,
+  '## Session Length' || chr(10) || chr(10) || label || '.' || CASE WHEN long THEN ' 14 to 14 days.' ELSE '' END, '## Pricing' || chr(10) || chr(10) || price, '## Location' || chr(10) || chr(10) || 'Hall ' || place, '## Contact' || chr(10) || chr(10) || url,
+  CASE WHEN len(needs) > 0 THEN '## Open Questions' || chr(10) || chr(10) || CASE WHEN len(needs) = 2 THEN '- Pricing' || chr(10) || '- Contact Details' ELSE '- Confirm Exact Venue' END END, '## Sources' || chr(10) || chr(10) || '- ' || url) AS dossier,
+ CASE WHEN price IS NOT NULL THEN true END AS boarding, CASE WHEN o THEN url END AS overnight_url, CASE WHEN who LIKE 'grades%' THEN 6 END AS last_grade, 'CAD' AS currency, a AS active FROM t"""
+
+
+@query(DOSSIER_SQL)
 def dossiers(t):
-    """Suppliers as candidates: front matter, sections, and the reasons that keep a row from being rendered. (PIP-16, R17)"""
-    k = F.col("s_suppkey")
+    """Suppliers as candidates: the whole text, parts of the front matter, and the reasons that keep a row from being rendered. (PIP-16, R17)"""
+    k, text, none = F.col("s_suppkey"), F.lit, F.array().cast("array<string>")
     rows = t("supplier").select(
-        k, F.concat(F.lit("c"), k.cast("string")).alias("candidate_id"), F.lit("venue_candidate").alias("record_basis"), F.col("s_name").alias("name"), F.col("s_name").alias("operator_name"), F.lit("Hall").alias("venue_name"),
-        F.when(k % 4 != 0, "Town").alias("city"), F.lit("BC").alias("region"), F.lit("CA").alias("country"), F.lit("https://e.org").alias("canonical_url"), F.array(F.lit("stem")).alias("program_family"), F.array(F.lit("overnight")).alias("camp_types"),
-        F.lit("active_recent").alias("activity_status_guess"), F.struct(F.lit("2-week").alias("label"), F.lit(14).alias("min_days"), F.lit(14).alias("max_days")).alias("duration_guess"), F.struct(F.lit(False).alias("college_precollege"), F.lit(True).alias("one_week_plus")).alias("priority_flags"),
-        F.array(F.lit("pricing"), F.lit("contact")).alias("validation_needs"), F.lit("stay").alias("overnight_evidence_snippet"), F.lit("2024").alias("recent_activity_evidence_snippet"), F.array().cast("array<string>").alias("notes"),
-        F.lit("ages 8-12").alias("eligibility_summary"), F.lit("$100").alias("pricing_summary"),
+        k, F.concat(text("c"), k.cast("string")).alias("candidate_id"), text("venue_candidate").alias("record_basis"), F.col("s_name").alias("name"), F.col("s_name").alias("operator_name"), text("Hall").alias("venue_name"),
+        F.when(k % 4 != 0, "Town").alias("city"), text("BC").alias("region"), text("CA").alias("country"), F.when(k % 6 != 0, F.concat(text("https://e.org/"), k.cast("string"))).alias("canonical_url"), F.array(text("stem")).alias("program_family"), F.array(text("overnight")).alias("camp_types"),
+        text("active_recent").alias("activity_status_guess"), F.when(k % 2 == 0, F.struct(text("2-week").alias("label"), text(14).alias("min_days"), text(14).alias("max_days"))).alias("duration_guess"), F.struct(text(False).alias("college_precollege"), text(True).alias("one_week_plus")).alias("priority_flags"),
+        F.when(k % 8 < 5, F.array(text("pricing"), text("contact_details"))).when(k % 8 == 5, F.array(text("confirm_exact_venue"))).otherwise(none).alias("validation_needs"), F.when(k % 3 != 0, "stay in a dorm").alias("overnight_evidence_snippet"),
+        F.when(k % 5 != 0, "dates 2024").alias("recent_activity_evidence_snippet"), none.alias("notes"), F.when(k % 3 == 0, "ages 8-12").when(k % 3 == 1, "grades 3 to 6").alias("eligibility_summary"), F.when(k % 7 < 4, "$100, housing included").alias("pricing_summary"),
     )
     made = Q.dossiers(rows)
-    return made.select("s_suppkey", F.regexp_extract("dossier", r"(?m)^# (.*)$", 1).alias("title"), "confidence", F.array_join("reasons", ",").alias("reasons"), (F.size("reasons") == 0).alias("rendered"))
+    part = lambda path, kind="string": F.get_json_object("front_matter", f"$.{path}").cast(kind)
+    return made.select(
+        "s_suppkey", part("display_name").alias("title"), "confidence", F.array_join("reasons", ",").alias("reasons"), "dossier", part("pricing.boarding_included", "boolean").alias("boarding"), part("evidence.overnight_source_url").alias("overnight_url"),
+        part("grades.max", "int").alias("last_grade"), part("pricing.currency").alias("currency"), part("verification.active_past_2_years_confirmed", "boolean").alias("active"),
+    )

@@ -64,8 +64,9 @@ def test_dossier(spark):
     rows = N.normalised(spark.read.schema(N.SCHEMA).json(spark.sparkContext.parallelize([json.dumps({**LEAD, "eligibility_summary": "Ages 12 to 17"})])), 2024)
     r = Q.dossiers(rows).first()
     assert r.reasons == [] and r.confidence == "medium" and r.operator_type == "university"
-    assert json.loads(r.front_matter)["eligibility"] == {"ages_min": 12, "ages_max": 17}
-    assert r.dossier.startswith("# Sample Academy\n\n## Quick Take\n\n") and "Derived age range: 12-17." in r.dossier and "## Open Questions" in r.dossier
+    head = json.loads(r.front_matter)
+    assert head["ages"] == {"min": 12, "max": 17} and head["pricing"]["currency"] == "CAD" and head["evidence"]["overnight_source_url"] == "https://e.org/p"
+    assert r.dossier.startswith("# Sample Academy at North Hall\n\n## Quick Take\n\n") and "Ages 12-17." in r.dossier and "## Open Questions" in r.dossier and r.dossier.endswith("## Sources\n\n- https://e.org/p")
 
 
 def test_own_extractors(spark):
