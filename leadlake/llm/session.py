@@ -1,48 +1,16 @@
-"""Session helpers shared by the operators: the shared scratch folder and Arrow batch bounds."""
+"""Session helpers of the operators: scratch tables in buckets, and Arrow batch bounds."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-ARROW_BATCH_BYTES = 4 << 20
-
-_local: dict[str, str] = {}
-_tables: dict[str, list[str]] = {}
-_written: dict[str, list[str]] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset and all runs on one machine, a temporary folder of this application."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local:
-        _local[app] = tempfile.mkdtemp(prefix="leadlake-")
-    return _local[app]
-
-
-def fresh_path(spark: SparkSession, what: str) -> str:
-    """A new folder under the shared one, remembered until ``release``."""
-    path = f"{shared_dir(spark).rstrip('/')}/leadlake/{what}-{uuid.uuid4().hex}"
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return path
+from leadlake.scratch import fresh_path, mark, materialise, release, remember, shared_dir
 
+__all__ = ["bound_arrow_batches", "fresh_path", "in_buckets", "mark", "materialise", "release", "shared_dir"]
 
-def materialise(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors.
-
-    The read-back has exact size statistics, so Catalyst broadcasts it only when it is small, and joins
-    against it have a plain exchange on both sides, which AQE can split when a key is skewed.
-    """
-    path = fresh_path(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+ARROW_BATCH_BYTES = 4 << 20
 
 
 def in_buckets(df: DataFrame, key: str, n: int, what: str) -> DataFrame:
@@ -51,21 +19,10 @@ def in_buckets(df: DataFrame, key: str, n: int, what: str) -> DataFrame:
     spark = df.sparkSession
     path, name = fresh_path(spark, what), f"leadlake_{uuid.uuid4().hex}"
     df.repartition(n, key).write.format("parquet").option("path", path).bucketBy(n, key).saveAsTable(name)
-    _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
+    remember(spark, "table", name)
     return spark.table(name)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete this application's scratch tables; call it only when every result over them is written."""
-    for name in _tables.pop(spark.sparkContext.applicationId, []):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _written.pop(spark.sparkContext.applicationId, []):
-        target = hadoop(path)
-        target.getFileSystem(conf).delete(target, True)
-
-
 def bound_arrow_batches(spark: SparkSession, n_bytes: int = ARROW_BATCH_BYTES) -> None:
     """Cap the session's Arrow batches by bytes, so that a run of long texts can't fill a Python worker.
 
