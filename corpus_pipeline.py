@@ -69,8 +69,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents; each result is written to the shared folder and read again, then what it was made from is deleted."""
+    docs, began = spark.read.parquet(f"{sf_dir}/documents.parquet"), session.mark(spark)
     for name, stage in STAGES:
         docs = session.materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        session.release(spark, since=began, keep_last=1)
     return docs
