@@ -112,8 +112,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     size = F.length("rule_host") + F.length("rule_path")
     best = F.max(F.struct(size.alias("n"), F.length("rule_host").alias("m"), F.concat("rule_host", "rule_path").alias("rule"), F.col("rule_verdict").alias("verdict")))
     judged = exact.groupBy(F.col("_host").alias("_h"), F.col("_path").alias("_p")).agg(best.alias("_best"))
-    judged = materialise(judged, "url-judged")  # with a plain exchange on both sides a common url can be split
-    out = own.join(judged, (F.col("_host") == F.col("_h")) & (F.col("_path") == F.col("_p")), "left")
+    judged = materialise(judged, "url-judged")  # with a plain exchange on both sides a common url can be split; it grows with the pages, so it is not broadcast
+    out = own.join(judged.hint("merge"), (F.col("_host") == F.col("_h")) & (F.col("_path") == F.col("_p")), "left")
     return out.select("_row.*", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_best.rule").alias("rule"), F.coalesce(F.col("_best.verdict"), F.lit(default)).alias("verdict"))
 
 
