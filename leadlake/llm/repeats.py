@@ -32,7 +32,7 @@ from leadlake.llm.words import Rolling
 
 BATCH_BYTES = 512 << 10
 BUCKET_BYTES, MOST_BUCKETS = 16 << 20, 50_000  # a task's texts; beyond so many buckets, more
-SHARD_BYTES, MOST_SHARDS = 4 << 20, 20_000  # a shard gets the pieces of so much text; beyond so many shards, of more, and uses its disk
+SHARD_BYTES, MOST_SHARDS = 12 << 20, 20_000  # a shard gets the pieces of so much text; beyond so many shards, of more, and uses its disk
 DENSE = 1 << 11  # different contexts of a gram, at most about as many bytes of pieces as a shard has
 BY_WINDOW, OPEN, PARTNER, SETTLED = range(4)
 KINDS = 4  # OPEN + KINDS * k marks strings 64 * k to 64 * k + 63 of a piece
