@@ -81,31 +81,33 @@ def pricing(text: Column, words: Sequence[str] = R.PRICE_WORDS, boarding: Sequen
 
 def page_duration(text: Column) -> Column:
     """struct<min_days, max_days, one_week_plus>; null if neither days nor weeks are named. (TXT-10, NUM-03)"""
-    days_named, weeks_named = numbers(text, R.DAYS_PATTERN), numbers(text, R.WEEKS_PATTERN)
-    days = F.filter(days_named, lambda x: x.between(1, 60))
-    weeks = F.filter(weeks_named, lambda x: x.between(1, 12))
-    least, most = F.least(F.array_min(days), F.array_min(weeks) * 7), F.greatest(F.array_max(days), F.array_max(weeks) * 7)
-    return F.when(F.size(days_named) + F.size(weeks_named) > 0, F.struct(least.alias("min_days"), most.alias("max_days"), F.when((least >= 7) | (most >= 7), F.lit(True)).alias("one_week_plus")))
+    named = F.struct(numbers(text, R.DAYS_PATTERN).alias("days"), numbers(text, R.WEEKS_PATTERN).alias("weeks"))
+
+    def ends(x: Column) -> Column:
+        days, weeks = F.filter(x["days"], lambda d: d.between(1, 60)), F.filter(x["weeks"], lambda w: w.between(1, 12))
+        least, most = F.least(F.array_min(days), F.array_min(weeks) * 7), F.greatest(F.array_max(days), F.array_max(weeks) * 7)
+        return F.when(F.size(x["days"]) + F.size(x["weeks"]) > 0, F.struct(least.alias("min_days"), most.alias("max_days")))
+
+    long = lambda d: F.when(d.isNotNull(), F.struct(d["min_days"].alias("min_days"), d["max_days"].alias("max_days"), F.when((d["min_days"] >= 7) | (d["max_days"] >= 7), F.lit(True)).alias("one_week_plus")))
+    return bound(bound(named, ends), long)
 
 
 def range_bounds(text: Column, pattern: str, low: int, high: int) -> Column:
-    """Both ends of every range that lies within the limits."""
-    pairs = F.arrays_zip(numbers(text, pattern, 1).alias("a"), numbers(text, pattern, 2).alias("b"))
-    inside = F.filter(pairs, lambda p: p["a"].between(low, high) & p["b"].between(low, high))
-    return F.flatten(F.transform(inside, lambda p: F.array(p["a"], p["b"])))
+    """Both ends of every range that lies within the limits; the text is searched once, its matches again for their parts."""
+    part = lambda m, k: F.regexp_extract(m, pattern, k).try_cast("int")
+    pairs = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.array(part(m, 1), part(m, 2)))
+    return F.flatten(F.filter(pairs, lambda p: F.forall(p, lambda x: F.coalesce(x.between(low, high), F.lit(False)))))
 
 
 def ages_and_grades(text: Column) -> Column:
     """struct<age_min, age_max, grade_min, grade_max>; null if no age and no grade is found. (TXT-12)"""
-    ages = range_bounds(text, R.AGE_RANGE_PATTERN, 3, 25)
-    ranged = F.rlike(text, F.lit(R.GRADE_RANGE_PATTERN))
     single = F.filter(numbers(text, R.GRADE_SINGLE_PATTERN), lambda x: x.between(1, 12))
-    grades = F.when(ranged, range_bounds(text, R.GRADE_RANGE_PATTERN, 1, 12)).otherwise(single)
+    grades = F.when(F.rlike(text, F.lit(R.GRADE_RANGE_PATTERN)), range_bounds(text, R.GRADE_RANGE_PATTERN, 1, 12)).otherwise(single)
     phrase = F.when(F.rlike(text, F.lit(R.SENIOR_PATTERN)), F.array(F.lit(12), F.lit(12)))
     phrase = phrase.when(F.rlike(text, F.lit(R.JUNIOR_SENIOR_PATTERN)), F.array(F.lit(11), F.lit(12))).when(F.rlike(text, F.lit(R.NINE_TO_TWELVE_PATTERN)), F.array(F.lit(9), F.lit(12)))
-    bounds = F.when(F.size(grades) > 0, grades).otherwise(phrase)
-    known = F.struct(F.array_min(ages).alias("age_min"), F.array_max(ages).alias("age_max"), F.array_min(bounds).alias("grade_min"), F.array_max(bounds).alias("grade_max"))
-    return F.when((F.size(ages) > 0) | bounds.isNotNull(), known)
+    found = F.struct(range_bounds(text, R.AGE_RANGE_PATTERN, 3, 25).alias("ages"), bound(grades, lambda g: F.when(F.size(g) > 0, g).otherwise(phrase)).alias("grades"))
+    ends = lambda x: F.struct(F.array_min(x["ages"]).alias("age_min"), F.array_max(x["ages"]).alias("age_max"), F.array_min(x["grades"]).alias("grade_min"), F.array_max(x["grades"]).alias("grade_max"))
+    return bound(found, lambda x: F.when((F.size(x["ages"]) > 0) | x["grades"].isNotNull(), ends(x)))
 
 
 def emails(text: Column) -> Column:
@@ -213,10 +215,11 @@ def page_profile(html: Column) -> Column:
 
     def facts(p: Column) -> Column:
         text = p["text"]
-        found = amounts(text)
+        prices = bound(amounts(text), lambda a: F.struct(F.array_min(a).alias("low"), F.array_max(a).alias("high")))
         return F.struct(
-            p["title"].alias("title"), p["description"].alias("description"), p["lang"].alias("lang"), F.array_min(found).alias("price_min"), F.array_max(found).alias("price_max"), ages_and_grades(text).alias("ages"),
+            p["title"].alias("title"), p["description"].alias("description"), p["lang"].alias("lang"), prices.alias("prices"), ages_and_grades(text).alias("ages"),
             page_duration(text).alias("duration"), contact(text).alias("contact"), overnight_signals(text).alias("signals"), evidence_sentences(text, EVIDENCE_PATTERN).alias("evidence"),
         )
 
-    return bound(base, facts)
+    flat = lambda x: F.struct(x["title"].alias("title"), x["description"].alias("description"), x["lang"].alias("lang"), x["prices"]["low"].alias("price_min"), x["prices"]["high"].alias("price_max"), *(x[c].alias(c) for c in ("ages", "duration", "contact", "signals", "evidence")))
+    return bound(bound(base, facts), flat)

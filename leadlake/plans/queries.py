@@ -63,7 +63,7 @@ def html_strip_stats(t):
 
 @query(f"""WITH h AS (SELECT page_id, html || '<p>Overnight ' || page_id || ' days, ages 8-12, $' || (page_id * 60) || '. Call 604-555-0199 or a' || page_id || '@site.org for it</p>' AS html FROM pages), s AS (SELECT page_id, html, {STRIP_SQL} AS txt FROM h)
 SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g')) AS title, lower(regexp_extract(html, '(?i)<html[^>]*\\blang="([^"]*)"', 1)) AS lang, list_aggregate(list_filter(list_transform(regexp_extract_all(txt, '(?i)(?:CAD|CA\\$|MXN|MX\\$|USD|US\\$|\\$)\\s*([\\d,]+(?:\\.\\d+)?)', 1), lambda x: replace(x, ',', '')::DOUBLE), lambda x: x > 0 AND NOT (floor(x) BETWEEN 2020 AND 2034)), 'max') AS price_max,
- 8 AS age_min, CASE WHEN page_id BETWEEN 1 AND 60 THEN page_id END::INT AS max_days, 'a' || page_id || '@site.org' AS email, 'overnight' AS signals, len(regexp_extract_all(txt, 'Overnight \\d+ days'))::INT AS n_evidence FROM s""")
+ 8 AS age_min, CASE WHEN page_id % 1000 BETWEEN 1 AND 60 THEN page_id % 1000 END::INT AS max_days, 'a' || page_id || '@site.org' AS email, 'overnight' AS signals, len(regexp_extract_all(txt, 'Overnight \\d+ days'))::INT AS n_evidence FROM s""")
 def page_profile(t):
     """(TXT-17, TXT-18, STR-11)"""
     key = F.col("page_id").cast("string")
