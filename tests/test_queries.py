@@ -15,7 +15,7 @@ from leadlake.operators import keyed as K
 from leadlake.streaming import jobs as J
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents pages labels conversations".split()
+TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()
 
 
 def rows(df):
