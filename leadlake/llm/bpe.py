@@ -81,7 +81,8 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
     """``docs`` plus n_tokens and token_ids (packed), replacing columns of those names.
 
     Whole texts are encoded; null and empty texts give 0 tokens and empty ids. Repeated rows, ties and extra columns
-    pass through; an empty table gives an empty table. Each text is independent, so the job is one map without a shuffle.
+    pass through; an empty table gives an empty table. Each text is independent, so the job is one map without a shuffle. A long text
+    is encoded piece by piece; one without a safe boundary (a single very long word) is one call of the tokenizer.
     """
     bound_arrow_batches(docs.sparkSession, 4 << 20)
     rest = [docs[f"`{c}`"] for c in docs.columns if c not in ("n_tokens", "token_ids")]
@@ -91,7 +92,8 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text_col: str = "text"
 
 
 def decode(coded: DataFrame, rank_file: str, pattern: str, ids_col: str = "token_ids") -> DataFrame:
-    """``coded`` plus ``decoded`` (binary), the exact bytes of the encoded text."""
+    """``coded`` plus ``decoded`` (binary), the exact bytes of the encoded text, replacing a column of that name. Null ids give empty
+    bytes; repeated rows and extra columns pass through; an empty table gives an empty table; one map without a shuffle."""
     bound_arrow_batches(coded.sparkSession, 4 << 20)
     return coded.withColumn("decoded", decode_column(F.col(f"`{ids_col}`"), rank_file, pattern))
 

@@ -126,7 +126,8 @@ def add_fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 3)
     """``docs`` plus fp (signed long), replacing a column of that name; one map without a shuffle.
 
     A-Z is lower-cased; a text with fewer words than a shingle is one shingle, a text without words (or null) has
-    fingerprint 0. An empty table gives an empty table.
+    fingerprint 0. Texts are read whole; a very long one without separators is one word, and one shingle. Repeated rows get equal
+    fingerprints, extra columns pass through. An empty table gives an empty table.
     """
     bound_arrow_batches(docs.sparkSession)
     text = docs[f"`{text_col}`"].cast("string")
