@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 
 from leadlake.llm import bpe, mixing, quality, session, simhash, substring
 
+#: Arrow batches of the stages: several Python workers of an executor hold some at once, beside a heap that earlier stages have filled.
+BATCH_BYTES = 2 << 20
 NEEDED = ("doc_id", "text", "source", "n_chars")
 
 
 def apart(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``step`` over ``docs``, with the columns that no stage reads under names that no operator uses; the columns of ``docs`` come back."""
+    session.bound_arrow_batches(docs.sparkSession, BATCH_BYTES)
     others = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in NEEDED}
     out = step(docs.withColumnsRenamed(others))
     return out.select(*(F.col(others.get(c, f"`{c}`")).alias(c) for c in docs.columns))
@@ -28,6 +31,7 @@ def apart(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and compression bands keep; the bands' lower limits come from a bounded sample of the labelled
     documents. Empty and null texts have no words and go."""
+    session.bound_arrow_batches(spark, BATCH_BYTES)
     bands = quality.fit_bands(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return apart(docs, lambda d: quality.quality(d, bands=bands).filter("kept"))
 
@@ -57,6 +61,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, token_ids (packed little-endian unsigned 32-bit integers) and decoded_sha256 of the ids decoded again; a null text has no tokens."""
+    session.bound_arrow_batches(spark, BATCH_BYTES)
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     coded = bpe.encode(docs.select("doc_id", "text"), ranks, pattern).drop("text")
     return bpe.decode(coded, ranks, pattern).select("doc_id", "n_tokens", "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
