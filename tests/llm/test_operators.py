@@ -173,14 +173,14 @@ def test_induced_sorting(tmp_path, memory_rows):
         assert rows == suffixes(text)
 
 
-def test_usual_shard_uses_disk_and_recursion(tmp_path, monkeypatch):
-    """With default parameters the pieces of SHARD_BYTES of text, 0.17 bytes a byte of it, go through files and recursive induction.
-    The pieces are cut from real documents."""
+def test_larger_shard_uses_disk_and_recursion(tmp_path, monkeypatch):
+    """With default ``memory_rows`` the pieces of 12 MB of text, 0.17 bytes a byte of it, go through files and recursive induction, as those of
+    every shard do beyond MOST_SHARDS of SHARD_BYTES. The pieces are cut from real documents."""
     import pyarrow.parquet as pq
 
     words = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].to_pylist()
     base = np.frombuffer("".join(t or "" for t in words).encode(), np.uint8).astype(np.int32) + 2
-    starts = np.random.default_rng(6).integers(0, len(base) - 500, int(0.17 * repeats.SHARD_BYTES / 500))
+    starts = np.random.default_rng(6).integers(0, len(base) - 500, int(0.17 * (12 << 20) / 500))
     text = np.append(np.concatenate([np.append(base[s : s + 499], 1) for s in starts]), 0)
     depth, spilled, doubled, inner, take, plain = [], [], [], induction.suffix_order, induction.Queue.take, induction.doubled
     monkeypatch.setattr(induction, "suffix_order", lambda *a: (depth.append(len(a[0])), inner(*a)))
