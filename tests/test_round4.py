@@ -5,6 +5,7 @@ import datetime
 import duckdb
 
 from leadlake import plans as P
+from leadlake.sources import html as H
 
 
 def both(spark, tmp_path, name, **tables):
@@ -26,3 +27,10 @@ def test_subpages_of_prices_like_years_times_of_a_day_and_large_keys(spark, tmp_
     customer = spark.createDataFrame([(k,) for k in (1, 2, 3)], "c_custkey long")
     got, wanted = both(spark, tmp_path, "enrich_subpages", orders=orders, customer=customer)
     assert got == wanted and len(got) == 4
+
+
+def test_page_heads_of_cut_references(spark, tmp_path):
+    html = '<html lang="en"><head><title>a&amp;b &amp</title></head><body><nav><h1>no</h1></nav><article><h1>x &lt;y&gt; &quot;z&quot; &amp;amp &ampc</h1><p>t</p></article></body></html>'
+    got, wanted = both(spark, tmp_path, "page_heads", pages=spark.createDataFrame([(1, "https://e.org/", html)], "page_id long, url string, html string"))
+    assert got == wanted
+    assert H.parse("<p>&#233; &eacute; R&D; &x &#; <a href='/?a=1&b=2&copy=3'>q</a></p>")["markdown"] == "é é R&D; &x &#; [q](/?a=1&b=2&copy=3)"
