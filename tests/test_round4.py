@@ -34,3 +34,9 @@ def test_page_heads_of_cut_references(spark, tmp_path):
     got, wanted = both(spark, tmp_path, "page_heads", pages=spark.createDataFrame([(1, "https://e.org/", html)], "page_id long, url string, html string"))
     assert got == wanted
     assert H.parse("<p>&#233; &eacute; R&D; &x &#; <a href='/?a=1&b=2&copy=3'>q</a></p>")["markdown"] == "é é R&D; &x &#; [q](/?a=1&b=2&copy=3)"
+
+
+def test_page_profile_of_a_page_with_other_addresses(spark, tmp_path):
+    html = "<html lang='en'><title>t</title><body><p>Write to x.1@mail7.example.</p>"
+    got, wanted = both(spark, tmp_path, "page_profile", pages=spark.createDataFrame([(7, "https://e.org/", html)], "page_id long, url string, html string"))
+    assert got == wanted
