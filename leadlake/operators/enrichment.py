@@ -13,7 +13,7 @@ from leadlake.functions import extract as X
 from leadlake.functions import url as U
 from leadlake.functions import values as V
 from leadlake.functions.text import has_any
-from leadlake.operators.keyed import computed, keep_best, rank_of
+from leadlake.operators.keyed import computed, keep_best, rank_of, spread
 
 #: struct<status, confidence, evidence, the type's own fields> of a candidate's columns.
 Extractor = Callable[[], Column]
@@ -86,8 +86,8 @@ FETCHED = ("pricing", "duration", "age_grade", "contact")
 
 
 def phase1(candidates: DataFrame, extractors: Mapping[str, Extractor] = EXTRACTORS) -> DataFrame:
-    """``candidates`` plus one struct per extractor and missing, the types to look for on pages. One projection. (PIP-12)"""
-    done = candidates.withColumns({name: f() for name, f in extractors.items()})
+    """``candidates`` plus one struct per extractor and missing, the types to look for on pages. One projection, after the candidates are dealt evenly over the cores. (PIP-12)"""
+    done = spread(candidates).withColumns({name: f() for name, f in extractors.items()})
     return done.withColumn("missing", V.labels(*((F.col(f"{t}.status") == "missing", t) for t in FETCHED if t in extractors)))
 
 

@@ -40,3 +40,22 @@ def test_page_profile_of_a_page_with_other_addresses(spark, tmp_path):
     html = "<html lang='en'><title>t</title><body><p>Write to x.1@mail7.example.</p>"
     got, wanted = both(spark, tmp_path, "page_profile", pages=spark.createDataFrame([(7, "https://e.org/", html)], "page_id long, url string, html string"))
     assert got == wanted
+
+
+def test_work_on_one_partition_is_dealt_over_the_cores(spark):
+    from pyspark.sql import functions as F
+
+    from leadlake.operators import candidates as N
+    from leadlake.operators import enrichment as E
+    from leadlake.operators import queues as Q
+    from leadlake.plans import enriched
+
+    lone = spark.range(0, 2000, 1, 1)
+    parts = lone.select(F.col("id").alias("p_partkey"), F.lit("n").alias("p_name"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"), (F.col("id") % 50).cast("int").alias("p_size"), F.lit(1.5).alias("p_retailprice"))
+    spread = {
+        "normalised": N.normalised(lone.select(F.col("id").cast("string").alias("name")), 2024), "phase1": E.phase1(enriched.candidates(lambda _: parts)),
+        "query_plan": Q.query_plan(lone.select(F.col("id").cast("string").alias("seed"), F.col("id").alias("seed_order")), Q.query_templates(spark)),
+    }
+    for name in ("normalised", "phase1"):
+        assert spread[name].select(F.spark_partition_id().alias("p")).distinct().count() >= 8, name
+    assert "RoundRobinPartitioning" in spread["query_plan"]._jdf.queryExecution().executedPlan().toString()
