@@ -29,8 +29,8 @@ def apart(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and compression bands keep; the bands' lower limits come from a bounded sample of the labelled
-    documents. Empty and null texts have no words and go."""
+    """Documents that the base rules and compression bands keep; the bands' lower limits come from all documents that
+    are labelled good. Empty and null texts have no words and go."""
     session.bound_arrow_batches(spark, BATCH_BYTES)
     bands = quality.fit_bands(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return apart(docs, lambda d: quality.quality(d, bands=bands).filter("kept"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlake.llm.session import bound_arrow_batches, materialise
+from leadlake.llm.session import bound_arrow_batches
 from leadlake.llm.words import Words, codes_of, flat_bytes, per_text, portions, runs
 
 SYMBOLS = np.zeros(256, dtype=bool)
@@ -52,8 +52,8 @@ class Bands:
 
 #: Length classes of fitted limits, in bytes: up to 4096 two or three to a doubling.
 LENGTHS = (256, 320, 384, 448, 512, 640, 768, 896, 1024, 1280, 1536, 1792, 2048, 2560, 3072, 3584, 4096, 5120, 6144, 8192, 12_288, 16_384, 32_768, 65_536, 131_072)
-#: Limits are fitted on at most this many labelled good texts, in classes that hold at least so many, as this quantile of their ratios less a margin.
-FIT_DOCS, FIT_LEAST, FIT_SHARE, FIT_MARGIN = 20_000, 50, 0.005, 0.004
+#: Limits are fitted in classes that hold at least so many texts labelled good, as this quantile of their ratios less a margin.
+FIT_LEAST, FIT_SHARE, FIT_MARGIN = 50, 0.005, 0.004
 
 
 def script_of(raw: np.ndarray) -> int:
@@ -141,21 +141,24 @@ def base_failed(q: Column) -> Column:
     return (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
 
 
-def fit_bands(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", bands: Bands = Bands(), most: int = FIT_DOCS) -> Bands:
-    """``bands`` with the least ratio of each script and length class taken from texts labelled good: the ``FIT_SHARE`` quantile of those
+def fit_bands(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", bands: Bands = Bands(), most: int | None = None) -> Bands:
+    """``bands`` with the least ratio of each script and length class taken from all texts labelled good: the ``FIT_SHARE`` quantile of those
     that pass the base rule, less ``FIT_MARGIN``, where at least ``FIT_LEAST`` are known; elsewhere the general limits stay.
 
-    The sample is the ``most`` good labels with the least hashed ids. Ids labelled or given more than once count as often; null ids and
-    labels don't count; without labels the bands stay as they are."""
+    Texts are measured where they lie, and only the measures meet the labels, so no text is shuffled. Quantiles come from the counts of
+    the ratios, rounded to four digits. An id labelled more than once counts once, one given more than once as often; null ids and
+    labels don't count; without labels the bands stay as they are. ``most`` restricts the fit to the good labels with the least hashed ids."""
     bound_arrow_batches(docs.sparkSession)
-    good = labels.select(labels[f"`{id_col}`"].alias("_id"), labels[f"`{label_col}`"].alias("_label")).filter("_id is not null and _label = 1")
-    drawn = materialise(good.select("_id").orderBy(F.xxhash64("_id"), "_id").limit(most).distinct(), "bands-sample")  # at most ``most`` ids
-    texts = docs.select(docs[f"`{id_col}`"].alias("_id"), docs[f"`{text_col}`"].cast("string").alias("_text")).join(F.broadcast(drawn), "_id")
-    measured = texts.select(F.octet_length("_text").alias("n"), measure_column(F.col("_text"), bands, True).alias("q")).filter(~base_failed(F.col("q")))
+    good = labels.select(labels[f"`{id_col}`"].alias("_id"), labels[f"`{label_col}`"].alias("_label")).filter("_id is not null and _label = 1").select("_id")
+    good = (good if most is None else good.orderBy(F.xxhash64("_id"), "_id").limit(most)).distinct()
+    texts = docs.select(docs[f"`{id_col}`"].alias("_id"), docs[f"`{text_col}`"].cast("string").alias("_text")).filter("_id is not null")
+    measured = texts.select("_id", F.octet_length("_text").alias("n"), measure_column(F.col("_text"), bands, True).alias("q")).filter(~base_failed(F.col("q")))
     kind = F.lit(0)
     for edge in LENGTHS:
         kind = kind + (F.col("n") >= edge).cast("int")
-    cells = measured.groupBy(F.col("q.script").alias("script"), kind.alias("kind")).agg(F.count("*").alias("n"), F.percentile_approx("q.ratio", F.lit(FIT_SHARE), 10_000).alias("low")).collect()  # a row per script and class
+    narrow = measured.select("_id", F.col("q.script").alias("script"), kind.alias("kind"), F.round("q.ratio", 4).alias("ratio"))
+    counts = narrow.join(good, "_id", "left_semi").groupBy("script", "kind", "ratio").agg(F.count("*").alias("n"))
+    cells = counts.groupBy("script", "kind").agg(F.sum("n").alias("n"), F.percentile("ratio", FIT_SHARE, F.col("n")).alias("low")).collect()  # a row per script and class
     return replace(bands, fitted=tuple(sorted((r.script, r.kind, r.low - FIT_MARGIN) for r in cells if r.n >= FIT_LEAST)))
 
 
