@@ -105,9 +105,10 @@ def answer_hits(payloads: DataFrame, payload: str, *carried: str) -> DataFrame:
     Topics hold topics, to any depth: each round opens those of one depth, in parallel over all payloads, until none is left. A
     payload that is no JSON has no hits.
     """
+    from leadlake.operators.keyed import spread
     from leadlake.scratch import materialise
 
-    first = payloads.select(*carried, F.col(payload).alias("_payload")).withColumn("_row", F.monotonically_increasing_id())
+    first = spread(payloads).select(*carried, F.col(payload).alias("_payload")).withColumn("_row", F.monotonically_increasing_id())
     first = materialise(first, "payloads")
     v = F.try_parse_json("_payload")
     text = lambda path: F.try_variant_get(F.col("_v"), f"$.{path}", "string")

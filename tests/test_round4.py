@@ -66,3 +66,13 @@ def test_duplicate_probe_lists_every_copy(spark, tmp_path):
     part = spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
     got, wanted = both(spark, tmp_path, "duplicate_probe", part=part)
     assert got == wanted and len([x for x in got if "'name'" in x]) == 17
+
+
+def test_payloads_of_one_partition_are_dealt_over_the_cores(spark):
+    from pyspark.sql import functions as F
+
+    from leadlake.sources import files as Files
+
+    payload = F.lit('{"RelatedTopics":[{"FirstURL":"https://e.org/","Text":"t"}]}')
+    hits = Files.answer_hits(spark.range(0, 2000, 1, 1).select("id", payload.alias("payload")), "payload", "id")
+    assert len([f for f in hits.inputFiles() if "payloads-" in f]) >= 8 and hits.count() == 2000
