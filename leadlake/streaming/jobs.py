@@ -8,7 +8,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def first_seen(events: DataFrame, keys: Sequence[str], ts: str | None = None, delay: str = "1 hour") -> DataFrame:
@@ -69,68 +70,50 @@ def rate_limit(events: DataFrame, user: str, ts: str, tie: str, seconds: float =
     return dealt.mapInArrow(limit, f"{kinds}, accepted boolean")
 
 
-class Limiter(StatefulProcessor):
-    """Events of a user wait in list state until the watermark has passed them, then are judged in order; the admitted times that
-    can still matter are the other state. One timer a user; both states are empty once nothing can matter any more."""
-
-    def __init__(self, user: str, ts: str, tie: str, seconds: float, most: int):
-        self.names, self.seconds, self.most = (user, ts, tie), seconds, most
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", "us long, tie long")
-        self.kept = handle.getListState("kept", "at double")
-        self.due = handle.getValueState("due", "ms long")
-
-    def wake(self, ms: int) -> None:
-        """One timer, at the earliest time that asked for it."""
-        if self.due.exists():
-            now = int(self.due.get()[0])
-            if now <= ms:
-                return
-            self.handle.deleteTimer(now)
-        self.handle.registerTimer(ms)
-        self.due.update((ms,))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        _, ts, tie = self.names
-        for pdf in rows:
-            us = pdf[ts].astype("datetime64[us]").astype("int64").tolist()
-            if us:
-                self.waiting.appendList(list(zip(us, pdf[tie].astype("int64").tolist(), strict=True)))
-                self.wake(min(us) // 1000)
-        yield pd.DataFrame()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        user, ts, tie = self.names
-        passed = timerValues.getCurrentWatermarkInMs()
-        self.due.clear()
-        events = sorted((int(u), int(t)) for u, t in self.waiting.get()) if self.waiting.exists() else []
-        ready = [e for e in events if e[0] // 1000 <= passed]
-        rest = events[len(ready) :]
-        kept = [float(k[0]) for k in self.kept.get()] if self.kept.exists() else []
-        ok = admitted([u / 1e6 for u, _ in ready], kept, self.seconds, self.most)
-        kept = [k for k in kept if passed / 1e3 - k < self.seconds]
-        for state, values in ((self.waiting, rest), (self.kept, [(k,) for k in kept])):
-            state.put(values) if values else state.clear()
-        if rest:
-            self.wake(rest[0][0] // 1000)
-        elif kept:
-            self.wake(int((max(kept) + self.seconds) * 1000) + 1)
-        yield pd.DataFrame({user: [key[0]] * len(ready), ts: pd.to_datetime([u for u, _ in ready], unit="us"), tie: [t for _, t in ready], "accepted": ok})
-
-    def close(self) -> None:
-        pass
-
-
-def rate_limit_stream(events: DataFrame, user: str, ts: str, tie: str, seconds: float = 60, most: int = 10, delay: str = "1 hour") -> DataFrame:
+def rate_limit_stream(events: DataFrame, user: str, ts: str, tie: str, seconds: float = 60, most: int = 10, delay: str = "1 hour", buckets: int = 2048) -> DataFrame:
     """(user, ts, tie, accepted) of a stream's events as soon as the watermark (``delay`` behind the latest event) has passed them:
-    the same as of the batch form however the events are cut into micro-batches, in any order within ``delay``; later ones are
-    dropped. Needs the RocksDB state store, which it asks for. A user's waiting events (those of ``delay``) fit a task. (STM-01)"""
+    the same as of the batch form however the events are cut into micro-batches, in any order within ``delay``; later ones and
+    those without a time are dropped. Needs the RocksDB state store, which it asks for. (STM-01)
+
+    Users are dealt over ``buckets``, fixed for a checkpoint as shuffle partitions are, and a call handles all users of one: a call for each
+    user costs milliseconds. A bucket's state is the events that wait and the admitted times that can still matter, and is removed
+    once nothing can; a bucket's waiting events fit a task. Users travel as text.
+    """
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     kind = events.schema[user].dataType.simpleString()
-    timed = events.select(user, F.col(ts).cast("timestamp").alias(ts), F.col(tie).cast("long").alias(tie)).withWatermark(ts, delay)
-    return timed.groupBy(user).transformWithStateInPandas(Limiter(user, ts, tie, seconds, most), f"`{user}` {kind}, `{ts}` timestamp, `{tie}` long, accepted boolean", "append", "EventTime")
+    timed = events.filter(F.col(ts).isNotNull()).select(F.col(user).cast("string").alias("_user"), F.col(ts).cast("timestamp").alias(ts), F.col(tie).cast("long").alias(tie))
+    timed = timed.withWatermark(ts, delay).withColumns({"_us": F.unix_micros(ts), "_bucket": F.pmod(F.xxhash64("_user"), F.lit(buckets))})
+
+    def limit(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        passed, held = state.getCurrentWatermarkMs(), state.get if state.exists else ([], [], [], [], [])
+        waiting, kept = {}, {}
+        for u, at, t in zip(*held[:3], strict=True):
+            waiting.setdefault(u, []).append((at, t))
+        for u, at in zip(*held[3:], strict=True):
+            kept.setdefault(u, []).append(at)
+        for pdf in () if state.hasTimedOut else parts:
+            for u, at, t in zip(pdf["_user"].tolist(), pdf["_us"].tolist(), pdf[tie].tolist(), strict=True):
+                waiting.setdefault(u, []).append((at, t))
+        out, rest, still = [], [], []
+        for u in waiting.keys() | kept.keys():
+            mine, ats = sorted(waiting.get(u, ())), kept.get(u, [])
+            ready = [e for e in mine if e[0] // 1000 <= passed]
+            ok = admitted([at / 1e6 for at, _ in ready], ats, seconds, most)
+            out += ((u, at, t, k) for (at, t), k in zip(ready, ok, strict=True))
+            rest += ((u, at, t) for at, t in mine[len(ready) :])
+            still += ((u, at) for at in ats if passed / 1e3 - at < seconds)
+        if rest or still:
+            state.update((*([r[i] for r in rest] for i in range(3)), *([r[i] for r in still] for i in range(2))))
+            due = min(at for _, at, _ in rest) // 1000 - 1 if rest else int((max(at for _, at in still) + seconds) * 1000)  # over when the watermark is later
+            state.setTimeoutTimestamp(max(due, passed, 1))
+        elif state.exists:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=["_user", "_us", tie, "accepted"])
+
+    held = "users array<string>, us array<long>, ties array<long>, keepers array<string>, kept array<double>"
+    judged = timed.groupBy("_bucket").applyInPandasWithState(limit, f"_user string, _us long, `{tie}` long, accepted boolean", held, "append", GroupStateTimeout.EventTimeTimeout)
+    return judged.select(F.col("_user").cast(kind).alias(user), F.timestamp_micros("_us").alias(ts), tie, "accepted")
 
 
 def windowed_counts(events: DataFrame, ts: str, key: Column, window: str = "1 hour", delay: str = "2 hours") -> DataFrame:
