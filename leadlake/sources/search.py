@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,26 +13,52 @@ from leadlake.operators.keyed import in_ranges
 
 #: Folders of a posting table, and the rarest grams of a query that are looked up; the rest is left to the check of the texts.
 FOLDERS, LOOKED_UP = 64, 4
+#: Pairs of gram and row that a task holds before it writes their lists.
+HELD = 2_000_000
 
 
-def trigrams(text: Column) -> Column:
-    """Distinct runs of three characters, found in one pass."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(...))"), F.lit(1)))
+def trigrams(text: bytes | None) -> np.ndarray:
+    """Runs of three characters of a UTF-8 text, each as one number."""
+    points = np.frombuffer((text or b"").decode("utf-8", "replace").encode("utf-32-le"), "<u4").astype(np.int64)
+    return points[:-2] << 42 | points[1:-1] << 21 | points[2:]
+
+
+def posting_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, n, ids) of batches of an id and texts: the ids of up to ``HELD`` pairs at a time, by gram."""
+    for batch in batches:
+        ids, found, pairs = batch.column(0), [], 0
+        texts = list(zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True))
+        for i, parts in enumerate(texts):
+            grams = np.unique(np.concatenate([trigrams(p) for p in parts]))
+            found.append((grams, i))
+            pairs += len(grams)
+            if pairs and (pairs >= HELD or i == len(texts) - 1):
+                grams, rows = np.concatenate([g for g, _ in found]), np.repeat([k for _, k in found], [len(g) for g, _ in found])
+                order = np.argsort(grams, kind="stable")
+                grams, starts = np.unique(grams[order], return_index=True)
+                ends = np.append(starts, pairs).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), ids.take(pa.array(rows[order])))
+                yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(np.diff(ends)), lists], names=["gram", "n", "ids"])
+                found, pairs = [], 0
+
+
+def kind_of(df: DataFrame, id_col: str) -> str:
+    return f"gram long, n int, ids array<{df.schema[id_col].dataType.simpleString()}>"
 
 
 def write_index(df: DataFrame, id_col: str, cols: Sequence[str], path: str) -> None:
-    """A posting table (gram, id) of the lower-cased columns and the grams' frequencies under ``path``. Postings lie in ``FOLDERS`` folders
-    by gram, sorted, so a lookup reads one folder's row groups; a frequent gram's postings are spread over many files. (FLT-01, FLT-03)"""
-    texts = F.array(*(F.lower(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in cols))
-    grams = df.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(F.flatten(F.transform(texts, trigrams)))).alias("gram"))
-    postings = grams.withColumn("folder", F.pmod(F.xxhash64("gram"), F.lit(FOLDERS)))
-    postings.hint("rebalance", "folder").sortWithinPartitions("folder", "gram", "id").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/postings")
+    """A posting table (gram, n, ids) of the lower-cased columns and the grams' frequencies under ``path``. A task lists the ids of its rows by gram, so
+    a gram has one row per batch of rows, not per row. Lists lie in ``FOLDERS`` folders by gram, sorted, so a lookup reads one
+    folder's row groups; a frequent gram's lists are spread over many files. (FLT-01, FLT-03)"""
+    texts = df.select(F.col(id_col).alias("id"), *(F.lower(F.col(c).cast("string")).cast("binary").alias(f"c{i}") for i, c in enumerate(cols)))
+    postings = texts.mapInArrow(posting_lists, kind_of(df, id_col)).withColumn("folder", F.pmod(F.xxhash64("gram"), F.lit(FOLDERS)))
+    postings.hint("rebalance", "folder").sortWithinPartitions("folder", "gram").write.mode("overwrite").partitionBy("folder").parquet(f"{path}/postings")
     written = postings_of(df, id_col, path)
-    written.groupBy("gram").agg(F.count("*").alias("n")).sortWithinPartitions("gram").write.mode("overwrite").parquet(f"{path}/frequencies")
+    written.groupBy("gram").agg(F.sum("n").alias("n")).sortWithinPartitions("gram").write.mode("overwrite").parquet(f"{path}/frequencies")
 
 
 def postings_of(df: DataFrame, id_col: str, path: str) -> DataFrame:
-    return df.sparkSession.read.schema(f"id {df.schema[id_col].dataType.simpleString()}, gram string, folder long").parquet(f"{path}/postings")
+    return df.sparkSession.read.schema(f"{kind_of(df, id_col)}, folder long").parquet(f"{path}/postings")
 
 
 def indexed_search(df: DataFrame, id_col: str, cols: Sequence[str], path: str, query: str) -> DataFrame:
@@ -43,7 +71,7 @@ def indexed_search(df: DataFrame, id_col: str, cols: Sequence[str], path: str, q
     holds = F.lit(False)
     for c in cols:
         holds = holds | F.coalesce(F.contains(F.lower(F.col(c).cast("string")), F.lit(low)), F.lit(False))
-    grams = {low[i : i + 3] for i in range(len(low) - 2)}
+    grams = set(trigrams(low.encode("utf-8", "replace")).tolist())
     if not grams:
         return df.filter(holds)
     counts = {r.gram: r.n for r in spark.read.parquet(f"{path}/frequencies").filter(F.col("gram").isin(*grams)).collect()}  # grams of one query
@@ -51,7 +79,7 @@ def indexed_search(df: DataFrame, id_col: str, cols: Sequence[str], path: str, q
         return df.filter(F.lit(False))
     rare = sorted(counts, key=lambda g: (counts[g], g))[:LOOKED_UP]
     folders = [r[0] for r in spark.range(1).select(F.explode(F.array(*map(F.lit, rare))).alias("g")).select(F.pmod(F.xxhash64("g"), F.lit(FOLDERS))).collect()]
-    found = postings_of(df, id_col, path).filter(F.col("folder").isin(*folders) & F.col("gram").isin(*rare))
+    found = postings_of(df, id_col, path).filter(F.col("folder").isin(*folders) & F.col("gram").isin(*rare)).select("gram", F.explode("ids").alias("id"))
     ids = found.groupBy("id").agg(F.size(F.collect_set("gram")).alias("_n")).filter(F.col("_n") == len(rare)).select(F.col("id").alias("_found"))
     return df.join(ids, F.col(id_col) == F.col("_found"), "left_semi").filter(holds)
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from leadlake.sources import search as S
 from leadlake.streaming import jobs as J
 
 
@@ -24,3 +25,14 @@ def test_stream_of_many_users_keeps_a_state_row_per_bucket(spark, tmp_path):
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert got == wanted and {a for *_, a in wanted} == {True, False}
     assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 4
+
+
+def test_index_has_a_row_per_gram_and_batch(spark, tmp_path):
+    df = spark.range(0, 2000, 1, 2).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"), F.when(F.col("id") % 7 > 0, F.concat(F.lit("The 𝔘mbrella "), F.col("id").cast("string"))).alias("text"), F.lit("È a").alias("source"))
+    path = str(tmp_path / "index")
+    S.write_index(df, "key", ["text", "source"], path)
+    assert spark.read.parquet(f"{path}/postings").count() < 3000  # 2 batches of some 1,100 grams; 30,000 pairs
+    for query in ("𝔘MB", "umbrella 19", "È A", "a 1999", "none such"):
+        got = sorted(r.key for r in S.indexed_search(df, "key", ["text", "source"], path, query).collect())
+        holds = lambda r: any(query.lower() in (v or "").lower() for v in (r.text, r.source))
+        assert got == sorted(r.key for r in df.collect() if holds(r)), query
