@@ -29,7 +29,8 @@ def posting_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         ids, found, pairs = batch.column(0), [], 0
         texts = list(zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True))
         for i, parts in enumerate(texts):
-            grams = np.unique(np.concatenate([trigrams(p) for p in parts]))
+            grams = np.sort(np.concatenate([trigrams(p) for p in parts]))
+            grams = grams[np.append(True, grams[1:] != grams[:-1])[: len(grams)]]  # twice as fast as np.unique
             found.append((grams, i))
             pairs += len(grams)
             if pairs and (pairs >= HELD or i == len(texts) - 1):
