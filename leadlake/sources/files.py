@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,6 +14,8 @@ from leadlake.functions import text as S
 from leadlake.functions import url as U
 
 CORRUPT = "_corrupt_record"
+#: Depths of topics that a round opens at once.
+DEPTHS = 8
 
 
 def jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -99,38 +101,58 @@ def page_hits(payloads: DataFrame, payload: str, *carried: str) -> DataFrame:
     return rows.select(*carried, (F.col("rank") + 1).alias("rank"), filled(F.col("_r.title"), F.col("url")).alias("title"), "url", F.coalesce("_r.content", F.lit("")).alias("snippet"))
 
 
+def topic_kind(depths: int) -> str:
+    """The type of a topic with this many depths of topics in it; those below stay as they are."""
+    return f"struct<FirstURL: string, Text: string, Topics: array<{topic_kind(depths - 1) if depths > 1 else 'variant'}>>"
+
+
+def topic_entries(topics: Column, depths: int) -> Column:
+    """(url, title, below) of typed topics, in order: the entries, and where a topic has topics deeper than ``depths``, these."""
+    entry = lambda url, title, below: F.array(F.struct(url.alias("url"), title.alias("title"), below.cast("array<variant>").alias("below")))
+    none = F.lit(None).cast("string")
+    under = lambda e: topic_entries(e["Topics"], depths - 1) if depths > 1 else F.when(e["Topics"].isNotNull(), entry(none, none, e["Topics"]))
+    return F.flatten(F.array_compact(F.transform(topics, lambda e: F.when(e["FirstURL"].isNotNull(), entry(e["FirstURL"], e["Text"], F.lit(None))).otherwise(under(e)))))
+
+
+def related_topics(answer: Column, brackets: Column) -> Column:
+    """(url, title, below) of a parsed answer's related topics in order, ``below`` being null. Rounds of ``DEPTHS`` depths put topics in their holder's
+    place until none is left; the answer's text has ``brackets``, of which each depth takes one, so as many rounds suffice. Runs of rounds double,
+    since each round copies the entries, also when none is open: a wide answer with few depths has few rounds."""
+    state = lambda entries: S.bound(entries, lambda x: F.struct(x.alias("entries"), F.exists(x, lambda e: e["below"].isNotNull()).alias("open")))
+    typed = lambda below: F.transform(below, lambda v: F.try_variant_get(v, "$", topic_kind(DEPTHS)))
+
+    def deeper(now: Column, _: Column) -> Column:
+        inside = F.transform(now["entries"], lambda e: F.when(e["below"].isNull(), F.array(e)).otherwise(topic_entries(typed(e["below"]), DEPTHS)))
+        return F.when(now["open"], state(F.flatten(inside))).otherwise(now)
+
+    run = lambda now, k: F.when(now["open"], F.aggregate(F.sequence(F.lit(1), F.least(F.pow(F.lit(2), k).cast("int"), brackets)), now, deeper)).otherwise(now)
+    runs = F.sequence(F.lit(0), F.ceil(F.log2(brackets)).cast("int") + 1)
+    first = state(topic_entries(F.try_variant_get(answer, "$.RelatedTopics", f"array<{topic_kind(DEPTHS)}>"), DEPTHS))
+    return S.bound(first, lambda now: F.when(now["open"], F.aggregate(runs, now, run)).otherwise(now)["entries"])
+
+
 def answer_hits(payloads: DataFrame, payload: str, *carried: str) -> DataFrame:
     """(carried, section, rank, title, url, snippet) of instant-answer payloads: the abstract, the results and the related topics, flattened in order, each section ranked from 1; entries without URL keep their rank and are dropped. (SRC-11)
 
-    Topics hold topics, to any depth: each round opens those of one depth, in parallel over all payloads, until none is left. A
+    Topics hold topics, to any depth. A payload is parsed once and flattened inside its row; the hits are written once. A
     payload that is no JSON has no hits.
     """
     from leadlake.operators.keyed import spread
     from leadlake.scratch import materialise
 
-    first = spread(payloads).select(*carried, F.col(payload).alias("_payload")).withColumn("_row", F.monotonically_increasing_id())
-    first = materialise(first, "payloads")
-    v = F.try_parse_json("_payload")
-    text = lambda path: F.try_variant_get(F.col("_v"), f"$.{path}", "string")
-    opened = first.select("_row", v.alias("_v"))
-    entry = "_row long, section string, path array<int>, url string, title string, snippet string"
-    section = lambda name: opened.select("_row", F.lit(name[0]).alias("section"), F.posexplode(F.try_variant_get("_v", f"$.{name[1]}", "array<variant>")).alias("at", "_v")).select("_row", "section", F.array("at").alias("path"), F.to_json("_v").alias("item"))
-    todo = materialise(section(("results", "Results")).union(section(("related_topics", "RelatedTopics"))), "topics")
-    abstract = opened.filter(F.coalesce(text("AbstractURL"), F.lit("")) != "").select("_row", F.lit("abstract").alias("section"), F.array(F.lit(0)).alias("path"), text("AbstractURL").alias("url"), text("Heading").alias("title"), text("AbstractText").alias("snippet"))
-    found = abstract
-    while True:
-        items = todo.withColumn("_v", F.try_parse_json("item"))
-        leaf = text("FirstURL").isNotNull() | (F.col("section") == "results")
-        found = found.union(items.filter(leaf).select("_row", "section", "path", text("FirstURL").alias("url"), text("Text").alias("title"), text("Text").alias("snippet")))
-        below = items.filter(~leaf).select("_row", "section", "path", F.posexplode(F.try_variant_get("_v", "$.Topics", "array<variant>")).alias("at", "_v"))
-        todo = materialise(below.select("_row", "section", F.concat("path", F.array("at")).alias("path"), F.to_json("_v").alias("item")), "topics")
-        if todo.isEmpty():
-            break
-    found = materialise(found, "topic-entries")
-    rank = F.row_number().over(Window.partitionBy("_row", "section").orderBy("path"))  # the entries of one payload
-    ranked = found.withColumn("rank", rank).filter("coalesce(url, '') <> ''")
-    rows = first.join(ranked, "_row")
-    return rows.select(*carried, "section", "rank", filled(F.col("title"), F.col("url")).alias("title"), "url", F.coalesce("snippet", F.lit("")).alias("snippet"))
+    text = lambda v, path: F.try_variant_get(v, f"$.{path}", "string")
+    brackets = F.length(payload) - F.length(F.replace(F.col(payload), F.lit("[")))
+    hit = lambda section, url, title, snippet: lambda e, i: F.struct(F.lit(section).alias("section"), (i + 1).alias("rank"), filled(e[title], e[url]).alias("title"), e[url].alias("url"), F.coalesce(e[snippet], F.lit("")).alias("snippet"))
+
+    def every(v: Column) -> Column:
+        abstract = F.array(F.struct(*(text(v, n).alias(n) for n in ("AbstractURL", "Heading", "AbstractText"))))
+        results = F.try_variant_get(v, "$.Results", "array<struct<FirstURL: string, Text: string>>")
+        sections = F.transform(abstract, hit("abstract", "AbstractURL", "Heading", "AbstractText")), F.transform(results, hit("results", "FirstURL", "Text", "Text")), F.transform(related_topics(v, brackets), hit("related_topics", "url", "title", "title"))
+        return F.flatten(F.array_compact(F.array(*sections)))
+
+    hits = F.filter(S.bound(F.try_parse_json(payload), every), lambda h: F.coalesce(h["url"], F.lit("")) != "")
+    rows = spread(payloads).select(*carried, F.explode_outer(hits).alias("_hit")).filter("_hit IS NOT NULL")  # from an inner explode Catalyst infers a filter that makes the hits anew
+    return materialise(rows.select(*carried, "_hit.*"), "opened-payloads")
 
 
 def write_text_file(rows: DataFrame, path: str) -> None:
